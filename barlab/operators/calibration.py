@@ -31,13 +31,13 @@ def drop_candidates(panel: DataFrame, p: Params = DEFAULTS, block: int = BLOCK)
     """Momentum entries with ``coef`` = drop over the next bars in ATR units."""
     rich = with_indicators(
         panel.select("symbol", "bar_no", "n_bars", "high", "low", "close"),
-        ind.atr(p.features.atr_period, "_atr", p.risk.atr_digits),
+        ind.atr(p.features.atr_period, "_atr", p.risk.tie_digits),
         ind.efficiency_ratio(p.features.er_k, out="_er"),
         ind.forward_low(p.risk.lookforward, "_low_ahead"),
         block=block,
     )
     drop = F.col("close") - F.col("_low_ahead")
-    return rich.filter(tradable(panel, p) & (F.col("_er") > p.features.er_threshold)).select(
+    return rich.filter(tradable(panel, p) & (F.round("_er", p.risk.tie_digits) > p.features.er_threshold)).select(
         "symbol", "bar_no", F.when(valid_atr(F.col("_atr")), F.try_divide(drop, F.col("_atr"))).alias("coef")
     )
 
@@ -72,7 +72,7 @@ def buying_power_check(panel: DataFrame, csl: DataFrame, p: Params = DEFAULTS, b
     """
     rich = with_indicators(
         panel.select("symbol", "bar_no", "n_bars", "high", "low", "close"),
-        ind.atr(p.features.atr_period, "_atr", p.risk.atr_digits),
+        ind.atr(p.features.atr_period, "_atr", p.risk.tie_digits),
         block=block,
     )
     entries = rich.filter(tradable(panel, p)).select("symbol", "bar_no", "close", "_atr")

@@ -76,7 +76,7 @@ def eda_summary(
         ind.efficiency_ratio(p.features.er_k, out="_er"),
         block=block,
     )
-    above = F.coalesce(F.col("_er") > p.features.er_threshold, F.lit(False)).cast("int")
+    above = F.coalesce(F.round("_er", p.risk.tie_digits) > p.features.er_threshold, F.lit(False)).cast("int")
     summary = rows.groupBy("symbol").agg(
         F.count(F.lit(1)).alias("n_bars"),
         F.to_date(F.min("ts")).alias("first_day"),

@@ -66,6 +66,9 @@ def with_atr_alias(features: DataFrame) -> DataFrame:
     return features.withColumn("ATR", F.col("ATR_50"))
 
 
-def momentum_entries(panel: DataFrame, k: int = 10, threshold: float = 0.3, block: int = BLOCK) -> DataFrame:
+def momentum_entries(
+    panel: DataFrame, k: int = 10, threshold: float = 0.3, column: str = "close", digits: int = 8, block: int = BLOCK
+) -> DataFrame:
     """Bars whose efficiency ratio is strictly above ``threshold``."""
-    return with_indicators(panel, ind.efficiency_ratio(k, out="ER"), block=block).filter(F.col("ER") > threshold)
+    rich = with_indicators(panel, ind.efficiency_ratio(k, column, "ER"), block=block)
+    return rich.filter(F.round("ER", digits) > threshold)

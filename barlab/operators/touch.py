@@ -69,7 +69,7 @@ def label_bars(
         & F.col("close").between(p.data.price_min, p.data.price_max)
     )
     rows = attach_csl(rows, csl, block)
-    atr_value = F.round(atr, p.risk.atr_digits)
+    atr_value = F.round(atr, p.risk.tie_digits)
     stop = stop_price(F.col("close"), atr_value, F.col("csl"))
     target = target_price(F.col("close"), atr_value, F.col("csl"), F.col("csl") * ratio)
     label = barrier_label(F.col("_to_stop"), F.col("_to_target"))

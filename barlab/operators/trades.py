@@ -39,7 +39,7 @@ def entry_exits(
     """
     slim = features.select(
         "symbol", "ts", "bar_no", "n_bars", "open", "high", "low", "close",
-        F.round(atr, p.risk.atr_digits).alias("_atr"), signals.alias("_signals"),
+        F.round(atr, p.risk.tie_digits).alias("_atr"), signals.alias("_signals"),
     )
     cut = blocked(slim, 1, max_bars, block)
     ahead_columns = {

@@ -31,9 +31,9 @@ class RiskParams:
     bp_max: float = 3000.0
     seed_bp: int = 7
     risk_per_trade: float = 100.0
-    # Barriers built from a price grid meet exact ties; a fixed number of ATR
-    # digits keeps the outcome independent of the summation order.
-    atr_digits: int = 8
+    # Prices on a grid meet limits exactly; a fixed number of digits for ATR and ER
+    # keeps the outcome independent of the summation order.
+    tie_digits: int = 8
 
 
 @dataclass(frozen=True)

@@ -9,9 +9,9 @@ from barlab.operators.model import rules_as_text
 from barlab.schema import RULES_JSON
 
 
-def read_rules(spark: SparkSession, path: str) -> DataFrame:
-    """A JSON list of rules, or one rule per line; conditions stay text."""
-    return spark.read.schema(RULES_JSON).option("multiLine", True).json(path)
+def read_rules(spark: SparkSession, path: str, one_list: bool = True) -> DataFrame:
+    """Rules with text conditions, from one JSON list or from one object per line."""
+    return spark.read.schema(RULES_JSON).option("multiLine", one_list).json(path)
 
 
 def rule_json(rules: DataFrame) -> DataFrame:
