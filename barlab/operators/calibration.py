@@ -11,6 +11,7 @@ from barlab.operators.panel import BLOCK
 from barlab.operators.recipes import with_indicators
 from barlab.operators.sampling import hash_sample
 from barlab.params import DEFAULTS, Params
+from barlab.session import stage
 
 
 def symbols_of(panel: DataFrame) -> DataFrame:
@@ -47,7 +48,8 @@ def stop_coefficients(panel: DataFrame, p: Params = DEFAULTS, block: int = BLOCK
 
     The median is taken over at most ``n_samples_csl`` rows per symbol.
     """
-    candidates = drop_candidates(panel, p, block)
+    # Few and narrow rows, read three times: the windows run once.
+    candidates = stage(drop_candidates(panel, p, block), "candidates")
     counts = candidates.groupBy("symbol").agg(F.count(F.lit(1)).alias("n_candidates"))
     sample = hash_sample(candidates, p.risk.n_samples_csl, p.risk.seed_csl).filter(F.col("coef") > 0)
     medians = sample.groupBy("symbol").agg(

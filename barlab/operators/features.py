@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from barlab.operators import indicators as ind
 from barlab.operators.panel import BLOCK, fill_forward
-from barlab.operators.recipes import Recipe, with_indicators
+from barlab.operators.recipes import FINAL, Recipe, with_indicators
 from barlab.params import FEATURE_COLUMNS
 from barlab.schema import BAR_COLUMNS
 
@@ -18,35 +18,48 @@ NOT_FEATURES = {
 }
 
 
-def feature_recipes() -> list[Recipe]:
-    ema20, ema50 = ind.ema("close", 20, "EMA_20"), ind.ema("close", 50, "EMA_50")
-    vwap20 = ind.vwap(20, "VWAP_20")
+def feature_recipes(dense: bool = False) -> list[Recipe]:
+    """The 25 features; ``dense`` promises that no price or volume is missing."""
+    d = {"dense": dense}
+    ema20, ema50 = ind.ema("close", 20, "EMA_20", **d), ind.ema("close", 50, "EMA_50", **d)
+    vwap20, mom10 = ind.vwap(20, "VWAP_20", **d), ind.momentum(10, out="Momentum_10")
     return [
         ind.rsi(14, out="RSI_14"),
-        ind.atr(50, out="ATR_50"),
+        ind.atr(50, out="ATR_50", **d),
         ema20,
         ema50,
         ind.distance_pct(ema20, "EMA_20", "dist_ema20_pct"),
         ind.distance_pct(ema50, "EMA_50", "dist_ema50_pct"),
         vwap20,
         ind.distance_pct(vwap20, "VWAP_20", "dist_vwap_pct"),
-        ind.macd(),
-        ind.rvol(20, "RVOL_20"),
-        ind.efficiency_ratio(10, out="ER_Kaufman_10"),
+        ind.macd(**d),
+        ind.rvol(20, "RVOL_20", **d),
+        ind.efficiency_ratio(10, out="ER_Kaufman_10", **d),
         ind.gap(),
         ind.adx(14, "ADX_14"),
-        Recipe([{"ROC_10": F.col("Momentum_10") * 100}], ["ROC_10"], 0, after=[ind.momentum(10, out="Momentum_10")]),
-        ind.momentum(10, out="Momentum_10"),
+        Recipe({FINAL: {"ROC_10": F.col("Momentum_10") * 100}}, ["ROC_10"], 0, after=[mom10]),
+        mom10,
         ind.volatility(20, out="Volatility_20"),
-        ind.sma("close", 10, "SMA_10"),
-        ind.bollinger(20, 2.0),
+        ind.sma("close", 10, "SMA_10", **d),
+        ind.bollinger(20, 2.0, **d),
         ind.candles(),
     ]
 
 
+def is_dense(panel: DataFrame) -> bool:
+    """No missing price or volume. File statistics answer for a staged panel."""
+    missing = F.lit(False)
+    for c in BAR_COLUMNS[2:]:
+        missing = missing | F.col(c).isNull()
+    return panel.filter(missing).isEmpty()
+
+
 def raw_features(panel: DataFrame, block: int = BLOCK) -> DataFrame:
-    """All indicators, warm-up rows still null."""
-    wide = with_indicators(panel, *feature_recipes(), block=block)
+    """All indicators, warm-up rows still null.
+
+    A panel without missing values, which is checked first, takes a shorter way.
+    """
+    wide = with_indicators(panel, *feature_recipes(is_dense(panel)), block=block)
     return wide.select("symbol", "ts", "bar_no", "n_bars", *BAR_COLUMNS[2:], *FEATURE_COLUMNS)
 
 

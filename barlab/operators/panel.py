@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from barlab.session import stage
 
 BLOCK = 32768
-SUB = 256  # length of a scan segment; divides every block size in use
+SUB = 1024  # common length of a scan segment; divides every block size in use
 
 
 def number_rows(
@@ -118,10 +118,11 @@ def bar_window() -> WindowSpec:
     return Window.partitionBy("symbol", "blk").orderBy("sub", "bar_no")
 
 
-def segment_window() -> WindowSpec:
+def segment_window(length: int = SUB) -> WindowSpec:
     """Bars of one scan segment up to the current one."""
+    segment = F.col("sub") if length == SUB else F.expr(f"bar_no div {length}L")
     return (
-        Window.partitionBy("symbol", "blk", "sub").orderBy("bar_no").rowsBetween(Window.unboundedPreceding, 0)
+        Window.partitionBy("symbol", "blk", segment).orderBy("bar_no").rowsBetween(Window.unboundedPreceding, 0)
     )
 
 
@@ -171,7 +172,12 @@ def fill_forward(
     for c in columns:
         gap = gap | F.col(c).isNull()
     cut = stage(df.withColumns({"blk": F.expr(f"bar_no div {block}L"), "_gap": gap}), name)
-    gappy = cut.filter("_gap").select("symbol", "blk").distinct()
+    holes = cut.filter("_gap")
+    if trim:
+        first = _first_complete(cut, columns)
+        # Holes in the dropped prefix need no filling.
+        holes = holes.join(first, "symbol").filter(F.col("bar_no") >= F.col("_first"))
+    gappy = holes.select("symbol", "blk").distinct()
     clean = cut.join(gappy, ["symbol", "blk"], "left_anti")
     run = Window.partitionBy("symbol", "blk").orderBy("bar_no").rowsBetween(Window.unboundedPreceding, 0)
     local = cut.join(gappy, ["symbol", "blk"], "left_semi").withColumns(
@@ -193,19 +199,21 @@ def fill_forward(
     whole = clean.unionByName(filled).drop("blk", "_gap")
     if not trim:
         return whole
-    first_seen = cut.groupBy("symbol").agg(
-        *[F.min(F.when(F.col(c).isNotNull(), F.col("bar_no"))).alias(f"_at{i}") for i, c in enumerate(columns)]
-    )
-    every = F.lit(True)
-    for i in range(len(columns)):
-        every = every & F.col(f"_at{i}").isNotNull()
-    # A symbol with a column that never has a value has no complete row.
-    first = first_seen.select(
-        "symbol", F.when(every, F.greatest(*[f"_at{i}" for i in range(len(columns))], F.lit(0))).alias("_first")
-    )
     return (
         whole.join(first, "symbol")
         .filter(F.col("bar_no") >= F.col("_first"))
         .withColumns({"bar_no": F.col("bar_no") - F.col("_first"), "n_bars": F.col("n_bars") - F.col("_first")})
         .drop("_first")
     )
+
+
+def _first_complete(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """``symbol, _first``: the bar from which every column has had a value.
+
+    A symbol with a column that never has one is missing: it has no complete row.
+    """
+    names = [f"_at{i}" for i in range(len(columns))]
+    seen = df.groupBy("symbol").agg(
+        *[F.min(F.when(F.col(c).isNotNull(), F.col("bar_no"))).alias(n) for c, n in zip(columns, names)]
+    )
+    return seen.na.drop(subset=names).select("symbol", F.greatest(*names, F.lit(0)).alias("_first"))

@@ -14,9 +14,12 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from barlab.operators.panel import BLOCK, blocked, own_rows
+from barlab.operators.touch import first_high_at, first_low_at, future_lists
 from barlab.session import stage
 
-FAN = 256
+FAN = 64
+NEAR = 64
 
 
 def _levels(series: DataFrame, keys: Sequence[str], fan: int) -> list[DataFrame]:
@@ -81,39 +84,67 @@ def first_reach(
     return landed.select(*keys, *extra, F.col("_child").alias("reach_bar")).unionByName(missed)
 
 
-def durations_by_ratio(panel: DataFrame, entries: DataFrame, csl: float, ratios: Sequence[float], fan: int = FAN) -> DataFrame:
+def durations_by_ratio(
+    panel: DataFrame,
+    entries: DataFrame,
+    csl: float,
+    ratios: Sequence[float],
+    near: int = NEAR,
+    block: int = BLOCK,
+    fan: int = FAN,
+) -> DataFrame:
     """``symbol, bar_no, ratio, duration`` per entry and target/stop ratio.
 
-    ``entries(symbol, bar_no, entry_price, atr)``. The stop is searched once per
-    entry, the targets once per ratio. An untouched trade lasts all bars left.
+    ``entries(symbol, bar_no, entry_price, atr)``. An untouched trade lasts all bars
+    left. Most trades end within ``near`` bars and are settled in one window; only
+    the others are searched over the rest of the history.
     """
-    falls = panel.select("symbol", F.lit("stop").alias("side"), "bar_no", (-F.col("low")).alias("value"))
-    rises = panel.select("symbol", F.lit("target").alias("side"), "bar_no", F.col("high").alias("value"))
+    keys = ["symbol", "bar_no"]
     distance = F.col("atr") * float(csl)
-    stops = F.struct(
-        F.lit("stop").alias("side"), F.lit(None).cast("double").alias("ratio"),
-        (distance - F.col("entry_price")).alias("level"),
-    )
-    targets = [
+    levels = entries.select(*keys, (F.col("entry_price") - distance).alias("_stop"), *[
+        (F.col("entry_price") + F.lit(float(r)) * float(csl) * F.col("atr")).alias(f"_target{i}")
+        for i, r in enumerate(ratios)
+    ])
+    marked = levels.withColumn("blk", F.expr(f"bar_no div {block}L"))
+    cut = blocked(panel.select(*keys, "n_bars", "low", "high"), 0, near, block)
+    # Halo copies belong to no entry, so the join is on the own block as well.
+    rows = own_rows(
+        cut.join(marked, ["symbol", "blk", "bar_no"], "left").withColumns(future_lists(near)), block
+    ).filter(F.col("_stop").isNotNull())
+    rows = rows.withColumn("_near_stop", first_low_at(F.col("_stop")))
+    for i in range(len(ratios)):
+        rows = rows.withColumn(f"_near{i}", F.least("_near_stop", first_high_at(F.col(f"_target{i}"))))
+    per_ratio = F.array(*[
         F.struct(
-            F.lit("target").alias("side"), F.lit(float(r)).alias("ratio"),
-            (F.col("entry_price") + F.lit(float(r)) * float(csl) * F.col("atr")).alias("level"),
+            F.lit(float(r)).alias("ratio"), F.col(f"_near{i}").alias("met"), F.col(f"_target{i}").alias("target")
         )
-        for r in ratios
-    ]
-    searches = entries.select("symbol", "bar_no", F.explode(F.array(stops, *targets)).alias("s")).select(
-        "symbol", "bar_no", "s.side", "s.ratio", "s.level"
+        for i, r in enumerate(ratios)
+    ])
+    settled = stage(
+        rows.select(*keys, "n_bars", F.col("_stop").alias("stop"), F.explode(per_ratio).alias("r"))
+        .select(*keys, "n_bars", "stop", "r.*"),
+        "near",
     )
-    met = first_reach(falls.unionByName(rises), searches, ["symbol", "side"], fan)
-    # Bring the shared stop to each ratio inside the entry's own group of rows.
-    per_entry = met.groupBy("symbol", "bar_no").agg(
-        F.min(F.when(F.col("side") == "stop", F.col("reach_bar"))).alias("stop_bar"),
-        F.collect_list(F.when(F.col("side") == "target", F.struct("ratio", "reach_bar"))).alias("_targets"),
+    left = F.col("n_bars") - 1 - F.col("bar_no")
+    far = settled.filter(F.col("met").isNull() & (left > near))
+    done = settled.filter(F.col("met").isNotNull() | (left <= near)).select(
+        *keys, "ratio", F.coalesce("met", left).alias("duration")
     )
-    sizes = panel.groupBy("symbol").agg(F.max("n_bars").alias("n_bars"))
-    last = F.least("stop_bar", F.col("_t.reach_bar"), F.col("n_bars") - 1)
-    return (
-        per_entry.join(sizes, "symbol")
-        .withColumn("_t", F.explode("_targets"))
-        .select("symbol", "bar_no", F.col("_t.ratio").alias("ratio"), (last - F.col("bar_no")).alias("duration"))
+    falls = panel.select("symbol", F.lit("stop").alias("side"), "bar_no", (-F.col("low")).alias("value"))
+    rises = panel.select("symbol", F.lit("target").alias("side"), "bar_no", F.col("high").alias("value"))
+    sides = F.array(
+        F.struct(F.lit("stop").alias("side"), (-F.col("stop")).alias("level")),
+        F.struct(F.lit("target").alias("side"), F.col("target").alias("level")),
+    )
+    searches = far.select(
+        "symbol", F.col("bar_no").alias("entry"), (F.col("bar_no") + near).alias("bar_no"), "ratio", "n_bars",
+        F.explode(sides).alias("s"),
+    ).select("symbol", "entry", "bar_no", "ratio", "n_bars", "s.*")
+    met = first_reach(falls.unionByName(rises), searches, ["symbol", "side"], fan)
+    late = met.groupBy("symbol", "entry", "ratio").agg(
+        F.min("reach_bar").alias("_bar"), F.max("n_bars").alias("n_bars")
+    ).select(
+        "symbol", F.col("entry").alias("bar_no"), "ratio",
+        (F.coalesce("_bar", F.col("n_bars") - 1) - F.col("entry")).alias("duration"),
     )
+    return done.unionByName(late)

@@ -1,9 +1,10 @@
-"""Indicators as layers of columns.
+"""Indicators as columns in stages.
 
-A window expression cannot contain another one, so an indicator is a list of
-layers, each a dict of columns that may use the layers before it. Several
-indicators are merged layer by layer: windows of one layer share one Window
-operator, and all layers share one shuffle and one sort.
+A window expression cannot contain another one, so an indicator is computed in
+numbered stages; a column may use the columns of earlier stages. The stage numbers
+are common to all indicators, so that windows of different indicators meet in the
+same stage and share one Window operator, and all stages share one shuffle and one
+sort.
 """
 
 from __future__ import annotations
@@ -15,22 +16,30 @@ from pyspark.sql import Column, DataFrame
 
 from barlab.operators.panel import BLOCK, blocked, own_rows
 
-Layers = list[dict[str, Column]]
+Stages = dict[int, dict[str, Column]]
+
+# The stages in use. A scan (see scan.py) takes eight stages from its first one on.
+LAGS = 0      # windows over panel columns
+ROWS = 1      # row expressions over these
+ROLLS = 6     # windows over derived columns, beside the last window of a first scan
+VALUES = 7    # row expressions over these, results of a first scan
+LATER = 8     # row expressions over values
+SECOND = 9    # start of a scan over values
+FINAL = 17    # row expressions over a second scan
 
 
 @dataclass(frozen=True)
 class Recipe:
-    """``layers`` in order, the visible ``outputs``, and the bars looked at."""
+    """Columns by stage, the visible ``outputs``, and the bars looked at."""
 
-    layers: Layers
+    stages: Stages
     outputs: list[str]
     lookback: int
     lookahead: int = 0
     after: list["Recipe"] = field(default_factory=list)
 
-    def all_layers(self) -> Layers:
-        before = merge_layers(r.all_layers() for r in self.after)
-        return before + self.layers
+    def all_stages(self) -> Stages:
+        return merge_stages([*(r.all_stages() for r in self.after), self.stages])
 
     def reach(self) -> int:
         """Bars looked back, inputs included."""
@@ -40,26 +49,24 @@ class Recipe:
         return self.lookahead + max((r.reach_ahead() for r in self.after), default=0)
 
 
-def merge_layers(many: Iterable[Layers]) -> Layers:
-    """Lay several layer lists over each other; a shared name is computed once."""
-    merged: Layers = []
+def merge_stages(many: Iterable[Stages]) -> Stages:
+    """All columns by stage; a shared name is computed once."""
+    merged: Stages = {}
     seen: set[str] = set()
-    for layers in many:
-        for depth, layer in enumerate(layers):
-            while len(merged) <= depth:
-                merged.append({})
-            for name, column in layer.items():
+    for stages in many:
+        for number, columns in stages.items():
+            for name, column in columns.items():
                 if name not in seen:
                     seen.add(name)
-                    merged[depth][name] = column
+                    merged.setdefault(number, {})[name] = column
     return merged
 
 
 def add_columns(df: DataFrame, recipes: Iterable[Recipe]) -> DataFrame:
     """Compute the recipes on an already blocked frame; intermediates stay."""
-    for layer in merge_layers(r.all_layers() for r in recipes):
-        if layer:
-            df = df.withColumns(layer)
+    stages = merge_stages(r.all_stages() for r in recipes)
+    for number in sorted(stages):
+        df = df.withColumns(stages[number])
     return df
 
 

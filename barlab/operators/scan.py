@@ -1,10 +1,9 @@
 """Exponential moving averages as window expressions.
 
-The recurrence ``y = A*y_prev + b`` is solved in segments of ``SUB`` bars: inside
-a segment by a running sum of ``b`` scaled with the running product of ``A``,
-across segments from the ends of the last few segments. The number of segments
-looked back is chosen so that what lies before them weighs less than
-``residual``, far below double precision.
+The recurrence ``y = A*y_prev + b`` is solved in segments of bars: inside a segment
+by a running sum of ``b`` scaled with the running product of ``A``, plus the end of
+the segment before. A segment is so long that everything before these two weighs
+less than ``RESIDUAL``, below the precision of a double.
 
 Missing values follow ``ewm(adjust=False, ignore_na=False)``: leading nulls stay
 null, an inner null repeats the last value, and the next value is weighted by the
@@ -17,17 +16,26 @@ import math
 
 from pyspark.sql import functions as F
 
-from barlab.operators.panel import SUB, earlier_bars, lag, segment_window
-from barlab.operators.recipes import Recipe
+from barlab.operators.panel import SUB, earlier_bars, segment_window
+from barlab.operators.recipes import LAGS, Recipe
 
-RESIDUAL = 1e-18
-LOG_FLOOR = -300.0
+RESIDUAL = 1e-17
+MAX_EXPONENT = 600.0  # the scaling of a segment must stay a finite double
+LOG_FLOOR = -40.0     # decay of one step; anything below forgets the past
 
 
-def segments_back(span: float, residual: float = RESIDUAL) -> int:
-    """Whole segments after which an old value weighs less than ``residual``."""
-    keep = 1.0 - 2.0 / (span + 1.0)
-    return max(1, math.ceil(math.log(residual) / math.log(keep) / SUB))
+def reach_of(span: float, residual: float = RESIDUAL) -> int:
+    """Bars after which an old value weighs less than ``residual``."""
+    return math.ceil(math.log(residual) / math.log(1.0 - 2.0 / (span + 1.0)))
+
+
+def segment_length(span: float, residual: float = RESIDUAL) -> int:
+    """The common length if it fits the span, else a power of two of its own."""
+    per_bar = -math.log(1.0 - 2.0 / (span + 1.0))
+    needed = reach_of(span, residual)
+    if needed <= SUB and SUB * per_bar <= MAX_EXPONENT:
+        return SUB
+    return 1 << max(0, math.ceil(math.log2(needed)))
 
 
 def ema(
@@ -37,55 +45,50 @@ def ema(
     after: list[Recipe] | None = None,
     dense: bool = False,
     residual: float = RESIDUAL,
+    first_stage: int = LAGS,
 ) -> Recipe:
     """EMA with ``alpha = 2/(span+1)``, started at the first value.
 
-    ``dense`` says that ``column`` is never null, which saves two windows.
+    ``dense`` promises that ``column`` is never null, which saves two windows. The
+    result is there from stage ``first_stage + 7`` on.
     """
     if span <= 1:
         raise ValueError("span must be above 1")
     alpha = 2.0 / (span + 1.0)
     keep = 1.0 - alpha
-    n_back = segments_back(span, residual)
+    length = segment_length(span, residual)
+    segment = segment_window(length)
     t = f"_{out}_"
     x = F.col(column)
-    at_end = F.col("bar_no") % SUB == SUB - 1
+    at = F.col("bar_no") % length
+    s = first_stage
+    stages: dict[int, dict] = {s + k: {} for k in range(8)}
 
     if dense:
-        decay = F.exp((F.col("bar_no") % SUB + 1) * math.log(keep))
+        stages[s + 3][t + "decay"] = F.exp((at + 1) * math.log(keep))
         step = F.when(F.col("bar_no") == 0, x).otherwise(x * alpha)
-        layers = [{t + "z": step / decay, t + "decay": decay}]
+        stages[s + 3][t + "z"] = step / F.exp((at + 1) * math.log(keep))
         known = F.lit(True)
     else:
         last_seen = F.last(F.when(x.isNotNull(), F.col("bar_no")), ignorenulls=True)
-        age = F.col("bar_no") - F.col(t + "seen")
-        aged = F.pow(F.lit(keep), age)
+        seen = F.col(t + "seen")
+        aged = F.pow(F.lit(keep), F.col("bar_no") - seen)
         # The first value has no predecessor: full weight, and its decay meets no carry.
-        step = F.when(F.col(t + "seen").isNull(), x).otherwise(x * alpha / (aged + alpha))
+        step = F.when(seen.isNull(), x).otherwise(x * alpha / (aged + alpha))
         log_decay = (
             F.when(x.isNull(), 0.0)
-            .when(F.col(t + "seen").isNull(), math.log(keep))
+            .when(seen.isNull(), math.log(keep))
             .otherwise(F.greatest(F.ln(aged / (aged + alpha)), F.lit(LOG_FLOOR)))
         )
-        layers = [
-            {t + "seen": last_seen.over(earlier_bars())},
-            {t + "b": F.coalesce(step, F.lit(0.0)), t + "ln": log_decay},
-            {t + "decay": F.exp(F.sum(t + "ln").over(segment_window()))},
-            {t + "z": F.col(t + "b") / F.col(t + "decay")},
-        ]
-        known = x.isNotNull() | F.col(t + "seen").isNotNull()
-
-    # End value of this segment plus what reaches it from the segments before.
-    carried = F.lit(0.0)
-    for k in range(n_back, 0, -1):
-        end_before = F.coalesce(lag(t + "end", SUB * k), F.lit(0.0))
-        decay_before = F.coalesce(lag(t + "decay", SUB * k), F.lit(0.0))
-        carried = end_before + decay_before * carried
-    layers += [
-        {t + "sum": F.sum(t + "z").over(segment_window())},
-        {t + "end": F.col(t + "sum") * F.col(t + "decay")},
-        {t + "close": F.when(at_end, F.col(t + "end") + F.col(t + "decay") * carried)},
-        {t + "carry": F.coalesce(F.last(t + "close", ignorenulls=True).over(earlier_bars()), F.lit(0.0))},
-        {out: F.when(known, F.col(t + "decay") * (F.col(t + "sum") + F.col(t + "carry")))},
-    ]
-    return Recipe(layers, [out], lookback=SUB * (n_back + 1), after=list(after or []))
+        stages[s][t + "seen"] = last_seen.over(earlier_bars())
+        stages[s + 1] = {t + "b": F.coalesce(step, F.lit(0.0)), t + "ln": log_decay}
+        stages[s + 2][t + "decay"] = F.exp(F.sum(t + "ln").over(segment))
+        stages[s + 3][t + "z"] = F.col(t + "b") / F.col(t + "decay")
+        known = x.isNotNull() | seen.isNotNull()
+
+    stages[s + 4][t + "sum"] = F.sum(t + "z").over(segment)
+    stages[s + 5][t + "end"] = F.when(at == length - 1, F.col(t + "sum") * F.col(t + "decay"))
+    stages[s + 6][t + "carry"] = F.last(t + "end", ignorenulls=True).over(earlier_bars())
+    carry = F.coalesce(F.col(t + "carry"), F.lit(0.0))
+    stages[s + 7][out] = F.when(known, F.col(t + "decay") * (F.col(t + "sum") + carry))
+    return Recipe(stages, [out], lookback=reach_of(span, residual), after=list(after or []))

@@ -35,11 +35,15 @@ def barrier_label(to_stop: Column, to_target: Column) -> Column:
     return F.when(to_stop <= F.coalesce(to_target, to_stop), 0).when(to_target.isNotNull(), 1).otherwise(2)
 
 
-def attach_csl(cut: DataFrame, csl: DataFrame | float, block: int) -> DataFrame:
-    """Add ``csl``: one number, or one row per symbol that is copied to its blocks."""
+def attach_csl(cut: DataFrame, csl: DataFrame | float, source: DataFrame, block: int) -> DataFrame:
+    """Add ``csl`` to a blocked frame: one number, or one row per symbol.
+
+    Rows per symbol are copied to the blocks of the symbol (whose sizes come from
+    ``source``), so the join keeps the partitioning of the windows that follow.
+    """
     if not isinstance(csl, DataFrame):
         return cut.withColumn("csl", F.lit(float(csl)))
-    sizes = cut.groupBy("symbol").agg(F.max("n_bars").alias("n_bars"))
+    sizes = source.groupBy("symbol").agg(F.max("n_bars").alias("n_bars"))
     known = csl.filter(F.col("csl").isNotNull()).select("symbol", "csl")
     return cut.join(spread(known.join(sizes, "symbol"), block), ["symbol", "blk"])
 
@@ -62,19 +66,24 @@ def label_bars(
     after the forward window, which must see every bar.
     """
     cut = blocked(features.withColumn("_signal", F.lit(True) if signal is None else signal), 0, max_bars, block)
-    rows = own_rows(cut.withColumns(future_lists(max_bars)), block, keep_blk=True).filter(
+    cut = attach_csl(cut, csl, features, block)
+    # The barriers are made before the window, once per row.
+    close, atr_value = F.col("close"), F.round(atr, p.risk.tie_digits)
+    cut = cut.withColumns({
+        "_stop": stop_price(close, atr_value, F.col("csl")),
+        "_target": target_price(close, atr_value, F.col("csl"), F.col("csl") * ratio),
+    })
+    rows = own_rows(cut.withColumns(future_lists(max_bars)), block).filter(
         F.coalesce("_signal", F.lit(False))
         & (F.col("bar_no") <= F.col("n_bars") - max_bars - 2)
         & valid_atr(F.col(atr))
         & F.col("close").between(p.data.price_min, p.data.price_max)
     )
-    rows = attach_csl(rows, csl, block)
-    atr_value = F.round(atr, p.risk.tie_digits)
-    stop = stop_price(F.col("close"), atr_value, F.col("csl"))
-    target = target_price(F.col("close"), atr_value, F.col("csl"), F.col("csl") * ratio)
     label = barrier_label(F.col("_to_stop"), F.col("_to_target"))
     return (
-        rows.withColumns({"_to_stop": first_low_at(stop), "_to_target": first_high_at(target)})
+        rows.withColumns({
+            "_to_stop": first_low_at(F.col("_stop")), "_to_target": first_high_at(F.col("_target"))
+        })
         .withColumns({"label": (label == 1).cast("int") if binary else label, "entry_bar": F.col("bar_no")})
         .select(*features.columns, "label", "entry_bar")
     )

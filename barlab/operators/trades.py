@@ -41,25 +41,23 @@ def entry_exits(
         "symbol", "ts", "bar_no", "n_bars", "open", "high", "low", "close",
         F.round(atr, p.risk.tie_digits).alias("_atr"), signals.alias("_signals"),
     )
-    cut = blocked(slim, 1, max_bars, block)
+    cut = attach_csl(blocked(slim, 1, max_bars, block), csl, features, block)
+    cut = cut.withColumns({"_rules": lag("_signals"), "_entry_atr": lag("_atr")})
+    atr_in, c_sl = F.col("_entry_atr"), F.col("csl")
+    # Size and barriers are made between the two windows, once per row.
+    cut = cut.withColumns({
+        "size": position_size(atr_in, c_sl, p.risk.risk_per_trade),
+        "stop": stop_price(F.col("open"), atr_in, c_sl),
+        "target": target_price(F.col("open"), atr_in, c_sl, None if c_tp is None else F.lit(float(c_tp))),
+    })
     ahead_columns = {
-        "_rules": lag("_signals"),
-        "_entry_atr": lag("_atr"),
         **future_lists(max_bars),
         "_times": F.collect_list("ts").over(ahead(1, max_bars)),
         "_last_close": F.lead("close", max_bars).over(bar_window()),
     }
-    rows = own_rows(cut.withColumns(ahead_columns), block, keep_blk=True).filter(
-        (F.size("_rules") > 0) & valid_atr(F.col("_entry_atr"))
+    rows = own_rows(cut.withColumns(ahead_columns), block).filter(
+        (F.size("_rules") > 0) & valid_atr(atr_in) & (F.col("size") > 0)
     )
-    rows = attach_csl(rows, csl, block)
-    atr_in, c_sl = F.col("_entry_atr"), F.col("csl")
-    target = target_price(F.col("open"), atr_in, c_sl, None if c_tp is None else F.lit(float(c_tp)))
-    rows = rows.withColumns({
-        "size": position_size(atr_in, c_sl, p.risk.risk_per_trade),
-        "stop": stop_price(F.col("open"), atr_in, c_sl),
-        "target": target,
-    }).filter(F.col("size") > 0)
     rows = rows.withColumns({"_to_stop": first_low_at(F.col("stop")), "_to_target": first_high_at(F.col("target"))})
     to_stop, to_target = F.col("_to_stop"), F.col("_to_target")
     by_stop = F.coalesce(to_stop <= F.coalesce(to_target, to_stop), F.lit(False))
