@@ -13,6 +13,8 @@ from barlab.operators.recipes import with_indicators
 from barlab.params import DEFAULTS, Params
 
 QUARTILES = (0.25, 0.5, 0.75)
+SMALL = 1 << 16  # values of a group that one task may hold
+WIDE = 1 << 13   # bars of a symbol whose columns one task may hold side by side
 PER_BIN = 64
 MAX_BINS = 4096
 
@@ -28,16 +30,36 @@ def long_values(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def exact_quantiles(
-    values: DataFrame, keys: Sequence[str], probs: Sequence[float] = QUARTILES, tie: str = "bar_no"
+    values: DataFrame, keys: Sequence[str], probs: Sequence[float] = QUARTILES, tie: str = "bar_no", small: int = SMALL
 ) -> DataFrame:
-    """Interpolated quantiles ``q0, q1, ...`` of ``value`` per ``keys``.
+    """Interpolated quantiles ``q0, q1, ...`` of ``value`` per ``keys``, exact.
+
+    Groups of up to ``small`` values are aggregated as they are. Larger ones, if the
+    counts show any, go through :func:`_ranked_quantiles`.
+    """
+    keys = list(keys)
+    sizes = values.groupBy(*keys).agg(F.count("value").alias("_n"))
+    largest = sizes.agg(F.max("_n")).first()[0] or 0
+    quantiles = F.percentile("value", F.array(*[F.lit(float(q)) for q in probs]))
+    columns = [F.get("_q", F.lit(i)).alias(f"q{i}") for i in range(len(probs))]
+    if largest <= small:
+        return values.groupBy(*keys).agg(quantiles.alias("_q")).select(*keys, *columns)
+    few = values.join(sizes.filter(F.col("_n") <= small), keys, "left_semi")
+    many = values.join(sizes.filter(F.col("_n") > small), keys, "left_semi")
+    return (
+        few.groupBy(*keys).agg(quantiles.alias("_q")).select(*keys, *columns)
+        .unionByName(_ranked_quantiles(many, keys, probs, tie))
+    )
+
+
+def _ranked_quantiles(values: DataFrame, keys: list[str], probs: Sequence[float], tie: str) -> DataFrame:
+    """Quantiles of large groups.
 
     A histogram per key (counted before the shuffle) tells which bins hold the two
     values next to each quantile. Only the values of these bins are sorted and
     ranked, so most of the data never moves; the result is exact whatever the
     distribution.
     """
-    keys = list(keys)
     limits = values.groupBy(*keys).agg(
         F.count("value").alias("_n"), F.min("value").alias("_lo"), F.max("value").alias("_hi")
     ).withColumn("_bins", F.expr(f"least({MAX_BINS}L, greatest(1L, _n div {PER_BIN}L))"))
@@ -76,19 +98,44 @@ def exact_quantiles(
     return wanted.select(*keys, *[blend(i, q) for i, q in enumerate(probs)])
 
 
-def describe_columns(df: DataFrame, columns: Sequence[str], keys: Sequence[str] = ("symbol", "feature")) -> DataFrame:
-    """count, mean, std, min, quartiles and max per symbol and column."""
-    values = long_values(df, columns)
-    moments = values.groupBy(*keys).agg(
-        F.count("value").alias("count"),
-        F.avg("value").alias("mean"),
-        F.stddev_samp("value").alias("std"),
-        F.min("value").alias("min"),
-        F.max("value").alias("max"),
-    )
-    return moments.join(exact_quantiles(values, list(keys)), list(keys)).withColumnsRenamed(
-        {"q0": "p25", "q1": "p50", "q2": "p75"}
+def describe_columns(df: DataFrame, columns: Sequence[str], small: int = WIDE) -> DataFrame:
+    """count, mean, std, min, quartiles and max per symbol and column.
+
+    Symbols of up to ``small`` bars are aggregated as wide rows in one pass; for
+    larger ones the quartiles come from ranks of the unpivoted values.
+    """
+    def moments(c: str):
+        return [
+            F.count(c).alias("count"), F.avg(c).alias("mean"), F.stddev_samp(c).alias("std"),
+            F.min(c).alias("min"), F.max(c).alias("max"),
+        ]
+
+    def quartile(c: str, q: float):
+        ordered, at = F.col(f"`{c}.q`"), F.lit(q) * (F.col(f"`{c}.0`") - 1)
+        low, high = F.get(ordered, F.floor(at).cast("int")), F.get(ordered, F.ceil(at).cast("int"))
+        return low + (high - low) * (at - F.floor(at))
+
+    rows = df.filter(F.col("n_bars") <= small).groupBy("symbol").agg(
+        *[m.alias(f"{c}.{i}") for c in columns for i, m in enumerate(moments(c))],
+        *[F.sort_array(F.collect_list(c)).alias(f"{c}.q") for c in columns],
     )
+    names = ["count", "mean", "std", "min", "max"]
+    per_column = F.array(*[
+        F.struct(
+            F.lit(c).alias("feature"),
+            *[F.col(f"`{c}.{i}`").alias(n) for i, n in enumerate(names)],
+            *[quartile(c, q).alias(n) for q, n in zip(QUARTILES, ["p25", "p50", "p75"])],
+        )
+        for c in columns
+    ])
+    described = rows.select("symbol", F.explode(per_column).alias("d")).select("symbol", "d.*")
+    described = described.filter(F.col("count") > 0)
+    if (df.agg(F.max("n_bars")).first()[0] or 0) <= small:
+        return described
+    keys = ["symbol", "feature"]
+    values = long_values(df.filter(F.col("n_bars") > small), columns)
+    quantiles = exact_quantiles(values, keys).withColumnsRenamed({"q0": "p25", "q1": "p50", "q2": "p75"})
+    return described.unionByName(values.groupBy(*keys).agg(*moments("value")).join(quantiles, keys))
 
 
 def eda_summary(
