@@ -2,7 +2,7 @@
 
 Running sums and peaks are taken in two levels, inside blocks of trades and over
 the blocks, so that one very active pair is no single task. Stage the trades
-first: they are read more than once.
+first: they are read twice.
 """
 
 from __future__ import annotations
@@ -18,44 +18,37 @@ KEYS = ["symbol", "rule_id"]
 PERIODS = 252
 
 
-def _carried(per_block: DataFrame, columns: dict[str, Column]) -> DataFrame:
-    before = Window.partitionBy(*KEYS).orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
-    return per_block.select(*KEYS, "_blk", *[c.over(before).alias(name) for name, c in columns.items()])
-
+def trade_curve(trades: DataFrame, capital: float = 10_000.0, block: int = BLOCK) -> DataFrame:
+    """The trades plus ``trade_no`` (from 1), ``cum_pnl`` and ``drawdown_pct``.
 
-def trade_curve(trades: DataFrame, block: int = BLOCK) -> DataFrame:
-    """The trades plus ``trade_no`` (from 1) and ``cum_pnl``, in order of entry."""
-    cut = trades.withColumn("_blk", F.expr(f"entry_bar div {block}L"))
-    totals = cut.groupBy(*KEYS, "_blk").agg(F.sum("pnl").alias("_pnl"), F.count(F.lit(1)).alias("_n"))
-    start = _carried(totals, {"_pnl0": F.sum("_pnl"), "_n0": F.sum("_n")})
+    The drawdown is taken against the highest equity after any trade so far.
+    """
     run = Window.partitionBy(*KEYS, "_blk").orderBy("entry_bar")
-    return (
-        cut.withColumns({
-            "_cum": F.sum("pnl").over(run.rowsBetween(Window.unboundedPreceding, 0)),
-            "_no": F.row_number().over(run),
-        })
-        .join(start, [*KEYS, "_blk"])
-        .withColumns({
-            "trade_no": F.col("_no") + F.coalesce("_n0", F.lit(0)),
-            "cum_pnl": F.col("_cum") + F.coalesce("_pnl0", F.lit(0.0)),
-        })
-        .drop("_cum", "_no", "_n0", "_pnl0")
+    so_far = run.rowsBetween(Window.unboundedPreceding, 0)
+    local = (
+        trades.withColumn("_blk", F.expr(f"entry_bar div {block}L"))
+        .withColumns({"_cum": F.sum("pnl").over(so_far), "_no": F.row_number().over(run)})
+        .withColumn("_top", F.max("_cum").over(so_far))
     )
-
-
-def drawdowns(curve: DataFrame, capital: float) -> DataFrame:
-    """``drawdown_pct`` per trade against the highest equity after any trade so far."""
-    equity = curve.withColumn("_equity", F.col("cum_pnl") + capital)
-    peaks = _carried(
-        equity.groupBy(*KEYS, "_blk").agg(F.max("_equity").alias("_top")), {"_peak0": F.max("_top")}
+    # Per block: its total, its trades and its highest point, all from its own start.
+    blocks = local.groupBy(*KEYS, "_blk").agg(
+        F.sum("pnl").alias("_pnl"), F.count(F.lit(1)).alias("_n"), F.max("_cum").alias("_high")
+    )
+    before = Window.partitionBy(*KEYS).orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
+    start = (
+        blocks.withColumns({
+            "_pnl0": F.coalesce(F.sum("_pnl").over(before), F.lit(0.0)),
+            "_no0": F.coalesce(F.sum("_n").over(before), F.lit(0)),
+        })
+        .withColumn("_high0", F.max(F.col("_pnl0") + F.col("_high")).over(before))
+        .select(*KEYS, "_blk", "_pnl0", "_no0", "_high0")
     )
-    run = Window.partitionBy(*KEYS, "_blk").orderBy("entry_bar").rowsBetween(Window.unboundedPreceding, 0)
-    peak = F.greatest(F.col("_local"), F.col("_peak0"))
+    peak = F.greatest(F.col("_pnl0") + F.col("_top"), F.col("_high0")) + capital
     return (
-        equity.withColumn("_local", F.max("_equity").over(run))
-        .join(peaks, [*KEYS, "_blk"])
-        .withColumn("drawdown_pct", F.try_divide(F.col("_equity") - peak, peak) * 100)
-        .drop("_equity", "_local", "_peak0")
+        local.join(start, [*KEYS, "_blk"])
+        .withColumns({"trade_no": F.col("_no0") + F.col("_no"), "cum_pnl": F.col("_pnl0") + F.col("_cum")})
+        .withColumn("drawdown_pct", F.try_divide(F.col("cum_pnl") + capital - peak, peak) * 100)
+        .select(*trades.columns, "trade_no", "cum_pnl", "drawdown_pct")
     )
 
 
@@ -66,7 +59,7 @@ def correlation(x: Column, y: Column) -> Column:
 
 def performance(trades: DataFrame, capital: float = 10_000.0, block: int = BLOCK) -> DataFrame:
     """One row of metrics per (symbol, rule) that traded."""
-    rows = drawdowns(trade_curve(trades, block), capital)
+    rows = trade_curve(trades, capital, block)
     win, pnl = F.col("pnl") > 0, F.col("pnl")
     no = F.col("trade_no").cast("double")
     raw = rows.groupBy(*KEYS).agg(

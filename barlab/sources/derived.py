@@ -14,9 +14,15 @@ from pyspark.sql import functions as F
 TIE_BREAK = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
 
 
-def lineitem_ticks(lineitem: DataFrame, symbols: int = 10, key_ranges: int = 64) -> DataFrame:
+# Even with a third of all lines on one day of one symbol, a key range of that day
+# holds about this many lines.
+LINES_PER_RANGE = 4_000_000
+
+
+def lineitem_ticks(lineitem: DataFrame, symbols: int = 10, per_range: int = LINES_PER_RANGE) -> DataFrame:
     """One priced tick per order line: ``symbol, ts, <tie break>, volume, px``."""
-    width = int(lineitem.agg(F.max("l_orderkey")).first()[0] or 0) // key_ranges + 1
+    size = lineitem.agg(F.max("l_orderkey").alias("top"), F.count(F.lit(1)).alias("lines")).first()
+    width = int(size["top"] or 0) // (size["lines"] // (3 * per_range) + 1) + 1
     ticks = lineitem.select(
         F.concat(F.lit("S"), (F.col("l_suppkey") % symbols).cast("string")).alias("symbol"),
         F.col("l_shipdate").alias("ts"),

@@ -278,7 +278,7 @@ def q_signal_trades(spark, sf_dir):
 
 
 def q_trade_curve(spark, sf_dir):
-    curve = metrics.drawdowns(metrics.trade_curve(fixed_trades(spark, sf_dir)), 10_000.0)
+    curve = metrics.trade_curve(fixed_trades(spark, sf_dir))
     return curve.select("symbol", "rule_id", "trade_no", *r6("pnl", "cum_pnl", "drawdown_pct"))
 
 

@@ -153,3 +153,17 @@ def test_stream_equals_batch(spark, tmp_path):
     want = {k: (d.price.iloc[0], d.price.max(), d.price.min(), d.price.iloc[-1], len(d)) for k, d in frame.groupby(["symbol", "ts"])}
     got = {(r["symbol"], pd.Timestamp(r["ts"])): tuple(r)[2:] for r in spark.table("bars").collect()}
     assert got == want and dropped == 1
+
+
+@pytest.mark.parametrize("per_range", [1, 50, 4_000_000])
+def test_derived_ticks_for_any_key_range(spark, per_range):
+    from barlab.sources.derived import TIE_BREAK, lineitem_ticks
+
+    lines = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet")
+    got = lineitem_ticks(lines, 3, per_range).toPandas().sort_values(["symbol", "ts", *TIE_BREAK])
+    frame = lines.toPandas()
+    frame["symbol"] = "S" + (frame.l_suppkey % 3).astype(str)
+    frame = frame.sort_values(["symbol", "l_shipdate", *TIE_BREAK])
+    k = ((frame.l_discount * 100).round().astype(int) - 5).groupby(frame.symbol).cumsum()
+    want = (200 + ((5 * k + 800) % 3200 - 1600).abs()) / 100
+    assert np.array_equal(got.px.to_numpy(), want.to_numpy())
