@@ -113,3 +113,12 @@ def rule_hits(features: DataFrame, rules: Sequence[Rule]) -> DataFrame:
 def signal_counts(features: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """Number of signal bars per (symbol, rule); pairs without a signal have no row."""
     return rule_hits(features, rules).groupBy("symbol", "rule_id").agg(F.count(F.lit(1)).alias("n_signals"))
+
+
+def rule_rates(labeled: DataFrame, rules: Sequence[Rule], label: str = "label") -> DataFrame:
+    """``rule_id, n_samples, p_label_1`` of each rule on labeled rows."""
+    return (
+        labeled.select(F.col(label).alias("_label"), F.explode(matched_rules(rules)).alias("rule_id"))
+        .groupBy("rule_id")
+        .agg(F.count(F.lit(1)).alias("n_samples"), F.avg((F.col("_label") == 1).cast("int")).alias("p_label_1"))
+    )

@@ -597,4 +597,19 @@ FROM (SELECT a.symbol, a.rule_id, a.n_trades AS n_trades_train, b.n_trades AS n_
 SELECT feature, importance, pos
 FROM (SELECT feature, pos, round(stddev_samp(value), 6) AS importance FROM long GROUP BY feature, pos)
 ORDER BY importance DESC, pos DESC LIMIT 5"""),
+    "bars_csv": q(BARS, "SELECT symbol, ts, open, high, low, close, volume FROM bars"),
+    "universe_csv": q(
+        CANDIDATES + f", two AS (SELECT DISTINCT symbol, {dbl(CSL)} AS csl FROM panel)," + power("two"),
+        f"""SELECT symbol, last_ts, csl, {r6('bp_median')}, n_samples
+FROM two JOIN bp USING (symbol) JOIN (SELECT symbol, max(ts) AS last_ts FROM panel GROUP BY symbol) USING (symbol)
+WHERE {BP_OK}"""),
+    "rules_json": q(RULE_TEXTS, "SELECT rule_id, text FROM cond"),
+    "class_weights": q(LABELS, """
+SELECT target, n, round(sum(n) OVER () / CAST(count(*) OVER () * n AS DOUBLE), 9) AS weight
+FROM (SELECT CASE WHEN label = 1 THEN 1 ELSE 0 END AS target, count(*) AS n FROM lab GROUP BY 1)"""),
+    "rule_rates": q(SPLIT + "," + HITS, f"""
+SELECT rule_id, n_samples, {r6('p', 'p_label_1')}
+FROM (SELECT rule_id, count(*) AS n_samples, avg(CASE WHEN label = 1 THEN 1 ELSE 0 END) AS p
+      FROM ranked JOIN hits USING (symbol, bar_no)
+      WHERE n_rows >= 20 AND row_no < floor(n_rows * {dbl(0.7)}) GROUP BY rule_id)"""),
 }

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -15,15 +16,18 @@ from barlab.operators.panel import fill_forward, number_bars
 from barlab.operators.reach import durations_by_ratio
 from barlab.operators.recipes import Recipe, with_indicators
 from barlab.operators.resample import resample_bars, ticks_as_bars
+from barlab.operators.rules import Rule
 from barlab.operators.sampling import hash_sample
 from barlab.params import FEATURE_COLUMNS, DataParams, ModelParams, Params
 from barlab.plans.apply_rules import apply_rules, out_of_sample, split_performance
 from barlab.plans.calibrate import admitted_universe, calibrate
 from barlab.plans.discover import discover_rules, labeled_table
-from barlab.session import stage
+from barlab.session import shared_folder, stage
+from barlab.sources.bars import read_bars
 from barlab.sources.derived import lineitem_bars
-from barlab.sources.universe import parse_symbols
-from barlab.operators.rules import Rule
+from barlab.sources.rule_files import read_rules
+from barlab.sources.sinks import write_table
+from barlab.sources.universe import parse_symbols, read_universe
 
 # Parameters of the queries. Thresholds lie off the price grid, where two engines
 # that add in a different order could disagree.
@@ -425,6 +429,44 @@ def q_top_features(spark, sf_dir):
     return model.top_features(ranked, 5).select("feature", "importance", "pos")
 
 
+def q_bars_csv(spark, sf_dir):
+    """The bars written as CSV and read back."""
+    path = f"{shared_folder(spark)}/barlab/bars-{uuid.uuid4().hex}"
+    write_table(panel(spark, sf_dir).drop("bar_no", "n_bars"), path, "csv", order=("symbol", "ts"))
+    return read_bars(spark, path, "csv")
+
+
+def q_universe_csv(spark, sf_dir):
+    """The calibrated symbols written as CSV, read back, and joined to their bars."""
+    path = f"{shared_folder(spark)}/barlab/universe-{uuid.uuid4().hex}"
+    csl = calibration.symbols_of(panel(spark, sf_dir)).select("symbol", F.lit(CSL).alias("csl"))
+    power = calibration.buying_power_check(panel(spark, sf_dir), csl).join(csl, "symbol")
+    write_table(admitted_universe(power), path, "csv")
+    known = read_universe(spark, path).select("symbol", "csl", *r6("bp_median"), "n_samples")
+    return panel(spark, sf_dir).groupBy("symbol").agg(F.max("ts").alias("last_ts")).join(known, "symbol")
+
+
+def q_rules_json(spark, sf_dir):
+    """Rules written as JSON and read back."""
+    path = f"{shared_folder(spark)}/barlab/rules-{uuid.uuid4().hex}"
+    write_table(_rule_texts(spark, sf_dir), path, "json")
+    read = read_rules(spark, path, one_list=False)
+    return read.select("rule_id", F.explode("conditions").alias("text"))
+
+
+def q_class_weights(spark, sf_dir):
+    target = labeled(spark, sf_dir).select(scalars.binary_target(F.col("label")).alias("target"))
+    return model.balanced(target, "target").groupBy("target").agg(
+        F.count(F.lit(1)).alias("n"), F.round(F.max("weight"), 9).alias("weight")
+    )
+
+
+def q_rule_rates(spark, sf_dir):
+    """Rows and share of positives of each rule among the train rows."""
+    split = splits.split_by_time(labeled(spark, sf_dir)).filter(F.col("part") == "train")
+    return rules.rule_rates(split, RULES).select("rule_id", "n_samples", *r6("p_label_1"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "bars": lineitem_bars,
     "panel": lambda s, d: panel(s, d).select("symbol", "ts", "bar_no", "n_bars", "close"),
@@ -490,6 +532,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "evaluation": q_evaluation,
     "out_of_sample": q_out_of_sample,
     "top_features": q_top_features,
+    "bars_csv": q_bars_csv,
+    "universe_csv": q_universe_csv,
+    "rules_json": q_rules_json,
+    "class_weights": q_class_weights,
+    "rule_rates": q_rule_rates,
     "learned_rules": q_learned_rules,
     "feature_importance": q_feature_importance,
 }
