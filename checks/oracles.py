@@ -221,7 +221,7 @@ calib AS (
          big AND csl IS NOT NULL AND {BP_OK} AS admitted,
          CASE WHEN NOT big THEN 'insufficient_data' WHEN csl IS NULL THEN 'csl_rejected'
               WHEN NOT {BP_OK} THEN 'bp_rejected' END AS error
-  FROM (SELECT symbol, count(*) >= 2275 AS big FROM bars GROUP BY symbol)
+  FROM (SELECT symbol, count(*) >= 2270 AS big FROM bars GROUP BY symbol)
   LEFT JOIN stops USING (symbol) LEFT JOIN bp USING (symbol))"""
 
 # The same calibration on the feature frame: true range and ER start anew.
@@ -426,8 +426,8 @@ ORACLES: dict[str, str] = {
     "resample_week": resampled(f"WITH {BARS.strip()}", "bars", 7 * 86_400),
     "resample_hour": resampled(EVENT_BARS, "ev", 3_600),
     "resample_seven_hours": resampled(EVENT_BARS, "ev", 7 * 3_600),
-    "quality": q(BARS, "SELECT symbol, count(*) AS n_bars, count(*) >= 2275 AS ok FROM bars GROUP BY symbol"),
-    "good_bars": q(PANEL, "SELECT symbol, ts, close FROM panel WHERE n_bars >= 2275"),
+    "quality": q(BARS, "SELECT symbol, count(*) AS n_bars, count(*) >= 2270 AS ok FROM bars GROUP BY symbol"),
+    "good_bars": q(PANEL, "SELECT symbol, ts, close FROM panel WHERE n_bars >= 2270"),
     "symbol_list": """
 SELECT symbol, count(*) AS n
 FROM (SELECT upper(trim(CASE event_id % 4 WHEN 0 THEN '# ' || event_type WHEN 1 THEN '  '
@@ -458,7 +458,7 @@ FROM holes"""),
     "momentum_entries": q(CANDIDATES, f"SELECT symbol, bar_no FROM k0 WHERE er > {dbl(0.3)}"),
     "liquid_bars": q(PANEL, f"""
 SELECT symbol, bar_no, {r6('avg_volume')}
-FROM (SELECT *, {roll('avg', 'volume', 63)} AS avg_volume FROM panel) WHERE avg_volume >= {dbl(255.003)}"""),
+FROM (SELECT *, {roll('avg', 'volume', 63)} AS avg_volume FROM panel) WHERE avg_volume >= {dbl(66.003)}"""),
     "features": q(FEATURES, f"""
 SELECT symbol, ts, bar_no, n_bars, open, high, low, close, volume, {r6s(*FEATURE_COLUMNS)} FROM feat"""),
     "atr_alias": q(FEATURES, f"SELECT symbol, bar_no, {r6('ATR_50', 'ATR')}, {r6('ATR_50')} FROM feat"),

@@ -162,7 +162,7 @@ def q_buying_power(spark, sf_dir):
 
 
 def _calibration(spark, sf_dir):
-    return calibrate(panel(spark, sf_dir), p=Params(data=DataParams(min_rows=2275)))
+    return calibrate(panel(spark, sf_dir), p=Params(data=DataParams(min_rows=2270)))
 
 
 def q_calibration(spark, sf_dir):
@@ -375,11 +375,11 @@ def q_evaluation(spark, sf_dir):
 
 
 def q_liquid_bars(spark, sf_dir):
-    return quality.liquid_bars(panel(spark, sf_dir), 63, 255.003).select("symbol", "bar_no", *r6("avg_volume"))
+    return quality.liquid_bars(panel(spark, sf_dir), 63, 66.003).select("symbol", "bar_no", *r6("avg_volume"))
 
 
 def q_good_bars(spark, sf_dir):
-    return quality.keep_good(lineitem_bars(spark, sf_dir), 2275).select("symbol", "ts", "close")
+    return quality.keep_good(lineitem_bars(spark, sf_dir), 2270).select("symbol", "ts", "close")
 
 
 def q_symbol_list(spark, sf_dir):
@@ -473,7 +473,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "resample_week": q_resample_week,
     "resample_hour": q_resample_hour,
     "resample_seven_hours": q_resample_seven_hours,
-    "quality": lambda s, d: quality.check_bars(lineitem_bars(s, d), 2275),
+    "quality": lambda s, d: quality.check_bars(lineitem_bars(s, d), 2270),
     "good_bars": q_good_bars,
     "symbol_list": q_symbol_list,
     "forward_fill": q_forward_fill,
