@@ -116,7 +116,7 @@ def select_intervals(
     packs = stage(
         candidates.withColumn("node", F.expr(f"{start} div {block}L"))
         .groupBy(*keys, "node")
-        .agg(F.array_sort(F.collect_list(row)).alias("candidates")),
+        .agg(F.sort_array(F.collect_list(row)).alias("candidates")),
         "packs",
     )
     top = packs.agg(F.max("node")).first()[0] or 0
@@ -130,7 +130,7 @@ def select_intervals(
             grouped = (
                 levels[-1].withColumn("parent", F.expr(f"node div {group}L"))
                 .groupBy(*keys, "parent")
-                .agg(F.array_sort(F.collect_list(F.struct("node", "map"))).alias("members"))
+                .agg(F.sort_array(F.collect_list(F.struct("node", "map"))).alias("members"))
             )
             width //= group
             if width == 0:
@@ -143,7 +143,7 @@ def select_intervals(
             grouped = (
                 maps.withColumn("parent", F.expr(f"node div {group}L"))
                 .groupBy(*keys, "parent")
-                .agg(F.array_sort(F.collect_list(F.struct("node", "map"))).alias("members"))
+                .agg(F.sort_array(F.collect_list(F.struct("node", "map"))).alias("members"))
             )
             if states is None:
                 grouped = grouped.withColumn("state", F.lit(0))

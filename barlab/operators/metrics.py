@@ -135,7 +135,8 @@ def select_results(results_: DataFrame) -> DataFrame:
     flagged = results_.withColumns({"_strict": strict, "_loose": loose, "_one": F.lit(1)})
     any_strict = flagged.groupBy("_one").agg(F.max("_strict").alias("_any"))
     return (
-        flagged.join(any_strict, "_one")
+        # One row by construction.
+        flagged.join(F.broadcast(any_strict), "_one")
         .filter(F.when(F.col("_any"), F.col("_strict")).otherwise(F.col("_loose")))
         .drop("_strict", "_loose", "_one", "_any")
     )
