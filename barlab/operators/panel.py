@@ -46,12 +46,12 @@ def number_rows(
     slices = placed.groupBy(*keys, "_slice").agg(F.min("_at").alias("_first"), F.count(F.lit(1)).alias("_rows"))
     whole = Window.partitionBy(*keys)
     earlier = whole.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    shifts = slices.select(
+    shifts = stage(slices.select(
         *keys,
         "_slice",
         (F.coalesce(F.sum("_rows").over(earlier), F.lit(0)) - F.col("_first")).alias("_shift"),
         F.sum("_rows").over(whole).alias(total),
-    )
+    ), "shifts")
     return (
         placed.join(shifts, [*keys, "_slice"])
         .withColumn(out, F.col("_at") + F.col("_shift"))
@@ -80,6 +80,7 @@ def rank_kept(df: DataFrame, out: str = "row_no", total: str = "n_rows", block:
         F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_shift"),
         F.sum("_rows").over(whole).alias(total),
     )
+    # The local rank needs the same partitioning as the join, so nothing moves twice.
     local = F.row_number().over(Window.partitionBy("symbol", "_blk").orderBy("bar_no")) - 1
     return (
         cut.withColumn("_local", local)
@@ -174,16 +175,18 @@ def fill_forward(
     cut = stage(df.withColumns({"blk": F.expr(f"bar_no div {block}L"), "_gap": gap}), name)
     holes = cut.filter("_gap")
     if trim:
-        first = _first_complete(cut, columns)
+        first = stage(_first_complete(cut, columns), "first")
         # Holes in the dropped prefix need no filling.
         holes = holes.join(first, "symbol").filter(F.col("bar_no") >= F.col("_first"))
-    gappy = holes.select("symbol", "blk").distinct()
+    gappy = stage(holes.select("symbol", "blk").distinct(), "gappy")
     clean = cut.join(gappy, ["symbol", "blk"], "left_anti")
     run = Window.partitionBy("symbol", "blk").orderBy("bar_no").rowsBetween(Window.unboundedPreceding, 0)
     local = cut.join(gappy, ["symbol", "blk"], "left_semi").withColumns(
         {c: F.last(c, ignorenulls=True).over(run) for c in columns}
     )
-    ends = cut.groupBy("symbol", "blk").agg(
+    # Values are carried within the symbols concerned only; usually there are none.
+    concerned = cut.join(gappy.select("symbol").distinct(), "symbol", "left_semi")
+    ends = concerned.groupBy("symbol", "blk").agg(
         *[F.max_by(c, F.when(F.col(c).isNotNull(), F.col("bar_no"))).alias(c) for c in columns]
     )
     before = Window.partitionBy("symbol").orderBy("blk").rowsBetween(Window.unboundedPreceding, -1)
@@ -210,10 +213,18 @@ def fill_forward(
 def _first_complete(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """``symbol, _first``: the bar from which every column has had a value.
 
-    A symbol with a column that never has one is missing: it has no complete row.
+    ``df`` flags rows with a missing value as ``_gap``. A symbol with a column that never has one is missing: it has no complete row.
     """
     names = [f"_at{i}" for i in range(len(columns))]
-    seen = df.groupBy("symbol").agg(
+    # Rows without a hole show every column; only the few others are looked at singly.
+    whole = df.filter(~F.col("_gap")).groupBy("symbol").agg(F.min("bar_no").alias("_at"))
+    holed = df.filter("_gap").groupBy("symbol").agg(
         *[F.min(F.when(F.col(c).isNotNull(), F.col("bar_no"))).alias(n) for c, n in zip(columns, names)]
     )
+    seen = (
+        whole.select("symbol", *[F.col("_at").alias(n) for n in names])
+        .unionByName(holed)
+        .groupBy("symbol")
+        .agg(*[F.min(n).alias(n) for n in names])
+    )
     return seen.na.drop(subset=names).select("symbol", F.greatest(*names, F.lit(0)).alias("_first"))

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from barlab.operators.panel import BLOCK, blocked, own_rows
@@ -19,7 +19,7 @@ from barlab.operators.touch import first_high_at, first_low_at, future_lists
 from barlab.session import stage
 
 FAN = 64
-NEAR = 64
+NEAR = 32
 
 
 def _levels(series: DataFrame, keys: Sequence[str], fan: int) -> list[DataFrame]:
@@ -86,7 +86,8 @@ def first_reach(
 
 def durations_by_ratio(
     panel: DataFrame,
-    entries: DataFrame,
+    entry_price: Column,
+    atr: Column,
     csl: float,
     ratios: Sequence[float],
     near: int = NEAR,
@@ -95,35 +96,34 @@ def durations_by_ratio(
 ) -> DataFrame:
     """``symbol, bar_no, ratio, duration`` per entry and target/stop ratio.
 
-    ``entries(symbol, bar_no, entry_price, atr)``. An untouched trade lasts all bars
-    left. Most trades end within ``near`` bars and are settled in one window; only
-    the others are searched over the rest of the history.
+    ``entry_price`` and ``atr`` are columns of the panel; a bar where one is null is
+    no entry. An untouched trade lasts all bars left. Most trades end within ``near``
+    bars and are settled in one window; only the others are searched over the rest of
+    the history.
     """
     keys = ["symbol", "bar_no"]
-    distance = F.col("atr") * float(csl)
-    levels = entries.select(*keys, (F.col("entry_price") - distance).alias("_stop"), *[
-        (F.col("entry_price") + F.lit(float(r)) * float(csl) * F.col("atr")).alias(f"_target{i}")
-        for i, r in enumerate(ratios)
-    ])
-    marked = levels.withColumn("blk", F.expr(f"bar_no div {block}L"))
-    cut = blocked(panel.select(*keys, "n_bars", "low", "high"), 0, near, block)
-    # Halo copies belong to no entry, so the join is on the own block as well.
-    rows = own_rows(
-        cut.join(marked, ["symbol", "blk", "bar_no"], "left").withColumns(future_lists(near)), block
-    ).filter(F.col("_stop").isNotNull())
+    price, risk = F.col("_price"), F.col("_atr")
+    cut = blocked(
+        panel.select(*keys, "n_bars", "low", "high", entry_price.alias("_price"), atr.alias("_atr")), 0, near, block
+    ).withColumns({
+        "_stop": price - risk * float(csl),
+        **{f"_target{i}": price + F.lit(float(r)) * float(csl) * risk for i, r in enumerate(ratios)},
+    })
+    rows = own_rows(cut.withColumns(future_lists(near)), block).filter(F.col("_stop").isNotNull())
     rows = rows.withColumn("_near_stop", first_low_at(F.col("_stop")))
-    for i in range(len(ratios)):
-        rows = rows.withColumn(f"_near{i}", F.least("_near_stop", first_high_at(F.col(f"_target{i}"))))
+    rows = rows.withColumns({
+        f"_near{i}": F.least("_near_stop", first_high_at(F.col(f"_target{i}"))) for i in range(len(ratios))
+    })
     per_ratio = F.array(*[
         F.struct(
             F.lit(float(r)).alias("ratio"), F.col(f"_near{i}").alias("met"), F.col(f"_target{i}").alias("target")
         )
         for i, r in enumerate(ratios)
     ])
-    settled = stage(
-        rows.select(*keys, "n_bars", F.col("_stop").alias("stop"), F.explode(per_ratio).alias("r"))
-        .select(*keys, "n_bars", "stop", "r.*"),
-        "near",
+    settled = (
+        stage(rows.select(*keys, "n_bars", F.col("_stop").alias("stop"), per_ratio.alias("r")), "near")
+        .select(*keys, "n_bars", "stop", F.explode("r").alias("r"))
+        .select(*keys, "n_bars", "stop", "r.*")
     )
     left = F.col("n_bars") - 1 - F.col("bar_no")
     far = settled.filter(F.col("met").isNull() & (left > near))

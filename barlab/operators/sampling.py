@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from barlab.session import stage
+
 
 def hash_sample(rows: DataFrame, n: int, seed: int) -> DataFrame:
     """The ``n`` rows per symbol with the smallest ``md5(symbol:bar_no:seed)``.
@@ -24,6 +26,7 @@ def hash_sample(rows: DataFrame, n: int, seed: int) -> DataFrame:
         .filter(F.col("_before") < n)
         .select("symbol", "_bits")
     )
+    needed = stage(needed, "needed")
     rank = F.row_number().over(Window.partitionBy("symbol").orderBy("_md5", "bar_no"))
     return (
         hashed.join(needed, ["symbol", "_bits"], "left_semi")

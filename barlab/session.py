@@ -47,7 +47,9 @@ def stage(df: DataFrame, name: str) -> DataFrame:
 
     Used where a result feeds several consumers, or where a row's physical
     position becomes data: the table survives lost executors and is not
-    recomputed.
+    recomputed. Also used for the small side of a join with a large table: its
+    size is then known before the plan is made, and if it can be broadcast the
+    large table is not shuffled first.
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/barlab/{name}-{uuid.uuid4().hex}"

@@ -214,9 +214,7 @@ def q_durations(spark, sf_dir):
 
 
 def q_durations_by_ratio(spark, sf_dir):
-    rows = features(spark, sf_dir)
-    entries = rows.select("symbol", "bar_no", F.col("close").alias("entry_price"), F.round("ATR_50", 8).alias("atr"))
-    return durations_by_ratio(rows, entries, CSL, RATIOS)
+    return durations_by_ratio(features(spark, sf_dir), F.col("close"), F.round("ATR_50", 8), CSL, RATIOS)
 
 
 def _rule_texts(spark, sf_dir):

@@ -100,9 +100,8 @@ def test_durations(spark, frame):
 @pytest.mark.parametrize("near, fan", [(8, 4), (64, 64)])
 def test_durations_by_ratio(spark, frame, near, fan):
     entries = frame[(frame.bar_no % 3 == 0) & (frame.ATR_50 > 0)]
-    rows = to_spark(spark, frame)
-    chosen = to_spark(spark, entries).select("symbol", "bar_no", F.col("close").alias("entry_price"), F.col("ATR_50").alias("atr"))
-    got = durations_by_ratio(rows, chosen, 3.0, [1.0, 4.0], near, 1024, fan).toPandas()
+    atr = F.when((F.col("bar_no") % 3 == 0) & (F.col("ATR_50") > 0), F.col("ATR_50"))
+    got = durations_by_ratio(to_spark(spark, frame), F.col("close"), atr, 3.0, [1.0, 4.0], near, 1024, fan).toPandas()
     have = {(r.symbol, r.bar_no, r.ratio): r.duration for r in got.itertuples()}
     assert len(have) == 2 * len(entries) == len(got)
     for s, d in frame.groupby("symbol"):
