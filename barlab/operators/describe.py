@@ -11,6 +11,7 @@ from barlab.operators import indicators as ind
 from barlab.operators.panel import BLOCK, number_rows
 from barlab.operators.recipes import with_indicators
 from barlab.params import DEFAULTS, Params
+from barlab.session import stage
 
 QUARTILES = (0.25, 0.5, 0.75)
 SMALL = 1 << 16  # values of a group that one task may hold
@@ -38,7 +39,7 @@ def exact_quantiles(
     counts show any, go through :func:`_ranked_quantiles`.
     """
     keys = list(keys)
-    sizes = values.groupBy(*keys).agg(F.count("value").alias("_n"))
+    sizes = stage(values.groupBy(*keys).agg(F.count("value").alias("_n")), "sizes")
     largest = sizes.agg(F.max("_n")).first()[0] or 0
     quantiles = F.percentile("value", F.array(*[F.lit(float(q)) for q in probs]))
     columns = [F.get("_q", F.lit(i)).alias(f"q{i}") for i in range(len(probs))]
@@ -60,9 +61,9 @@ def _ranked_quantiles(values: DataFrame, keys: list[str], probs: Sequence[float]
     ranked, so most of the data never moves; the result is exact whatever the
     distribution.
     """
-    limits = values.groupBy(*keys).agg(
+    limits = stage(values.groupBy(*keys).agg(
         F.count("value").alias("_n"), F.min("value").alias("_lo"), F.max("value").alias("_hi")
-    ).withColumn("_bins", F.expr(f"least({MAX_BINS}L, greatest(1L, _n div {PER_BIN}L))"))
+    ), "limits").withColumn("_bins", F.expr(f"least({MAX_BINS}L, greatest(1L, _n div {PER_BIN}L))"))
     # Rounding keeps order, so bins are ordered like their values.
     share = F.try_divide(F.col("value") - F.col("_lo"), F.col("_hi") - F.col("_lo"))
     place = F.coalesce(F.least(F.floor(share * F.col("_bins")), F.col("_bins") - 1), F.lit(0))
@@ -75,10 +76,11 @@ def _ranked_quantiles(values: DataFrame, keys: list[str], probs: Sequence[float]
 
     ranks = F.array(*[edge(at(q)) for q in probs for edge in (F.floor, F.ceil)])
     inside = F.exists(ranks, lambda r: (r >= F.col("_before")) & (r < F.col("_before") + F.col("_rows")))
-    needed = (
+    needed = stage(
         counts.withColumn("_before", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)))
         .filter(inside)
-        .select(*keys, "_bin", "_before")
+        .select(*keys, "_bin", "_before"),
+        "bins",
     )
     picked = binned.select(*keys, "_bin", "value", tie, "_n").join(needed, [*keys, "_bin"])
     ranked = number_rows(picked, [*keys, "_bin"], ["value", tie], "_place", "_in_bin", "quantiles").withColumn(

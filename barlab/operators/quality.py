@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from barlab.functions.rolling import rolling_mean
 from barlab.operators.panel import BLOCK, blocked, own_rows
 from barlab.schema import BAR_COLUMNS
+from barlab.session import stage
 
 
 def has_bar_columns(df: DataFrame) -> bool:
@@ -33,7 +34,7 @@ def keep_good(bars: DataFrame, min_rows: int = 100) -> DataFrame:
         return bars.limit(0)
     if "n_bars" in bars.columns:
         return bars.filter(F.col("n_bars") >= min_rows)
-    good = check_bars(bars, min_rows).filter("ok").select("symbol")
+    good = stage(check_bars(bars, min_rows).filter("ok").select("symbol"), "good")
     return bars.join(good, "symbol", "left_semi")
 
 

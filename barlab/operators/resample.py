@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from barlab.session import stage
+
 DAY = 86_400
 
 
@@ -27,7 +29,7 @@ def resample_bars(bars: DataFrame, seconds: int) -> DataFrame:
     """
     origin = F.lit(0)
     if DAY % seconds:
-        first = bars.groupBy("symbol").agg(F.min("ts").alias("_first"))
+        first = stage(bars.groupBy("symbol").agg(F.min("ts").alias("_first")), "origin")
         bars = bars.join(first, "symbol")
         origin = epoch_seconds(F.date_trunc("day", "_first").cast("timestamp_ntz"))
     at = epoch_seconds(F.col("ts"))

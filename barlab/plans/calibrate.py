@@ -9,6 +9,7 @@ from barlab.operators.calibration import buying_power_check, stop_coefficients,
 from barlab.operators.panel import BLOCK
 from barlab.operators.quality import keep_good
 from barlab.params import DEFAULTS, Params
+from barlab.session import stage
 
 
 def calibrate(
@@ -19,7 +20,8 @@ def calibrate(
     ``universe`` lists the symbols to report (default: those of the panel). A
     symbol without bars, or with too few, is ``insufficient_data``.
     """
-    wanted = symbols_of(panel).select("symbol") if universe is None else universe.select("symbol").distinct()
+    wanted = symbols_of(panel) if universe is None else universe
+    wanted = stage(wanted.select("symbol").distinct(), "universe")
     good = keep_good(panel, p.data.min_rows)
     if universe is not None:
         good = good.join(wanted, "symbol", "left_semi")

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from barlab.functions.scalars import null_if_nan
 from barlab.params import FEATURE_COLUMNS
 from barlab.schema import BAR_COLUMNS, BARS
+from barlab.session import stage
 
 MAX_CSV_COLUMNS = 64
 
@@ -59,7 +60,7 @@ def read_symbol_files(
     is_header = F.lit(True)
     for n in names:
         is_header = is_header & F.coalesce(F.array_contains("cells", n), F.lit(False))
-    headers = lines.filter(is_header).groupBy("symbol").agg(F.min("cells").alias("header"))
+    headers = stage(lines.filter(is_header).groupBy("symbol").agg(F.min("cells").alias("header")), "headers")
     rows = lines.filter(~is_header).join(headers, "symbol")
 
     def cell(name: str):
@@ -72,7 +73,9 @@ def read_symbol_files(
         ts.cast("timestamp_ntz").alias("ts"),
         *[cell(n).try_cast("double").alias(n.lower()) for n in names[2:]],
     )
-    bad_time = parsed.filter(F.col("ts").isNull()).select("symbol").distinct().withColumn("reason", F.lit("bad time"))
+    bad_time = stage(parsed.filter(F.col("ts").isNull()).select("symbol").distinct(), "badtime").withColumn(
+        "reason", F.lit("bad time")
+    )
     no_header = (
         lines.select("symbol").distinct().join(headers, "symbol", "left_anti").withColumn("reason", F.lit("no header"))
     )
