@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barlab.llm import sentencepiece_codec, token_files
+from barlab.llm import decontamination, line_dedup, sentencepiece_codec, simhash, token_files
 from barlab.llm.common import table
 from barlab.session import shared_folder
 
@@ -20,6 +20,24 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", "text")
 
 
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontamination.decontaminate(documents(spark, sf_dir), table(spark, sf_dir, "benchmark"))
+    return found.drop("items")
+
+
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole cleaned texts by digest, and what was removed from each."""
+    found = line_dedup.dedup_lines(documents(spark, sf_dir))
+    return found.select(
+        "doc_id", F.length("text").cast("bigint").alias("n_chars"), F.sha2("text", 256).alias("text_sha256"),
+        "n_chunks_removed", "n_lines_removed",
+    )
+
+
+def op6_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(documents(spark, sf_dir))
+
+
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = f"{shared_folder(spark)}/barlab/tokens-{uuid.uuid4().hex}"
     token_files.write_tokens(documents(spark, sf_dir), path, WORD_VOCABULARY, end_id=1)
@@ -35,5 +53,11 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {"op9_token_files": op9_token_files, "op10_sentencepiece": op10_sentencepiece}
-ORACLES: dict[str, str] = {}
+QUERIES = {
+    "op2_decontamination": op2_decontamination,
+    "op4_line_dedup": op4_line_dedup,
+    "op6_simhash_dedup": op6_simhash_dedup,
+    "op9_token_files": op9_token_files,
+    "op10_sentencepiece": op10_sentencepiece,
+}
+ORACLES: dict[str, str] = {"op2_decontamination": decontamination.ORACLE}
