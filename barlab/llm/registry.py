@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barlab.llm import decontamination, line_dedup, sentencepiece_codec, simhash, token_files
+from barlab.llm import decontamination, line_dedup, quality_rules, sentencepiece_codec, simhash, token_files
 from barlab.llm.common import table
 from barlab.session import shared_folder
 
@@ -38,6 +38,11 @@ def op6_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(documents(spark, sf_dir))
 
 
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = quality_rules.quality_verdicts(documents(spark, sf_dir))
+    return found.select("doc_id", *quality_rules.COUNTS, "base_failed", "kept")
+
+
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = f"{shared_folder(spark)}/barlab/tokens-{uuid.uuid4().hex}"
     token_files.write_tokens(documents(spark, sf_dir), path, WORD_VOCABULARY, end_id=1)
@@ -57,6 +62,7 @@ QUERIES = {
     "op2_decontamination": op2_decontamination,
     "op4_line_dedup": op4_line_dedup,
     "op6_simhash_dedup": op6_simhash_dedup,
+    "op7_quality_rules": op7_quality_rules,
     "op9_token_files": op9_token_files,
     "op10_sentencepiece": op10_sentencepiece,
 }
