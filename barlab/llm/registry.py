@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barlab.llm import decontamination, line_dedup, quality_rules, sentencepiece_codec, simhash, token_files
+from barlab.llm import (
+    decontamination, line_dedup, pii, quality_rules, secret_scan, sentencepiece_codec, simhash, token_files,
+)
 from barlab.llm.common import table
 from barlab.session import shared_folder
 
@@ -34,6 +36,10 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.secret_report(documents(spark, sf_dir))
+
+
 def op6_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(documents(spark, sf_dir))
 
@@ -43,6 +49,10 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *quality_rules.COUNTS, "base_failed", "kept")
 
 
+def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.personal_report(documents(spark, sf_dir))
+
+
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = f"{shared_folder(spark)}/barlab/tokens-{uuid.uuid4().hex}"
     token_files.write_tokens(documents(spark, sf_dir), path, WORD_VOCABULARY, end_id=1)
@@ -61,8 +71,10 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_decontamination": op2_decontamination,
     "op4_line_dedup": op4_line_dedup,
+    "op5_secret_scan": op5_secret_scan,
     "op6_simhash_dedup": op6_simhash_dedup,
     "op7_quality_rules": op7_quality_rules,
+    "op8_pii": op8_pii,
     "op9_token_files": op9_token_files,
     "op10_sentencepiece": op10_sentencepiece,
 }
