@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barlab.llm import (
-    decontamination, line_dedup, pii, quality_rules, secret_scan, sentencepiece_codec, simhash, token_files,
+    decontamination, license_scan, license_templates, line_dedup, pii, quality_classifier, quality_rules, secret_scan,
+    sentencepiece_codec, simhash, token_files,
 )
 from barlab.llm.common import table
 from barlab.session import shared_folder
@@ -22,11 +23,21 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", "text")
 
 
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan_licenses(documents(spark, sf_dir), license_templates.TEMPLATES)
+
+
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontamination.decontaminate(documents(spark, sf_dir), table(spark, sf_dir, "benchmark"))
     return found.drop("items")
 
 
+def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A source is a host here, and the documents of one language under it are a path."""
+    docs = table(spark, sf_dir, "documents")
+    return quality_classifier.classify(docs, table(spark, sf_dir, "labels"), F.col("source"), F.col("lang"))
+
+
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole cleaned texts by digest, and what was removed from each."""
     found = line_dedup.dedup_lines(documents(spark, sf_dir))
@@ -69,7 +80,9 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_license_scan": op1_license_scan,
     "op2_decontamination": op2_decontamination,
+    "op3_quality_classifier": op3_quality_classifier,
     "op4_line_dedup": op4_line_dedup,
     "op5_secret_scan": op5_secret_scan,
     "op6_simhash_dedup": op6_simhash_dedup,
