@@ -142,7 +142,7 @@ def log_odds(counted: DataFrame, voters: Voters) -> tuple[float, dict[str, list[
 
     ``counted`` is the table of candidates by votes and shape, with ``n``; its size has a bound.
     """
-    yes = F.col("n") * (1 - F.expr(voters.calm()))
+    yes = F.col("n") * (1 - voters.calm())
     sums = [F.sum("n").alias("n"), F.sum(yes).alias("yes")]
     for f in _FIELDS:
         for v in range(5):

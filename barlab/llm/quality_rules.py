@@ -95,20 +95,20 @@ def quality_verdicts(docs: DataFrame, text: str = "text") -> DataFrame:
     counted = stage(voted.select("doc_id", *COUNTS, *VOTES), "votes")
     model = fit(stage(patterns(counted, VOTES), "patterns"), START)
     failed = F.expr("n_words < 50 OR 100 * n_repeat_words > 50 * n_words")
-    judged = counted.select("doc_id", *COUNTS, failed.alias("base_failed"), F.expr(model.calm()).alias("p_good"))
+    judged = counted.select("doc_id", *COUNTS, failed.alias("base_failed"), model.calm().alias("p_good"))
     return judged.withColumn("kept", ~F.col("base_failed") & (F.col("p_good") >= KEEP_AT))
 
 
 def keep_good(docs: DataFrame, text: str = "text") -> DataFrame:
     """The rows of ``docs`` that :func:`quality_verdicts` would keep, with all their columns.
 
-    The verdict is an expression over a row's text, so no join is needed to act on it: the rules vote once
-    to be estimated and once more to decide.
+    The rows are written once with their votes: a filter on the votes' expressions would be pushed below the
+    projections that build their arrays, and would build them once per element.
     """
     columns = docs.columns
-    renamed = docs.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("doc_id"), whole_text(text).alias("text"))
-    counted = cast_votes(text_counts(docs.select("doc_id", whole_text(text).alias("text"))))
-    model = fit(stage(patterns(counted, VOTES), "patterns"), START)
-    voted = cast_votes(text_counts(renamed))
-    good = F.expr("n_words >= 50 AND 100 * n_repeat_words <= 50 * n_words") & (F.expr(model.calm()) >= KEEP_AT)
-    return voted.where(good).select(*[F.col("doc_id").getField(c).alias(c) for c in columns])
+    whole = F.struct(*[F.col(f"`{c}`") for c in columns])
+    voted = cast_votes(text_counts(docs.select(whole.alias("doc_id"), F.col(f"`{text}`").alias("text"))))
+    written = stage(voted.select("doc_id", "n_words", "n_repeat_words", *VOTES), "votes")
+    model = fit(stage(patterns(written, VOTES), "patterns"), START)
+    good = F.expr("n_words >= 50 AND 100 * n_repeat_words <= 50 * n_words") & (model.calm() >= KEEP_AT)
+    return written.where(good).select(*[F.col("doc_id").getField(c).alias(c) for c in columns])
