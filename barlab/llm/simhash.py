@@ -82,7 +82,6 @@ def buckets(prints: DataFrame, max_bits: int, size: int = BUCKET) -> DataFrame:
     masks, leaves = [0], []
     while True:
         finer = [(_signed(m), _signed(c)) for m in masks for c in blocks(m, max_bits + 1)]
-        masks = [c % (1 << 64) for _, c in finer]
         table = F.broadcast(spark.createDataFrame(finer, "mask bigint, child bigint"))  # at most 4^level rows
         dealt = rows.join(table, "mask").select(
             F.col("child").alias("mask"), F.col("fp").bitwiseAND(F.col("child")).alias("key"), "fp"
@@ -91,6 +90,7 @@ def buckets(prints: DataFrame, max_bits: int, size: int = BUCKET) -> DataFrame:
         if large.isEmpty():
             leaves.append(dealt)
             break
+        masks = [r["mask"] % (1 << 64) for r in large.select("mask").distinct().collect()]
         large = broadcast_if_small(large)
         leaves.append(dealt.join(large, ["mask", "key"], "left_anti"))
         rows = stage(dealt.join(large, ["mask", "key"], "left_semi").select("mask", "fp"), "dealt")
