@@ -1,14 +1,17 @@
 """Secrets in texts: fixed patterns, and strings that a Markov model finds random. DataFrame functions only.
 
-Two first-order Markov models over characters, of random strings and of ordinary words and
-identifiers, give every candidate string a log-likelihood ratio per character. A candidate is a run of 20 or more
+First-order Markov models over characters, of random strings in three forms (hexadecimal, capitals, any characters), of
+ordinary words and of identifiers, give every candidate string a log-likelihood ratio per character: its likeliest random
+form against the likelier of the other two. Where a model has seen little of what follows a character, it falls back to how frequent characters
+are. A candidate is a run of 20 or more
 characters of base64 or identifiers with letters and digits, outside of the spans of the fixed patterns; one whose
 ratio is above ``THRESHOLD`` is a span of kind ``random``.
 
 Training data are labelled by where they come from. Random strings: digests written as hexadecimal, base64
 and capital letters, and the values that the fixed patterns found in the sampled texts. Ordinary
-ones: all other words of these texts. The sample are the ``TRAINING_TEXTS`` different texts with the smallest hash, a bound on the work and not
-on what is scanned. Its counts are a table of pairs of characters, 68 x 68 at most, and that is all the driver sees.
+ones: all other words of these texts; identifiers: the names of the session's SQL functions, in the cases that
+names are written in. The sample are the ``TRAINING_TEXTS`` different texts with the smallest hash, a bound on the work and not
+on what is scanned. Its counts are a table of pairs of characters, 5 x 68 x 68 at most, and that is all the driver sees.
 """
 
 from __future__ import annotations
@@ -20,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from barlab.llm.common import whole_text
-from barlab.llm.spans import SPAN, base_spans, find, n_of, overlaps, written
+from barlab.llm.spans import SPAN, base_spans, bind, find, n_of, overlaps, written
 
 # Fixed values of the contract, in its order.
 KINDS = ["assign", "access", "hex"]
@@ -35,10 +38,14 @@ CANDIDATE = "[A-Za-z0-9+/_=-]{20,}"
 WORD = "[A-Za-z0-9+/_=-]{4,}"
 TRAINING_TEXTS = 400
 TRAINING_STRINGS = 1_500
-#: Added to every count of a pair.
+#: Weight, in pairs, of a character's frequency in the estimate of what follows a character.
+BACK_OFF = 5.0
+#: Added to every count of a character.
 SMOOTHING = 0.5
 #: The least log-likelihood ratio per pair of characters; see the held-out test.
-THRESHOLD = 0.45
+THRESHOLD = 0.6
+ORDINARY = ("words", "identifiers")
+FORMS = {"hex": "^[0-9a-f]+$", "capitals": "^[A-Z0-9]+$", "any": "."}
 
 
 def known_spans(text: Column) -> Column:
@@ -49,15 +56,16 @@ def known_spans(text: Column) -> Column:
 
 
 def _pairs(strings: DataFrame) -> DataFrame:
-    """``a, b, n`` of the characters that follow each other in ``strings(s)``."""
-    cut = strings.select(F.split("s", "").alias("c"))
+    """``form, a, b, count`` of the characters that follow each other in ``strings(form, s)``."""
+    cut = strings.select("form", F.split("s", "").alias("c"))
     nexts = F.transform("c", lambda x, i: F.struct(x.alias("a"), F.get(F.col("c"), i + 1).alias("b")))
-    pairs = cut.select(F.explode_outer(nexts).alias("p")).select("p.a", "p.b")
-    return pairs.where(F.lit(CHARACTERS).contains(F.col("a")) & F.lit(CHARACTERS).contains(F.col("b")) & (F.col("b") != "")).groupBy("a", "b").count()
+    pairs = cut.select("form", F.explode_outer(nexts).alias("p")).select("form", "p.a", "p.b")
+    known = [F.lit(CHARACTERS).contains(F.col(c)) & (F.col(c) != "") for c in ("a", "b")]
+    return pairs.where(known[0] & known[1]).groupBy("form", "a", "b").count()
 
 
 def training_strings(texts: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Labelled strings ``s``: random ones and ordinary ones."""
+    """Labelled strings ``form, s``: random ones in their forms, and ordinary ones."""
     hashed = texts.select(F.xxhash64("text").alias("h"), "text")
     last = hashed.select("h").distinct().orderBy("h").limit(TRAINING_TEXTS).agg(F.max("h")).first()[0]
     sample = hashed.where(F.col("h") <= F.lit(last if last is not None else 0)).dropDuplicates(["h"])
@@ -71,35 +79,50 @@ def training_strings(texts: DataFrame) -> tuple[DataFrame, DataFrame]:
     made = texts.sparkSession.range(TRAINING_STRINGS).select(F.explode(forms).alias("s"))
     rest = F.regexp_replace(F.regexp_replace(F.regexp_replace("text", ASSIGN, " "), ACCESS, " "), HEX, " ")
     words = sample.select(F.explode_outer(F.regexp_extract_all(rest, F.lit(WORD), F.lit(0))).alias("s")).where("s is not null")
-    return made.unionByName(values), words
+    form = F.coalesce(*[F.when(F.col("s").rlike(pattern), F.lit(name)) for name, pattern in FORMS.items()])
+    names = texts.sparkSession.sql("SHOW FUNCTIONS").where("function rlike '^[a-z][a-z0-9_]{3,}$'")
+    spaced = F.initcap(F.replace(F.col("function"), F.lit("_"), F.lit(" ")))
+    joined = F.replace(spaced, F.lit(" "), F.lit(""))
+    number = F.length("function") % 10
+    cases = F.array("function", F.upper("function"), joined, F.concat("function", F.lit("_"), F.reverse(F.split("function", "_"))[0]),
+                    F.concat("function", number.cast("string")), F.concat(joined, number.cast("string")))
+    known = names.select(F.lit("identifiers").alias("form"), F.explode(cases).alias("s"))
+    return made.unionByName(values).select(form.alias("form"), "s"), words.select(F.lit("words").alias("form"), "s").unionByName(known)
+
+
+def log_likelihoods(counts: dict[tuple[str, str], int]) -> list[float]:
+    """The log of what follows each character, row by row, with back-off to the characters' frequency."""
+    seen = {b: SMOOTHING + sum(n for (_, second), n in counts.items() if second == b) for b in CHARACTERS}
+    every = sum(seen.values())
+    found = []
+    for a in CHARACTERS:
+        row = [counts.get((a, b), 0) for b in CHARACTERS]
+        found += [math.log((n + BACK_OFF * seen[b] / every) / (sum(row) + BACK_OFF)) for n, b in zip(row, CHARACTERS)]
+    return found
+
+
+def train(random: DataFrame, ordinary: DataFrame) -> dict[str, list[float]]:
+    """Per form of string, the log-likelihoods of pairs of characters."""
+    counts: dict[str, dict[tuple[str, str], int]] = {form: {} for form in (*FORMS, *ORDINARY)}
+    for r in _pairs(random.unionByName(ordinary)).collect():  # at most one row per form and pair of the alphabet
+        counts[r["form"]][r["a"], r["b"]] = r["count"]
+    return {form: log_likelihoods(c) for form, c in counts.items()}
+
+
+def randomness(word: Column, models: dict[str, list[float]]) -> Column:
+    """Mean log-likelihood ratio of the pairs of a string of ``CHARACTERS``: random against ordinary."""
+
+    def total(pairs: Column, form: str) -> Column:
+        numbers = F.expr(f"array({', '.join(f'{x:.6f}D' for x in models[form])})")
+        return F.aggregate(pairs, F.lit(0.0), lambda held, p: held + F.coalesce(F.get(numbers, p), F.lit(0.0)))
 
-
-def log_ratios(random: DataFrame, ordinary: DataFrame) -> list[float]:
-    """Per pair of characters, row by row, the log-likelihood of random against ordinary."""
-    k, counts = len(CHARACTERS), []
-    for strings in (random, ordinary):
-        table = [[SMOOTHING] * k for _ in range(k)]
-        for r in _pairs(strings).collect():  # at most one row per pair of the alphabet
-            table[CHARACTERS.index(r["a"])][CHARACTERS.index(r["b"])] += r["count"]
-        counts.append([[math.log(n / sum(row)) for n in row] for row in table])
-    return [a - b for p, q in zip(*counts) for a, b in zip(p, q)]
-
-
-def randomness(word: Column, ratios: list[float]) -> Column:
-    """Mean log-likelihood ratio of the pairs of a string of ``CHARACTERS``."""
-    table = F.expr(f"array({', '.join(f'{r:.6f}D' for r in ratios)})")
     index = F.transform(F.split(word, ""), lambda c: F.instr(F.lit(CHARACTERS), c) - 1)
-    total = F.aggregate(
-        index, F.struct(F.lit(0.0).alias("sum"), F.lit(-1).alias("last")),
-        lambda held, x: F.struct(
-            (held["sum"] + F.when(held["last"] >= 0, F.get(table, held["last"] * len(CHARACTERS) + x)).otherwise(0.0)).alias("sum"),
-            x.alias("last"),
-        ),
-    )
-    return total["sum"] / (F.length(word) - 1)
+    pairs = bind(index, lambda at: F.transform(at, lambda x, i: x * len(CHARACTERS) + F.get(at, i + 1)))
+    ratio = bind(pairs, lambda p: F.greatest(*[total(p, f) for f in FORMS]) - F.greatest(*[total(p, f) for f in ORDINARY]))
+    return ratio / (F.length(word) - 1)
 
 
-def random_spans(text: Column, known: Column, ratios: list[float]) -> Column:
+def random_spans(text: Column, known: Column, models: dict[str, list[float]]) -> Column:
     """Candidates outside of the ``known`` spans that the models call random."""
     made = find(
         text, CANDIDATE, lambda start, end, match, _: F.struct(
@@ -108,7 +131,7 @@ def random_spans(text: Column, known: Column, ratios: list[float]) -> Column:
     )
     mixed = lambda m: m.rlike("[0-9]") & m.rlike("[A-Za-z]")
     free = F.filter(made, lambda s: mixed(s["match"]) & ~overlaps(known, s["start"], s["end"]))
-    found = F.filter(free, lambda s: randomness(s["match"], ratios) > THRESHOLD)
+    found = F.filter(free, lambda s: randomness(s["match"], models) > THRESHOLD)
     return F.transform(found, lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end")))
 
 
@@ -120,9 +143,9 @@ def scan_secrets(docs: DataFrame, text: str = "text") -> DataFrame:
     themselves, whether they repeat or lack an id; other columns are ignored; an empty table gives an empty one.
     """
     texts = docs.select("doc_id", whole_text(text).alias("text"))
-    ratios = log_ratios(*training_strings(texts))
+    models = train(*training_strings(texts))
     known = texts.select("doc_id", "text", known_spans(F.col("text")).alias("known"))
-    more = random_spans(F.col("text"), F.col("known"), ratios)
+    more = random_spans(F.col("text"), F.col("known"), models)
     return known.select("doc_id", F.sort_array(F.concat("known", more)).cast(f"array<{SPAN}>").alias("secrets"))
 
 
