@@ -114,6 +114,8 @@ def align(template: np.ndarray, document: np.ndarray, diagonal: int, band: int =
         along = np.maximum.accumulate(best - GAP * slots) + GAP * slots  # a word stands between in the document
         score[i] = np.where(inside, along, np.maximum(above, 0))
         step[i] = np.where(score[i] == 0, 0, np.where((score[i] == across) & inside, 1, np.where(score[i] == above, 2, 3)))
+    if not score.any():
+        return 0, 0, 0
     i, j = np.unravel_index(int(np.argmax(score)), score.shape)
     matched, end, first = 0, diagonal - band + int(j) + int(i), 0
     first = end
