@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from barlab.operators import indicators as ind
 from barlab.operators.panel import BLOCK, number_rows
 from barlab.operators.recipes import with_indicators
-from barlab.params import DEFAULTS, Params
+from barlab.params import TIE_DIGITS
 from barlab.session import stage
 
 QUARTILES = (0.25, 0.5, 0.75)
@@ -30,25 +30,33 @@ def long_values(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     )
 
 
+def _between(ordered: Column, n: Column, q: float) -> Column:
+    """The ``q`` quantile of an ordered array of ``n`` values; the one formula of this module."""
+    at = F.lit(float(q)) * (n - 1)
+    low, high = F.get(ordered, F.floor(at).cast("int")), F.get(ordered, F.ceil(at).cast("int"))
+    return low + (high - low) * (at - F.floor(at))
+
+
 def exact_quantiles(
     values: DataFrame, keys: Sequence[str], probs: Sequence[float] = QUARTILES, tie: str = "bar_no", small: int = SMALL
 ) -> DataFrame:
     """Interpolated quantiles ``q0, q1, ...`` of ``value`` per ``keys``, exact.
 
-    Groups of up to ``small`` values are aggregated as they are. Larger ones, if the
-    counts show any, go through :func:`_ranked_quantiles`.
+    Groups of up to ``small`` values are sorted as they are. Larger ones, if the counts show any, go
+    through :func:`_ranked_quantiles`. Both find the same two values and blend them by the same
+    formula, so the size of a group does not show in the result.
     """
     keys = list(keys)
     sizes = stage(values.groupBy(*keys).agg(F.count("value").alias("_n")), "sizes")
     largest = sizes.agg(F.max("_n")).first()[0] or 0
-    quantiles = F.percentile("value", F.array(*[F.lit(float(q)) for q in probs]))
-    columns = [F.get("_q", F.lit(i)).alias(f"q{i}") for i in range(len(probs))]
+    gathered = F.sort_array(F.collect_list("value")).alias("_q")
+    columns = [_between(F.col("_q"), F.size("_q"), q).alias(f"q{i}") for i, q in enumerate(probs)]
     if largest <= small:
-        return values.groupBy(*keys).agg(quantiles.alias("_q")).select(*keys, *columns)
+        return values.groupBy(*keys).agg(gathered).select(*keys, *columns)
     few = values.join(sizes.filter(F.col("_n") <= small), keys, "left_semi")
     many = values.join(sizes.filter(F.col("_n") > small), keys, "left_semi")
     return (
-        few.groupBy(*keys).agg(quantiles.alias("_q")).select(*keys, *columns)
+        few.groupBy(*keys).agg(gathered).select(*keys, *columns)
         .unionByName(_ranked_quantiles(many, keys, probs, tie))
     )
 
@@ -113,9 +121,7 @@ def describe_columns(df: DataFrame, columns: Sequence[str], small: int = WIDE) -
         ]
 
     def quartile(c: str, q: float):
-        ordered, at = F.col(f"`{c}.q`"), F.lit(q) * (F.col(f"`{c}.0`") - 1)
-        low, high = F.get(ordered, F.floor(at).cast("int")), F.get(ordered, F.ceil(at).cast("int"))
-        return low + (high - low) * (at - F.floor(at))
+        return _between(F.col(f"`{c}.q`"), F.col(f"`{c}.0`"), q)
 
     rows = df.filter(F.col("n_bars") <= small).groupBy("symbol").agg(
         *[m.alias(f"{c}.{i}") for c in columns for i, m in enumerate(moments(c))],
@@ -141,7 +147,7 @@ def describe_columns(df: DataFrame, columns: Sequence[str], small: int = WIDE) -
 
 
 def eda_summary(
-    features: DataFrame, universe: DataFrame | None = None, p: Params = DEFAULTS, block: int = BLOCK
+    features: DataFrame, universe: DataFrame | None = None, er_bars: int = 10, er_above: float = 0.3, block: int = BLOCK
 ) -> DataFrame:
     """One row per symbol: span, price, ATR and ER moments, share of momentum bars.
 
@@ -150,10 +156,10 @@ def eda_summary(
     """
     rows = with_indicators(
         features.select("symbol", "ts", "bar_no", "n_bars", "close", "ATR_50"),
-        ind.efficiency_ratio(p.features.er_k, out="_er"),
+        ind.efficiency_ratio(er_bars, out="_er"),
         block=block,
     )
-    above = F.coalesce(F.round("_er", p.risk.tie_digits) > p.features.er_threshold, F.lit(False)).cast("int")
+    above = F.coalesce(F.round("_er", TIE_DIGITS) > er_above, F.lit(False)).cast("int")
     summary = rows.groupBy("symbol").agg(
         F.count(F.lit(1)).alias("n_bars"),
         F.to_date(F.min("ts")).alias("first_day"),

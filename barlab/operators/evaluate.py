@@ -8,14 +8,21 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from barlab.functions.scalars import above_threshold
+from barlab.operators.panel import number_rows
+
+#: Distinct scores that one task adds up.
+RANGE = 1 << 16
+#: Wide enough for the product of two counts, and for sums of these.
+WIDE = "decimal(19,0)"
 
 
 def classification_metrics(scored: DataFrame, keys: Sequence[str], threshold: float = 0.5) -> DataFrame:
     """Confusion counts, accuracy, precision, recall, f1 and AUC per ``keys``.
 
     ``scored`` has ``label`` (0/1) and ``score`` in [0, 1]. Rows are first counted per
-    distinct score; the rank sum behind the AUC runs over these counts in two
-    levels, within and over 1024 score ranges.
+    distinct score; the rank sum behind the AUC runs over these counts in two levels, within and over
+    ranges of ``RANGE`` distinct scores, however close together they lie. Pairs are counted in
+    DECIMAL(38,0): positives times negatives pass a BIGINT at a few billion rows.
     """
     keys = list(keys)
     predicted, actual = above_threshold(F.col("score"), threshold) == 1, F.col("label") == 1
@@ -27,7 +34,8 @@ def classification_metrics(scored: DataFrame, keys: Sequence[str], threshold: fl
     )
     counts = scored.groupBy(*keys, "score").agg(
         F.count_if(actual).alias("_pos"), F.count_if(~actual).alias("_neg")
-    ).withColumn("_range", F.floor(F.col("score") * 1024))
+    )
+    counts = number_rows(counts, keys, ["score"], "_row", "_all", "scores").withColumn("_range", F.expr(f"_row div {RANGE}L"))
     per_range = counts.groupBy(*keys, "_range").agg(F.sum("_neg").alias("_neg_in"))
     over = Window.partitionBy(*keys).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     start = per_range.select(*keys, "_range", F.coalesce(F.sum("_neg_in").over(over), F.lit(0)).alias("_neg0"))
@@ -38,7 +46,7 @@ def classification_metrics(scored: DataFrame, keys: Sequence[str], threshold: fl
         counts.withColumn("_local", F.sum("_neg").over(inside))
         .join(start, [*keys, "_range"])
         .groupBy(*keys)
-        .agg(F.sum(F.col("_pos") * (below * 2 + F.col("_neg"))).alias("_pairs2"))
+        .agg(F.sum(F.col("_pos").cast(WIDE) * (below * 2 + F.col("_neg")).cast(WIDE)).cast("double").alias("_pairs2"))
     )
     tp, fp, fn, tn = (F.col(c) for c in ["tp", "fp", "fn", "tn"])
     return confusion.join(pairs, keys).select(
@@ -47,5 +55,5 @@ def classification_metrics(scored: DataFrame, keys: Sequence[str], threshold: fl
         F.coalesce(F.try_divide(tp, tp + fp), F.lit(0.0)).alias("precision"),
         F.coalesce(F.try_divide(tp, tp + fn), F.lit(0.0)).alias("recall"),
         F.coalesce(F.try_divide(tp * 2, tp * 2 + fp + fn), F.lit(0.0)).alias("f1"),
-        F.try_divide(F.col("_pairs2"), (tp + fn) * (fp + tn) * 2).alias("auc"),
+        F.try_divide(F.col("_pairs2"), (tp + fn).cast("double") * (fp + tn).cast("double") * 2).alias("auc"),
     )

@@ -41,7 +41,7 @@ def _true_range() -> Recipe:
 
 
 def atr(period: int = 14, out: str = "ATR", digits: int | None = None, dense: bool = False) -> Recipe:
-    """Simple mean of the true range; ``digits`` rounds it (see RiskParams)."""
+    """Simple mean of the true range; ``digits`` rounds it (see params.TIE_DIGITS)."""
     mean = rolling_mean("_tr", period, _from(dense, 0))
     value = mean if digits is None else F.round(mean, digits)
     return Recipe({ROLLS: {out: value}}, [out], period - 1, after=[_true_range()])
@@ -88,7 +88,8 @@ def macd(
         {LATER: {line: F.col(f"_{prefix}_fast") - F.col(f"_{prefix}_slow")}}, [line], 0, after=[quick, slower]
     )
     sig_recipe = ema(line, signal, sig, after=[line_recipe], dense=dense, first_stage=SECOND)
-    return Recipe({FINAL: {hist: F.col(line) - F.col(sig)}}, [line, sig, hist], 0, after=[sig_recipe])
+    outputs = [line, sig, hist]
+    return Recipe({FINAL: {hist: F.col(line) - F.col(sig)}}, outputs, 0, after=[sig_recipe], repeats=[] if dense else outputs)
 
 
 def vwap(window: int = 20, out: str = "VWAP", dense: bool = False) -> Recipe:
@@ -120,7 +121,7 @@ def adx(period: int = 14, out: str = "ADX") -> Recipe:
         {LATER: {dx: ratio(F.abs(F.col(plus) - F.col(minus)), F.col(plus) + F.col(minus))}}, [], 0, after=sides
     )
     average = ema(dx, period, smooth, after=[index], first_stage=SECOND)
-    return Recipe({FINAL: {out: F.col(smooth) * 100}}, [out], 0, after=[average])
+    return Recipe({FINAL: {out: F.col(smooth) * 100}}, [out], 0, after=[average], repeats=[out])
 
 
 def momentum(period: int = 10, column: str = "close", out: str = "Momentum") -> Recipe:

@@ -104,10 +104,10 @@ def select_intervals(
     """The candidates taken greedily per ``keys``, in order of ``start``.
 
     ``start`` is unique per key, ``end`` is null for an interval still open, and
-    ``end - start <= max_len < block``. Other columns are carried along.
+    ``end - start <= max_len``. A block is longer than any interval; ``block`` is its least
+    length. Other columns are carried along.
     """
-    if max_len >= block:
-        raise ValueError("block must be longer than any interval")
+    block = max(block, 1 << max_len.bit_length())
     keys = list(keys)
     payload = [c for c in candidates.columns if c not in keys and c not in (start, end)]
     row = F.struct(

@@ -25,9 +25,26 @@ from barlab.functions.scalars import condition_text
 from barlab.operators.features import feature_columns
 from barlab.operators.rules import Rule
 from barlab.operators.splits import head_by_row_order
-from barlab.params import DEFAULTS, ModelParams
 from barlab.session import shared_folder
 
+
+@dataclass(frozen=True)
+class Learner:
+    """Sizes of forest and tree, and which leaves become rules."""
+
+    trees: int = 200
+    forest_levels: int = 10
+    forest_leaf: int = 50
+    inputs: int = 5
+    levels: int = 4
+    leaf: int = 30
+    rate: float = 0.35
+    bins: int = 256
+    seed: int = 42
+    #: Train on the first share of all rows only, in order of symbol and time.
+    head: float | None = None
+
+
 CONDITION = "struct<feature:string,op:string,threshold:double>"
 RULES = f"rule_id int, conditions array<{CONDITION}>, n_samples bigint, p_label_1 double"
 
@@ -45,10 +62,10 @@ def balanced(df: DataFrame, label: str) -> DataFrame:
     return df.join(F.broadcast(counts), label).withColumn("weight", share).drop("_of_class")
 
 
-def train_forest(train: DataFrame, columns: Sequence[str], label: str, p: ModelParams) -> RandomForestRegressionModel:
+def train_forest(train: DataFrame, columns: Sequence[str], label: str, p: Learner) -> RandomForestRegressionModel:
     forest = RandomForestRegressor(
-        featuresCol="inputs", labelCol=label, weightCol="weight", numTrees=p.n_trees, maxDepth=p.forest_depth,
-        minInstancesPerNode=p.forest_min_leaf, featureSubsetStrategy="sqrt", maxBins=p.max_bins, seed=p.seed,
+        featuresCol="inputs", labelCol=label, weightCol="weight", numTrees=p.trees, maxDepth=p.forest_levels,
+        minInstancesPerNode=p.forest_leaf, featureSubsetStrategy="sqrt", maxBins=p.bins, seed=p.seed,
     )
     return forest.fit(balanced(assemble(train, columns), label))
 
@@ -64,10 +81,10 @@ def top_features(importances: DataFrame, n: int) -> DataFrame:
     return importances.orderBy(F.desc("importance"), F.desc("pos")).limit(n)
 
 
-def train_tree(train: DataFrame, columns: Sequence[str], label: str, p: ModelParams) -> DecisionTreeRegressionModel:
+def train_tree(train: DataFrame, columns: Sequence[str], label: str, p: Learner) -> DecisionTreeRegressionModel:
     tree = DecisionTreeRegressor(
-        featuresCol="inputs", labelCol=label, maxDepth=p.tree_depth, minInstancesPerNode=p.tree_min_leaf,
-        maxBins=p.max_bins, seed=p.seed,
+        featuresCol="inputs", labelCol=label, maxDepth=p.levels, minInstancesPerNode=p.leaf,
+        maxBins=p.bins, seed=p.seed,
     )
     return tree.fit(assemble(train, columns))
 
@@ -131,7 +148,7 @@ class FittedRules:
 
 
 def fit_rules(
-    train: DataFrame, label: str = "tp_target", columns: Sequence[str] | None = None, p: ModelParams = DEFAULTS.model
+    train: DataFrame, label: str = "tp_target", columns: Sequence[str] | None = None, p: Learner = Learner()
 ) -> FittedRules:
     """Forest -> top features -> tree -> rules.
 
@@ -140,13 +157,13 @@ def fit_rules(
     spark = train.sparkSession
     columns = list(columns) if columns else [c for c in feature_columns(train) if c != label]
     rows = train.na.drop(subset=[*columns, label]).withColumn(label, (F.col(label) == 1).cast("double"))
-    if p.inner_split == "row_order":
-        rows = head_by_row_order(rows, p.train_share)
+    if p.head is not None:
+        rows = head_by_row_order(rows, p.head)
     forest = train_forest(rows, columns, label, p)
     importances = importance_table(spark, forest, columns)
-    selected = [r["feature"] for r in top_features(importances, p.top_n_features).collect()]
+    selected = [r["feature"] for r in top_features(importances, p.inputs).collect()]
     tree = train_tree(rows, selected, label, p)
-    rules = leaf_rules(spark, node_table(spark, tree), selected, p.tree_min_leaf, p.min_positive_rate)
+    rules = leaf_rules(spark, node_table(spark, tree), selected, p.leaf, p.rate)
     return FittedRules(importances, selected, forest, tree, rules)
 
 

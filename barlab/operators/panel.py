@@ -175,9 +175,10 @@ def fill_forward(
     cut = stage(df.withColumns({"blk": F.expr(f"bar_no div {block}L"), "_gap": gap}), name)
     holes = cut.filter("_gap")
     if trim:
-        first = stage(_first_complete(cut, columns), "first")
+        sizes = cut.groupBy("symbol").agg(F.max("n_bars").alias("n_bars"))
+        first = stage(spread(_first_complete(cut, columns).join(sizes, "symbol"), block), "first")
         # Holes in the dropped prefix need no filling.
-        holes = holes.join(first, "symbol").filter(F.col("bar_no") >= F.col("_first"))
+        holes = holes.join(first, ["symbol", "blk"]).filter(F.col("bar_no") >= F.col("_first"))
     gappy = stage(holes.select("symbol", "blk").distinct(), "gappy")
     clean = cut.join(gappy, ["symbol", "blk"], "left_anti")
     run = Window.partitionBy("symbol", "blk").orderBy("bar_no").rowsBetween(Window.unboundedPreceding, 0)
@@ -185,7 +186,9 @@ def fill_forward(
         {c: F.last(c, ignorenulls=True).over(run) for c in columns}
     )
     # Values are carried within the symbols concerned only; usually there are none.
-    concerned = cut.join(gappy.select("symbol").distinct(), "symbol", "left_semi")
+    blocks = cut.groupBy("symbol", "blk").agg(F.count(F.lit(1)).alias("_n")).select("symbol", "blk")
+    wanted = stage(blocks.join(gappy.select("symbol").distinct(), "symbol", "left_semi"), "concerned")
+    concerned = cut.join(wanted, ["symbol", "blk"], "left_semi")
     ends = concerned.groupBy("symbol", "blk").agg(
         *[F.max_by(c, F.when(F.col(c).isNotNull(), F.col("bar_no"))).alias(c) for c in columns]
     )
@@ -199,14 +202,14 @@ def fill_forward(
             for c in cut.columns
         ]
     )
-    whole = clean.unionByName(filled).drop("blk", "_gap")
+    whole = clean.unionByName(filled).drop("_gap")
     if not trim:
-        return whole
+        return whole.drop("blk")
     return (
-        whole.join(first, "symbol")
+        whole.join(first, ["symbol", "blk"])
         .filter(F.col("bar_no") >= F.col("_first"))
         .withColumns({"bar_no": F.col("bar_no") - F.col("_first"), "n_bars": F.col("n_bars") - F.col("_first")})
-        .drop("_first")
+        .drop("_first", "blk")
     )
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from barlab.functions.rolling import rolling_mean
@@ -34,8 +34,14 @@ def keep_good(bars: DataFrame, min_rows: int = 100) -> DataFrame:
         return bars.limit(0)
     if "n_bars" in bars.columns:
         return bars.filter(F.col("n_bars") >= min_rows)
-    good = stage(check_bars(bars, min_rows).filter("ok").select("symbol"), "good")
-    return bars.join(good, "symbol", "left_semi")
+    # Months split a long symbol; a join on the symbol alone would not.
+    month = F.date_trunc("month", "ts")
+    per_month = bars.groupBy("symbol", month.alias("_month")).agg(F.count(F.lit(1)).alias("_n"))
+    total = F.sum("_n").over(Window.partitionBy("symbol"))
+    good = stage(per_month.withColumn("_all", total).filter(F.col("_all") >= min_rows).select("symbol", "_month"), "good")
+    dated = bars.withColumn("_month", month)
+    same = dated["_month"].eqNullSafe(good["_month"]) & (dated["symbol"] == good["symbol"])
+    return dated.join(good, same, "left_semi").drop("_month")
 
 
 def liquid_bars(panel: DataFrame, window: int = 63, min_volume: float = 500_000.0, block: int = BLOCK) -> DataFrame:

@@ -14,7 +14,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 
-from barlab.operators.panel import BLOCK, blocked, own_rows
+from barlab.operators.panel import BLOCK, blocked, fill_forward, own_rows
 
 Stages = dict[int, dict[str, Column]]
 
@@ -37,6 +37,8 @@ class Recipe:
     lookback: int
     lookahead: int = 0
     after: list["Recipe"] = field(default_factory=list)
+    #: Outputs that repeat their last value while the input is missing, over any distance.
+    repeats: list[str] = field(default_factory=list)
 
     def all_stages(self) -> Stages:
         return merge_stages([*(r.all_stages() for r in self.after), self.stages])
@@ -70,12 +72,19 @@ def add_columns(df: DataFrame, recipes: Iterable[Recipe]) -> DataFrame:
     return df
 
 
-def with_indicators(panel: DataFrame, *recipes: Recipe, block: int = BLOCK) -> DataFrame:
-    """The panel plus the outputs of ``recipes``, on ``(symbol, blk)`` blocks."""
+def with_indicators(panel: DataFrame, *recipes: Recipe, block: int = BLOCK, fill: bool = True) -> DataFrame:
+    """The panel plus the outputs of ``recipes``, on ``(symbol, blk)`` blocks.
+
+    A run of missing inputs that is longer than the copied rows leaves a block without a last
+    value. Outputs that would repeat it are then filled from the blocks before; a value that follows
+    such a run owes nothing to what came before it. ``fill=False`` leaves that to the caller.
+    """
     back = max(r.reach() for r in recipes)
     forward = max(r.reach_ahead() for r in recipes)
     outputs = list(dict.fromkeys(name for r in recipes for name in r.outputs))
     kept = [c for c in panel.columns if c not in outputs]
     cut = blocked(panel, back, forward, block)
     done = own_rows(add_columns(cut, recipes), block)
-    return done.select(*kept, *outputs)
+    found = done.select(*kept, *outputs)
+    repeats = [c for c in outputs if any(c in r.repeats for r in recipes)]
+    return fill_forward(found, repeats, block, name="repeats") if repeats and fill else found

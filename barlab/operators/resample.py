@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from barlab.session import stage
@@ -29,18 +29,36 @@ def resample_bars(bars: DataFrame, seconds: int) -> DataFrame:
     """
     origin = F.lit(0)
     if DAY % seconds:
-        first = stage(bars.groupBy("symbol").agg(F.min("ts").alias("_first")), "origin")
-        bars = bars.join(first, "symbol")
+        # One row per symbol and month: months split a long symbol in the join.
+        bars = bars.withColumn("_month", F.date_trunc("month", "ts"))
+        months = bars.groupBy("symbol", "_month").agg(F.min("ts").alias("_first"))
+        first = stage(months.withColumn("_first", F.min("_first").over(Window.partitionBy("symbol"))), "origin")
+        bars = bars.join(first, ["symbol", "_month"])
         origin = epoch_seconds(F.date_trunc("day", "_first").cast("timestamp_ntz"))
     at = epoch_seconds(F.col("ts"))
     start = origin + F.floor((at - origin) / seconds) * seconds
+    return _binned(bars.withColumn("_bin", from_epoch_seconds(start.cast("long"))))
 
+
+def resample_calendar(bars: DataFrame, unit: str) -> DataFrame:
+    """Bars per calendar ``unit`` (week, month, quarter or year), dated by its last day.
+
+    Weeks end on Sunday. Bins with a missing price are dropped.
+    """
+    if unit not in ("week", "month", "quarter", "year"):
+        raise ValueError("unit is week, month, quarter or year")
+    start = F.date_trunc(unit, "ts").cast("timestamp_ntz")
+    after = {"week": "INTERVAL 6 DAYS", "month": "INTERVAL 1 MONTH", "quarter": "INTERVAL 3 MONTHS", "year": "INTERVAL 1 YEAR"}
+    last = start + F.expr(after[unit])
+    return _binned(bars.withColumn("_bin", last if unit == "week" else last - F.expr("INTERVAL 1 DAY")))
+
+
+def _binned(bars: DataFrame) -> DataFrame:
     def present(c: str) -> Column:
         return F.when(F.col(c).isNotNull(), F.col("ts"))
 
     return (
-        bars.withColumn("_bin", start.cast("long"))
-        .groupBy("symbol", "_bin")
+        bars.groupBy("symbol", "_bin")
         .agg(
             F.min_by("open", present("open")).alias("open"),
             F.max("high").alias("high"),
@@ -48,7 +66,7 @@ def resample_bars(bars: DataFrame, seconds: int) -> DataFrame:
             F.max_by("close", present("close")).alias("close"),
             F.coalesce(F.sum("volume"), F.lit(0)).alias("volume"),
         )
-        .select("symbol", from_epoch_seconds(F.col("_bin")).alias("ts"), "open", "high", "low", "close", "volume")
+        .select("symbol", F.col("_bin").alias("ts"), "open", "high", "low", "close", "volume")
         .na.drop()
     )
 

@@ -91,4 +91,6 @@ def ema(
     stages[s + 6][t + "carry"] = F.last(t + "end", ignorenulls=True).over(earlier_bars())
     carry = F.coalesce(F.col(t + "carry"), F.lit(0.0))
     stages[s + 7][out] = F.when(known, F.col(t + "decay") * (F.col(t + "sum") + carry))
-    return Recipe(stages, [out], lookback=reach_of(span, residual), after=list(after or []))
+    return Recipe(
+        stages, [out], lookback=reach_of(span, residual), after=list(after or []), repeats=[] if dense else [out]
+    )

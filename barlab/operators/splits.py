@@ -6,19 +6,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from barlab.operators.panel import BLOCK, number_rows, rank_kept
-from barlab.params import DEFAULTS, FoldParams, ModelParams
 
 
-def split_by_time(labeled: DataFrame, p: ModelParams = DEFAULTS.model, block: int = BLOCK) -> DataFrame:
+def split_by_time(labeled: DataFrame, train_share: float = 0.7, fewest_rows: int = 20, block: int = BLOCK) -> DataFrame:
     """Add ``part`` = train for the first share of each symbol's rows, else test.
 
     Symbols with too few rows, or with an empty part, are left out.
     """
     ranked = rank_kept(labeled, block=block)
-    cut = F.floor(F.col("n_rows") * p.train_share)
+    cut = F.floor(F.col("n_rows") * train_share)
     return (
         ranked.withColumn("split_at", cut)
-        .filter((F.col("n_rows") >= p.min_split_rows) & (cut > 0) & (cut < F.col("n_rows")))
+        .filter((F.col("n_rows") >= fewest_rows) & (cut > 0) & (cut < F.col("n_rows")))
         .withColumn("part", F.when(F.col("row_no") < F.col("split_at"), "train").otherwise("test"))
     )
 
@@ -41,18 +40,18 @@ def head_by_row_order(df: DataFrame, share: float) -> DataFrame:
     )
 
 
-def walk_forward(panel: DataFrame, p: FoldParams = DEFAULTS.folds) -> DataFrame:
+def walk_forward(panel: DataFrame, train: int = 252, test: int = 63, step: int = 21) -> DataFrame:
     """One row per (bar, fold) with ``part``; only folds that fit into the data.
 
     A bar belongs to at most ``(train + test) / step`` folds.
     """
-    length = p.train + p.test
-    first = F.expr(f"greatest((bar_no - {length} + {p.step}) div {p.step}L, 0L)")
-    last = F.expr(f"least(bar_no div {p.step}L, (n_bars - {length}) div {p.step}L)")
+    length = train + test
+    first = F.expr(f"greatest((bar_no - {length} + {step}) div {step}L, 0L)")
+    last = F.expr(f"least(bar_no div {step}L, (n_bars - {length}) div {step}L)")
     folds = F.when((F.col("n_bars") >= length) & (first <= last), F.sequence(first, last))
-    inside = F.col("bar_no") - F.col("fold") * p.step
+    inside = F.col("bar_no") - F.col("fold") * step
     return panel.withColumn("fold", F.explode(folds)).withColumn(
-        "part", F.when(inside < p.train, "train").otherwise("test")
+        "part", F.when(inside < train, "train").otherwise("test")
     )
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from barlab.functions.scalars import stop_price, target_price, valid_atr
 from barlab.operators.panel import BLOCK, ahead, blocked, own_rows, spread
-from barlab.params import DEFAULTS, Params
+from barlab.params import ENTRY_PRICES, TIE_DIGITS
 
 INF = float("inf")
 
@@ -56,7 +56,7 @@ def label_bars(
     max_bars: int = 40,
     signal: Column | None = None,
     binary: bool = True,
-    p: Params = DEFAULTS,
+    prices: tuple[float, float] = ENTRY_PRICES,
     block: int = BLOCK,
 ) -> DataFrame:
     """The frame's eligible bars plus ``label`` and ``entry_bar``.
@@ -68,7 +68,7 @@ def label_bars(
     cut = blocked(features.withColumn("_signal", F.lit(True) if signal is None else signal), 0, max_bars, block)
     cut = attach_csl(cut, csl, features, block)
     # The barriers are made before the window, once per row.
-    close, atr_value = F.col("close"), F.round(atr, p.risk.tie_digits)
+    close, atr_value = F.col("close"), F.round(atr, TIE_DIGITS)
     cut = cut.withColumns({
         "_stop": stop_price(close, atr_value, F.col("csl")),
         "_target": target_price(close, atr_value, F.col("csl"), F.col("csl") * ratio),
@@ -77,7 +77,7 @@ def label_bars(
         F.coalesce("_signal", F.lit(False))
         & (F.col("bar_no") <= F.col("n_bars") - max_bars - 2)
         & valid_atr(F.col(atr))
-        & F.col("close").between(p.data.price_min, p.data.price_max)
+        & F.col("close").between(*prices)
     )
     label = barrier_label(F.col("_to_stop"), F.col("_to_target"))
     return (

@@ -12,7 +12,7 @@ from barlab.operators import intervals
 from barlab.operators.panel import BLOCK, ahead, bar_window, blocked, lag, own_rows
 from barlab.operators.rules import Rule, matched_rules
 from barlab.operators.touch import attach_csl, first_high_at, first_low_at, future_lists
-from barlab.params import DEFAULTS, Params
+from barlab.params import TIE_DIGITS, TRADE_RISK
 
 TRADE_COLUMNS = [
     "symbol", "rule_id", "entry_bar", "exit_bar", "entry_ts", "exit_ts", "price_in", "price_out", "pnl",
@@ -27,7 +27,7 @@ def entry_exits(
     c_tp: float | None = None,
     max_bars: int = 40,
     atr: str = "ATR_50",
-    p: Params = DEFAULTS,
+    risk: float = TRADE_RISK,
     block: int = BLOCK,
 ) -> DataFrame:
     """One row per bar entered after a signal, with its exit; rules share the row.
@@ -39,14 +39,14 @@ def entry_exits(
     """
     slim = features.select(
         "symbol", "ts", "bar_no", "n_bars", "open", "high", "low", "close",
-        F.round(atr, p.risk.tie_digits).alias("_atr"), signals.alias("_signals"),
+        F.round(atr, TIE_DIGITS).alias("_atr"), signals.alias("_signals"),
     )
     cut = attach_csl(blocked(slim, 1, max_bars, block), csl, features, block)
     cut = cut.withColumns({"_rules": lag("_signals"), "_entry_atr": lag("_atr")})
     atr_in, c_sl = F.col("_entry_atr"), F.col("csl")
     # Size and barriers are made between the two windows, once per row.
     cut = cut.withColumns({
-        "size": position_size(atr_in, c_sl, p.risk.risk_per_trade),
+        "size": position_size(atr_in, c_sl, risk),
         "stop": stop_price(F.col("open"), atr_in, c_sl),
         "target": target_price(F.col("open"), atr_in, c_sl, None if c_tp is None else F.lit(float(c_tp))),
     })
@@ -108,19 +108,20 @@ def run_trades(
     rules: Sequence[Rule],
     csl: DataFrame | float,
     c_tp: float | None = None,
-    p: Params = DEFAULTS,
+    max_bars: int = 40,
+    risk: float = TRADE_RISK,
     block: int = BLOCK,
 ) -> DataFrame:
     """All trades of all rules on all symbols."""
-    exits = entry_exits(features, matched_rules(rules), csl, c_tp, p.trade.max_bars, p=p, block=block)
-    return non_overlapping(exits, p.trade.max_bars)
+    exits = entry_exits(features, matched_rules(rules), csl, c_tp, max_bars, risk=risk, block=block)
+    return non_overlapping(exits, max_bars)
 
 
 def run_signal(
     features: DataFrame, signal: Column, csl: DataFrame | float, c_tp: float | None = None,
-    p: Params = DEFAULTS, block: int = BLOCK,
+    max_bars: int = 40, risk: float = TRADE_RISK, block: int = BLOCK,
 ) -> DataFrame:
     """Trades of a single entry signal (rule 0)."""
     one = F.when(F.coalesce(signal, F.lit(False)), F.array(F.lit(0))).otherwise(F.expr("cast(array() as array<int>)"))
-    exits = entry_exits(features, one, csl, c_tp, p.trade.max_bars, p=p, block=block)
-    return non_overlapping(exits, p.trade.max_bars)
+    exits = entry_exits(features, one, csl, c_tp, max_bars, risk=risk, block=block)
+    return non_overlapping(exits, max_bars)

@@ -8,15 +8,18 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barlab.operators.calibration import stop_coefficients
+from barlab.operators.calibration import Calibration, stop_coefficients
 from barlab.operators.metrics import KEYS, performance, results
 from barlab.operators.panel import BLOCK
 from barlab.operators.rules import Rule, signal_counts
 from barlab.operators.trades import run_trades
-from barlab.params import DEFAULTS, Params
+from barlab.params import TRADE_RISK
 from barlab.session import stage
 
 
+CAPITAL = 10_000.0
+
+
 @dataclass
 class Applied:
     csl: DataFrame
@@ -29,7 +32,10 @@ def apply_rules(
     features: DataFrame,
     rules: Sequence[Rule],
     csl: DataFrame | None = None,
-    p: Params = DEFAULTS,
+    p: Calibration = Calibration(),
+    max_bars: int = 40,
+    risk: float = TRADE_RISK,
+    capital: float = CAPITAL,
     block: int = BLOCK,
 ) -> Applied:
     """Every rule on every calibrated symbol.
@@ -39,8 +45,8 @@ def apply_rules(
     """
     if csl is None:
         csl = stage(stop_coefficients(features, p, block), "csl")
-    trades = stage(run_trades(features, rules, csl, p=p, block=block), "trades")
-    metrics = performance(trades, p.trade.capital, block)
+    trades = stage(run_trades(features, rules, csl, max_bars=max_bars, risk=risk, block=block), "trades")
+    metrics = performance(trades, capital, block)
     return Applied(csl, trades, metrics, results(signal_counts(features, rules), metrics, csl))
 
 
@@ -60,9 +66,13 @@ def out_of_sample(train: DataFrame, test: DataFrame, keep: float = 0.70) -> Data
     )
 
 
-def split_performance(trades: DataFrame, first_test_bar: DataFrame, p: Params = DEFAULTS) -> tuple[DataFrame, DataFrame]:
+def split_performance(
+    trades: DataFrame, first_test_bar: DataFrame, capital: float = CAPITAL, block: int = BLOCK
+) -> tuple[DataFrame, DataFrame]:
     """Metrics of the trades entered before and after ``first_test_bar(symbol, split_bar)``."""
-    cut = trades.join(first_test_bar.select("symbol", "split_bar"), "symbol")
+    cut = trades.withColumn("blk", F.expr(f"entry_bar div {block}L"))
+    known = cut.select("symbol", "blk").distinct().join(first_test_bar.select("symbol", "split_bar"), "symbol")
+    cut = cut.join(stage(known, "splits"), ["symbol", "blk"]).drop("blk")
     early = cut.filter(F.col("exit_bar") < F.col("split_bar")).drop("split_bar")
     late = cut.filter(F.col("entry_bar") >= F.col("split_bar")).drop("split_bar")
-    return performance(early, p.trade.capital), performance(late, p.trade.capital)
+    return performance(early, capital), performance(late, capital)

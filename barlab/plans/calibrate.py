@@ -5,26 +5,28 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barlab.operators.calibration import buying_power_check, stop_coefficients, symbols_of
-from barlab.operators.panel import BLOCK
+from barlab.operators.calibration import Calibration, buying_power_check, stop_coefficients, symbols_of
+from barlab.operators.panel import BLOCK, spread
 from barlab.operators.quality import keep_good
-from barlab.params import DEFAULTS, Params
 from barlab.session import stage
 
 
 def calibrate(
-    panel: DataFrame, universe: DataFrame | None = None, p: Params = DEFAULTS, block: int = BLOCK
+    panel: DataFrame, universe: DataFrame | None = None, p: Calibration = Calibration(), fewest_bars: int = 500,
+    block: int = BLOCK,
 ) -> DataFrame:
     """``symbol, csl, bp_median, bp_max, n_samples, admitted, error``.
 
     ``universe`` lists the symbols to report (default: those of the panel). A
-    symbol without bars, or with too few, is ``insufficient_data``.
+    symbol without bars, or with fewer than ``fewest_bars``, is ``insufficient_data``.
     """
     wanted = symbols_of(panel) if universe is None else universe
     wanted = stage(wanted.select("symbol").distinct(), "universe")
-    good = keep_good(panel, p.data.min_rows)
+    good = keep_good(panel, fewest_bars)
     if universe is not None:
-        good = good.join(wanted, "symbol", "left_semi")
+        sizes = wanted.join(symbols_of(panel), "symbol")
+        blocks = stage(spread(sizes, block), "wanted")
+        good = good.withColumn("blk", F.expr(f"bar_no div {block}L")).join(blocks, ["symbol", "blk"], "left_semi").drop("blk")
     csl = stop_coefficients(good, p, block).select("symbol", "csl")
     power = buying_power_check(good, csl, p, block)
     error = (

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barlab.functions.scalars import null_if_nan
@@ -10,7 +12,8 @@ from barlab.params import FEATURE_COLUMNS
 from barlab.schema import BAR_COLUMNS, BARS
 from barlab.session import stage
 
-MAX_CSV_COLUMNS = 64
+# A cell up to its comma: quoted, with doubled quotes inside, or plain. Every line is matched with a comma appended.
+CELL = r'("(?:[^"]|"")*+"|[^,]*+),'
 
 
 def clean_bars(df: DataFrame) -> DataFrame:
@@ -37,69 +40,97 @@ def _symbol_from_path(prefix: str = ""):
     return F.regexp_replace(stem, f"^{prefix}", "") if prefix else stem
 
 
-def read_symbol_files(
-    spark: SparkSession, folder: str, pattern: str = "*.csv", date: str = "Date", time: str = "Time",
-    ts_format: str | None = None,
+def _named_lines(
+    spark: SparkSession, folder: str, pattern: str, prefix: str, wanted: Sequence[tuple[str, ...]]
 ) -> tuple[DataFrame, DataFrame]:
-    """All files of a folder as ``(bars, rejects)``; the file stem is the symbol.
+    """CSV files of a folder, each read by its own header: ``(rows, files without a header)``.
 
-    Files may order their columns differently: each file's header line is found by
-    its names, one small row per file, and values are taken by name. A file without
-    a usable header, or with a time that cannot be read, goes to ``rejects``.
+    ``wanted`` lists the columns, each with the headings it may have; rows get ``file, blk, symbol`` and one string
+    column per wanted one, under its first name. Columns may stand in any order and number, others are
+    ignored. A line becomes one array of cells, and the header's array tells the places. Rows meet their header by
+    file and block of the file, so that a large file is read by many tasks.
     """
-    names = [date, time, "Open", "High", "Low", "Close", "Volume"]
-    fields = ", ".join(f"c{i} string" for i in range(MAX_CSV_COLUMNS))
-    lines = (
-        spark.read.option("pathGlobFilter", pattern).text(folder)
-        .select(_symbol_from_path().alias("symbol"), "value")
-        .filter(F.trim("value") != "")
-        .withColumn("row", F.from_csv("value", F.lit(fields)))
-        .withColumn("cells", F.array(*[F.trim(f"row.c{i}") for i in range(MAX_CSV_COLUMNS)]))
-        .drop("row")
+    text = spark.read.option("pathGlobFilter", pattern).option("recursiveFileLookup", True).text(folder).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("blk"),
+        _symbol_from_path(prefix).alias("symbol"), F.regexp_replace("value", "^\ufeff", "").alias("line"),
+    ).filter(F.trim("line") != "")
+    named = F.lit(True)
+    for names in wanted:
+        some = F.lit(False)
+        for n in names:
+            some = some | F.col("line").contains(n)
+        named = named & some
+    bare = F.regexp_extract_all(F.concat("line", F.lit(",")), F.lit(CELL), F.lit(1))
+    unquoted = F.expr("transform(cells, c -> trim(CASE WHEN c LIKE '\"%' THEN replace(substring(c, 2, length(c) - 2), '\"\"', '\"') ELSE c END))")
+    maybe = text.filter(named).select("file", bare.alias("cells")).select("file", unquoted.alias("cells"))
+    complete = F.lit(True)
+    for names in wanted:
+        complete = complete & F.arrays_overlap("cells", F.array(*[F.lit(n) for n in names]))
+    headers = stage(maybe.filter(complete).groupBy("file").agg(F.min("cells").alias("header")), "headers")
+    blocks = stage(text.select("file", "blk", "symbol").distinct(), "blocks")
+    place = stage(blocks.join(headers, "file").select("file", "blk", "header"), "places")
+    rows = text.filter(~named).join(place, ["file", "blk"]).withColumn("cells", bare)
+    rows = rows.select("file", "blk", "symbol", "header", unquoted.alias("cells"))
+
+    def cell(names: tuple[str, ...]) -> Column:
+        at = F.greatest(*[F.array_position("header", n) for n in names], F.lit(0))
+        return F.get("cells", at.cast("int") - 1)
+
+    missing = blocks.select("file", "symbol").distinct().join(headers, "file", "left_anti")
+    return rows.select("file", "blk", "symbol", *[cell(n).alias(n[0]) for n in wanted]), missing
+
+
+def _without_bad(rows: DataFrame, bad: Column) -> tuple[DataFrame, DataFrame]:
+    """Rows of the files that have no ``bad`` row, and the other files."""
+    spoilt = stage(rows.filter(bad).select("file", "symbol").distinct(), "spoilt")
+    blocks = stage(rows.select("file", "blk").distinct().join(spoilt, "file", "left_semi"), "spoilt-blocks")
+    return rows.join(blocks, ["file", "blk"], "left_anti"), spoilt
+
+
+def _rejects(no_header: DataFrame, spoilt: DataFrame, why: str) -> DataFrame:
+    both = no_header.select("file", "symbol", F.lit("no header").alias("reason")).unionByName(
+        spoilt.select("file", "symbol", F.lit(why).alias("reason"))
     )
-    is_header = F.lit(True)
-    for n in names:
-        is_header = is_header & F.coalesce(F.array_contains("cells", n), F.lit(False))
-    headers = stage(lines.filter(is_header).groupBy("symbol").agg(F.min("cells").alias("header")), "headers")
-    rows = lines.filter(~is_header).join(headers, "symbol")
+    return both.select("symbol", "reason", "file")
 
-    def cell(name: str):
-        return F.get("cells", F.array_position("header", name).cast("int") - 1)
 
-    stamp = F.concat(cell(date), F.lit(" "), cell(time))
+def read_symbol_files(
+    spark: SparkSession, folder: str, pattern: str = "*.csv", date: str = "Date", time: str = "Time",
+    ts_format: str | None = None,
+) -> tuple[DataFrame, DataFrame]:
+    """All files below a folder as ``(bars, rejects)``; the file stem is the symbol.
+
+    Every file is read by its own header, also if two files have one stem. A file without a usable
+    header, or with a time that cannot be read, goes to ``rejects(symbol, reason, file)``; other files of the
+    symbol stay.
+    """
+    prices = ["Open", "High", "Low", "Close", "Volume"]
+    rows, no_header = _named_lines(spark, folder, pattern, "", [(date,), (time,), *[(n,) for n in prices]])
+    stamp = F.concat(F.col(f"`{date}`"), F.lit(" "), F.col(f"`{time}`"))
     ts = F.try_to_timestamp(stamp) if ts_format is None else F.try_to_timestamp(stamp, F.lit(ts_format))
     parsed = rows.select(
-        "symbol",
-        ts.cast("timestamp_ntz").alias("ts"),
-        *[cell(n).try_cast("double").alias(n.lower()) for n in names[2:]],
+        "file", "blk", "symbol", ts.cast("timestamp_ntz").alias("ts"), *[F.col(n).try_cast("double").alias(n.lower()) for n in prices]
     )
-    bad_time = stage(parsed.filter(F.col("ts").isNull()).select("symbol").distinct(), "badtime").withColumn(
-        "reason", F.lit("bad time")
-    )
-    no_header = (
-        lines.select("symbol").distinct().join(headers, "symbol", "left_anti").withColumn("reason", F.lit("no header"))
-    )
-    rejects = no_header.unionByName(bad_time)
-    return clean_bars(parsed.join(bad_time, "symbol", "left_anti")), rejects
+    good, spoilt = _without_bad(parsed, F.col("ts").isNull())
+    return clean_bars(good), _rejects(no_header, spoilt, "bad time")
 
 
-def read_frames(spark: SparkSession, folder: str, prefix: str, labeled: bool = False) -> DataFrame:
-    """Per-symbol CSV files ``<prefix><symbol>.csv`` of features or labeled bars.
+def read_frames(spark: SparkSession, folder: str, prefix: str, labeled: bool = False) -> tuple[DataFrame, DataFrame]:
+    """Per-symbol CSV files ``<prefix><symbol>.csv`` of features or labeled bars, as ``(frames, rejects)``.
 
-    Times may carry a zone and become zoneless UTC (the session zone is UTC); rows
-    without a time are dropped.
+    Headings may be those of this package (``ts, open, ...``) or ``Datetime, Open, ...``; further columns, such as an
+    ``ATR`` alias, are ignored. A file that lacks a column is rejected alone. Times may carry a zone
+    and become zoneless UTC (the session zone is UTC); rows without a time are dropped.
     """
-    columns = ["open", "high", "low", "close", "volume", *FEATURE_COLUMNS]
-    schema = "ts string, " + ", ".join(f"`{c}` double" for c in columns)
-    if labeled:
-        schema += ", label int, entry_bar bigint"
-    raw = (
-        spark.read.schema(schema).option("header", True).option("enforceSchema", False)
-        .option("pathGlobFilter", f"{prefix}*.csv").csv(folder)
-    )
-    return (
-        raw.select(_symbol_from_path(prefix).alias("symbol"), *raw.columns)
-        .withColumn("ts", F.try_to_timestamp("ts").cast("timestamp_ntz"))
-        .withColumns({c: null_if_nan(c) for c in columns})
-        .filter(F.col("ts").isNotNull())
+    prices = ["open", "high", "low", "close", "volume"]
+    numbers = [*[(c, c.title()) for c in prices], *[(c,) for c in FEATURE_COLUMNS]]
+    extra = [("label",), ("entry_bar", "entry_idx")] if labeled else []
+    rows, no_header = _named_lines(spark, folder, f"{prefix}*.csv", prefix, [("ts", "Datetime"), *numbers, *extra])
+    kinds = {"label": "int", "entry_bar": "bigint"}
+    frames = rows.select(
+        "symbol", F.try_to_timestamp("ts").cast("timestamp_ntz").alias("ts"),
+        *[F.col(n[0]).try_cast("double").alias(n[0]) for n in numbers],
+        *[F.col(n[0]).try_cast("double").cast(kinds[n[0]]).alias(n[0]) for n in extra],
     )
+    frames = frames.withColumns({n[0]: null_if_nan(n[0]) for n in numbers}).filter(F.col("ts").isNotNull())
+    return frames, no_header.select("symbol", F.lit("no header").alias("reason"), "file")

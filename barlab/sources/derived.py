@@ -2,8 +2,8 @@
 
 Every line moves the price of its symbol by 0 to 5 steps, up or down, reflected
 into [2, 18]. The walk is a running sum over the symbol's whole history, so it is
-summed in two levels: totals per (symbol, day, key range), and a running sum
-inside each of these.
+summed in three levels: totals per (symbol, day), of which a symbol has as many as the calendar has days; per key
+range of a day, of which there are more the larger the table is; and a running sum inside each of these.
 """
 
 from __future__ import annotations
@@ -32,8 +32,11 @@ def lineitem_ticks(lineitem: DataFrame, symbols: int = 10, per_range: int = LINE
         F.expr(f"l_orderkey div {width}L").alias("range"),
     )
     totals = ticks.groupBy("symbol", "ts", "range").agg(F.sum("step").alias("total"))
-    earlier = Window.partitionBy("symbol").orderBy("ts", "range").rowsBetween(Window.unboundedPreceding, -1)
-    starts = totals.select("symbol", "ts", "range", F.coalesce(F.sum("total").over(earlier), F.lit(0)).alias("start"))
+    before = lambda w: F.coalesce(F.sum("total").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    days = totals.groupBy("symbol", "ts").agg(F.sum("total").alias("total"))
+    of_day = days.select("symbol", "ts", before(Window.partitionBy("symbol").orderBy("ts")).alias("day_start"))
+    in_day = totals.withColumn("start", before(Window.partitionBy("symbol", "ts").orderBy("range")))
+    starts = in_day.join(of_day, ["symbol", "ts"]).select("symbol", "ts", "range", (F.col("start") + F.col("day_start")).alias("start"))
     inside = Window.partitionBy("symbol", "ts", "range").orderBy(*TIE_BREAK).rowsBetween(Window.unboundedPreceding, 0)
     k = F.col("start") + F.col("local")
     folded = F.abs(F.pmod(k * 5 + 800, F.lit(3200)) - 1600)

@@ -11,16 +11,18 @@ def stream_bars(ticks: DataFrame, every: str, late: str) -> DataFrame:
 
     ``ts`` is a TIMESTAMP. A bar is emitted once the watermark, ``late`` behind the
     newest tick, has passed its end; ticks behind the watermark are dropped and show
-    up in the query's ``numRowsDroppedByWatermark``.
+    up in the query's ``numRowsDroppedByWatermark``. Of ticks with one time stamp the lowest price opens and
+    the highest closes. Bars start at multiples of ``every`` since 1970; ``resample_bars`` does the same
+    for lengths that divide a day.
     """
     return (
         ticks.withWatermark("ts", late)
         .groupBy("symbol", F.window("ts", every).alias("w"))
         .agg(
-            F.min_by("price", "ts").alias("open"),
+            F.min_by("price", F.struct("ts", "price")).alias("open"),
             F.max("price").alias("high"),
             F.min("price").alias("low"),
-            F.max_by("price", "ts").alias("close"),
+            F.max_by("price", F.struct("ts", "price")).alias("close"),
             F.sum("volume").alias("volume"),
         )
         .select("symbol", F.col("w.start").alias("ts"), "open", "high", "low", "close", "volume")

@@ -18,7 +18,7 @@ from barlab.operators.recipes import Recipe, with_indicators
 from barlab.operators.resample import resample_bars, ticks_as_bars
 from barlab.operators.rules import Rule
 from barlab.operators.sampling import hash_sample
-from barlab.params import FEATURE_COLUMNS, DataParams, ModelParams, Params
+from barlab.params import FEATURE_COLUMNS
 from barlab.plans.apply_rules import apply_rules, out_of_sample, split_performance
 from barlab.plans.calibrate import admitted_universe, calibrate
 from barlab.plans.discover import discover_rules, labeled_table
@@ -42,8 +42,7 @@ RULES = [
 ]
 CSL = 2.0
 RATIOS = (1.0, 1.5, 2.0)
-WIDE = Params(data=DataParams(min_rows=100))
-SMALL_MODEL = Params(model=ModelParams(n_trees=20, forest_depth=6, tree_min_leaf=30, min_positive_rate=0.2))
+LEARNER = model.Learner(rate=0.2)
 
 _prepared: dict[tuple[str, str, str], DataFrame] = {}
 _models: dict[tuple[str, str], model.FittedRules] = {}
@@ -62,12 +61,12 @@ def panel(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _once("features", spark, sf_dir, lambda: feature_frame(panel(spark, sf_dir)))
+    return _once("features", spark, sf_dir, lambda: feature_frame(panel(spark, sf_dir), dense=True))
 
 
 def own_csl(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Coefficients calibrated on the feature frame."""
-    return _once("csl", spark, sf_dir, lambda: calibration.stop_coefficients(features(spark, sf_dir), WIDE))
+    return _once("csl", spark, sf_dir, lambda: calibration.stop_coefficients(features(spark, sf_dir)))
 
 
 def fixed_trades(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -162,7 +161,7 @@ def q_buying_power(spark, sf_dir):
 
 
 def _calibration(spark, sf_dir):
-    return calibrate(panel(spark, sf_dir), p=Params(data=DataParams(min_rows=2270)))
+    return calibrate(panel(spark, sf_dir), fewest_bars=2270)
 
 
 def q_calibration(spark, sf_dir):
@@ -405,8 +404,8 @@ def q_out_of_sample(spark, sf_dir):
 def _fitted(spark, sf_dir):
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _models:
-        split = labeled_table(features(spark, sf_dir), CSL, SMALL_MODEL)
-        _models[key] = discover_rules(split, SMALL_MODEL)
+        split = labeled_table(features(spark, sf_dir), CSL)
+        _models[key] = discover_rules(split, LEARNER)
     return _models[key]
 
 
@@ -477,9 +476,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "forward_fill": q_forward_fill,
     "atr": _indicator(lambda: ind.atr(14)),
     "sma": _indicator(lambda: ind.sma("close", 10, "SMA")),
-    "ema": _indicator(lambda: ind.ema("close", 20, "EMA_20"), lambda: ind.ema("close", 50, "EMA_50")),
+    "ema": _indicator(
+        lambda: ind.ema("close", 20, "EMA_20", dense=True), lambda: ind.ema("close", 50, "EMA_50", dense=True)
+    ),
     "rsi": _indicator(ind.rsi),
-    "macd": _indicator(ind.macd),
+    "macd": _indicator(lambda: ind.macd(dense=True)),
     "vwap": _indicator(ind.vwap),
     "adx": _indicator(ind.adx),
     "momentum": _indicator(ind.momentum),

@@ -11,7 +11,7 @@ from barlab.operators.describe import describe_columns, exact_quantiles, _ranked
 from barlab.operators.evaluate import classification_metrics
 from barlab.operators.quality import check_bars, keep_good, liquid_bars
 from barlab.operators.sampling import hash_sample
-from barlab.params import DataParams, Params, RiskParams
+from barlab.operators.calibration import Calibration
 from barlab.plans.calibrate import admitted_universe, calibrate
 from tests.conftest import to_spark, walk
 
@@ -39,19 +39,19 @@ def calibrated(d, p):
     atr = tr.rolling(50).mean().round(8).to_numpy()
     er = ((d.close - d.close.shift(10)) / d.close.diff().abs().rolling(10).sum()).round(8).to_numpy()
     n, symbol = len(d), d.symbol.iloc[0]
-    tradable = [i for i in range(50, n - 20) if p.data.price_min <= close[i] <= p.data.price_max]
-    candidates = [i for i in tradable if er[i] > p.features.er_threshold]
+    tradable = [i for i in range(50, n - 20) if p.prices[0] <= close[i] <= p.prices[1]]
+    candidates = [i for i in tradable if er[i] > p.momentum_above]
     kept = [
-        c for i in drawn(symbol, candidates, p.risk.n_samples_csl, 42)
+        c for i in drawn(symbol, candidates, p.drops, 42)
         if atr[i] > 0 and (c := (close[i] - low[i + 1:i + 21].min()) / atr[i]) > 0
     ]
     median = float(np.median(kept)) if len(candidates) >= 30 and len(kept) >= 30 else None
-    sample = drawn(symbol, tradable, p.risk.n_samples_bp, 7)
+    sample = drawn(symbol, tradable, p.entries, 7)
     return len(candidates), len(kept), median, sample, close, atr
 
 
 def test_calibration_equals_loops(spark):
-    p = Params(risk=RiskParams(n_samples_csl=100, n_samples_bp=80), data=DataParams(price_max=14.0, min_rows=500))
+    p = Calibration(drops=100, entries=80, prices=(1.0, 14.0))
     frame = pd.concat([walk("A", 3000, 1), walk("B", 900, 2), walk("C", 200, 3), walk("D", 20, 4)], ignore_index=True)
     df = to_spark(spark, frame)
     got = {r["symbol"]: r for r in stop_coefficients(df, p, block=1024).collect()}
@@ -75,11 +75,11 @@ def test_calibration_equals_loops(spark):
 def test_every_symbol_gets_a_status(spark):
     frame = pd.concat([walk("A", 3000, 1), walk("D", 20, 4)], ignore_index=True)
     universe = spark.createDataFrame([("A",), ("D",), ("NONE",)], "symbol string")
-    wide = RiskParams(csl_range=(0.0, 1e9), bp_median_range=(0.0, 1e9), bp_max=1e9)
+    wide = Calibration(accepted=(0.0, 1e9), median_power=(0.0, 1e9), most_power=1e9)
     cases = [
-        (Params(risk=wide), None),
-        (Params(risk=RiskParams(csl_range=(0.0, 1e-9))), "csl_rejected"),
-        (Params(risk=RiskParams(csl_range=(0.0, 1e9), bp_max=0.0)), "bp_rejected"),
+        (wide, None),
+        (Calibration(accepted=(0.0, 1e-9)), "csl_rejected"),
+        (Calibration(accepted=(0.0, 1e9), most_power=0.0), "bp_rejected"),
     ]
     for p, error in cases:
         table = calibrate(to_spark(spark, frame), universe, p)

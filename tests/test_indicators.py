@@ -98,6 +98,21 @@ def test_ema_spans_and_nulls(spark, span):
         assert np.abs(got.z - frame.close.ewm(span=span, adjust=False).mean()).max() < 1e-9
 
 
+@pytest.mark.parametrize("block", [SMALL, 32768])
+def test_ema_repeats_its_value_over_long_runs_of_nulls(spark, block):
+    """Runs over several blocks, one up to the end."""
+    frame = walk("A", 9_000, 16)
+    for a, b in ((0, 30), (1_500, 2_600), (3_000, 7_300), (8_000, 9_000)):
+        frame.loc[a : b - 1, "close"] = np.nan
+    got = with_indicators(to_spark(spark, frame), ema("close", 9, "y"), ind.macd(), block=block)
+    got = got.toPandas().sort_values("bar_no").reset_index(drop=True)
+    ewm = lambda x, span: x.ewm(span=span, adjust=False).mean()
+    line = ewm(frame.close, 12) - ewm(frame.close, 26)
+    for have, want in ((got.y, ewm(frame.close, 9)), (got.MACD_line, line), (got.MACD_signal, ewm(line, 9))):
+        assert (have.isna() == want.isna()).all()
+        assert np.nanmax(np.abs(have - want)) < 1e-8
+
+
 def test_flat_prices_and_no_volume(spark):
     frame = walk("A", 80, 7)
     frame[["open", "high", "low", "close"]] = 5.0

@@ -5,12 +5,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from barlab.operators import model as M
-from barlab.params import ModelParams, Params
+from barlab.operators.model import Learner
 from barlab.plans.discover import discover_rules, labeled_table
 from barlab.operators.features import feature_frame
 from tests.conftest import to_spark, walk
 
-P = ModelParams(n_trees=8, forest_depth=4, tree_min_leaf=30, min_positive_rate=0.2, top_n_features=3)
+P = Learner(trees=8, forest_levels=4, leaf=30, rate=0.2, inputs=3)
 
 
 @pytest.fixture(scope="module")
@@ -18,12 +18,12 @@ def split(spark):
     import pandas as pd
 
     frame = pd.concat([walk("A", 1500, 1), walk("B", 900, 2)])
-    return labeled_table(feature_frame(to_spark(spark, frame)), 2.0, Params(model=P))
+    return labeled_table(feature_frame(to_spark(spark, frame)), 2.0)
 
 
 @pytest.fixture(scope="module")
 def fitted(split):
-    return discover_rules(split, Params(model=P))
+    return discover_rules(split, P)
 
 
 def test_rules_describe_their_rows(split, fitted):
@@ -31,10 +31,10 @@ def test_rules_describe_their_rows(split, fitted):
     rules = {r["rule_id"]: r for r in fitted.rules.collect()}
     assert sorted(rules) == list(range(len(rules))) and rules
     for rule in M.rules_as_list(fitted.rules):
-        assert 1 <= len(rule.conditions) <= P.tree_depth
+        assert 1 <= len(rule.conditions) <= P.levels
         hit = train.filter(rule.predicate()).agg(F.count("*").alias("n"), F.avg("tp_target").alias("p")).first()
-        assert hit["n"] == rules[rule.rule_id]["n_samples"] >= P.tree_min_leaf
-        assert hit["p"] == pytest.approx(rules[rule.rule_id]["p_label_1"]) and hit["p"] >= P.min_positive_rate
+        assert hit["n"] == rules[rule.rule_id]["n_samples"] >= P.leaf
+        assert hit["p"] == pytest.approx(rules[rule.rule_id]["p_label_1"]) and hit["p"] >= P.rate
     overlaps = sum(F.when(r.predicate(), 1).otherwise(0) for r in M.rules_as_list(fitted.rules))
     assert train.agg(F.max(overlaps)).first()[0] == 1
 

@@ -5,7 +5,6 @@ import pandas as pd
 
 from barlab.operators.panel import blocked, fill_forward, number_bars, number_rows, own_rows, rank_kept
 from barlab.operators.splits import fold_summary, head_by_row_order, split_by_time, split_summary, walk_forward
-from barlab.params import FoldParams
 from tests.conftest import to_spark, walk
 
 
@@ -86,8 +85,7 @@ def test_row_order_head(spark):
 
 
 def test_folds(spark):
-    p = FoldParams(train=20, test=5, step=3)
     frame = pd.concat([walk("A", 40, 1), walk("B", 24, 2), walk("C", 25, 3)])
-    got = fold_summary(walk_forward(to_spark(spark, frame), p)).toPandas()
+    got = fold_summary(walk_forward(to_spark(spark, frame), 20, 5, 3)).toPandas()
     assert (got.train_rows == 20).all() and (got.test_rows == 5).all()
     assert got.groupby("symbol").size().to_dict() == {"A": 6, "C": 1}

@@ -37,7 +37,21 @@ def test_symbol_files(spark, tmp_path):
         ("AAA", stamp("2024-01-02 10:00").to_pydatetime(), 2.0, 3.0, 1.0, 2.5, 10.0),
         ("B B", stamp("2024-01-01 00:30").to_pydatetime(), 5.0, 6.0, 3.0, 4.0, 5.0),
     ]
-    assert {tuple(r) for r in rejects.collect()} == {("BAD", "no header"), ("WORSE", "bad time")}
+    assert {tuple(r)[:2] for r in rejects.collect()} == {("BAD", "no header"), ("WORSE", "bad time")}
+
+
+def test_files_are_read_by_their_own_header(spark, tmp_path):
+    """One stem in two folders with other column orders, a header beyond 64 columns, one bad file of a good symbol."""
+    for year, text in ((2023, f"{HEADER}\n2023-01-02,10:00:00,1,2,3,4,5\n"), (2024, "Date,Time,Volume,Close,Low,High,Open\n2024-01-02,10:00:00,5,4,3,2,1\n"),
+                       (2025, f"{HEADER}\n2025-01-02,10:00:00,9,9,9,9,9\nno,time,9,9,9,9,9\n")):
+        (tmp_path / str(year)).mkdir()
+        (tmp_path / str(year) / "A.csv").write_text(text)
+    many = [f"x{i}" for i in range(70)]
+    (tmp_path / "W.csv").write_text("\ufeff" + ",".join([*many, HEADER]) + "\n" + ",".join(['"a,""b"'] * 70) + ',2024-01-01,00:00:00,1,2,3,4,5\n,' + "," * 69 + "2024-01-02,00:00:00,,2,3,4,5\n")
+    bars, rejects = read_symbol_files(spark, str(tmp_path))
+    got = sorted(((r.symbol, r.ts.year, r.ts.day, r.open, r.close) for r in bars.collect()), key=repr)
+    assert got == [("A", 2023, 2, 1.0, 4.0), ("A", 2024, 2, 1.0, 4.0), ("W", 2024, 1, 1.0, 4.0), ("W", 2024, 2, None, 4.0)]
+    assert [(r.symbol, r.reason, "2025" in r.file) for r in rejects.collect()] == [("A", "bad time", True)]
 
 
 @pytest.mark.parametrize("fmt", ["parquet", "csv"])
@@ -69,7 +83,14 @@ def test_labeled_files(spark, tmp_path):
     for s in ("AAA", "BBB"):
         (tmp_path / f"labeled_{s}.csv").write_text(
             ",".join(columns) + f"\n2024-01-01 10:00:00+02:00,{numbers},1,7\nnever,{numbers},0,8\n")
-    got = read_frames(spark, str(tmp_path), "labeled_", labeled=True)
+    other = ["Extra", "Datetime", *[c.title() for c in columns[1:6]], *columns[6:-1], "entry_idx", "ATR"]
+    (tmp_path / "labeled_CCC.csv").write_text(",".join(other) + f"\nx,2024-01-01 10:00:00,{numbers},1,7,0.5\n")
+    (tmp_path / "labeled_DDD.csv").write_text("Datetime,Open\n2024-01-01 10:00:00,1\n")
+    every, rejects = read_frames(spark, str(tmp_path), "labeled_", labeled=True)
+    assert [(r.symbol, r.reason) for r in rejects.collect()] == [("DDD", "no header")]
+    third = every.filter("symbol = 'CCC'").first()
+    assert (third.label, third.entry_bar, third.ts.hour) == (1, 7, 10)
+    got = every.filter("symbol <> 'CCC'")
     rows = {r["symbol"]: r for r in got.collect()}
     assert set(rows) == {"AAA", "BBB"} and got.count() == 2
     assert rows["AAA"]["ts"] == pd.Timestamp("2024-01-01 08:00").to_pydatetime() and rows["AAA"]["label"] == 1

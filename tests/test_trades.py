@@ -52,33 +52,30 @@ def test_an_open_interval_blocks_the_rest(spark):
     assert [r["e"] for r in select_intervals(df, ["k"], "e", "x", 12, 16, 2).collect()] == [1]
 
 
-def state_machine(d, signal, csl, c_tp, max_bars, risk=100.0):
-    """Bar-by-bar: at most one open trade."""
-    o, h, l, c, atr = (d[x].to_numpy() for x in ("open", "high", "low", "close", "ATR_50"))
-    trades, trade = [], None
-    for i in range(1, len(d)):
-        if trade is None:
-            a = atr[i - 1]
-            if not signal[i - 1] or not a > 0:
-                continue
-            size = int(risk / (csl * a))
-            if size == 0:
-                continue
-            trade = dict(e=i, price=o[i], size=size, stop=o[i] - a * csl, target=o[i] + a * c_tp, lo=o[i], hi=o[i])
-            continue
-        trade["lo"], trade["hi"] = min(trade["lo"], l[i]), max(trade["hi"], h[i])
-        if l[i] <= trade["stop"]:
-            out, why = trade["stop"], "SL"
-        elif h[i] >= trade["target"]:
-            out, why = trade["target"], "TP"
-        elif i - trade["e"] >= max_bars:
-            out, why = c[i], "Time Exit"
-        else:
-            continue
-        p = trade["price"]
-        trades.append((trade["e"], i, p, out, (out - p) * trade["size"], why, p - trade["lo"], trade["hi"] - p, trade["size"]))
-        trade = None
-    return trades
+def exit_of(d, e, csl, c_tp, max_bars, risk=100.0):
+    """The trade that would be entered at bar ``e``, from its definition; None if it cannot be entered.
+
+    The held bars end with the first that reaches the stop or the target, or with bar ``e + max_bars``. A trade
+    that the data end before has no exit bar.
+    """
+    atr, price = d.ATR_50[e - 1], d.open[e]
+    size = int(risk / (csl * atr)) if atr > 0 else 0
+    if not size:
+        return None
+    stop, target = price - atr * csl, price + atr * c_tp
+    later = d.iloc[e + 1 : e + 1 + max_bars]
+    stopped, reached = later.index[later.low <= stop], later.index[later.high >= target]
+    ends = [x for x in (stopped.min(), reached.min(), e + max_bars if len(later) == max_bars else np.nan) if x == x]
+    if not ends:
+        return {"e": e, "x": None}
+    x = int(min(ends))
+    why = "SL" if x in stopped else "TP" if x in reached else "Time Exit"
+    out = {"SL": stop, "TP": target, "Time Exit": d.close[x]}[why]
+    held = later.loc[:x]
+    return {
+        "e": e, "x": x, "price_in": price, "price_out": out, "pnl": (out - price) * size, "reason": why, "size": size,
+        "mae": price - min(price, held.low.min()), "mfe": max(price, held.high.max()) - price,
+    }
 
 
 @pytest.fixture(scope="module")
@@ -95,24 +92,33 @@ def frame():
 
 @pytest.mark.parametrize("block, packs", [(1024, 64), (32768, 1024)])
 @pytest.mark.parametrize("limit, csl, c_tp", [(55.0, 2.0, 3.0), (95.0, 1.0, 1.5), (0.5, 6.0, 9.0)])
-def test_trades_equal_a_state_machine(spark, frame, block, packs, limit, csl, c_tp):
+def test_trades_equal_their_definition(spark, frame, block, packs, limit, csl, c_tp):
     signal = F.when(F.col("RSI_14") > limit, F.array(F.lit(0))).otherwise(F.expr("cast(array() as array<int>)"))
     exits = entry_exits(to_spark(spark, frame), signal, csl, c_tp, 40, block=block)
     got = non_overlapping(exits, 40, packs, 4).toPandas().sort_values(["symbol", "entry_bar"])
     for s, d in frame.groupby("symbol"):
-        want = state_machine(d.reset_index(drop=True), (d.RSI_14 > limit).to_numpy(), csl, c_tp, 40)
+        d = d.reset_index(drop=True)
+        entries = [i + 1 for i in d.index[d.RSI_14 > limit] if i + 1 < len(d)]
+        possible = {t["e"]: t for t in (exit_of(d, e, csl, c_tp, 40) for e in entries) if t}
+        want = [possible[e] for e in greedy([(t["e"], t["x"]) for t in possible.values()])]
         mine = got[got.symbol == s]
-        assert mine.entry_bar.tolist() == [w[0] for w in want]
-        assert mine.exit_bar.tolist() == [w[1] for w in want]
-        assert mine.reason.tolist() == [w[5] for w in want]
-        assert mine["size"].tolist() == [w[8] for w in want]
-        for i, c in ((2, "price_in"), (3, "price_out"), (4, "pnl"), (6, "mae"), (7, "mfe")):
-            assert np.allclose(mine[c], [w[i] for w in want], atol=1e-9), c
+        for c, name in (("entry_bar", "e"), ("exit_bar", "x"), ("reason", "reason"), ("size", "size")):
+            assert mine[c].tolist() == [w[name] for w in want]
+        for c in ("price_in", "price_out", "pnl", "mae", "mfe"):
+            assert np.allclose(mine[c], [w[c] for w in want], atol=1e-9), c
         assert (mine.bars_held == mine.exit_bar - mine.entry_bar).all()
         stamps = d.set_index("bar_no").ts
         assert (stamps.loc[mine.exit_bar].to_numpy() == mine.exit_ts.to_numpy()).all()
 
 
+def test_intervals_of_any_length(spark, frame):
+    """A longest holding time beyond the usual block."""
+    got = run_signal(to_spark(spark, frame), F.col("RSI_14") > 90, 30.0, 45.0, max_bars=1500).toPandas()
+    d = frame[frame.symbol == "A"].reset_index(drop=True)
+    possible = [t for t in (exit_of(d, i + 1, 30.0, 45.0, 1500) for i in d.index[d.RSI_14 > 90] if i + 1 < len(d)) if t]
+    assert got[got.symbol == "A"].entry_bar.tolist() == greedy([(t["e"], t["x"]) for t in possible])
+
+
 def test_default_target_is_one_and_a_half_stops(spark, frame):
     got = run_signal(to_spark(spark, frame), F.col("RSI_14") > 55, 2.0).toPandas()
     risk, gain = got.price_in - got.stop, got.target - got.price_in
@@ -120,21 +126,23 @@ def test_default_target_is_one_and_a_half_stops(spark, frame):
 
 
 def curve_metrics(pnl, capital=10_000.0):
-    wins, losses = pnl[pnl > 0], pnl[pnl <= 0]
-    equity = pnl.cumsum() + capital
-    drawdown = ((equity - equity.cummax()) / equity.cummax() * 100).min()
-    rate = len(wins) / len(pnl)
-    win, loss = wins.mean() if len(wins) else 0.0, losses.mean() if len(losses) else 0.0
-    std = (pnl / capital).std()
-    cum = pnl.cumsum()
-    varies = len(cum) > 1 and cum.std() > 0
+    """The measures of a list of results, one by one from their definitions."""
+    results = pnl.to_numpy()
+    n, total = len(results), results.sum()
+    gains, costs = results[results > 0], results[results <= 0]
+    mean_of = lambda x: x.mean() if x.size else 0.0
+    curve = np.cumsum(results)
+    highest = np.array([max(curve[: i + 1]) for i in range(n)]) + capital  # the start itself is no peak
+    spread = results.std(ddof=1) if n > 1 else 0.0
+    steps = np.arange(1, n + 1)
     return {
-        "n_trades": len(pnl), "win_rate": rate, "avg_win": win, "avg_loss": loss,
-        "profit_factor": wins.sum() / abs(losses.sum()) if losses.sum() != 0 else math.inf,
-        "expectancy": rate * win + (1 - rate) * loss, "max_drawdown_pct": drawdown,
-        "sharpe": (pnl / capital).mean() / std * math.sqrt(252) if std > 0 else 0.0, "total_pnl": pnl.sum(),
-        "return_pct": pnl.sum() / 100, "final_capital": pnl.sum() + capital,
-        "corr_trade_vs_pnl": 0.0 if len(cum) < 2 else np.corrcoef(np.arange(1, len(cum) + 1), cum)[0, 1] if varies else np.nan,
+        "n_trades": n, "total_pnl": total, "final_capital": capital + total, "return_pct": 100 * total / capital,
+        "win_rate": gains.size / n, "avg_win": mean_of(gains), "avg_loss": mean_of(costs),
+        "expectancy": total / n,
+        "profit_factor": math.inf if costs.sum() == 0 else gains.sum() / -costs.sum(),
+        "max_drawdown_pct": min(100 * (curve + capital - highest) / highest),
+        "sharpe": math.sqrt(252) * results.mean() / spread if spread > 0 else 0.0,
+        "corr_trade_vs_pnl": 0.0 if n < 2 else np.corrcoef(steps, curve)[0, 1] if curve.std() > 0 else np.nan,
     }
 
 
