@@ -51,7 +51,7 @@ def raw_features(panel: DataFrame, block: int = BLOCK, dense: bool = False) -> D
 
     ``dense`` is the caller's promise that no price or volume is missing, which saves some windows.
     """
-    wide = with_indicators(panel, *feature_recipes(dense), block=block, fill=False)
+    wide = with_indicators(panel, *feature_recipes(dense), block=block)
     return wide.select("symbol", "ts", "bar_no", "n_bars", *BAR_COLUMNS[2:], *FEATURE_COLUMNS)
 
 

@@ -7,17 +7,20 @@ less than ``RESIDUAL``, below the precision of a double.
 
 Missing values follow ``ewm(adjust=False, ignore_na=False)``: leading nulls stay
 null, an inner null repeats the last value, and the next value is weighted by the
-age of the last one.
+age of the last one. The window form bears single missing values; where a good part of the bars, or
+long runs of them, may be missing, use :func:`ema_over_gaps`.
 """
 
 from __future__ import annotations
 
 import math
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barlab.operators.panel import SUB, earlier_bars, segment_window
+from barlab.operators.panel import BLOCK, SUB, blocked, earlier_bars, fill_forward, rank_kept, segment_window
 from barlab.operators.recipes import LAGS, Recipe
+from barlab.session import stage
 
 RESIDUAL = 1e-17
 MAX_EXPONENT = 600.0  # the scaling of a segment must stay a finite double
@@ -91,6 +94,54 @@ def ema(
     stages[s + 6][t + "carry"] = F.last(t + "end", ignorenulls=True).over(earlier_bars())
     carry = F.coalesce(F.col(t + "carry"), F.lit(0.0))
     stages[s + 7][out] = F.when(known, F.col(t + "decay") * (F.col(t + "sum") + carry))
-    return Recipe(
-        stages, [out], lookback=reach_of(span, residual), after=list(after or []), repeats=[] if dense else [out]
+    return Recipe(stages, [out], lookback=reach_of(span, residual), after=list(after or []))
+
+
+def ema_over_gaps(
+    panel: DataFrame, column: str, span: int, out: str, block: int = BLOCK, values: int = SUB
+) -> DataFrame:
+    """The panel plus ``out``, the EMA of a column that may miss any number of values.
+
+    The known values are numbered and dealt into blocks of ``values`` of them, with as many earlier ones
+    copied as can matter: a gap only lets the past fade faster, so these are no more than without gaps. A block
+    is folded in order; a bar without a value then repeats the last one, over any distance.
+    """
+    if span <= 1:
+        raise ValueError("span must be above 1")
+    alpha = 2.0 / (span + 1.0)
+    keep = 1.0 - alpha
+    known = panel.filter(F.col(column).isNotNull()).select(
+        "symbol", "bar_no", F.col("bar_no").alias("_bar"), F.col(column).cast("double").alias("_x")
+    )
+    ranked = rank_kept(stage(known, "known"), "_row", "_rows", block)
+    dense = ranked.select("symbol", F.col("_row").alias("bar_no"), F.col("_rows").alias("n_bars"), "_bar", "_x")
+    cut = blocked(dense, reach_of(span), 0, values).withColumn("_own", F.expr(f"bar_no div {values}L = blk"))
+    packs = cut.groupBy("symbol", "blk").agg(F.sort_array(F.collect_list(F.struct("bar_no", "_bar", "_x", "_own"))).alias("pack"))
+    empty = F.struct(
+        F.lit(None).cast("bigint").alias("bar"), F.lit(0.0).alias("y"),
+        F.expr("cast(array() as array<struct<bar_no:bigint,y:double>>)").alias("found"),
     )
+
+    def step(held, v):
+        aged = F.pow(F.lit(keep), v["_bar"] - held["bar"])
+        y = F.when(held["bar"].isNull(), v["_x"]).otherwise((aged * held["y"] + alpha * v["_x"]) / (aged + alpha))
+        one = F.array(F.struct(v["_bar"].alias("bar_no"), y.alias("y")))
+        return F.struct(
+            v["_bar"].alias("bar"), y.alias("y"), F.when(v["_own"], F.concat(held["found"], one)).otherwise(held["found"]).alias("found")
+        )
+
+    folded = packs.select("symbol", F.explode_outer(F.aggregate("pack", empty, step)["found"]).alias("f"))
+    found = folded.select("symbol", "f.bar_no", F.col("f.y").alias(out)).filter(F.col("bar_no").isNotNull())
+    kept = [c for c in panel.columns if c != out]
+    return fill_forward(panel.select(*kept).join(found, ["symbol", "bar_no"], "left").select(*kept, out), [out], block, name="ema")
+
+
+def macd_over_gaps(
+    panel: DataFrame, column: str = "close", fast: int = 12, slow: int = 26, signal: int = 9, prefix: str = "MACD",
+    block: int = BLOCK,
+) -> DataFrame:
+    """The panel plus line, signal and histogram, for a column that may miss any number of values."""
+    line, sig, hist = f"{prefix}_line", f"{prefix}_signal", f"{prefix}_hist"
+    both = ema_over_gaps(ema_over_gaps(panel, column, fast, "_fast", block), column, slow, "_slow", block)
+    lined = stage(both.withColumn(line, F.col("_fast") - F.col("_slow")).drop("_fast", "_slow"), "line")
+    return ema_over_gaps(lined, line, signal, sig, block).withColumn(hist, F.col(line) - F.col(sig))

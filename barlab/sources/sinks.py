@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 
 def write_table(
@@ -22,3 +26,27 @@ def write_table(
     if per_symbol:
         writer = writer.partitionBy("symbol")
     writer.save(path)
+
+
+def write_symbol_files(df: DataFrame, folder: str, columns: Sequence[str], prefix: str = "") -> None:
+    """One CSV file ``<prefix><symbol>.csv`` per symbol, with ``columns`` in this order.
+
+    The format asks for one file, and so for one task, per symbol; for large symbols use :func:`write_table`.
+    Spark writes a folder per symbol beside ``folder``, and each folder's file is then moved to its name.
+    """
+    spark = df.sparkSession
+    side = f"{folder.rstrip('/')}-{uuid.uuid4().hex}"
+    one = df.select(F.col("symbol").alias("_symbol"), *columns).repartition("_symbol").sortWithinPartitions("_symbol")
+    one.write.partitionBy("_symbol").option("header", True).option("escape", '"').csv(side)
+    jvm = spark._jvm
+    path = jvm.org.apache.hadoop.fs.Path
+    fs = path(side).getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.mkdirs(path(folder))
+    unescape = jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.unescapePathName
+    for held in fs.listStatus(path(side)):
+        name = held.getPath().getName()
+        if name.startswith("_symbol="):
+            symbol = unescape(name.removeprefix("_symbol="))
+            for file in fs.listStatus(held.getPath()):
+                fs.rename(file.getPath(), path(f"{folder}/{prefix}{symbol}.csv"))
+    fs.delete(path(side), True)

@@ -145,6 +145,14 @@ def q(ctes: str, body: str) -> str:
     return f"WITH RECURSIVE {ctes.strip()}\n{body.strip()}"
 
 
+def calendar(unit: str, to_last: str) -> str:
+    """Bars per calendar unit, dated by its last day."""
+    return f"""
+SELECT symbol, CAST(date_trunc('{unit}', ts) + {to_last} AS TIMESTAMP) AS ts, min_by(open, ts) AS open, max(high) AS high,
+  min(low) AS low, max_by(close, ts) AS close, sum(volume) AS volume
+FROM bars GROUP BY symbol, date_trunc('{unit}', ts)"""
+
+
 def indicator(select: str, ctes: str = STEPS, source: str = "st") -> str:
     return q(ctes, f"SELECT symbol, bar_no, {select} FROM {source}")
 
@@ -433,6 +441,20 @@ SELECT symbol, count(*) AS n
 FROM (SELECT upper(trim(CASE event_id % 4 WHEN 0 THEN '# ' || event_type WHEN 1 THEN '  '
         ELSE ' ' || event_type || CAST(user_id % 7 AS VARCHAR) || ' ' END)) AS symbol FROM events)
 WHERE symbol <> '' AND symbol NOT LIKE '#%' GROUP BY symbol""",
+    "resample_calendar_week": q(BARS, calendar("week", "INTERVAL 6 DAYS")),
+    "resample_month": q(BARS, calendar("month", "INTERVAL 1 MONTH - INTERVAL 1 DAY")),
+    "ema_gaps": q(PANEL + """,
+holes AS (SELECT symbol, bar_no, CASE WHEN bar_no % 700 < 350 AND bar_no % 3 <> 1 THEN CAST(close AS DOUBLE) END AS x FROM panel),
+e AS (
+  SELECT symbol, bar_no, x AS y, CASE WHEN x IS NOT NULL THEN bar_no END AS seen FROM holes WHERE bar_no = 0
+  UNION ALL
+  SELECT h.symbol, h.bar_no,
+    CASE WHEN h.x IS NULL THEN e.y WHEN e.y IS NULL THEN h.x
+         ELSE (pow(0.8, h.bar_no - e.seen) * e.y + 0.2 * h.x) / (pow(0.8, h.bar_no - e.seen) + 0.2) END,
+    CASE WHEN h.x IS NULL THEN e.seen ELSE h.bar_no END
+  FROM e JOIN holes h ON h.symbol = e.symbol AND h.bar_no = e.bar_no + 1)""", "SELECT symbol, bar_no, round(y, 6) AS \"EMA_9\" FROM e"),
+    "symbol_files": q(BARS, "SELECT symbol, ts, open, high, low, close, volume FROM bars"),
+    "symbol_file_rejects": "SELECT 'S0' AS symbol, 'no header' AS reason",
     "forward_fill": q(PANEL + """,
 holes AS (SELECT symbol, bar_no, CASE WHEN volume % 3 = 0 THEN close END AS close,
                  CASE WHEN bar_no % 50 = 7 THEN volume END AS volume FROM panel)""", f"""

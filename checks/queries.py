@@ -15,7 +15,7 @@ from barlab.operators.features import feature_frame, momentum_entries, with_atr_
 from barlab.operators.panel import fill_forward, number_bars
 from barlab.operators.reach import durations_by_ratio
 from barlab.operators.recipes import Recipe, with_indicators
-from barlab.operators.resample import resample_bars, ticks_as_bars
+from barlab.operators.resample import resample_bars, resample_calendar, ticks_as_bars
 from barlab.operators.rules import Rule
 from barlab.operators.sampling import hash_sample
 from barlab.params import FEATURE_COLUMNS
@@ -23,10 +23,11 @@ from barlab.plans.apply_rules import apply_rules, out_of_sample, split_performan
 from barlab.plans.calibrate import admitted_universe, calibrate
 from barlab.plans.discover import discover_rules, labeled_table
 from barlab.session import shared_folder, stage
-from barlab.sources.bars import read_bars
+from barlab.operators.scan import ema_over_gaps
+from barlab.sources.bars import read_bars, read_symbol_files
 from barlab.sources.derived import lineitem_bars
 from barlab.sources.rule_files import read_rules
-from barlab.sources.sinks import write_table
+from barlab.sources.sinks import write_symbol_files, write_table
 from barlab.sources.universe import parse_symbols, read_universe
 
 # Parameters of the queries. Thresholds lie off the price grid, where two engines
@@ -116,6 +117,36 @@ def q_resample_seven_hours(spark, sf_dir):
     return resample_bars(ticks_as_bars(event_ticks(spark, sf_dir)), 7 * 3_600)
 
 
+def q_resample_calendar_week(spark, sf_dir):
+    return resample_calendar(lineitem_bars(spark, sf_dir), "week")
+
+
+def q_resample_month(spark, sf_dir):
+    return resample_calendar(lineitem_bars(spark, sf_dir), "month")
+
+
+def q_ema_gaps(spark, sf_dir):
+    """Half of every 700 bars miss their close, and of the others every third."""
+    known = (F.col("bar_no") % 700 < 350) & (F.col("bar_no") % 3 != 1)
+    holes = panel(spark, sf_dir).withColumn("close", F.when(known, F.col("close")))
+    return ema_over_gaps(holes, "close", 9, "EMA_9", values=1024).select("symbol", "bar_no", *r6("EMA_9"))
+
+
+def symbol_files(spark, sf_dir):
+    """A folder of files per symbol, in two column orders, and one file without a usable header."""
+    folder = f"{shared_folder(spark)}/barlab/symbol-files-{uuid.uuid4().hex}"
+    day, time = F.date_format("ts", "yyyy-MM-dd"), F.date_format("ts", "HH:mm:ss")
+    bars = lineitem_bars(spark, sf_dir).select(
+        "symbol", day.alias("Date"), time.alias("Time"), *[F.col(c.lower()).alias(c) for c in ("Open", "High", "Low", "Close", "Volume")],
+        F.lit('a "b", c').alias("Note"),
+    )
+    even = F.substring("symbol", 2, 9).cast("int") % 2 == 0
+    write_symbol_files(bars.filter(even), f"{folder}/even", ["Date", "Time", "Open", "High", "Low", "Close", "Volume"])
+    write_symbol_files(bars.filter(~even), f"{folder}/odd", ["Volume", "Note", "Close", "Low", "High", "Open", "Time", "Date"])
+    write_symbol_files(bars.filter("symbol = 'S0'"), f"{folder}/bad", ["Date", "Open", "High", "Low", "Close"])
+    return read_symbol_files(spark, folder)
+
+
 def q_forward_fill(spark, sf_dir):
     holes = panel(spark, sf_dir).select(
         "symbol", "bar_no", "n_bars",
@@ -470,6 +501,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "resample_week": q_resample_week,
     "resample_hour": q_resample_hour,
     "resample_seven_hours": q_resample_seven_hours,
+    "resample_calendar_week": q_resample_calendar_week,
+    "resample_month": q_resample_month,
+    "ema_gaps": q_ema_gaps,
+    "symbol_files": lambda s, d: symbol_files(s, d)[0],
+    "symbol_file_rejects": lambda s, d: symbol_files(s, d)[1].drop("file"),
     "quality": lambda s, d: quality.check_bars(lineitem_bars(s, d), 2270),
     "good_bars": q_good_bars,
     "symbol_list": q_symbol_list,

@@ -7,7 +7,7 @@ import pytest
 from barlab.operators import indicators as ind
 from barlab.operators.features import feature_columns, feature_frame, momentum_entries, with_atr_alias
 from barlab.operators.recipes import with_indicators
-from barlab.operators.scan import ema
+from barlab.operators.scan import ema, ema_over_gaps, macd_over_gaps
 from barlab.params import FEATURE_COLUMNS
 from tests.conftest import to_spark, walk
 
@@ -99,18 +99,24 @@ def test_ema_spans_and_nulls(spark, span):
 
 
 @pytest.mark.parametrize("block", [SMALL, 32768])
-def test_ema_repeats_its_value_over_long_runs_of_nulls(spark, block):
-    """Runs over several blocks, one up to the end."""
+def test_ema_over_gaps_of_any_length(spark, block):
+    """Runs over several blocks, one up to the end, and stretches where two of three values are missing."""
     frame = walk("A", 9_000, 16)
     for a, b in ((0, 30), (1_500, 2_600), (3_000, 7_300), (8_000, 9_000)):
         frame.loc[a : b - 1, "close"] = np.nan
-    got = with_indicators(to_spark(spark, frame), ema("close", 9, "y"), ind.macd(), block=block)
-    got = got.toPandas().sort_values("bar_no").reset_index(drop=True)
+    frame.loc[(frame.index > 300) & (frame.index % 3 != 1), "close"] = np.nan
+    other = walk("B", 1_200, 17)
+    other["close"] = np.nan
+    df = to_spark(spark, pd.concat([frame, other]))
     ewm = lambda x, span: x.ewm(span=span, adjust=False).mean()
     line = ewm(frame.close, 12) - ewm(frame.close, 26)
-    for have, want in ((got.y, ewm(frame.close, 9)), (got.MACD_line, line), (got.MACD_signal, ewm(line, 9))):
+    one = ema_over_gaps(df, "close", 9, "y", block, 1_024).toPandas()
+    all_three = macd_over_gaps(df, block=block).toPandas()
+    for got, c, want in ((one, "y", ewm(frame.close, 9)), (all_three, "MACD_line", line), (all_three, "MACD_signal", ewm(line, 9))):
+        have = got[got.symbol == "A"].sort_values("bar_no").reset_index(drop=True)[c].astype(float)
         assert (have.isna() == want.isna()).all()
         assert np.nanmax(np.abs(have - want)) < 1e-8
+        assert got[got.symbol == "B"][c].isna().all() and len(got) == 10_200
 
 
 def test_flat_prices_and_no_volume(spark):
@@ -169,7 +175,7 @@ def test_one_shuffle_and_one_sort(spark, bars):
     from barlab.operators.features import raw_features
     from barlab.session import stage
 
-    df = raw_features(stage(to_spark(spark, bars), "plan"))
+    df = raw_features(stage(to_spark(spark, bars), "plan"), dense=True)
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1
     assert plan.count("Sort [") == 1
