@@ -28,9 +28,10 @@ from barlab.session import stage
 
 WINDOW = 10
 SHINGLE = 3
-# Fixed values of the contract: a word, before and after A-Z are lower-cased.
-WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-ANY_CASE_WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+# Fixed values of the contract: a word, after and before A-Z are lower-cased. The classes are written by what they
+# hold; Java takes nearly three times as long for the same ones written by what they leave out.
+WORD = r"[0-9a-z\x80-\x{10FFFF}]+"
+ANY_CASE_WORD = r"[0-9A-Za-z\x80-\x{10FFFF}]+"
 
 
 def lower_ascii(text: Column) -> Column:
