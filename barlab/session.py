@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -42,6 +44,26 @@ def shared_folder(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+#: Paths of the tables staged so far, for :func:`staged_tables`.
+_staged: list[str] = []
+
+
+@contextmanager
+def staged_tables(spark: SparkSession) -> Iterator[None]:
+    """Delete on leaving what was staged inside.
+
+    Results of operators read staged tables, so write them out before the scope ends.
+    """
+    before = len(_staged)
+    try:
+        yield
+    finally:
+        for path in _staged[before:]:
+            held = spark._jvm.org.apache.hadoop.fs.Path(path)
+            held.getFileSystem(spark._jsc.hadoopConfiguration()).delete(held, True)
+        del _staged[before:]
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder once and read it back.
 
@@ -54,4 +76,5 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/barlab/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    _staged.append(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -1,6 +1,7 @@
 """Files in and out, universes, resampling and the stream."""
 
 import json
+from pathlib import Path
 
 import numpy as np
 import pandas as pd
@@ -11,7 +12,7 @@ from barlab.operators.model import rules_as_list
 from barlab.operators.resample import resample_bars
 from barlab.operators.rules import Rule, parse_conditions, rules_from_table
 from barlab.params import DEFAULT_SYMBOLS, FEATURE_COLUMNS
-from barlab.session import shared_folder, stage
+from barlab.session import shared_folder, stage, staged_tables
 from barlab.sources.bars import read_bars, read_frames, read_symbol_files
 from barlab.sources.rule_files import export_rules, read_rules, rule_json
 from barlab.sources.sinks import write_table
@@ -188,3 +189,12 @@ def test_derived_ticks_for_any_key_range(spark, per_range):
     k = ((frame.l_discount * 100).round().astype(int) - 5).groupby(frame.symbol).cumsum()
     want = (200 + ((5 * k + 800) % 3200 - 1600).abs()) / 100
     assert np.array_equal(got.px.to_numpy(), want.to_numpy())
+
+
+def test_staged_tables_end_with_their_scope(spark):
+    with staged_tables(spark):
+        inner = stage(spark.range(5), "scoped")
+        assert inner.count() == 5
+        path = inner.inputFiles()[0].removeprefix("file://").rsplit("/", 1)[0]
+        assert Path(path).exists()
+    assert not Path(path).exists()
