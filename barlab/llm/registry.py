@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barlab.llm import (
-    decontamination, license_scan, license_templates, line_dedup, pii, quality_classifier, quality_rules, secret_scan,
+    decontamination, license_scan, license_templates, line_dedup, oracles, pii, quality_classifier, quality_rules, secret_scan,
     sentencepiece_codec, simhash, token_files,
 )
 from barlab.llm.common import table
@@ -79,6 +79,21 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def secret_base(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the fixed patterns find; the whole result is ``op5_secret_scan``."""
+    return op5_secret_scan(spark, sf_dir).drop("spans")
+
+
+def pii_base(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the fixed patterns find; the whole result is ``op8_pii``."""
+    return op8_pii(spark, sf_dir).drop("spans")
+
+
+def quality_base(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts and base tests; the whole result is ``op7_quality_rules``."""
+    return op7_quality_rules(spark, sf_dir).drop("kept")
+
+
 QUERIES = {
     "op1_license_scan": op1_license_scan,
     "op2_decontamination": op2_decontamination,
@@ -90,5 +105,13 @@ QUERIES = {
     "op8_pii": op8_pii,
     "op9_token_files": op9_token_files,
     "op10_sentencepiece": op10_sentencepiece,
+    "secret_base": secret_base,
+    "pii_base": pii_base,
+    "quality_base": quality_base,
+}
+ORACLES: dict[str, str] = {
+    "op2_decontamination": decontamination.ORACLE,
+    "secret_base": oracles.SECRETS,
+    "pii_base": oracles.PERSONAL,
+    "quality_base": oracles.COUNTS,
 }
-ORACLES: dict[str, str] = {"op2_decontamination": decontamination.ORACLE}
