@@ -55,11 +55,19 @@ def walk_forward(panel: DataFrame, train: int = 252, test: int = 63, step: int =
     )
 
 
-def fold_summary(folds: DataFrame) -> DataFrame:
-    return folds.groupBy("symbol", "fold").agg(
-        F.min("ts").alias("first_ts"),
-        F.min(F.when(F.col("part") == "test", F.col("ts"))).alias("test_ts"),
-        F.max("ts").alias("last_ts"),
-        F.count_if(F.col("part") == "train").alias("train_rows"),
-        F.count_if(F.col("part") == "test").alias("test_rows"),
+def fold_summary(panel: DataFrame, train: int = 252, test: int = 63, step: int = 21) -> DataFrame:
+    """``symbol, fold, first_ts, test_ts, last_ts, train_rows, test_rows`` of the folds that fit into the data.
+
+    Bars are numbered without holes, so a fold's edges are known by number: only the bars on an edge take part,
+    not every bar once per fold.
+    """
+    length = train + test
+    ends = {"first_ts": 0, "test_ts": train, "last_ts": length - 1}
+    edges = F.array(*[F.struct(F.lit(name).alias("edge"), (F.col("bar_no") - at).alias("start")) for name, at in ends.items()])
+    on_edge = panel.select("symbol", "ts", "n_bars", F.explode(edges).alias("e")).filter(
+        (F.col("e.start") >= 0) & (F.col("e.start") % step == 0) & (F.col("e.start") + length <= F.col("n_bars"))
+    )
+    return on_edge.withColumn("fold", F.expr(f"e.start div {step}L")).groupBy("symbol", "fold").agg(
+        *[F.min(F.when(F.col("e.edge") == name, F.col("ts"))).alias(name) for name in ends],
+        F.lit(train).cast("bigint").alias("train_rows"), F.lit(test).cast("bigint").alias("test_rows"),
     )

@@ -629,6 +629,22 @@ WHERE {BP_OK}"""),
     "class_weights": q(LABELS, """
 SELECT target, n, round(sum(n) OVER () / CAST(count(*) OVER () * n AS DOUBLE), 9) AS weight
 FROM (SELECT CASE WHEN label = 1 THEN 1 ELSE 0 END AS target, count(*) AS n FROM lab GROUP BY 1)"""),
+    "tree_split": q(SPLIT + f""",
+rows AS (
+  SELECT CASE WHEN r.label = 1 THEN 1 ELSE 0 END AS y, floor(round(f.RSI_14, 6) / 2) AS rsi_step,
+         floor(round(f.close * 100) / 10) AS price_step
+  FROM ranked r JOIN feat f USING (symbol, bar_no)
+  WHERE n_rows >= 20 AND row_no < floor(n_rows * {dbl(0.7)})),
+v AS (SELECT 0 AS pos, 'rsi_step' AS feature, rsi_step AS x, y FROM rows
+      UNION ALL SELECT 1, 'price_step', price_step, y FROM rows),
+g AS (SELECT pos, feature, x, count(*) AS n, sum(y) AS s FROM v GROUP BY pos, feature, x),
+c AS (SELECT pos, feature, x, lead(x) OVER w AS nx, CAST(sum(n) OVER w AS BIGINT) AS nl, CAST(sum(s) OVER w AS DOUBLE) AS sl,
+             CAST(sum(n) OVER (PARTITION BY feature) AS BIGINT) AS nt, CAST(sum(s) OVER (PARTITION BY feature) AS DOUBLE) AS st
+      FROM g WINDOW w AS (PARTITION BY feature ORDER BY x)),
+best AS (SELECT *, (x + nx) / 2 AS threshold FROM c WHERE nx IS NOT NULL AND nl >= 30 AND nt - nl >= 30
+         ORDER BY sl * sl / nl + (st - sl) * (st - sl) / (nt - nl) DESC, pos, x LIMIT 1)""", """
+SELECT 0 AS rule_id, feature, '<=' AS op, threshold, nl AS n_samples, round(sl / nl, 9) AS p FROM best
+UNION ALL SELECT 1, feature, '>', threshold, nt - nl, round((st - sl) / (nt - nl), 9) FROM best"""),
     "rule_rates": q(SPLIT + "," + HITS, f"""
 SELECT rule_id, n_samples, {r6('p', 'p_label_1')}
 FROM (SELECT rule_id, count(*) AS n_samples, avg(CASE WHEN label = 1 THEN 1 ELSE 0 END) AS p

@@ -390,7 +390,7 @@ def q_row_order_head(spark, sf_dir):
 
 
 def q_folds(spark, sf_dir):
-    return splits.fold_summary(splits.walk_forward(panel(spark, sf_dir).select("symbol", "ts", "bar_no", "n_bars")))
+    return splits.fold_summary(panel(spark, sf_dir))
 
 
 def q_evaluation(spark, sf_dir):
@@ -440,6 +440,22 @@ def _fitted(spark, sf_dir):
     return _models[key]
 
 
+def q_tree_split(spark, sf_dir):
+    """The first split of a tree over inputs with few values, where every midpoint between values is tried."""
+    split = splits.split_by_time(labeled(spark, sf_dir)).filter(F.col("part") == "train")
+    inputs = ["rsi_step", "price_step"]
+    rows = split.select(
+        scalars.binary_target(F.col("label")).cast("double").alias("tp"),
+        F.floor(F.round("RSI_14", 6) / 2).cast("double").alias("rsi_step"),
+        F.floor(F.round(F.col("close") * 100) / 10).cast("double").alias("price_step"),
+    )
+    tree = model.train_tree(stage(rows, "inputs"), inputs, "tp", model.Learner(levels=1))
+    leaves = model.leaf_rules(spark, model.node_table(spark, tree), inputs, 30, 0.0)
+    return leaves.select("rule_id", F.explode("conditions").alias("c"), "n_samples", F.round("p_label_1", 9).alias("p")).select(
+        "rule_id", "c.feature", "c.op", "c.threshold", "n_samples", "p"
+    )
+
+
 def q_learned_rules(spark, sf_dir):
     return model.rules_as_text(_fitted(spark, sf_dir).rules)
 
@@ -572,6 +588,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "rules_json": q_rules_json,
     "class_weights": q_class_weights,
     "rule_rates": q_rule_rates,
+    "tree_split": q_tree_split,
     "learned_rules": q_learned_rules,
     "feature_importance": q_feature_importance,
 }

@@ -86,6 +86,14 @@ def test_row_order_head(spark):
 
 def test_folds(spark):
     frame = pd.concat([walk("A", 40, 1), walk("B", 24, 2), walk("C", 25, 3)])
-    got = fold_summary(walk_forward(to_spark(spark, frame), 20, 5, 3)).toPandas()
+    bars = to_spark(spark, frame)
+    rows = walk_forward(bars, 20, 5, 3).toPandas()
+    want = rows.groupby(["symbol", "fold"]).agg(first_ts=("ts", "min"), last_ts=("ts", "max"), n=("ts", "size"))
+    want["test_ts"] = rows[rows.part == "test"].groupby(["symbol", "fold"]).ts.min()
+    assert (want.n == 25).all()
+    got = fold_summary(bars, 20, 5, 3).toPandas().set_index(["symbol", "fold"]).sort_index()
+    for c in ("first_ts", "test_ts", "last_ts"):
+        assert (got[c] == want[c]).all()
+    got = got.reset_index()
     assert (got.train_rows == 20).all() and (got.test_rows == 5).all()
     assert got.groupby("symbol").size().to_dict() == {"A": 6, "C": 1}
