@@ -6,6 +6,7 @@ orders. ``r6`` also maps a rounded minus zero to zero.
 
 from __future__ import annotations
 
+from barlab.functions.scalars import CONDITION_PATTERN
 from barlab.params import FEATURE_COLUMNS
 from checks.queries import CSL, DIGITS, EDA_NUMBERS, METRICS, MONEY, RATIOS, RESULT_NUMBERS, RULES
 
@@ -294,9 +295,9 @@ texts AS (
   FROM (SELECT symbol, year(ts) AS y, avg(close) AS m, max(high) AS top FROM panel GROUP BY symbol, year(ts))),
 cond AS (
   SELECT rule_id, CAST(pos - 1 AS INTEGER) AS pos, text,
-    nullif(regexp_extract(text, '^(\\w+)\\s*(<=|>=|<|>|==)\\s*([\\d.+-]+)$', 1), '') AS feature,
-    nullif(regexp_extract(text, '^(\\w+)\\s*(<=|>=|<|>|==)\\s*([\\d.+-]+)$', 2), '') AS op,
-    TRY_CAST(regexp_extract(text, '^(\\w+)\\s*(<=|>=|<|>|==)\\s*([\\d.+-]+)$', 3) AS DOUBLE) AS threshold
+    nullif(regexp_extract(text, '""" + CONDITION_PATTERN + """', 1), '') AS feature,
+    nullif(regexp_extract(text, '""" + CONDITION_PATTERN + """', 2), '') AS op,
+    TRY_CAST(regexp_extract(text, '""" + CONDITION_PATTERN + """', 3) AS DOUBLE) AS threshold
   FROM (SELECT rule_id, unnest(conditions) AS text, unnest(range(1, 6)) AS pos FROM texts))"""
 
 
