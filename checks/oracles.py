@@ -53,6 +53,8 @@ bars AS (
          sum(l_quantity) AS volume
   FROM lq GROUP BY symbol, ts)"""
 
+# As many bars as 99 of 100 of the largest symbol.
+ENOUGH = "(SELECT max(n) * 99 // 100 FROM (SELECT count(*) AS n FROM bars GROUP BY symbol))"
 PANEL = BARS + """,
 panel AS (
   SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY ts) - 1 AS bar_no,
@@ -230,7 +232,7 @@ calib AS (
          big AND csl IS NOT NULL AND {BP_OK} AS admitted,
          CASE WHEN NOT big THEN 'insufficient_data' WHEN csl IS NULL THEN 'csl_rejected'
               WHEN NOT {BP_OK} THEN 'bp_rejected' END AS error
-  FROM (SELECT symbol, count(*) >= 2270 AS big FROM bars GROUP BY symbol)
+  FROM (SELECT symbol, count(*) >= {ENOUGH} AS big FROM bars GROUP BY symbol)
   LEFT JOIN stops USING (symbol) LEFT JOIN bp USING (symbol))"""
 
 # The same calibration on the feature frame: true range and ER start anew.
@@ -435,8 +437,8 @@ ORACLES: dict[str, str] = {
     "resample_week": resampled(f"WITH {BARS.strip()}", "bars", 7 * 86_400),
     "resample_hour": resampled(EVENT_BARS, "ev", 3_600),
     "resample_seven_hours": resampled(EVENT_BARS, "ev", 7 * 3_600),
-    "quality": q(BARS, "SELECT symbol, count(*) AS n_bars, count(*) >= 2270 AS ok FROM bars GROUP BY symbol"),
-    "good_bars": q(PANEL, "SELECT symbol, ts, close FROM panel WHERE n_bars >= 2270"),
+    "quality": q(BARS, f"SELECT symbol, count(*) AS n_bars, count(*) >= {ENOUGH} AS ok FROM bars GROUP BY symbol"),
+    "good_bars": q(PANEL, f"SELECT symbol, ts, close FROM panel WHERE n_bars >= {ENOUGH}"),
     "symbol_list": """
 SELECT symbol, count(*) AS n
 FROM (SELECT upper(trim(CASE event_id % 4 WHEN 0 THEN '# ' || event_type WHEN 1 THEN '  '

@@ -61,6 +61,11 @@ def panel(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _once("panel", spark, sf_dir, lambda: number_bars(lineitem_bars(spark, sf_dir)))
 
 
+def enough(spark: SparkSession, sf_dir: str) -> int:
+    """As many bars as 99 of 100 of the largest symbol: some symbols have them and some may not, at every size."""
+    return (panel(spark, sf_dir).agg(F.max("n_bars")).first()[0] or 0) * 99 // 100
+
+
 def features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _once("features", spark, sf_dir, lambda: feature_frame(panel(spark, sf_dir), dense=True))
 
@@ -192,7 +197,7 @@ def q_buying_power(spark, sf_dir):
 
 
 def _calibration(spark, sf_dir):
-    return calibrate(panel(spark, sf_dir), fewest_bars=2270)
+    return calibrate(panel(spark, sf_dir), fewest_bars=enough(spark, sf_dir))
 
 
 def q_calibration(spark, sf_dir):
@@ -407,7 +412,7 @@ def q_liquid_bars(spark, sf_dir):
 
 
 def q_good_bars(spark, sf_dir):
-    return quality.keep_good(lineitem_bars(spark, sf_dir), 2270).select("symbol", "ts", "close")
+    return quality.keep_good(lineitem_bars(spark, sf_dir), enough(spark, sf_dir)).select("symbol", "ts", "close")
 
 
 def q_symbol_list(spark, sf_dir):
@@ -522,7 +527,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "ema_gaps": q_ema_gaps,
     "symbol_files": lambda s, d: symbol_files(s, d)[0],
     "symbol_file_rejects": lambda s, d: symbol_files(s, d)[1].drop("file"),
-    "quality": lambda s, d: quality.check_bars(lineitem_bars(s, d), 2270),
+    "quality": lambda s, d: quality.check_bars(lineitem_bars(s, d), enough(s, d)),
     "good_bars": q_good_bars,
     "symbol_list": q_symbol_list,
     "forward_fill": q_forward_fill,
