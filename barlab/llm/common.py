@@ -15,15 +15,25 @@ from pyspark.sql import functions as F
 #: at most a few dozen bytes, so this is some 30 MB at most.
 BROADCAST_ROWS = 500_000
 #: Characters of text that a Python task works on at a time.
-SLICE_CHARS = 4_000_000
+SLICE_CHARS = 2_000_000
 
 
+#: Bytes that Spark hands to a Python task at a time, unless the session has its own setting; a longer row goes alone.
+BATCH_BYTES = 4 << 20
+DEFAULT_BATCH_BYTES = 64 << 20
+BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
 _shipped: set[str] = set()
 
 
 def ship_package(spark: SparkSession) -> None:
-    """Send this package's modules to the executors' Python workers, once per application."""
+    """Make the session ready for Python tasks.
+
+    Sends this package's modules to the executors, once per application, and bounds Arrow batches by bytes: by rows
+    alone, a batch of long texts is held several times over, in the JVM and in Python.
+    """
     sc = spark.sparkContext
+    if spark.conf.get(BATCH_SETTING) == f"{DEFAULT_BATCH_BYTES}b":
+        spark.conf.set(BATCH_SETTING, str(BATCH_BYTES))
     if sc.applicationId in _shipped:
         return
     top = Path(__file__).resolve().parents[1]

@@ -87,8 +87,8 @@ def chunk_table(docs: DataFrame, keys: list[str], text: str, with_text: bool, op
                         h1.append(int.from_bytes(digest[:8], "big", signed=True))
                         h2.append(int.from_bytes(digest[8:], "big", signed=True))
                         joined.append(body)
-            taken = batch.take(pa.array(row, pa.int32()))
-            columns = [*taken.columns[:-1], pa.array(number, pa.int32()), pa.array(h1, pa.int64()), pa.array(h2, pa.int64())]
+            rows = pa.array(row, pa.int32())
+            columns = [*(c.take(rows) for c in batch.columns[:-1]), pa.array(number, pa.int32()), pa.array(h1, pa.int64()), pa.array(h2, pa.int64())]
             names = [*keys, "chunk_no", "h1", "h2"]
             if with_text:
                 columns.append(pa.array(joined, pa.binary()))

@@ -6,7 +6,7 @@ after the other. Each task keeps a table of the distinct marked words it has met
 A slice of texts is cut into marked words; those that the table lacks are
 segmented, and decoded, once, in one call; then ids and characters are joined back
 by position. The table is dropped when it has ``TABLE_WORDS`` words, so a task's
-memory has a bound and the result does not depend on it.
+memory has a bound and the result does not depend on it; it ends with the task, so that an idle worker holds none.
 
 The table belongs to a task and is not shared through a shuffle: a corpus-wide
 table would send all distinct words and then all texts over the network to
@@ -34,8 +34,8 @@ from pyspark.sql import types as T
 from barlab.llm.common import ship_package, slices, whole_text
 
 MARK = "▁"
-#: Words in a task's table before a new one is begun: some 300 MB.
-TABLE_WORDS = 1_200_000
+#: Words in a task's table before a new one is begun: some 100 MB.
+TABLE_WORDS = 400_000
 MARKED = re.compile(f"{MARK}+[^{MARK}]*")
 ACROSS = re.compile(f"[^{MARK}]{MARK}")
 
@@ -47,7 +47,8 @@ class MarkedWords:
         self.pieces = sentencepiece.SentencePieceProcessor(model_file=model)
         names = (self.pieces.id_to_piece(i) for i in range(self.pieces.get_piece_size()))
         self.by_word = self.pieces.normalize("a") == f"{MARK}a" and not any(map(ACROSS.search, names))
-        self.known: dict[str, tuple[bytes, str]] = {}
+        self.known: dict[str, bytes] = {}
+        self.changed: dict[str, str] = {}  # words that do not decode to themselves
 
     def words(self, text: str) -> list[str] | None:
         """The text's marked words, or None if it has to be encoded as a whole."""
@@ -62,14 +63,15 @@ class MarkedWords:
 
     def learn(self, words: set[str]) -> None:
         if len(self.known) > TABLE_WORDS:
-            self.known = {}
+            self.forget()
         new = [w for w in words if w and w not in self.known]
         if "" in words:
-            self.known[""] = (array("i", [self.pieces.piece_to_id(MARK)]).tobytes(), " ")
+            self.known[""] = array("i", [self.pieces.piece_to_id(MARK)]).tobytes()
         if new:
             ids = self.pieces.encode(new, num_threads=1)
             texts = self.pieces.decode(ids, num_threads=1)
-            self.known.update((w, (array("i", i).tobytes(), f" {t}")) for w, i, t in zip(new, ids, texts))
+            self.known.update([(w, array("i", i).tobytes()) for w, i in zip(new, ids)])
+            self.changed.update([(w, t) for w, t in zip(new, texts) if w != t])
 
     def encode(self, texts: list[str]) -> list[tuple[bytes, str]]:
         """Per text its ids, as 32-bit integers, and the text they decode to."""
@@ -77,9 +79,14 @@ class MarkedWords:
         self.learn(set().union(*(w for w in cut if w)))
         return [self.whole(t) if w is None else self.joined(w) for t, w in zip(texts, cut)]
 
+    def forget(self) -> None:
+        self.known, self.changed = {}, {}
+
     def joined(self, words: list[str]) -> tuple[bytes, str]:
-        found = [self.known[w] for w in words]
-        return b"".join([f[0] for f in found]), "".join([f[1] for f in found])[1:]
+        ids = b"".join(map(self.known.__getitem__, words))
+        if not self.changed.keys().isdisjoint(words):
+            words = [self.changed.get(w, w) for w in words]
+        return ids, " ".join(words)
 
     def whole(self, text: str) -> tuple[bytes, str]:
         ids = self.pieces.encode(text)
@@ -88,7 +95,7 @@ class MarkedWords:
 
 @lru_cache(maxsize=2)
 def marked_words(model: str) -> MarkedWords:
-    """One table per Python worker and model."""
+    """The model, loaded once per Python worker."""
     return MarkedWords(model)
 
 
@@ -117,10 +124,14 @@ def encode_decode(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = marked_words(model)
-        for batch in slices(batches, "__text"):
-            found = words.encode(batch.column(batch.num_columns - 1).to_pylist())
-            columns = [*batch.columns[:-1], id_lists([f[0] for f in found]), pa.array([f[1] for f in found], pa.string())]
-            yield pa.RecordBatch.from_arrays(columns, names=[*kept, ids, decoded])
+        try:
+            for batch in slices(batches, "__text"):
+                found = words.encode(batch.column(batch.num_columns - 1).to_pylist())
+                texts = pa.array([f[1] for f in found], pa.string())
+                columns = [*batch.columns[:-1], id_lists([f[0] for f in found]), texts]
+                yield pa.RecordBatch.from_arrays(columns, names=[*kept, ids, decoded])
+        finally:
+            words.forget()
 
     return source.mapInArrow(run, schema)
 
