@@ -22,6 +22,7 @@ normaliser is a lower-casing; all others are encoded by the tokenizer as a whole
 
 from __future__ import annotations
 
+import os
 import re
 import zlib
 from collections.abc import Iterator
@@ -38,8 +39,9 @@ from tokenizers.pre_tokenizers import ByteLevel, WhitespaceSplit
 
 from barlab.llm.common import ship_package, slices, whole_text
 
-#: Ids and words in a worker's table before a new one is begun: some 250 MB.
-TABLE_WORDS = 1_000_000
+#: Words and pieces in a worker's table before a new one is begun: some 150 MB. It outlives a task, since most of
+#: the time goes into words that a worker sees for the first time.
+TABLE_WORDS = 700_000
 ROW_GROUP_BYTES = 16 << 20
 PAGE_BYTES = 128 << 10
 PAGE_ROWS = 2_000
@@ -50,25 +52,31 @@ JOINED_WORDS = 64
 LETTERS = "a-zß-öø-ÿĀ-ſ"
 PIECE = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{LETTERS}]+|[0-9]|[^\\s0-9{LETTERS}]+")
 #: Characters that are only lower-cased by the normaliser, and white space that every library sees alike.
-NOT_PLAIN = re.compile("[^\t\n\x0b\x0c\r -~À-ÖØ-öø-įıĲ-ňŊ-ž]|<\\|")
+NOT_PLAIN = re.compile("[^\t\n\x0b\x0c\r -~À-ÖØ-öø-įıĲ-ňŊ-ž]")
+#: A sign before a full stop or comma at a word's end: they are one piece then, and must not be cut apart.
+STUCK = re.compile("[!-/:-@\\[-`{-~][.,][ \n]")
+#: How the vocabulary's special tokens begin.
+SPECIAL = "<|"
 
 
 class WordIds:
     """Ids of lower-cased words between white space, as bytes of 32-bit integers."""
 
     def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core; idle threads would wait busily
         self.whole = Tokenizer.from_file(path)
         self.whole.encode_special_tokens = False
         self.merges = Tokenizer(self.whole.model)
         self.merges.pre_tokenizer = WhitespaceSplit()
+        if hasattr(self.merges.model, "_resize_cache"):
+            self.merges.model._resize_cache(0)  # a piece comes once: the table is the cache
         vocabulary = self.whole.get_vocab(with_added_tokens=False)
         suffix = self.whole.model.end_of_word_suffix
         self.ends = np.zeros(max(self.whole.get_vocab().values()) + 1, dtype=bool)
         self.ends[[i for t, i in vocabulary.items() if suffix and t.endswith(suffix)]] = True
-        self.shapes = str.maketrans({chr(b): _shape(b) for b in range(256)})
+        self.shapes = str.maketrans({chr(b): _shape(b) for b in range(256) if b != 32})  # a space stands between pieces
         self.plain = self._splits_alike()
-        self.words: dict[str, bytes] = {}
-        self.pieces: dict[str, bytes] = {}
+        self.known: dict[str, bytes] = {}  # words and their pieces; a piece is a word as well
 
     def _splits_alike(self) -> bool:
         """Whether this vocabulary is of the kind that ``PIECE`` describes."""
@@ -80,35 +88,50 @@ class WordIds:
 
     def learn_pieces(self, pieces: list[str]) -> None:
         """Merge new pieces, many in one text; a piece ends with a token that ends a word."""
-        shaped = [p.encode().decode("latin-1").translate(self.shapes) for p in pieces]
-        joined = [" ".join(shaped[i : i + JOINED_WORDS]) for i in range(0, len(shaped), JOINED_WORDS)]
+        joined = [
+            " ".join(pieces[i : i + JOINED_WORDS]).encode().decode("latin-1").translate(self.shapes)
+            for i in range(0, len(pieces), JOINED_WORDS)
+        ]
         found = self.merges.encode_batch_fast(joined, add_special_tokens=False)
         ids = np.concatenate([np.asarray(x.ids, dtype="<u4") for x in found])
         cuts = [0, *(np.flatnonzero(self.ends[ids]) + 1).tolist()]
         if len(cuts) != len(pieces) + 1:
             raise ValueError("a word of this vocabulary does not end with the end-of-word suffix")
         raw = ids.tobytes()
-        self.pieces.update((p, raw[4 * a : 4 * b]) for p, a, b in zip(pieces, cuts, cuts[1:]))
+        self.known.update((p, raw[4 * a : 4 * b]) for p, a, b in zip(pieces, cuts, cuts[1:]))
 
     def learn(self, words: set[str]) -> None:
-        if len(self.words) + len(self.pieces) > TABLE_WORDS:
-            self.words, self.pieces = {}, {}
-        cut = {w: PIECE.findall(w) for w in words if w not in self.words}
-        new = list({p for pieces in cut.values() for p in pieces if p not in self.pieces})
-        if new:
-            self.learn_pieces(new)
-        self.words.update((w, b"".join([self.pieces[p] for p in pieces])) for w, pieces in cut.items())
+        if len(self.known) > TABLE_WORDS:
+            self.known = {}
+        known = self.known
+        unknown = words - known.keys()
+        single = {w for w in unknown if w.isalpha()}
+        cut = {w: PIECE.findall(w) for w in unknown - single}
+        if new := single.union(*cut.values()) - known.keys():
+            self.learn_pieces(list(new))
+        known.update([(w, b"".join([known[p] for p in pieces])) for w, pieces in cut.items() if len(pieces) != 1])
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        cut = [t.lower().split() if self.plain and not NOT_PLAIN.search(t) else None for t in texts]
+        cut = [_cut(t) if self.plain and SPECIAL not in t and not NOT_PLAIN.search(t) else None for t in texts]
         self.learn(set().union(*(w for w in cut if w)))
-        known = self.words
-        return [self._whole(t) if w is None else b"".join([known[x] for x in w]) for t, w in zip(texts, cut)]
+        ids = self.known.__getitem__
+        return [self._whole(t) if w is None else b"".join(map(ids, w)) for t, w in zip(texts, cut)]
 
     def _whole(self, text: str) -> bytes:
         return np.asarray(self.whole.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
 
+def _cut(text: str) -> list[str]:
+    """Lower-cased words between white space, with a full stop or comma at their end as a word of its own.
+
+    Most words are a single piece then, and the table of words holds few of them twice.
+    """
+    text = text.lower()
+    if not STUCK.search(text):
+        text = text.replace(". ", " . ").replace(", ", " , ").replace(".\n", " . ")
+    return text.split()
+
+
 def _shape(byte: int) -> str:
     """The visible character by which byte-level vocabularies write a byte."""
     visible = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -117,7 +140,7 @@ def _shape(byte: int) -> str:
 
 @lru_cache(maxsize=2)
 def word_ids(path: str) -> WordIds:
-    """One table per Python worker and vocabulary."""
+    """The vocabulary, loaded once per Python worker."""
     return WordIds(path)
 
 
@@ -160,7 +183,7 @@ def write_tokens(
             start += ends[-1]
 
     rows = ordered.mapInArrow(run, "part int, doc_id bigint, local_start bigint, n_tokens int, tokens array<int>")
-    writer = rows.write.option("compression", "zstd").option("parquet.writer.version", "PARQUET_2_0")
+    writer = rows.write.option("compression", "snappy").option("parquet.writer.version", "PARQUET_2_0")
     writer = writer.option("parquet.block.size", ROW_GROUP_BYTES).option("parquet.page.size", PAGE_BYTES)
     writer = writer.option("parquet.page.row.count.limit", PAGE_ROWS).option("parquet.enable.dictionary", "true")
     for column in ("part", "doc_id", "local_start", "n_tokens"):
