@@ -12,11 +12,16 @@ its first occurrence and is removed everywhere else:
 2. Fetch the bytes of the chunks whose hash is repeated, and compare those of every later
    occurrence with those of the first.
 3. Rebuild the texts that lose a chunk.
+
+Such chunks (``dedup_lines``) leave the edges of a shared passage, and passages that hold no whole chunk, in place.
+``dedup_passages`` goes by the same steps but takes every window of two lines that are not blank, and every single line
+of over ``LONG_WORDS`` words, instead of one boundary in ``DIVISOR``: a removed passage then begins and ends where
+the equal lines do.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -32,6 +37,8 @@ from barlab.session import stage
 WINDOW = 2
 DIVISOR = 2
 MIN_LINES = 2
+#: A single line of more words than this is a passage by itself.
+LONG_WORDS = 50
 #: Multiplier of the rolling hash (odd, so that every line's hash keeps all its bits).
 STEP = np.uint64(0x9E3779B97F4A7C15)
 
@@ -69,8 +76,56 @@ def _multi_line(chunk: list[bytes]) -> bool:
     return sum(1 for x in chunk if x and not x.isspace()) > 1
 
 
-def chunk_table(docs: DataFrame, keys: list[str], text: str, with_text: bool, options: tuple[int, int, int]) -> DataFrame:
-    """``keys, chunk_no, h1, h2`` and, if asked for, ``chunk``: the multi-line chunks of every text."""
+#: Numbered lists of lines of a text that may repeat, and the lines (numbers) that go with some of them.
+Units = Callable[[bytes], Iterator[tuple[int, bytes]]]
+Lost = Callable[[list[bytes], set[int]], tuple[set[int], int]]
+
+
+def chunk_units(options: tuple[int, int, int]) -> tuple[Units, Lost]:
+    """Multi-line chunks by their number."""
+
+    def units(text: bytes) -> Iterator[tuple[int, bytes]]:
+        for k, chunk in enumerate(chunks(text, *options)):
+            if _multi_line(chunk):
+                yield k, b"\n".join(chunk)
+
+    def lost(lines: list[bytes], numbers: set[int]) -> tuple[set[int], int]:
+        ends = boundaries(lines, *options)
+        return {i for k, (a, b) in enumerate(zip([0, *ends], ends)) if k in numbers for i in range(a, b)}, len(numbers)
+
+    return units, lost
+
+
+def _filled(lines: list[bytes]) -> list[int]:
+    return [i for i, x in enumerate(lines) if x and not x.isspace()]
+
+
+def window_units(long_words: int = LONG_WORDS) -> tuple[Units, Lost]:
+    """Windows of two lines that are not blank, with the blank ones between them, under even numbers by
+    their first line; long single lines under odd ones."""
+
+    def units(text: bytes) -> Iterator[tuple[int, bytes]]:
+        lines = text.split(b"\n")
+        filled = _filled(lines)
+        for k, i in enumerate(filled):
+            if k + 1 < len(filled):
+                yield 2 * k, b"\n".join(lines[i : filled[k + 1] + 1])
+            if len(lines[i]) > 2 * long_words and len(lines[i].split()) > long_words:
+                yield 2 * k + 1, lines[i]
+
+    def lost(lines: list[bytes], numbers: set[int]) -> tuple[set[int], int]:
+        filled, gone = _filled(lines), set()
+        for number in numbers:
+            k = number // 2
+            gone.update(range(filled[k], filled[k + 1 - number % 2] + 1))
+        runs = sum(1 for i in gone if i - 1 not in gone)
+        return (set(range(len(lines))) if gone.issuperset(filled) else gone), runs
+
+    return units, lost
+
+
+def chunk_table(docs: DataFrame, keys: list[str], text: str, with_text: bool, units: Units) -> DataFrame:
+    """``keys, chunk_no, h1, h2`` and, if asked for, ``chunk``: what may repeat in every text."""
     ship_package(docs.sparkSession)
     source = docs.select(*keys, F.col(text).cast("binary").alias("__text"))
 
@@ -78,14 +133,13 @@ def chunk_table(docs: DataFrame, keys: list[str], text: str, with_text: bool, op
         for batch in slices(batches, "__text"):
             row, number, h1, h2, joined = [], [], [], [], []
             for i, x in enumerate(batch.column(batch.num_columns - 1)):
-                for k, chunk in enumerate(chunks(x.as_py(), *options)):
-                    if _multi_line(chunk):
-                        body = b"\n".join(chunk)
-                        digest = xxhash.xxh3_128_digest(body)
-                        row.append(i)
-                        number.append(k)
-                        h1.append(int.from_bytes(digest[:8], "big", signed=True))
-                        h2.append(int.from_bytes(digest[8:], "big", signed=True))
+                for k, body in units(x.as_py()):
+                    digest = xxhash.xxh3_128_digest(body)
+                    row.append(i)
+                    number.append(k)
+                    h1.append(int.from_bytes(digest[:8], "big", signed=True))
+                    h2.append(int.from_bytes(digest[8:], "big", signed=True))
+                    if with_text:
                         joined.append(body)
             rows = pa.array(row, pa.int32())
             columns = [*(c.take(rows) for c in batch.columns[:-1]), pa.array(number, pa.int32()), pa.array(h1, pa.int64()), pa.array(h2, pa.int64())]
@@ -100,25 +154,40 @@ def chunk_table(docs: DataFrame, keys: list[str], text: str, with_text: bool, op
     return source.mapInArrow(run, ", ".join(fields))
 
 
-def repeated_chunks(
-    docs: DataFrame, window: int = WINDOW, divisor: int = DIVISOR, min_lines: int = MIN_LINES
-) -> DataFrame:
-    """``doc_id, k1, k2, chunk_no``: the occurrences to remove, from ``docs(doc_id, text)``.
+def _repeated(docs: DataFrame, units: Units) -> DataFrame:
+    """``doc_id, k1, k2, chunk_no, ahead``: the occurrences behind the first, from ``docs(doc_id, text)``.
 
-    The first occurrence, by ``doc_id`` with nulls last, then the text's key and the place in it, stays.
+    ``ahead`` is how far behind the first it stands if both are in one text, else null.
     """
-    options = (window, divisor, min_lines)
     keys = ["doc_id", "k1", "k2"]
     named = docs.select("doc_id", *row_keys(F.col("text")), "text")
     place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "k1", "k2", "chunk_no")
-    hashed = chunk_table(named, keys, "text", False, options)
+    hashed = chunk_table(named, keys, "text", False, units)
     counted = hashed.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("first"))
     repeated = stage(counted.where("n > 1").select("h1", "h2", "first"), "repeated")
-    found = chunk_table(named, keys, "text", True, options).join(broadcast_if_small(repeated), ["h1", "h2"])
-    occurrences = stage(found.select(*keys, "chunk_no", "h1", "h2", "chunk", (place == F.col("first")).alias("is_first")), "chunks")
+    found = chunk_table(named, keys, "text", True, units).join(broadcast_if_small(repeated), ["h1", "h2"])
+    here = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("k1") == F.col("first.k1")) & (F.col("k2") == F.col("first.k2"))
+    ahead = F.when(here, F.col("chunk_no") - F.col("first.chunk_no"))
+    occurrences = stage(found.select(*keys, "chunk_no", "h1", "h2", "chunk", (place == F.col("first")).alias("is_first"), ahead.alias("ahead")), "chunks")
     first = occurrences.where("is_first").dropDuplicates(["h1", "h2"]).select("h1", "h2", F.col("chunk").alias("kept"))
     later = occurrences.where("not is_first").join(first, ["h1", "h2"])
-    return later.where("chunk = kept").select(*keys, "chunk_no").distinct()
+    return later.where("chunk = kept").select(*keys, "chunk_no", "ahead").distinct()
+
+
+def repeated_chunks(
+    docs: DataFrame, window: int = WINDOW, divisor: int = DIVISOR, min_lines: int = MIN_LINES
+) -> DataFrame:
+    """``doc_id, k1, k2, chunk_no``: the occurrences to remove, from ``docs(doc_id, text)``.
+
+    The first occurrence, by ``doc_id`` with nulls last, then the text's key and the place in it, stays.
+    """
+    return _repeated(docs, chunk_units((window, divisor, min_lines))[0]).drop("ahead")
+
+
+def repeated_windows(docs: DataFrame, long_words: int = LONG_WORDS) -> DataFrame:
+    """As ``repeated_chunks``, of windows of two lines and long lines; a window that overlaps the first is none."""
+    found = _repeated(docs, window_units(long_words)[0])
+    return found.where("ahead is null or ahead > 2 or chunk_no % 2 = 1").drop("ahead")
 
 
 def dedup_lines(
@@ -133,13 +202,27 @@ def dedup_lines(
     that loses all its lines becomes empty, and its row stays. Rows that agree in ``doc_id`` and text
     are one document: they are treated alike. Columns already named as one of the new ones are replaced.
     """
+    options = (window, divisor, min_lines)
+    return _without(docs, text, n_chars, lambda texts: repeated_chunks(texts, *options), chunk_units(options)[1])
+
+
+def dedup_passages(docs: DataFrame, text: str = "text", n_chars: str | None = "n_chars", long_words: int = LONG_WORDS) -> DataFrame:
+    """As ``dedup_lines``, but every passage that stands at an earlier place too goes whole, wherever it begins and ends.
+
+    A passage has two lines or more that are not blank, or is one line of over ``long_words`` words; all places are those
+    of the texts as given. Blank lines go if they stand inside a passage, or if no other line is left. What goes from a line's
+    place stays at the first one of that line. ``n_chunks_removed`` counts runs of removed lines.
+    """
+    return _without(docs, text, n_chars, lambda texts: repeated_windows(texts, long_words), window_units(long_words)[1])
+
+
+def _without(docs: DataFrame, text: str, n_chars: str | None, repeated: Callable[[DataFrame], DataFrame], lines_lost: Lost) -> DataFrame:
     added = ("n_chunks_removed", "n_lines_removed")
     columns = [c for c in docs.columns if c not in added]
-    options = (window, divisor, min_lines)
     texts = docs.select("doc_id", whole_text(text).alias("text"))
     k1, k2 = row_keys(whole_text(text))
     lost = stage(
-        repeated_chunks(texts, *options).groupBy("doc_id", "k1", "k2").agg(F.collect_list("chunk_no").alias("__lost"))
+        repeated(texts).groupBy("doc_id", "k1", "k2").agg(F.collect_list("chunk_no").alias("__lost"))
         .select(F.col("doc_id").alias("__id"), F.col("k1").alias("__k1"), F.col("k2").alias("__k2"), "__lost"),
         "lost",
     )
@@ -160,11 +243,11 @@ def dedup_lines(
                     n_chunks.append(0)
                     n_lines.append(0)
                     continue
-                numbers = set(gone.as_py())
-                cut = chunks(x.as_py(), *options)
-                texts.append(b"\n".join([line for k, c in enumerate(cut) if k not in numbers for line in c]))
-                n_chunks.append(len(numbers))
-                n_lines.append(sum(len(c) for k, c in enumerate(cut) if k in numbers))
+                lines = x.as_py().split(b"\n")
+                out, n = lines_lost(lines, set(gone.as_py()))
+                texts.append(b"\n".join([line for i, line in enumerate(lines) if i not in out]))
+                n_chunks.append(n)
+                n_lines.append(len(out))
             made = list(batch.columns[: len(columns)])
             made[at] = pa.array(texts, pa.binary()).cast(pa.string())
             yield pa.RecordBatch.from_arrays(

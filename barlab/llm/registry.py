@@ -40,7 +40,7 @@ def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole cleaned texts by digest, and what was removed from each."""
-    found = line_dedup.dedup_lines(documents(spark, sf_dir))
+    found = line_dedup.dedup_passages(documents(spark, sf_dir))
     return found.select(
         "doc_id", F.length("text").cast("bigint").alias("n_chars"), F.sha2("text", 256).alias("text_sha256"),
         "n_chunks_removed", "n_lines_removed",

@@ -182,6 +182,55 @@ def test_odd_line_dedup(spark, odd, nothing):
     assert got[:2] == [(7, "a b\nc d\ne f")] * 2 and got[2][0] == 8
 
 
+def plain_passages(rows):
+    """Lines in a pair of lines, or a long line, that stand earlier too, text by text."""
+    seen, out = {}, {}
+    for i, text in sorted(rows):
+        lines = text.split("\n")
+        filled = [k for k, x in enumerate(lines) if x.encode().strip()]
+        units = [(a, b) for a, b in zip(filled, filled[1:])]
+        units += [(a, a) for a in filled if len(lines[a].encode().split()) > line_dedup.LONG_WORDS]
+        gone = set()
+        for a, b in units:
+            place = seen.setdefault("\n".join(lines[a : b + 1]), (i, a, b))
+            if place[0] != i or place[2] < a:
+                gone |= set(range(a, b + 1))
+        out[i] = "" if filled and gone >= set(filled) else "\n".join(x for k, x in enumerate(lines) if k not in gone)
+    return out
+
+
+def test_passages_equal_brute_force(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    want = plain_passages([(r.doc_id, r.text) for r in docs.collect()])
+    got = line_dedup.dedup_passages(docs.repartition(5)).collect()
+    assert {r.doc_id: r.text for r in got} == want
+    assert all(r.n_chars == len(r.text) for r in got if r.n_chunks_removed)
+    chunked = {r.doc_id: r.n_lines_removed for r in line_dedup.dedup_lines(docs).collect()}
+    assert sum(r.n_lines_removed for r in got) > sum(chunked.values())
+
+
+def test_short_passages_go_whole_in_other_surroundings(spark):
+    texts = []
+    for n in range(1, 7):
+        passage = "\n".join(" ".join(f"shared{n}x{i}y{w}" for w in range(60 // n + 1)) for i in range(n))
+        texts += [f"{lines_of(10 * i, 10 * i + 1)}\n{passage}\n{lines_of(10 * i + 2)}" for i in range(10 * n, 10 * n + 8)]
+    got = {r.doc_id: r for r in line_dedup.dedup_passages(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")).collect()}
+    for i, text in enumerate(texts):
+        n, k = i // 8 + 1, i % 8
+        assert got[i].text == (lines_of(*range(10 * (10 * n + k), 10 * (10 * n + k) + 3)) if k else text)
+        assert (got[i].n_chunks_removed, got[i].n_lines_removed) == ((1, n) if k else (0, 0))
+
+
+def test_odd_passages(spark, odd, nothing):
+    rows = line_dedup.dedup_passages(odd).collect()
+    assert len(rows) == odd.count()
+    assert [r.text for r in rows if r.doc_id == 1] == [None]
+    assert line_dedup.dedup_passages(nothing).count() == 0
+    same = spark.createDataFrame([(1, "a\na\na\na\na"), (2, "b\nb\nb"), (3, "\nx\n\na\na\n"), (4, "a\n\na"), (5, "\na\na\n"), (5, "\na\na\n")], "doc_id bigint, text string")
+    got = sorted((r.doc_id, r.text) for r in line_dedup.dedup_passages(same).collect())
+    assert got == [(1, "a\na"), (2, "b\nb\nb"), (3, "\nx\n\n"), (4, "a\n\na"), (5, ""), (5, "")]
+
+
 WORDS = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
 
