@@ -4,8 +4,9 @@ Templates are cut into words; of the shingles of ``SHINGLE`` words in every wind
 ones, the one with the smallest hash is kept, with its place: an inverted index from shingle to templates. Documents are
 asked with all their shingles, so every template that stands in a document whole is a
 candidate there, however short. The places of the hits lie near a diagonal; around it, template and
-document are aligned (Smith-Waterman in a band of ``BAND`` words to either side), which gives the template words found, in order, and their
-span in the text.
+document are aligned (Smith-Waterman in a band of ``BAND`` words to either side), again beside what was aligned, until no hit is left.
+The pieces of one template are chained in the order of both, over any diagonals, where the words won weigh more than
+the distance in the text; the chain gives the template words found, in order, and their span in the text.
 
 The index goes to the executors with the task. It holds ``INDEX_SHINGLES`` shingles at most; more templates are
 looked for in several passes over the documents.
@@ -14,6 +15,7 @@ looked for in several passes over the documents.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections.abc import Iterator, Mapping
 from dataclasses import dataclass
 
@@ -31,8 +33,13 @@ WINNOW = 4
 BAND = 12
 INDEX_SHINGLES = 200_000
 MATCH, MISS, GAP = 2, -1, -1
-#: The least share of a template's words that is reported.
+#: Words in the text between two pieces that cost as much as one matched word.
+FAR = 25
+#: The share of a template's words from which on a licence counts as found.
 COVERAGE = 0.9
+#: What is reported: at least this share of the words, and this many (or all of a shorter template).
+FLOOR = 0.1
+FLOOR_WORDS = 6
 
 
 def _words(text: str) -> list[str]:
@@ -99,6 +106,12 @@ def align(template: np.ndarray, document: np.ndarray, diagonal: int, band: int =
 
     First and end are places of words in ``document``, the end exclusive.
     """
+    pairs, first, end = aligned(template, document, diagonal, band)
+    return len(pairs), first, end
+
+
+def aligned(template: np.ndarray, document: np.ndarray, diagonal: int, band: int = BAND) -> tuple[list[tuple[int, int]], int, int]:
+    """As ``align``, with the places in template and document of the words that match, in order."""
     width, m = 2 * band + 1, len(template)
     slots = np.arange(width)
     score = np.zeros((m + 1, width), dtype=np.int64)
@@ -115,32 +128,113 @@ def align(template: np.ndarray, document: np.ndarray, diagonal: int, band: int =
         score[i] = np.where(inside, along, np.maximum(above, 0))
         step[i] = np.where(score[i] == 0, 0, np.where((score[i] == across) & inside, 1, np.where(score[i] == above, 2, 3)))
     if not score.any():
-        return 0, 0, 0
+        return [], 0, 0
     i, j = np.unravel_index(int(np.argmax(score)), score.shape)
-    matched, end, first = 0, diagonal - band + int(j) + int(i), 0
+    pairs, end = [], diagonal - band + int(j) + int(i)
     first = end
     while i > 0 and step[i, j]:
         if step[i, j] == 1:
             first = diagonal - band + int(j) + int(i) - 1
-            matched += int(document[first] == template[i - 1])
+            if document[first] == template[i - 1]:
+                pairs.append((int(i) - 1, first))
             i -= 1
         elif step[i, j] == 2:
             i, j = i - 1, j + 1
         else:
             j -= 1
-    return matched, first, end
+    return pairs[::-1], first, end
 
 
-def candidates(hits: list[tuple[int, int, int]], band: int = BAND) -> list[tuple[int, int]]:
-    """``template, diagonal``: one per run of hits whose diagonals lie within half a band of each other."""
-    found: list[tuple[int, int]] = []
-    by_diagonal = sorted((t, p - q) for t, q, p in hits)
-    start = 0
+def pieces(template: np.ndarray, document: np.ndarray, hits: list[tuple[int, int]]) -> list[list[tuple[int, int]]]:
+    """Alignments of parts of a template, as matching places, around its ``hits`` (place in it, in the document)."""
+    found = []
+    by_diagonal = sorted(hits, key=lambda h: h[1] - h[0])
+    runs, start = [], 0
     for i in range(1, len(by_diagonal) + 1):
-        if i == len(by_diagonal) or by_diagonal[i][0] != by_diagonal[start][0] or by_diagonal[i][1] - by_diagonal[start][1] > band // 2:
-            run = by_diagonal[start:i]
-            found.append((run[0][0], run[len(run) // 2][1]))
+        if i == len(by_diagonal) or (by_diagonal[i][1] - by_diagonal[i][0]) - (by_diagonal[start][1] - by_diagonal[start][0]) > BAND // 2:
+            runs.append((0, len(template), by_diagonal[start:i], document))
             start = i
+    while runs:
+        low, high, held, words = runs.pop()
+        q, p = held[len(held) // 2]
+        pairs = [(t + low, d) for t, d in aligned(template[low:high], words, p - q + low)[0]]
+        if not pairs:
+            continue
+        found.append(pairs)
+        (t0, d0), (t1, d1) = pairs[0], pairs[-1]
+        left = [h for h in held if h[0] + SHINGLE <= t0 and h[1] + SHINGLE <= d0]
+        right = [h for h in held if h[0] > t1 and h[1] > d1]
+        other = [h for h in held if (h[1] + SHINGLE <= d0 or h[1] > d1) and h not in left and h not in right]
+        if left:
+            runs.append((low, t0, left, words))
+        if right:
+            runs.append((t1 + 1, high, right, words))
+        if other:  # another copy close by
+            words = words.copy()
+            words[d0 : d1 + 1] = -1
+            runs.append((low, high, other, words))
+    return sorted(set(map(tuple, found)), key=lambda x: (x[0][1], x))
+
+
+def in_order(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """A longest run of pairs that grows in both places."""
+    ends: list[int] = []
+    at: list[int] = []
+    before, ordered = [], sorted(set(pairs), key=lambda x: (x[0], -x[1]))
+    for k, (_, d) in enumerate(ordered):
+        n = bisect_left(ends, d)
+        before.append(at[n - 1] if n else -1)
+        ends[n:n + 1], at[n:n + 1] = [d], [k]
+    out, k = [], at[-1] if at else -1
+    while k >= 0:
+        out.append(ordered[k])
+        k = before[k]
+    return out[::-1]
+
+
+def _links(parts: list[list[tuple[int, int]]]) -> list[tuple[float, int]]:
+    """For each piece, by place, the worth of the best chain that ends with it, and the piece before it there or -1."""
+    best: list[tuple[float, int]] = []
+    longest = max((x[-1][1] - x[0][1] for x in parts), default=0)
+    for j, part in enumerate(parts):
+        mine, first = (float(len(part)), -1), part[0]
+        for i in range(j - 1, -1, -1):
+            other = parts[i]
+            if first[1] - other[0][1] > FAR * len(part) + longest + 1:
+                break
+            t, d = other[-1]
+            if first[0] > other[0][0] and first[1] > other[0][1] and part[-1][0] > t and part[-1][1] > d:
+                won = sum(1 for x, y in part if x > t and y > d) - max(first[1] - d - 1, 0) / FAR
+                if won > 0 and best[i][0] + won > mine[0]:
+                    mine = (best[i][0] + won, i)
+        best.append(mine)
+    return best
+
+
+def chains(parts: list[list[tuple[int, int]]]) -> list[list[tuple[int, int]]]:
+    """Pieces of one template joined in order, the best chain first; chains do not overlap in the document.
+
+    ``parts`` are by place. Links are made anew only if a piece that another one is linked to was taken.
+    """
+    found, taken = [], []
+    while parts:
+        best, free = _links(parts), set(range(len(parts)))
+        for last in sorted(free, key=lambda i: (-best[i][0], i)):
+            used, k = [], last
+            while k >= 0 and k in free:
+                used.append(k)
+                k = best[k][1]
+            if k >= 0 or not used:
+                continue  # gone, or linked to a piece that is
+            free.difference_update(used)
+            chain = in_order([x for i in used for x in parts[i]])
+            a, b = chain[0][1], chain[-1][1]
+            at = bisect_left(taken, (a, a))
+            if (at and taken[at - 1][1] >= a) or (at < len(taken) and taken[at][0] <= b):
+                continue  # over a better one
+            taken.insert(at, (a, b))
+            found.append(chain)
+        parts = [parts[i] for i in sorted(free)]
     return found
 
 
@@ -154,26 +248,24 @@ def scan_text(text: str, index: Index, coverage: float = COVERAGE) -> list[tuple
             return []
     places = [(m.start(), m.end(), get(m.group().lower(), 0)) for m in WORD.finditer(text)]
     ids = np.array([p[2] for p in places], dtype=np.int64)
-    found = {}
-    for t, diagonal in candidates(index.hits(ids)):
-        template = index.templates[t]
-        matched, first, end = align(template, ids, diagonal)
-        if matched >= coverage * len(template):
-            key = (t, first)
-            found[key] = max(found.get(key, (0, 0)), (matched, end))
-    rows = [(places[first][0], places[end - 1][1], t, matched) for (t, first), (matched, end) in found.items()]
-    kept: list[tuple[int, int, int, int]] = []
-    for row in sorted(rows, key=lambda r: (-r[3], r)):  # of overlapping finds of one template, the best
-        if not any(k[2] == row[2] and k[0] < row[1] and row[0] < k[1] for k in kept):
-            kept.append(row)
-    return [(index.names[t], a, b, matched, len(index.templates[t])) for a, b, t, matched in sorted(kept)]
-
-
-def scan_licenses(docs: DataFrame, templates: Mapping[str, str], coverage: float = COVERAGE, text: str = "text") -> DataFrame:
-    """``doc_id, license, start, end, n_matched, n_template, coverage``: a row per licence found in a text.
+    by_template: dict[int, list[tuple[int, int]]] = {}
+    for t, q, p in index.hits(ids):
+        by_template.setdefault(t, []).append((q, p))
+    rows = []
+    for t, hits in by_template.items():
+        size = len(index.templates[t])
+        for chain in chains(pieces(index.templates[t], ids, hits)):
+            if len(chain) >= max(coverage * size, min(FLOOR_WORDS, size)):
+                rows.append((places[chain[0][1]][0], places[chain[-1][1]][1], t, len(chain)))
+    return [(index.names[t], a, b, matched, len(index.templates[t])) for a, b, t, matched in sorted(rows)]
+
+
+def scan_licenses(docs: DataFrame, templates: Mapping[str, str], coverage: float = FLOOR, text: str = "text") -> DataFrame:
+    """``doc_id, license, start, end, n_matched, n_template, coverage, found``: a row per licence, or part of one, in a text.
 
     ``start`` and ``end`` are code points, the end exclusive; ``coverage`` is the share of the template's words
-    found in order. Only finds of at least ``coverage`` are given. A template may be found at
+    found in order, and ``found`` says whether it is ``COVERAGE`` at least. Less than ``coverage`` or ``FLOOR_WORDS`` words is
+noise and not given. A template may be found at
     several places that do not overlap; different templates may overlap. A null or empty text has no rows. Rows of
     ``docs`` count by themselves, whether they repeat or lack an id; other columns are ignored.
     """
@@ -211,6 +303,7 @@ def _scan(source: DataFrame, index: Index, coverage: float) -> DataFrame:
             )
 
     kind = dict(source.dtypes)["doc_id"]
-    return source.mapInArrow(
+    rows = source.mapInArrow(
         run, f"doc_id {kind}, license string, start bigint, end bigint, n_matched bigint, n_template bigint, coverage double"
     )
+    return rows.withColumn("found", F.col("coverage") >= COVERAGE)

@@ -144,6 +144,28 @@ def test_licence_with_edits_is_aligned():
     assert matched == size - sum(1 for i in range(len(words)) if i % 25 == 7)
 
 
+def test_partial_and_interleaved_licences_are_reported(spark):
+    mit, gpl = license_templates.MIT.split(), license_templates.GPL_3.split()
+    clause = [f"inserted{i}" for i in range(40)]
+    cases = {
+        1: ("mit", [*mit[:40], *clause, *mit[40:]], 1.0), 2: ("mit", mit[: len(mit) // 2], 0.5),
+        3: ("gpl-3.0", [*gpl[:20], *clause[:14], *gpl[34:]], 1 - 14 / len(gpl)),
+        4: ("mit", [*mit[:20], *clause[:15], *mit[20:45], *clause[:30], *mit[45:]], 1.0),
+    }
+    docs = [(i, " ".join(["before", *words, "after"])) for i, (_, words, _) in cases.items()]
+    docs += [(5, docs[0][1] + " " + " ".join(clause) + " " + docs[0][1]), (6, "a text of the software without a licence")]
+    rows = license_scan.scan_licenses(spark.createDataFrame(docs, "doc_id bigint, text string"), license_templates.TEMPLATES).collect()
+    for i, (name, words, share) in cases.items():
+        row, = [r for r in rows if r.doc_id == i and r.license == name]
+        assert abs(row.coverage - share) < 0.03 and row.found == (row.coverage >= 0.9)
+        text = docs[i - 1][1]
+        assert text[row.start : row.end] == text[len("before ") : -len(" after")].rstrip(".")
+    assert [(r.coverage, r.found) for r in rows if r.doc_id == 5 and r.license == "mit"] == [(1.0, True)] * 2
+    assert not [r for r in rows if r.doc_id == 6]
+    index = license_scan.build_index(license_templates.TEMPLATES)
+    assert len(license_scan.scan_text("Released under the MIT License. " * 40, index)) == 40
+
+
 def brute_alignment(a, b):
     """Best local alignment score without a band."""
     rows = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
