@@ -1,7 +1,7 @@
 """Personal data: fixed patterns, and looser spans that voters and a trained classifier decide. DataFrame functions only.
 
 Candidates are the spans of the fixed patterns and of ``LOOSE``: addresses with the signs written out, and runs of digits
-with separators. Three voters look at each: its format, lists of known prefixes and endings (the
+with separators; a run of more digits than any number has is cut at its separators into parts that may be numbers. Three voters look at each: its format, lists of known prefixes and endings (the
 gazetteer), and the words before it. They say personal, not personal, or nothing. What they are worth is estimated
 without labels (``votes.fit``); candidates then count, with their posterior, in the training of a
 naive Bayes classifier on votes and shape of a span. A loose span outside of the fixed patterns' spans is
@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from barlab.llm.common import whole_text
-from barlab.llm.spans import find, n_of, overlaps, written
+from barlab.llm.spans import bind, find, n_of, overlaps, written
 from barlab.llm.votes import ABSTAIN, ALARM, CALM, Voters, beginners, fit, patterns
 from barlab.session import stage
 
@@ -37,6 +37,9 @@ LOOSE = (
     r"|\+?[0-9](?:[\x20().-]{0,2}[0-9])++"
 )
 LOOSE_DIGITS = (7, 19)
+#: Parts of a longer run: card numbers with their check digit, and telephone numbers.
+CARD_DIGITS = (13, 19)
+PHONE_DIGITS = (7, 15)
 #: The voters' lists: issuer prefixes of cards, beginnings of telephone numbers, endings of addresses.
 ISSUERS = "^(?:4|5[1-5]|2[2-7]|3[47]|6011|65|35)"
 DIALLED = r"^(?:\+|00[1-9]|\(?[2-9][0-9]{2}\)?[\x20.-])"
@@ -108,16 +111,61 @@ DESCRIBED = "struct<" + ",".join(["start:bigint", "kind:int", "end:bigint", *(f"
 
 
 def _matches(text: Column, pattern: str) -> Column:
-    made = "struct<start:bigint,end:bigint,match:string,before:string>"
     return find(text, pattern, lambda start, end, match, before: F.struct(
         start.alias("start"), end.alias("end"), match.alias("match"), before.alias("before")
-    ), made)
+    ), MATCH)
 
 
 def _described(matches: Column, kind: int) -> Column:
     return F.transform(matches, lambda m: described(m["start"], m["end"], m["match"], m["before"], F.lit(kind)))
 
 
+MATCH = "struct<start:bigint,end:bigint,match:string,before:string>"
+_PART = "struct<group:int,start:bigint,end:bigint,match:string>"
+
+
+def parts_of(m: Column) -> Column:
+    """The parts of a run of digits that may be numbers by themselves, from the left, as matches with the run's context.
+
+    A part is one or more whole groups of digits. Of those that begin with a group, one written like a known format is
+    taken, else the shortest card number, else the shortest telephone number; the next begins behind it.
+    """
+    groups = find(m["match"], r"\+?[0-9]++", lambda start, end, text, _: F.struct(
+        start.alias("start"), end.alias("end"), F.length(digits_of(text)).alias("size")
+    ), "struct<start:bigint,end:bigint,size:int>")
+
+    def at(held: Column, every: Column, k: Column) -> Column:
+        first = F.get(every, k)
+        def wider(wide: Column, j: Column) -> Column:
+            last = F.get(every, j)
+            size = wide["size"] + last["size"]
+            text = F.substring(m["match"], (first["start"] + 1).cast("int"), (last["end"] - first["start"]).cast("int"))
+            made = F.struct(j.alias("group"), first["start"].alias("start"), last["end"].alias("end"), text.alias("match"))
+            card = _in(size, *CARD_DIGITS) & luhn(digits_of(text))
+            phone = _in(size, *PHONE_DIGITS)
+            rank = F.when((card | phone) & text.rlike(FORMATS) & (card | (size < 16)), 1).when(card, 2).when(phone, 3).otherwise(4)
+            better = rank < wide["rank"]
+            return F.struct(
+                size.alias("size"), F.when(better, rank).otherwise(wide["rank"]).alias("rank"),
+                F.when(better, made).otherwise(wide["part"]).alias("part"),
+            )
+
+        none = F.struct(F.lit(0).alias("size"), F.lit(4).alias("rank"), F.lit(None).cast(_PART).alias("part"))
+        last = F.least(k + CARD_DIGITS[1] - 1, F.size(every) - 1)
+        best = F.aggregate(F.sequence(k, last), none, wider, lambda wide: wide["part"])
+        return F.when(F.coalesce(F.get(held, F.size(held) - 1)["group"], F.lit(-1)) >= k, held).otherwise(
+            bind(best, lambda part: F.when(part.isNull(), held).otherwise(F.concat(held, F.array(part))))
+        )
+
+    none = F.array().cast(f"array<{_PART}>")
+    chosen = bind(groups, lambda every: F.aggregate(
+        F.sequence(F.lit(0), F.size(every) - 1), none, lambda held, k: at(held, every, k)
+    ))
+    return F.transform(chosen, lambda p: F.struct(
+        (m["start"] + p["start"]).alias("start"), (m["start"] + p["end"]).alias("end"), p["match"].alias("match"), m["before"].alias("before")
+    ))
+
+
 def candidates(docs: DataFrame, text: str = "text") -> DataFrame:
     """``doc_id``, ``known`` (spans of the fixed patterns) and ``loose`` (other candidates) per row."""
     texts = docs.select("doc_id", whole_text(text).alias("text"))
@@ -130,8 +178,10 @@ def candidates(docs: DataFrame, text: str = "text") -> DataFrame:
     with_known = texts.select("doc_id", "text", F.sort_array(F.concat(*known)).alias("known"))
     few, many = LOOSE_DIGITS
     size = lambda m: F.length(digits_of(m["match"]))
+    digits_only = lambda m: ~m["match"].rlike("[A-Za-z]")
+    whole = F.transform(_matches(body, LOOSE), lambda m: F.when(digits_only(m) & (size(m) > many), parts_of(m)).otherwise(F.array(m).cast(f"array<{MATCH}>")))
     free = F.filter(
-        _matches(body, LOOSE),
+        F.flatten(whole),
         lambda m: (m["match"].rlike("[A-Za-z]") | _in(size(m), few, many)) & ~overlaps(F.col("known"), m["start"], m["end"]),
     )
     return with_known.select("doc_id", "known", _described(free, len(KINDS)).alias("loose"))

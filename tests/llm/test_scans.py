@@ -111,6 +111,23 @@ def test_loose_spans_need_evidence(spark):
     assert not any(got[i] for i in range(60, 120))
 
 
+def test_numbers_side_by_side_are_candidates(spark):
+    runs = {
+        "7536784127813050 4845168114407329": ["7536784127813050", "4845168114407329"],
+        "4111 1111 1111 1111 5500 0000 0000 0004": ["4111 1111 1111 1111", "5500 0000 0000 0004"],
+        "415-555-0134 212-555-0187 303-555-0111": ["415-555-0134", "212-555-0187", "303-555-0111"],
+        "12345678901234567890123": [], "7536784127813050 12 4845168114407329": ["7536784127813050", "4845168114407329"],
+    }
+    texts = [f"ü call {run} now" for run in runs]
+    rows = pii.candidates(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")).collect()
+    for r in rows:
+        assert [texts[r.doc_id][s.start : s.end] for s in r.loose] == list(runs.values())[r.doc_id]
+        assert not r.known
+    lines = [f"card {7536784127813050} {4845168114407329}"] * 30 + [f"order no 00{i:05d}99 shipped" for i in range(30)]
+    got = {r.doc_id: r.spans for r in pii.personal_report(spark.createDataFrame(list(enumerate(lines)), "doc_id bigint, text string")).collect()}
+    assert got[0] == "other:5:21,other:22:38" and not got[40]
+
+
 def test_winnowing_covers_every_window():
     words = [f"w{i * 7919 % 23}" for i in range(60)]
     kept = license_scan.winnow(words)
