@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barlab.llm import (
-    decontamination, license_scan, license_templates, line_dedup, oracles, pii, quality_classifier, quality_rules, secret_scan,
+    collocations, decontamination, license_scan, license_templates, line_dedup, oracles, pii, quality_classifier, quality_rules, secret_scan,
     sentencepiece_codec, simhash, token_files,
 )
 from barlab.llm.common import table
@@ -79,6 +79,10 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.mine_collocations(table(spark, sf_dir, "documents"))
+
+
 def secret_base(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the fixed patterns find; the whole result is ``op5_secret_scan``."""
     return op5_secret_scan(spark, sf_dir).drop("spans")
@@ -105,12 +109,14 @@ QUERIES = {
     "op8_pii": op8_pii,
     "op9_token_files": op9_token_files,
     "op10_sentencepiece": op10_sentencepiece,
+    "op11_collocations": op11_collocations,
     "secret_base": secret_base,
     "pii_base": pii_base,
     "quality_base": quality_base,
 }
 ORACLES: dict[str, str] = {
     "op2_decontamination": decontamination.ORACLE,
+    "op11_collocations": collocations.ORACLE,
     "secret_base": oracles.SECRETS,
     "pii_base": oracles.PERSONAL,
     "quality_base": oracles.COUNTS,
