@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from barlab.llm import (
     collocations, decontamination, license_scan, license_templates, line_dedup, oracles, pii, quality_classifier, quality_rules, secret_scan,
-    sentencepiece_codec, simhash, token_files,
+    sentencepiece_codec, simhash, token_files, vector_search,
 )
 from barlab.llm.common import table
 from barlab.session import shared_folder
@@ -83,6 +83,10 @@ def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.mine_collocations(table(spark, sf_dir, "documents"))
 
 
+def op12_top_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_search.top_products(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 def secret_base(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the fixed patterns find; the whole result is ``op5_secret_scan``."""
     return op5_secret_scan(spark, sf_dir).drop("spans")
@@ -110,6 +114,7 @@ QUERIES = {
     "op9_token_files": op9_token_files,
     "op10_sentencepiece": op10_sentencepiece,
     "op11_collocations": op11_collocations,
+    "op12_top_products": op12_top_products,
     "secret_base": secret_base,
     "pii_base": pii_base,
     "quality_base": quality_base,
@@ -117,6 +122,7 @@ QUERIES = {
 ORACLES: dict[str, str] = {
     "op2_decontamination": decontamination.ORACLE,
     "op11_collocations": collocations.ORACLE,
+    "op12_top_products": vector_search.ORACLE,
     "secret_base": oracles.SECRETS,
     "pii_base": oracles.PERSONAL,
     "quality_base": oracles.COUNTS,
