@@ -27,7 +27,7 @@ from barlab.llm.common import ship_package, slices, whole_text
 from barlab.session import stage
 
 #: Words and breaks of a shard, at least while a task has that many of a language; more go to a further shard.
-SHARD_WORDS = 3_000_000
+SHARD_WORDS = 1_000_000
 #: Bits of the filter that shards ask. It is sent to every task (4 MB), whatever the corpus.
 FILTER_BITS = 1 << 25
 #: What an end of a piece becomes before the text is cut at white space.
