@@ -20,14 +20,14 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from barlab.llm.common import ship_package, slices, whole_text
 from barlab.session import stage
 
 #: Words and breaks of a shard, at least while a task has that many of a language; more go to a further shard.
-SHARD_WORDS = 1_000_000
+SHARD_WORDS = 500_000
 #: Bits of the filter that shards ask. It is sent to every task (4 MB), whatever the corpus.
 FILTER_BITS = 1 << 25
 #: What an end of a piece becomes before the text is cut at white space.
@@ -74,11 +74,27 @@ def transform(sequence: np.ndarray, depth: int, kinds: int) -> np.ndarray:
     return sequence[suffix_order(sequence, depth, kinds) - 1]
 
 
+def packed(symbols: np.ndarray, kinds: int) -> bytes:
+    """As many bytes a symbol as the largest one needs, lowest byte first."""
+    return symbols.astype("<i4").view(np.uint8).reshape(-1, 4)[:, : _width(kinds)].tobytes()
+
+
+def unpacked(data: bytes, kinds: int) -> np.ndarray:
+    width = _width(kinds)
+    out = np.zeros((len(data) // width, 4), np.uint8)
+    out[:, :width] = np.frombuffer(data, np.uint8).reshape(-1, width)
+    return out.view("<i4").ravel()
+
+
+def _width(kinds: int) -> int:
+    return 2 if kinds <= 1 << 16 else 3 if kinds <= 1 << 24 else 4
+
+
 def build_shards(docs: DataFrame, depth: int, shard_words: int = SHARD_WORDS) -> DataFrame:
     """``lang, words, counts, before, after``: an FM-index per shard of ``docs(lang, text)``.
 
     ``words[i]`` and ``counts[i]`` belong to number ``i + 1``; ``before`` and ``after`` are the transforms of the
-    sequence and of its reverse as 32-bit numbers.
+    sequence and of its reverse, packed by :func:`packed`.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -91,7 +107,7 @@ def build_shards(docs: DataFrame, depth: int, shard_words: int = SHARD_WORDS) ->
             columns = [
                 pa.array([lang]), pa.array([words], pa.list_(pa.string())),
                 pa.array([np.bincount(sequence, minlength=kinds)[1:]], pa.list_(pa.int64())),
-                *(pa.array([transform(s, depth, kinds).tobytes()], pa.binary()) for s in (sequence, sequence[::-1])),
+                *(pa.array([packed(transform(s, depth, kinds), kinds)], pa.binary()) for s in (sequence, sequence[::-1])),
             ]
             return pa.RecordBatch.from_arrays(columns, names=["lang", "words", "counts", "before", "after"])
 
@@ -152,9 +168,11 @@ class Index:
         is the interval of the longer phrase.
         """
         start = np.cumsum(phrases.size) - phrases.size
-        inside = np.arange(int(phrases.size.sum())) + np.repeat(phrases.low - start, phrases.size)
+        inside = np.repeat((phrases.low - start).astype(np.int32), phrases.size)
+        inside += np.arange(len(inside), dtype=np.int32)
         owner = np.full(len(self.to), -1, np.int32)
         owner[self.to[inside]] = np.repeat(np.arange(len(phrases.low), dtype=np.int32), phrases.size)
+        del inside
         at = np.flatnonzero(owner >= 0)
         parents, symbols = owner[at], self.symbol[at]
         new = np.ones(len(at), bool)
@@ -174,7 +192,7 @@ class Index:
 
 class Shard:
     def __init__(self, before: bytes, after: bytes, kinds: int) -> None:
-        self.sides = [Index(np.frombuffer(x, np.int32), kinds) for x in (before, after)]
+        self.sides = [Index(unpacked(x, kinds), kinds) for x in (before, after)]
 
     def single(self) -> Phrases:
         """All words, without the break."""
