@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barlab.llm import (
-    collocations, decontamination, license_scan, license_templates, line_dedup, oracles, pii, quality_classifier, quality_rules, secret_scan,
+    collocations, conversation_trie, decontamination, license_scan, license_templates, line_dedup, oracles, pii, quality_classifier, quality_rules, secret_scan,
     sentencepiece_codec, simhash, token_files, vector_search,
 )
 from barlab.llm.common import table
@@ -87,6 +87,10 @@ def op12_top_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_search.top_products(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
 
 
+def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
 def secret_base(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the fixed patterns find; the whole result is ``op5_secret_scan``."""
     return op5_secret_scan(spark, sf_dir).drop("spans")
@@ -115,6 +119,7 @@ QUERIES = {
     "op10_sentencepiece": op10_sentencepiece,
     "op11_collocations": op11_collocations,
     "op12_top_products": op12_top_products,
+    "op13_conversation_trie": op13_conversation_trie,
     "secret_base": secret_base,
     "pii_base": pii_base,
     "quality_base": quality_base,
@@ -123,6 +128,7 @@ ORACLES: dict[str, str] = {
     "op2_decontamination": decontamination.ORACLE,
     "op11_collocations": collocations.ORACLE,
     "op12_top_products": vector_search.ORACLE,
+    "op13_conversation_trie": conversation_trie.ORACLE,
     "secret_base": oracles.SECRETS,
     "pii_base": oracles.PERSONAL,
     "quality_base": oracles.COUNTS,
