@@ -20,10 +20,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from barlab.llm.common import ship_package, slices, whole_text
+from barlab.operators.panel import number_rows
 from barlab.session import stage
 
 #: Words and breaks of a shard, at least while a task has that many of a language; more go to a further shard.
@@ -412,11 +413,12 @@ def mine_collocations(
     whole = found[0]
     for more in found[1:]:
         whole = whole.unionByName(more)
-    order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    ranked = whole.withColumn("rank", F.row_number().over(order))
+    # Ranked by a sort over all tasks: a language may hold most of the phrases.
+    order = {"_low": -F.col("score"), "_few": -F.col("a")}
+    ranked = number_rows(whole.withColumns(order), ["lang"], [*order, "phrase"], out="_place", total="_all", name="ranked")
     if top is not None:
-        ranked = ranked.where(F.col("rank") <= top)
-    return ranked.join(sizes, "lang").select("lang", F.col("rank").cast("bigint").alias("rank"), "phrase", "a", "l", "r", "n", "score")
+        ranked = ranked.where(F.col("_place") < top)
+    return ranked.join(sizes, "lang").select("lang", (F.col("_place") + 1).alias("rank"), "phrase", "a", "l", "r", "n", "score")
 
 
 #: The same by SQL, for three words at most; ``phrase`` is unique since words hold no spaces.
