@@ -9,8 +9,7 @@ import time
 import duckdb
 
 from barlab.session import build_session
-from checks.oracles import ORACLES
-from checks.queries import QUERIES
+from checks.registry import ORACLES, QUERIES
 
 TABLES = [
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings",

@@ -2,9 +2,10 @@
 
 import numpy as np
 import pandas as pd
+import pytest
 
 from barlab.operators.panel import blocked, fill_forward, number_bars, number_rows, own_rows, rank_kept
-from barlab.operators.splits import fold_summary, head_by_row_order, split_by_time, split_summary, walk_forward
+from barlab.operators.splits import fold_performance, fold_summary, head_by_row_order, split_by_time, split_summary, walk_forward
 from tests.conftest import to_spark, walk
 
 
@@ -97,3 +98,24 @@ def test_folds(spark):
     got = got.reset_index()
     assert (got.train_rows == 20).all() and (got.test_rows == 5).all()
     assert got.groupby("symbol").size().to_dict() == {"A": 6, "C": 1}
+
+
+@pytest.mark.parametrize("train, test, step", [(20, 5, 3), (24, 8, 4), (12, 6, 6)])
+def test_fold_performance(spark, train, test, step):
+    frame = pd.concat([walk("A", 1100, 1), walk("B", 24, 2), walk("C", 33, 3)])
+    bars = to_spark(spark, frame)
+    marks = frame[frame.bar_no % 3 > 0][["symbol", "bar_no"]].assign(label=lambda d: (d.bar_no * 7 // 3) % 3)
+    labels = spark.createDataFrame([tuple(map(lambda v: v if isinstance(v, str) else int(v), r)) for r in marks.itertuples(index=False)],
+                                   "symbol string, bar_no bigint, label int")
+    rows = walk_forward(bars, train, test, step).toPandas().merge(marks, "left", ["symbol", "bar_no"])
+    moves = frame.assign(ret=frame.groupby("symbol").close.pct_change())[["symbol", "bar_no", "ret"]]
+    rows = rows.merge(moves, "left", ["symbol", "bar_no"]).sort_values("bar_no")
+    got = fold_performance(bars, labels, train, test, step, 1024).toPandas().set_index(["symbol", "fold", "part"]).sort_index()
+    groups = rows.groupby(["symbol", "fold", "part"])
+    assert list(got.index) == sorted(groups.groups)
+    for key, d in groups:
+        r = got.loc[key]
+        assert (r.bars, r.labeled, r.positives) == (len(d), d.label.notna().sum(), (d.label == 1).sum())
+        assert r.rate == pytest.approx((d.label.dropna() == 1).mean())
+        assert r.mean_return == pytest.approx(d.ret.mean()) and r.std_return == pytest.approx(d.ret.std())
+        assert r.total_return == pytest.approx(d.close.iloc[-1] / d.close.iloc[0] - 1)

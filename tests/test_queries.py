@@ -3,8 +3,7 @@
 import pytest
 
 from checks.compare import mismatch, oracle_connection
-from checks.oracles import ORACLES
-from checks.queries import QUERIES
+from checks.registry import ORACLES, QUERIES
 
 SF = "/root/testdata/sf0.001"
 
