@@ -15,6 +15,7 @@ from barlab.functions.scalars import candle_columns, ratio
 from barlab.operators.panel import ahead, lag
 from barlab.operators.recipes import FINAL, LAGS, LATER, ROLLS, ROWS, SECOND, VALUES, Recipe
 from barlab.operators.scan import ema as ema
+from barlab.operators.scan import ema_of_most
 
 # A frozen price keeps the ratio of the directional sums constant while both
 # decay, so they are followed much further back than other averages.
@@ -114,12 +115,12 @@ def adx(period: int = 14, out: str = "ADX") -> Recipe:
         1,
     )
     plus, minus, dx, smooth = f"_{out}_plus", f"_{out}_minus", f"_{out}_dx", f"_{out}_smooth"
-    scan = {"after": [moves], "dense": True, "residual": DIRECTIONAL_RESIDUAL}
-    sides = [ema("_dm_up", period, plus, **scan), ema("_dm_down", period, minus, **scan)]
+    followed = {"after": [moves], "dense": True, "residual": DIRECTIONAL_RESIDUAL}
+    sides = [ema("_dm_up", period, plus, **followed), ema("_dm_down", period, minus, **followed)]
     index = Recipe(
         {LATER: {dx: ratio(F.abs(F.col(plus) - F.col(minus)), F.col(plus) + F.col(minus))}}, [], 0, after=sides
     )
-    average = ema(dx, period, smooth, after=[index], first_stage=SECOND)
+    average = ema_of_most(dx, period, smooth, after=[index], first_stage=SECOND)
     return Recipe({FINAL: {out: F.col(smooth) * 100}}, [out], 0, after=[average])
 
 

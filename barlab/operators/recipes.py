@@ -18,7 +18,7 @@ from barlab.operators.panel import BLOCK, blocked, own_rows
 
 Stages = dict[int, dict[str, Column]]
 
-# The stages in use. A scan (see scan.py) takes eight stages from its first one on.
+# The stages in use. An EMA of a dense column (see scan.py) takes eight stages from its first one on.
 LAGS = 0      # windows over panel columns
 ROWS = 1      # row expressions over these
 ROLLS = 6     # windows over derived columns, beside the last window of a first scan
@@ -28,6 +28,16 @@ SECOND = 9    # start of a scan over values
 FINAL = 17    # row expressions over a second scan
 
 
+@dataclass(frozen=True)
+class Scan:
+    """An EMA over a column that may miss any number of values, run after the columns of ``stage``."""
+
+    column: str
+    span: float
+    out: str
+    stage: int
+
+
 @dataclass(frozen=True)
 class Recipe:
     """Columns by stage, the visible ``outputs``, and the bars looked at."""
@@ -37,10 +47,14 @@ class Recipe:
     lookback: int
     lookahead: int = 0
     after: list["Recipe"] = field(default_factory=list)
+    scans: list[Scan] = field(default_factory=list)
 
     def all_stages(self) -> Stages:
         return merge_stages([*(r.all_stages() for r in self.after), self.stages])
 
+    def all_scans(self) -> list[Scan]:
+        return [*(s for r in self.after for s in r.all_scans()), *self.scans]
+
     def reach(self) -> int:
         """Bars looked back, inputs included."""
         return self.lookback + max((r.reach() for r in self.after), default=0)
@@ -62,11 +76,17 @@ def merge_stages(many: Iterable[Stages]) -> Stages:
     return merged
 
 
-def add_columns(df: DataFrame, recipes: Iterable[Recipe]) -> DataFrame:
+def add_columns(df: DataFrame, recipes: Iterable[Recipe], block: int = BLOCK) -> DataFrame:
     """Compute the recipes on an already blocked frame; intermediates stay."""
+    from barlab.operators.scan import run_scans
+
+    recipes = list(recipes)
     stages = merge_stages(r.all_stages() for r in recipes)
-    for number in sorted(stages):
-        df = df.withColumns(stages[number])
+    scans = {s.out: s for r in recipes for s in r.all_scans()}
+    for number in sorted({*stages, *(s.stage for s in scans.values())}):
+        df = df.withColumns(stages.get(number, {}))
+        if now := [s for s in scans.values() if s.stage == number]:
+            df = run_scans(df, now, block)
     return df
 
 
@@ -77,5 +97,5 @@ def with_indicators(panel: DataFrame, *recipes: Recipe, block: int = BLOCK) -> D
     outputs = list(dict.fromkeys(name for r in recipes for name in r.outputs))
     kept = [c for c in panel.columns if c not in outputs]
     cut = blocked(panel, back, forward, block)
-    done = own_rows(add_columns(cut, recipes), block)
+    done = own_rows(add_columns(cut, recipes, block), block)
     return done.select(*kept, *outputs)

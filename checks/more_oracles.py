@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from checks.more_queries import LONG_BARS, LONG_LABEL_BARS
-from checks.oracles import FEATURES, HITS, LABELS, MONEY, PANEL, W, dbl, exit_ctes, q, r6s, touches
+from checks.oracles import FEATURES, HITS, LABELS, MONEY, PANEL, dbl, ema_step, exit_ctes, q, r6, r6s, touches
 
 # Rule texts are read by pattern, as in the query; here each condition becomes a bound of its own column.
 MANY_RULES = FEATURES + """,
@@ -29,7 +29,25 @@ def barriers(stop: float, target: float) -> str:
     return f"close - round(ATR_50, 8) * {dbl(stop)} AS sl, close + round(ATR_50, 8) * {dbl(target)} AS tp"
 
 
+def gap_step(y: str, span: int) -> str:
+    """An EMA over a gap: the old value fades with the bars since it was known."""
+    keep, alpha = dbl((span - 1) / (span + 1)), dbl(2 / (span + 1))
+    aged = f"pow({keep}, h.bar_no - e.seen)"
+    return f"CASE WHEN h.x IS NULL THEN e.{y} WHEN e.{y} IS NULL THEN h.x ELSE ({aged} * e.{y} + {alpha} * h.x) / ({aged} + {alpha}) END"
+
+
 ORACLES: dict[str, str] = {
+    "macd_gaps": q(PANEL + f""",
+holes AS (SELECT symbol, bar_no, CASE WHEN bar_no % 700 < 350 AND bar_no % 3 <> 1 THEN CAST(close AS DOUBLE) END AS x FROM panel),
+e AS (
+  SELECT symbol, bar_no, x AS f, x AS s, x - x AS sig, CASE WHEN x IS NOT NULL THEN bar_no END AS seen FROM holes WHERE bar_no = 0
+  UNION ALL
+  SELECT symbol, bar_no, f, s, CASE WHEN old IS NULL THEN f - s ELSE {ema_step('old', '(f - s)', 9)} END, seen
+  FROM (
+    SELECT h.symbol, h.bar_no, {gap_step('f', 12)} AS f, {gap_step('s', 26)} AS s, e.sig AS old,
+      CASE WHEN h.x IS NULL THEN e.seen ELSE h.bar_no END AS seen
+    FROM e JOIN holes h ON h.symbol = e.symbol AND h.bar_no = e.bar_no + 1))""", f"""
+SELECT symbol, bar_no, {r6('f - s', 'MACD_line')}, {r6('sig', 'MACD_signal')}, {r6('f - s - sig', 'MACD_hist')} FROM e"""),
     "rule_hits_many": q(MANY_RULES, "SELECT symbol, bar_no, rule_id FROM many_hits"),
     "signal_counts_many": q(MANY_RULES, "SELECT symbol, rule_id, count(*) AS n_signals FROM many_hits GROUP BY symbol, rule_id"),
     "durations_long": q(FEATURES + f""",

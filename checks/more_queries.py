@@ -8,7 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barlab.functions import scalars
+from barlab.operators import indicators as ind
 from barlab.operators import long_touch, rule_index, rules, splits
+from barlab.operators.panel import SUB
+from barlab.operators.recipes import with_indicators
 from checks.queries import CSL, MONEY, RULES, _barriers, features, labeled, panel, r6
 
 #: A horizon of about eight years of days.
@@ -64,6 +67,13 @@ def q_exits_long(spark, sf_dir):
     )
 
 
+def q_macd_gaps(spark, sf_dir):
+    """Runs of 350 bars without a close, and of the other bars every third misses it."""
+    known = (F.col("bar_no") % 700 < 350) & (F.col("bar_no") % 3 != 1)
+    holes = panel(spark, sf_dir).withColumn("close", F.when(known, F.col("close")))
+    return with_indicators(holes, ind.macd(), block=SUB).select("symbol", "bar_no", *r6("MACD_line", "MACD_signal", "MACD_hist"))
+
+
 def q_walk_forward(spark, sf_dir):
     """Every bar in each of its folds, counted and summed."""
     rows = splits.walk_forward(panel(spark, sf_dir).select("symbol", "ts", "bar_no", "n_bars", "close", "volume"))
@@ -86,6 +96,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "durations_long": q_durations_long,
     "labels_long": q_labels_long,
     "exits_long": q_exits_long,
+    "macd_gaps": q_macd_gaps,
     "walk_forward": q_walk_forward,
     "fold_performance": q_fold_performance,
 }

@@ -12,7 +12,7 @@ from barlab.functions import scalars
 from barlab.operators import calibration, describe, evaluate, metrics, model, quality, rules, splits, touch, trades
 from barlab.operators import indicators as ind
 from barlab.operators.features import feature_frame, momentum_entries, with_atr_alias
-from barlab.operators.panel import fill_forward, number_bars
+from barlab.operators.panel import SUB, fill_forward, number_bars
 from barlab.operators.reach import durations_by_ratio
 from barlab.operators.recipes import Recipe, with_indicators
 from barlab.operators.resample import resample_bars, resample_calendar, ticks_as_bars
@@ -23,7 +23,6 @@ from barlab.plans.apply_rules import apply_rules, out_of_sample, split_performan
 from barlab.plans.calibrate import admitted_universe, calibrate
 from barlab.plans.discover import discover_rules, labeled_table
 from barlab.session import shared_folder, stage
-from barlab.operators.scan import ema_over_gaps
 from barlab.sources.bars import read_bars, read_symbol_files
 from barlab.sources.derived import lineitem_bars
 from barlab.sources.rule_files import read_rules
@@ -134,7 +133,7 @@ def q_ema_gaps(spark, sf_dir):
     """Half of every 700 bars miss their close, and of the others every third."""
     known = (F.col("bar_no") % 700 < 350) & (F.col("bar_no") % 3 != 1)
     holes = panel(spark, sf_dir).withColumn("close", F.when(known, F.col("close")))
-    return ema_over_gaps(holes, "close", 9, "EMA_9", values=1024).select("symbol", "bar_no", *r6("EMA_9"))
+    return with_indicators(holes, ind.ema("close", 9, "EMA_9"), block=SUB).select("symbol", "bar_no", *r6("EMA_9"))
 
 
 def symbol_files(spark, sf_dir):

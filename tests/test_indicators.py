@@ -1,5 +1,7 @@
 """Indicators against pandas formulas, with and without blocks."""
 
+import re
+
 import numpy as np
 import pandas as pd
 import pytest
@@ -7,7 +9,7 @@ import pytest
 from barlab.operators import indicators as ind
 from barlab.operators.features import feature_columns, feature_frame, momentum_entries, with_atr_alias
 from barlab.operators.recipes import with_indicators
-from barlab.operators.scan import ema, ema_over_gaps, macd_over_gaps
+from barlab.operators.scan import ema
 from barlab.params import FEATURE_COLUMNS
 from tests.conftest import to_spark, walk
 
@@ -110,8 +112,8 @@ def test_ema_over_gaps_of_any_length(spark, block):
     df = to_spark(spark, pd.concat([frame, other]))
     ewm = lambda x, span: x.ewm(span=span, adjust=False).mean()
     line = ewm(frame.close, 12) - ewm(frame.close, 26)
-    one = ema_over_gaps(df, "close", 9, "y", block, 1_024).toPandas()
-    all_three = macd_over_gaps(df, block=block).toPandas()
+    one = with_indicators(df, ema("close", 9, "y"), block=block).toPandas()
+    all_three = with_indicators(df, ind.macd(), block=block).toPandas()
     for got, c, want in ((one, "y", ewm(frame.close, 9)), (all_three, "MACD_line", line), (all_three, "MACD_signal", ewm(line, 9))):
         have = got[got.symbol == "A"].sort_values("bar_no").reset_index(drop=True)[c].astype(float)
         assert (have.isna() == want.isna()).all()
@@ -119,6 +121,33 @@ def test_ema_over_gaps_of_any_length(spark, block):
         assert got[got.symbol == "B"][c].isna().all() and len(got) == 10_200
 
 
+@pytest.mark.parametrize("span, every", [(400, 150), (200, 90), (5, 700), (3_000, 1), (50, 5_000)])
+def test_ema_of_sparse_values_over_many_blocks(spark, span, every):
+    """What is left of a value after several blocks, and values that lie blocks apart."""
+    frame = walk("A", 9_000, 18)
+    frame.loc[frame.bar_no % every != every // 2, "close"] = np.nan
+    got = with_indicators(to_spark(spark, frame), ema("close", span, "y"), block=SMALL).toPandas().sort_values("bar_no")
+    want = frame.close.ewm(span=span, adjust=False).mean()
+    have = got.y.astype(float).reset_index(drop=True)
+    assert (have.isna() == want.isna()).all() and np.nanmax(np.abs(have - want)) < 1e-8
+
+
+def test_gaps_take_one_shuffle_of_the_bars(spark):
+    from barlab.session import stage
+
+    df = stage(to_spark(spark, walk("A", 3_000, 19)), "gaps")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        found = with_indicators(df, ind.macd(), block=SMALL)
+        found.collect()
+        plan = found._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    # What else is shuffled has a row per block.
+    assert len(re.findall(r"Exchange hashpartitioning\(symbol#\d+, blk#", plan)) == 1
+    assert plan.count("FileScan") == 1 and "Python" not in plan
+
+
 def test_flat_prices_and_no_volume(spark):
     frame = walk("A", 80, 7)
     frame[["open", "high", "low", "close"]] = 5.0
