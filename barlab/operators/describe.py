@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from barlab.operators import indicators as ind
@@ -14,10 +14,12 @@ from barlab.params import TIE_DIGITS
 from barlab.session import stage
 
 QUARTILES = (0.25, 0.5, 0.75)
-SMALL = 1 << 16  # values of a group that one task may hold
-WIDE = 1 << 13   # bars of a symbol whose columns one task may hold side by side
-PER_BIN = 64
-MAX_BINS = 4096
+#: Entries of a quantile sketch. The rank of what it gives is wrong by at most one in so many.
+ACCURACY = 1_000
+#: Half the width of the bracket around a wanted rank, as a share of all ranks; the sketch's error has to fit well inside.
+REACH = 0.005
+#: Rows of a group whose columns an aggregate may hold as they are. With so many, a bracket is several ranks wide.
+FEW = 4_096
 
 
 def long_values(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -30,120 +32,153 @@ def long_values(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     )
 
 
-def _between(ordered: Column, n: Column, q: float) -> Column:
-    """The ``q`` quantile of an ordered array of ``n`` values; the one formula of this module."""
-    at = F.lit(float(q)) * (n - 1)
-    low, high = F.get(ordered, F.floor(at).cast("int")), F.get(ordered, F.ceil(at).cast("int"))
-    return low + (high - low) * (at - F.floor(at))
+def wide_quantiles(
+    df: DataFrame, keys: Sequence[str], columns: Sequence[str], probs: Sequence[float] = QUARTILES, few: int = FEW, reach: float = REACH
+) -> DataFrame:
+    """``keys, feature, count, mean, std, min, max, q0, q1, ...``: interpolated quantiles of many columns, exact.
+
+    Rows stay wide. Groups of fewer than ``few`` rows are held by an aggregate; see :func:`_bracketed` for larger ones. Both find the
+    values at the same two ranks and blend them alike, so the size of a group does not show in the result.
+    """
+    keys = list(keys)
+    names = [f"_c{i}" for i in range(len(columns))]
+    rows = df.select(*keys, *[F.col(c).cast("double").alias(n) for c, n in zip(columns, names)])
+    moments = [
+        f(n).alias(f"{n}_{m}") for n in names
+        for m, f in (("count", F.count), ("mean", F.avg), ("std", F.stddev_samp), ("min", F.min), ("max", F.max))
+    ]
+    first = stage(rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"), *moments), "moments")
+    small, large = first.filter(F.col("_rows") < few), first.filter(F.col("_rows") >= few)
+    sides = []
+    if not small.isEmpty():
+        asked = F.array(*[F.lit(float(p)) for p in probs])
+        of_small = rows if large.isEmpty() else rows.join(small.select(*keys), keys, "left_semi")
+        held = of_small.groupBy(*keys).agg(*[F.percentile(n, asked).alias(f"{n}_q") for n in names])
+        sides.append(small.join(held, keys))
+    if not large.isEmpty():
+        of_large = rows if small.isEmpty() else rows.join(large.select(*keys), keys, "left_semi")
+        sides.append(large.join(_bracketed(of_large, large, keys, names, probs, reach), keys))
+    if not sides:
+        sides.append(first.withColumns({f"{n}_q": F.lit(None).cast("array<double>") for n in names}))
+    per_feature = F.array(*[
+        F.struct(F.lit(c).alias("feature"), *[F.col(f"{n}_{m}").alias(m) for m in STATS], F.col(f"{n}_q").alias("q")) for c, n in zip(columns, names)
+    ])
+    long = [side.select(*keys, F.explode(per_feature).alias("f")).select(*keys, "f.*").filter("count > 0") for side in sides]
+    whole = long[0] if len(long) == 1 else long[0].unionByName(long[1])
+    return whole.select(*keys, "feature", *STATS, *[F.get("q", F.lit(j)).alias(f"q{j}") for j in range(len(probs))])
 
 
-def exact_quantiles(
-    values: DataFrame, keys: Sequence[str], probs: Sequence[float] = QUARTILES, tie: str = "bar_no", small: int = SMALL
+def _bracketed(
+    rows: DataFrame, sizes: DataFrame, keys: list[str], names: list[str], probs: Sequence[float], reach: float
 ) -> DataFrame:
-    """Interpolated quantiles ``q0, q1, ...`` of ``value`` per ``keys``, exact.
+    """``keys`` and ``<name>_q``, the quantiles of each column, for groups of any size.
 
-    Groups of up to ``small`` values are sorted as they are. Larger ones, if the counts show any, go
-    through :func:`_ranked_quantiles`. Both find the same two values and blend them by the same
-    formula, so the size of a group does not show in the result.
+    A mergeable sketch of every column gives a bracket ``(low, high)`` around each wanted rank. The values strictly inside,
+    some hundredths of all, are sorted over all tasks, and a count of those up to ``low`` gives their ranks, so a result
+    from inside is proven. Values beyond measure are an end of the bracket and are not moved; a result
+    at an end is proven by a count of its own, and where that fails the group goes again with wider brackets.
     """
-    keys = list(keys)
-    sizes = stage(values.groupBy(*keys).agg(F.count("value").alias("_n")), "sizes")
-    largest = sizes.agg(F.max("_n")).first()[0] or 0
-    gathered = F.sort_array(F.collect_list("value")).alias("_q")
-    columns = [_between(F.col("_q"), F.size("_q"), q).alias(f"q{i}") for i, q in enumerate(probs)]
-    if largest <= small:
-        return values.groupBy(*keys).agg(gathered).select(*keys, *columns)
-    few = values.join(sizes.filter(F.col("_n") <= small), keys, "left_semi")
-    many = values.join(sizes.filter(F.col("_n") > small), keys, "left_semi")
-    return (
-        few.groupBy(*keys).agg(gathered).select(*keys, *columns)
-        .unionByName(_ranked_quantiles(many, keys, probs, tie))
+    asked = sorted({e for p in probs for e in (p - reach, p + reach) if 0 < e < 1})
+    sketches = stage(rows.groupBy(*keys).agg(*[F.percentile_approx(n, asked or [0.5], ACCURACY).alias(f"{n}_e") for n in names]), "sketches")
+
+    def end(n: str, e: float) -> Column:
+        return F.get(f"{n}_e", F.lit(asked.index(e))) if 0 < e < 1 else F.lit(float("-inf") if e <= 0 else float("inf"))
+
+    ends = {(i, j): (end(n, p - reach), end(n, p + reach)) for i, n in enumerate(names) for j, p in enumerate(probs)}
+    marked = rows.join(sketches, keys)
+    under = marked.groupBy(*keys).agg(*[F.count_if(F.col(names[i]) <= low).alias(f"_{i}_{j}") for (i, j), (low, _) in ends.items()])
+    counts = sizes.select(*keys, *[F.col(f"{n}_count").alias(f"{n}_n") for n in names])
+    per_end = F.array(*[
+        F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"), F.lit(float(probs[j])).alias("p"), low.alias("low"), high.alias("high"),
+                 F.col(f"_{i}_{j}").alias("to_low"), F.col(f"{names[i]}_n").alias("n"))
+        for (i, j), (low, high) in ends.items()
+    ])
+    wanted = under.join(sketches, keys).join(counts, keys).select(*keys, F.explode(per_end).alias("e")).select(*keys, "e.*")
+    at = F.col("p") * (F.col("n") - 1)
+    wanted = stage(wanted.filter("n > 0").withColumns({"at": at, "r0": F.floor(at), "r1": F.ceil(at)}), "wanted")
+
+    def in_some(i: int) -> Column:
+        inside = F.lit(False)
+        for j in range(len(probs)):
+            low, high = ends[i, j]
+            inside = inside | ((F.col(names[i]) > low) & (F.col(names[i]) < high))
+        return inside
+
+    found = F.array(*[F.when(in_some(i), F.struct(F.lit(i).alias("i"), F.col(n).alias("value"))) for i, n in enumerate(names)])
+    picked = marked.select(*keys, F.explode(F.filter(found, lambda x: x.isNotNull())).alias("x")).select(*keys, "x.*")
+    ranked = number_rows(picked, [*keys, "i"], ["value"], "place", "picked", "quantiles")
+    spot = [*keys, "i", "j"]
+    # A value's rank: those up to the bracket's low end, and the picked ones between that end and the value.
+    inside = ranked.join(wanted.select(*spot, "low", "high", "to_low", "r0", "r1"), [*keys, "i"]).filter("value > low and value < high")
+    inside = stage(inside.select(*spot, "value", "place", "to_low", "r0", "r1"), "inside")
+    start = inside.groupBy(*spot).agg(F.min("place").alias("start"))
+    rank = F.col("place") - F.col("start") + F.col("to_low")
+    hits = inside.join(start, spot).withColumn("rank", rank).filter("rank = r0 or rank = r1").groupBy(*spot).agg(
+        *[F.max(F.when(F.col("rank") == F.col(r), F.col("value"))).alias(v) for r, v in (("r0", "v0"), ("r1", "v1"))]
+    )
+
+    def value(r: str, hit: str) -> Column:
+        return F.when(F.col(r) < F.col("to_low"), F.col("low")).otherwise(F.coalesce(F.col(hit), F.col("high")))
+
+    share = F.col("at") - F.col("r0")
+    mixed = F.when(F.col("r0") == F.col("r1"), value("r0", "v0")).otherwise((1 - share) * value("r0", "v0") + share * value("r1", "v1"))
+    inner = F.col("v0").isNotNull() & F.col("v1").isNotNull()
+    settled = stage(wanted.join(hits, spot, "left").select(*spot, mixed.alias("q"), inner.alias("inner"), "low", "high", "to_low", "r0", "r1"), "settled")
+    if not (outer := settled.filter(~F.col("inner"))).isEmpty():
+        sure = _proven(rows, stage(outer, "outer"), keys, names)
+        settled = settled.join(sure, spot, "left").withColumn("inner", F.col("inner") | F.coalesce("sure", F.lit(False)))
+    wide = settled.groupBy(*keys).agg(
+        F.min("inner").alias("_sure"),
+        *[F.array(*[F.max(F.when((F.col("i") == i) & (F.col("j") == j), F.col("q"))) for j in range(len(probs))]).alias(f"{n}_q") for i, n in enumerate(names)],
     )
+    wide = stage(wide, "quantiles")
+    again = wide.filter(~F.col("_sure")).select(*keys)
+    done = wide.filter("_sure").drop("_sure")
+    if again.isEmpty():
+        return done
+    return done.unionByName(_bracketed(rows.join(again, keys, "left_semi"), sizes.join(again, keys, "left_semi"), keys, names, probs, reach * 8))
 
 
-def _ranked_quantiles(values: DataFrame, keys: list[str], probs: Sequence[float], tie: str) -> DataFrame:
-    """Quantiles of large groups.
+def _proven(rows: DataFrame, outer: DataFrame, keys: list[str], names: list[str]) -> DataFrame:
+    """``keys, i, j, sure``: whether the ranks of a result at the end of its bracket belong to that end, by a count.
 
-    A histogram per key (counted before the shuffle) tells which bins hold the two
-    values next to each quantile. Only the values of these bins are sorted and
-    ranked, so most of the data never moves; the result is exact whatever the
-    distribution.
+    Only the columns concerned are looked at, and the plain columns of a row, not a row per column.
     """
-    limits = stage(values.groupBy(*keys).agg(
-        F.count("value").alias("_n"), F.min("value").alias("_lo"), F.max("value").alias("_hi")
-    ), "limits").withColumn("_bins", F.expr(f"least({MAX_BINS}L, greatest(1L, _n div {PER_BIN}L))"))
-    # Rounding keeps order, so bins are ordered like their values.
-    share = F.try_divide(F.col("value") - F.col("_lo"), F.col("_hi") - F.col("_lo"))
-    place = F.coalesce(F.least(F.floor(share * F.col("_bins")), F.col("_bins") - 1), F.lit(0))
-    binned = values.select(*keys, "value", tie).join(limits, keys).withColumn("_bin", place)
-    counts = binned.groupBy(*keys, "_bin").agg(F.count(F.lit(1)).alias("_rows"), F.max("_n").alias("_n"))
-    earlier = Window.partitionBy(*keys).orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)
-
-    def at(q: float):
-        return F.lit(float(q)) * (F.col("_n") - 1)
-
-    ranks = F.array(*[edge(at(q)) for q in probs for edge in (F.floor, F.ceil)])
-    inside = F.exists(ranks, lambda r: (r >= F.col("_before")) & (r < F.col("_before") + F.col("_rows")))
-    needed = stage(
-        counts.withColumn("_before", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)))
-        .filter(inside)
-        .select(*keys, "_bin", "_before"),
-        "bins",
-    )
-    picked = binned.select(*keys, "_bin", "value", tie, "_n").join(needed, [*keys, "_bin"])
-    ranked = number_rows(picked, [*keys, "_bin"], ["value", tie], "_place", "_in_bin", "quantiles").withColumn(
-        "_rank", F.col("_place") + F.col("_before")
+    places = [(r["i"], r["j"]) for r in outer.select("i", "j").distinct().collect()]  # at most columns x quantiles
+    ends = outer.groupBy(*keys).agg(*[
+        F.max(F.when((F.col("i") == i) & (F.col("j") == j), F.col(c))).alias(f"_{c}_{i}_{j}") for i, j in places for c in ("low", "high")
+    ])
+    counted = rows.join(stage(ends, "ends"), keys).groupBy(*keys).agg(
+        *[F.count_if(F.col(names[i]) < F.col(f"_low_{i}_{j}")).alias(f"_under_{i}_{j}") for i, j in places],
+        *[F.count_if(F.col(names[i]) <= F.col(f"_high_{i}_{j}")).alias(f"_up_{i}_{j}") for i, j in places],
     )
-    picks = [
-        F.max(F.when(F.col("_rank") == edge(at(q)), F.col("value"))).alias(f"_{name}{i}")
-        for i, q in enumerate(probs)
-        for name, edge in (("lo", F.floor), ("hi", F.ceil))
-    ]
-    wanted = ranked.groupBy(*keys).agg(F.max("_n").alias("_n"), *picks)
+    long = counted.select(*keys, F.explode(F.array(*[
+        F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"), F.col(f"_under_{i}_{j}").alias("under"), F.col(f"_up_{i}_{j}").alias("up")) for i, j in places
+    ])).alias("x")).select(*keys, "x.*")
+    return outer.join(long, [*keys, "i", "j"]).select(*keys, "i", "j", ((F.col("under") <= F.col("r0")) & (F.col("r1") < F.col("up"))).alias("sure"))
+
 
-    def blend(i: int, q: float):
-        low, high = F.col(f"_lo{i}"), F.col(f"_hi{i}")
-        return (low + (high - low) * (at(q) - F.floor(at(q)))).alias(f"q{i}")
+STATS = ["count", "mean", "std", "min", "max"]
 
-    return wanted.select(*keys, *[blend(i, q) for i, q in enumerate(probs)])
 
+def exact_quantiles(values: DataFrame, keys: Sequence[str], probs: Sequence[float] = QUARTILES, few: int = FEW) -> DataFrame:
+    """Interpolated quantiles ``q0, q1, ...`` of ``value`` per ``keys``, exact, for groups of any size."""
+    found = wide_quantiles(values, keys, ["value"], probs, few)
+    return found.select(*keys, *[f"q{i}" for i in range(len(probs))])
 
-def describe_columns(df: DataFrame, columns: Sequence[str], small: int = WIDE) -> DataFrame:
-    """count, mean, std, min, quartiles and max per symbol and column.
 
-    Symbols of up to ``small`` bars are aggregated as wide rows in one pass; for
-    larger ones the quartiles come from ranks of the unpivoted values.
+def approximate_quantiles(values: DataFrame, keys: Sequence[str], probs: Sequence[float] = QUARTILES, accuracy: int = ACCURACY) -> DataFrame:
+    """Values ``q0, q1, ...`` per ``keys`` whose rank is wrong by at most one in ``accuracy`` of the group, in one pass.
+
+    Each is one of the group's values; between two of them nothing is interpolated.
     """
-    def moments(c: str):
-        return [
-            F.count(c).alias("count"), F.avg(c).alias("mean"), F.stddev_samp(c).alias("std"),
-            F.min(c).alias("min"), F.max(c).alias("max"),
-        ]
-
-    def quartile(c: str, q: float):
-        return _between(F.col(f"`{c}.q`"), F.col(f"`{c}.0`"), q)
-
-    rows = df.filter(F.col("n_bars") <= small).groupBy("symbol").agg(
-        *[m.alias(f"{c}.{i}") for c in columns for i, m in enumerate(moments(c))],
-        *[F.sort_array(F.collect_list(c)).alias(f"{c}.q") for c in columns],
-    )
-    names = ["count", "mean", "std", "min", "max"]
-    per_column = F.array(*[
-        F.struct(
-            F.lit(c).alias("feature"),
-            *[F.col(f"`{c}.{i}`").alias(n) for i, n in enumerate(names)],
-            *[quartile(c, q).alias(n) for q, n in zip(QUARTILES, ["p25", "p50", "p75"])],
-        )
-        for c in columns
-    ])
-    described = rows.select("symbol", F.explode(per_column).alias("d")).select("symbol", "d.*")
-    described = described.filter(F.col("count") > 0)
-    if (df.agg(F.max("n_bars")).first()[0] or 0) <= small:
-        return described
-    keys = ["symbol", "feature"]
-    values = long_values(df.filter(F.col("n_bars") > small), columns)
-    quantiles = exact_quantiles(values, keys).withColumnsRenamed({"q0": "p25", "q1": "p50", "q2": "p75"})
-    return described.unionByName(values.groupBy(*keys).agg(*moments("value")).join(quantiles, keys))
+    found = values.groupBy(*keys).agg(F.percentile_approx("value", [float(p) for p in probs], accuracy).alias("q"))
+    return found.select(*keys, *[F.get("q", F.lit(i)).alias(f"q{i}") for i in range(len(probs))])
+
+
+def describe_columns(df: DataFrame, columns: Sequence[str], few: int = FEW) -> DataFrame:
+    """count, mean, std, min, quartiles and max per symbol and column."""
+    return wide_quantiles(df, ["symbol"], columns, QUARTILES, few).withColumnsRenamed({"q0": "p25", "q1": "p50", "q2": "p75"})
 
 
 def eda_summary(

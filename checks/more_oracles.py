@@ -66,6 +66,7 @@ FROM touch"""),
 SELECT symbol, entry_bar, exit_bar, entry_ts, exit_ts, {r6s(*MONEY)}, reason, bars_held, size, n_rules
 FROM exits JOIN (SELECT symbol, bar_no + 1 AS entry_bar, CAST(count(*) AS INTEGER) AS n_rules FROM hits
                  GROUP BY symbol, bar_no) USING (symbol, entry_bar)"""),
+    "medians_approx": q(PANEL, "SELECT symbol, count(*) AS n, true AS within FROM panel GROUP BY symbol"),
     "walk_forward": q(PANEL, """
 SELECT symbol, fold, CASE WHEN bar_no - fold * 21 < 252 THEN 'train' ELSE 'test' END AS part, count(*) AS n,
   min(ts) AS first_ts, max(ts) AS last_ts, round(sum(close), 4) AS closes, round(sum(volume), 4) AS volumes

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from barlab.functions import scalars
 from barlab.operators import indicators as ind
-from barlab.operators import long_touch, rule_index, rules, splits
+from barlab.operators import describe, long_touch, rule_index, rules, splits
 from barlab.operators.panel import SUB
 from barlab.operators.recipes import with_indicators
 from checks.queries import CSL, MONEY, RULES, _barriers, features, labeled, panel, r6
@@ -74,6 +74,18 @@ def q_macd_gaps(spark, sf_dir):
     return with_indicators(holes, ind.macd(), block=SUB).select("symbol", "bar_no", *r6("MACD_line", "MACD_signal", "MACD_hist"))
 
 
+def q_medians_approx(spark, sf_dir):
+    """Whether the median from a sketch has its rank within the stated error, by an exact count."""
+    values = panel(spark, sf_dir).select("symbol", F.col("close").alias("value"))
+    median = describe.approximate_quantiles(values, ["symbol"], [0.5], 200).withColumnRenamed("q0", "median")
+    ranks = values.join(median, "symbol").groupBy("symbol").agg(
+        F.count(F.lit(1)).alias("n"), F.avg((F.col("value") < F.col("median")).cast("int")).alias("under"),
+        F.avg((F.col("value") <= F.col("median")).cast("int")).alias("up_to"),
+    )
+    within = (F.col("under") - 1 / 200 <= 0.5) & (F.col("up_to") + 1 / 200 >= 0.5)
+    return ranks.select("symbol", "n", within.alias("within"))
+
+
 def q_walk_forward(spark, sf_dir):
     """Every bar in each of its folds, counted and summed."""
     rows = splits.walk_forward(panel(spark, sf_dir).select("symbol", "ts", "bar_no", "n_bars", "close", "volume"))
@@ -97,6 +109,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "labels_long": q_labels_long,
     "exits_long": q_exits_long,
     "macd_gaps": q_macd_gaps,
+    "medians_approx": q_medians_approx,
     "walk_forward": q_walk_forward,
     "fold_performance": q_fold_performance,
 }

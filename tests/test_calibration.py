@@ -5,9 +5,10 @@ import hashlib
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from barlab.operators.calibration import buying_power_check, stop_coefficients
-from barlab.operators.describe import describe_columns, exact_quantiles, _ranked_quantiles
+from barlab.operators.describe import approximate_quantiles, describe_columns, exact_quantiles, wide_quantiles
 from barlab.operators.evaluate import classification_metrics
 from barlab.operators.quality import check_bars, keep_good, liquid_bars
 from barlab.operators.sampling import hash_sample
@@ -111,20 +112,55 @@ def test_quantiles_of_large_groups(spark):
     df = spark.createDataFrame(rows, "symbol string, value double, bar_no long")
     probs = [0.0, 0.1, 0.25, 0.5, 0.75, 1.0]
     want = frame.groupby("symbol").value.quantile(probs).unstack()
-    ways = [exact_quantiles(df, ["symbol"], probs, small=100), exact_quantiles(df, ["symbol"], probs),
-            _ranked_quantiles(df, ["symbol"], probs, "bar_no")]
+    ways = [exact_quantiles(df, ["symbol"], probs, few=10), exact_quantiles(df, ["symbol"], probs), exact_quantiles(df, ["symbol"], probs, few=10_000)]
     for way in ways:
         got = way.toPandas().set_index("symbol")
         for i, q in enumerate(probs):
             assert np.allclose(got[f"q{i}"].loc[want.index], want[q])
 
 
+def test_quantiles_of_a_symbol_with_a_million_bars(spark):
+    """No group is gathered: what is sorted is a few hundredths of the values, also where most share one."""
+    rows = spark.range(1_000_000).select(
+        F.lit("HOT").alias("symbol"), (F.pmod(F.col("id") * 7_919, F.lit(1_000_003)) / 7).alias("a"),
+        F.when(F.col("id") % 5 > 0, 2.5).otherwise(F.pmod(F.col("id") * 31, F.lit(997)).cast("double")).alias("b"), F.lit(1.0).alias("c"),
+        F.when(F.col("id") % 2_000 == 0, F.col("id").cast("double")).alias("d"),
+    ).unionByName(spark.range(40).select(F.lit("B").alias("symbol"), *[F.col("id").cast("double").alias(c) for c in "abcd"]))
+    probs = [0.001, 0.25, 0.5, 0.999]
+    frame = rows.toPandas()
+    got = wide_quantiles(rows, ["symbol"], list("abcd"), probs).toPandas().set_index(["symbol", "feature"])
+    for (s, f), r in got.iterrows():
+        x = frame[frame.symbol == s][f].dropna()
+        assert np.allclose([r[f"q{i}"] for i in range(4)], x.quantile(probs)) and r["count"] == len(x)
+    assert len(got) == 8
+
+
+def test_brackets_that_miss_are_widened(spark, monkeypatch):
+    """Brackets without any width still give exact quantiles."""
+    rows = spark.range(5_000).select(F.lit("A").alias("symbol"), F.pmod(F.col("id") * 17, F.lit(5_003)).cast("double").alias("value"))
+    x = pd.Series([r.value for r in rows.collect()])
+    got = wide_quantiles(rows, ["symbol"], ["value"], [0.1, 0.5], few=10, reach=0.00001).first()
+    assert (got.q0, got.q1) == (pytest.approx(x.quantile(0.1)), pytest.approx(x.quantile(0.5)))
+
+
+@pytest.mark.parametrize("accuracy", [20, 1_000])
+def test_approximate_quantiles_keep_their_rank_error(spark, accuracy):
+    rows = spark.range(200_000).repartition(9).select((F.col("id") % 3).alias("g"), F.pmod(F.col("id") * 104_729, F.lit(65_537)).cast("double").alias("value"))
+    frame = rows.toPandas()
+    probs = [0.0, 0.1, 0.5, 0.9, 1.0]
+    for r in approximate_quantiles(rows, ["g"], probs, accuracy).collect():
+        x = frame[frame.g == r.g].value
+        for i, p in enumerate(probs):
+            v = r[f"q{i}"]
+            assert (x < v).mean() - 1 / accuracy <= p <= (x <= v).mean() + 1 / accuracy and (x == v).any()
+
+
 def test_describe_both_ways(spark):
     frame = pd.concat([walk("A", 900, 1), walk("B", 80, 2)])
     frame.loc[frame.bar_no % 9 == 0, "volume"] = np.nan
     df = to_spark(spark, frame)
     wide = describe_columns(df, ["close", "volume"]).toPandas().set_index(["symbol", "feature"]).sort_index()
-    split = describe_columns(df, ["close", "volume"], small=100).toPandas().set_index(["symbol", "feature"]).sort_index()
+    split = describe_columns(df, ["close", "volume"], few=100).toPandas().set_index(["symbol", "feature"]).sort_index()
     for s, d in frame.groupby("symbol"):
         for c in ("close", "volume"):
             want = d[c].describe().to_numpy()
