@@ -28,10 +28,20 @@ def write_table(
     writer.save(path)
 
 
+def write_symbol_folders(df: DataFrame, folder: str, columns: Sequence[str], order: Sequence[str] = ("ts",)) -> None:
+    """CSV files with a header in a folder ``symbol=<symbol>`` each, as many per symbol as its rows need.
+
+    The rows are ranged by symbol and ``order``, so a large symbol is written by many tasks and each file holds consecutive rows.
+    """
+    ranged = df.select(F.col("symbol"), *[F.col(c) for c in dict.fromkeys([*columns, *order])]).repartitionByRange("symbol", *order)
+    ranged.sortWithinPartitions("symbol", *order).select("symbol", *columns).write.mode("overwrite").partitionBy("symbol").option(
+        "header", True).option("escape", '"').csv(folder)
+
+
 def write_symbol_files(df: DataFrame, folder: str, columns: Sequence[str], prefix: str = "") -> None:
     """One CSV file ``<prefix><symbol>.csv`` per symbol, with ``columns`` in this order.
 
-    The format asks for one file, and so for one task, per symbol; for large symbols use :func:`write_table`.
+    The format asks for one file, and so for one task, per symbol; for large symbols use :func:`write_symbol_folders`.
     Spark writes a folder per symbol beside ``folder``, and each folder's file is then moved to its name.
     """
     spark = df.sparkSession

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from checks.more_queries import LONG_BARS, LONG_LABEL_BARS
-from checks.oracles import FEATURES, HITS, LABELS, MONEY, PANEL, dbl, ema_step, exit_ctes, q, r6, r6s, touches
+from barlab.operators.features import Periods, feature_names
+from barlab.params import FEATURE_COLUMNS
+from checks.more_queries import LONG_BARS, LONG_LABEL_BARS, OTHER
+from checks.oracles import BARS, FEATURES, HITS, LABELS, MONEY, PANEL, RSI, STEPS, W, dbl, dist, ema_step, exit_ctes, lag, q, r6, r6s, roll, touches
 
 # Rule texts are read by pattern, as in the query; here each condition becomes a bound of its own column.
 MANY_RULES = FEATURES + """,
@@ -36,7 +38,71 @@ def gap_step(y: str, span: int) -> str:
     return f"CASE WHEN h.x IS NULL THEN e.{y} WHEN e.{y} IS NULL THEN h.x ELSE ({aged} * e.{y} + {alpha} * h.x) / ({aged} + {alpha}) END"
 
 
+def features_of(p: Periods) -> str:
+    """The feature frame for any lengths: EMAs by recursion, the rest by windows."""
+    fast, slow, signal = p.macd
+    spans = list(dict.fromkeys([fast, slow, *p.emas]))
+    start = ", ".join(f"close AS e{n}" for n in spans)
+    step = ", ".join(f"{ema_step(f'e.e{n}', 's.close', n)} AS e{n}" for n in spans)
+    kept = ", ".join(f"e{n}" for n in spans)
+    dmu, dmd = ema_step("e.p", "s.dmu", p.adx), ema_step("e.m", "s.dmd", p.adx)
+    ems = ", ".join(f"e{n} AS EMA_{n}" for n in p.emas)
+    away = ", ".join(f"{dist(f'e{n}')} AS dist_ema{n}_pct" for n in p.emas)
+    typical = f"(tpv_ / nullif(v_, 0))"
+    names = feature_names(p)
+    filled = ", ".join(f"last_value({c} IGNORE NULLS) OVER ({W} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS {c}" for c in names)
+    return STEPS + f""",
+em AS (
+  SELECT symbol, bar_no, {start}, close - close AS line, close - close AS sig, dmu AS p, dmd AS m, CAST(NULL AS DOUBLE) AS adx
+  FROM st WHERE bar_no = 0
+  UNION ALL
+  SELECT symbol, bar_no, {kept}, e{fast} - e{slow}, {ema_step('sig', f'(e{fast} - e{slow})', signal)}, p, m,
+    CASE WHEN p + m = 0 THEN adx WHEN adx IS NULL THEN abs(p - m) / (p + m) ELSE {ema_step('adx', '(abs(p - m) / (p + m))', p.adx)} END
+  FROM (SELECT s.symbol, s.bar_no, {step}, e.sig, e.adx, {dmu} AS p, {dmd} AS m
+        FROM em e JOIN st s ON s.symbol = e.symbol AND s.bar_no = e.bar_no + 1)),
+w1 AS (SELECT st.*, {kept}, line, sig, adx, {lag('close', p.er)} AS c_er, {lag('close', p.momentum)} AS c_m FROM st JOIN em USING (symbol, bar_no)),
+w2 AS (
+  SELECT *, {roll('avg', 'up', p.rsi)} AS gain, {roll('avg', 'dn', p.rsi)} AS loss, {roll('avg', 'tr', p.atr)} AS atr_,
+    {roll('sum', 'tpv', p.vwap)} AS tpv_, {roll('sum', 'volume', p.vwap)} AS v_, {roll('avg', 'volume', p.rvol)} AS va_,
+    {roll('sum', 'abs(mv)', p.er)} AS path, {roll('stddev_samp', 'ret', p.volatility)} AS sdr, {roll('avg', 'close', p.sma)} AS sma_,
+    {roll('avg', 'close', p.bollinger)} AS mid, {roll('stddev_samp', 'close', p.bollinger)} AS sd
+  FROM w1),
+wide AS (
+  SELECT symbol, ts, bar_no, {RSI.format(l='loss', g='gain')} AS RSI_{p.rsi}, atr_ AS ATR_{p.atr}, {ems}, {away},
+    tpv_ / nullif(v_, 0) AS VWAP_{p.vwap}, {dist(typical)} AS dist_vwap_pct, line AS MACD_line, sig AS MACD_signal, line - sig AS MACD_hist,
+    volume / nullif(va_, 0) AS RVOL_{p.rvol}, (close - c_er) / nullif(path, 0) AS ER_Kaufman_{p.er}, (open - pc) / nullif(pc, 0) AS Gap_pct,
+    adx * 100 AS ADX_{p.adx}, (close / nullif(c_m, 0) - 1) * 100 AS ROC_{p.momentum}, close / nullif(c_m, 0) - 1 AS Momentum_{p.momentum},
+    sdr * sqrt(CAST(252 AS DOUBLE)) AS Volatility_{p.volatility}, sma_ AS SMA_{p.sma},
+    (close - (mid + {p.width} * sd)) / nullif(mid, 0) * 100 AS dist_bb_upper_pct, (close - (mid - {p.width} * sd)) / nullif(mid, 0) * 100 AS dist_bb_lower_pct,
+    abs(close - open) AS Candle_Body, high - low AS Candle_Range, high - greatest(open, close) AS Upper_Wick, least(open, close) - low AS Lower_Wick
+  FROM w2),
+fl AS (SELECT symbol, ts, bar_no, {filled} FROM wide),
+other AS (
+  SELECT * REPLACE (row_number() OVER ({W}) - 1 AS bar_no), count(*) OVER (PARTITION BY symbol) AS n_bars
+  FROM fl WHERE {' AND '.join(f'{c} IS NOT NULL' for c in names)})"""
+
+
+def rounded(column: str) -> str:
+    value = f"round({column} + CAST(1e-11 AS DOUBLE), 9)" if column.startswith("VWAP") else f"round({column}, 6)"
+    return f"CASE WHEN {value} = 0 THEN CAST(0 AS DOUBLE) ELSE {value} END AS {column}"
+
+
+_inputs = " UNION ALL ".join(f"SELECT {i} AS pos, '{c}' AS feature, {c} AS v FROM complete" for i, c in enumerate(FEATURE_COLUMNS))
 ORACLES: dict[str, str] = {
+    "symbol_files_notes": q(BARS, "SELECT symbol, ts, open, high, low, close, volume FROM bars"),
+    "symbol_folders": q(BARS, "SELECT symbol, ts, open, high, low, close, volume FROM bars"),
+    "feature_files": q(FEATURES, f"SELECT symbol, ts, close, volume, {r6s(*FEATURE_COLUMNS)} FROM feat"),
+    "labeled_files": q(LABELS, f"""
+SELECT symbol, ts, close, {r6s('RSI_14', 'ATR_50')}, label, bar_no AS entry_bar FROM lab JOIN feat USING (symbol, bar_no)"""),
+    "exported_rules": q(PANEL, """
+SELECT CAST(CAST(substr(symbol, 2) AS INTEGER) * 10000 + year(m) * 12 % 10000 + month(m) AS INTEGER) AS rule_id, pos, n AS n_samples, CAST(0.25 AS DOUBLE) AS p_label_1,
+  CASE pos WHEN 0 THEN 'VWAP_20 > ' || printf('%.3f', low) ELSE 'VWAP_20 <= ' || printf('%.3f', high + CAST(0.12345 AS DOUBLE)) END AS text
+FROM (SELECT symbol, date_trunc('month', ts) AS m, min(low) AS low, max(high) AS high, count(*) AS n FROM panel GROUP BY ALL), (VALUES (0), (1)) AS v(pos)"""),
+    "model_inputs": q(LABELS + f""",
+complete AS (
+  SELECT feat.* FROM lab JOIN feat USING (symbol, bar_no) WHERE bar_no % 7 > 0 AND bar_no % 5 > 0),
+long AS ({_inputs})""", "SELECT pos, feature, count(*) AS n, round(avg(v), 4) AS mean FROM long GROUP BY pos, feature"),
+    "features_periods": q(features_of(OTHER), f"SELECT symbol, ts, bar_no, n_bars, {', '.join(map(rounded, feature_names(OTHER)))} FROM other"),
     "macd_gaps": q(PANEL + f""",
 holes AS (SELECT symbol, bar_no, CASE WHEN bar_no % 700 < 350 AND bar_no % 3 <> 1 THEN CAST(close AS DOUBLE) END AS x FROM panel),
 e AS (

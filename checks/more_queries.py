@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,8 +11,15 @@ from pyspark.sql import functions as F
 from barlab.functions import scalars
 from barlab.operators import indicators as ind
 from barlab.operators import describe, long_touch, rule_index, rules, splits
+from barlab.operators.features import Periods, feature_columns, feature_frame, feature_names
 from barlab.operators.panel import SUB
 from barlab.operators.recipes import with_indicators
+from barlab.params import FEATURE_COLUMNS
+from barlab.session import shared_folder
+from barlab.sources.bars import read_frames, read_symbol_files
+from barlab.sources.derived import lineitem_bars
+from barlab.sources.rule_files import export_rules, read_rules
+from barlab.sources.sinks import write_symbol_files, write_symbol_folders
 from checks.queries import CSL, MONEY, RULES, _barriers, features, labeled, panel, r6
 
 #: A horizon of about eight years of days.
@@ -102,12 +110,100 @@ def q_fold_performance(spark, sf_dir):
     )
 
 
+def file_bars(spark, sf_dir) -> DataFrame:
+    """The bars as they stand in files, with a note that needs quotes."""
+    day, time = F.date_format("ts", "yyyy-MM-dd"), F.date_format("ts", "HH:mm:ss")
+    bars = lineitem_bars(spark, sf_dir)
+    note = F.when(F.dayofmonth("ts") % 3 == 0, F.lit('two\nlines, "quoted"\n')).when(F.dayofmonth("ts") % 3 == 1, F.lit('"\n"')).otherwise(F.lit("plain"))
+    return bars.select(
+        "symbol", day.alias("Date"), time.alias("Time"), *[F.col(c.lower()).alias(c) for c in ("Open", "High", "Low", "Close", "Volume")], note.alias("Note")
+    )
+
+
+def _folder(spark, name: str) -> str:
+    return f"{shared_folder(spark)}/barlab/{name}-{uuid.uuid4().hex}"
+
+
+def q_symbol_files_notes(spark, sf_dir):
+    """Files whose quoted cells hold line breaks."""
+    folder = _folder(spark, "notes")
+    write_symbol_files(file_bars(spark, sf_dir), folder, ["Date", "Note", "Time", "Open", "High", "Low", "Close", "Volume"])
+    return read_symbol_files(spark, folder)[0]
+
+
+def q_symbol_folders(spark, sf_dir):
+    """Several files per symbol, in a folder each."""
+    folder = _folder(spark, "folders")
+    write_symbol_folders(file_bars(spark, sf_dir), folder, ["Volume", "Date", "Time", "Open", "High", "Low", "Close"], ["Date", "Time"])
+    return read_symbol_files(spark, folder, folders=True)[0]
+
+
+def q_feature_files(spark, sf_dir):
+    """The feature frame written as a file per symbol and read back."""
+    folder, columns = _folder(spark, "features"), ["ts", "open", "high", "low", "close", "volume", *FEATURE_COLUMNS]
+    write_symbol_files(features(spark, sf_dir), folder, columns, "features_")
+    return read_frames(spark, folder, "features_")[0].select("symbol", "ts", "close", "volume", *r6(*FEATURE_COLUMNS))
+
+
+def q_labeled_files(spark, sf_dir):
+    """Labeled bars written as a file per symbol, with times in a zone, and read back."""
+    folder = _folder(spark, "labeled")
+    stamp = F.concat(F.date_format(F.timestamp_add("HOUR", F.lit(2), F.col("ts")), "yyyy-MM-dd HH:mm:ss"), F.lit("+02:00")).alias("Datetime")
+    prices = [F.col(c).alias(c.title()) for c in ("open", "high", "low", "close", "volume")]
+    rows = labeled(spark, sf_dir).select("symbol", stamp, *prices, *FEATURE_COLUMNS, "label", F.col("entry_bar").alias("entry_idx"))
+    write_symbol_files(rows, folder, rows.columns[1:], "labeled_")
+    return read_frames(spark, folder, "labeled_", labeled=True)[0].select("symbol", "ts", "close", *r6("RSI_14", "ATR_50"), "label", "entry_bar")
+
+
+def q_exported_rules(spark, sf_dir):
+    """Rules with typed conditions written as JSON with text conditions, and read back."""
+    monthly = panel(spark, sf_dir).groupBy("symbol", F.date_trunc("month", "ts").alias("m")).agg(F.min("low").alias("low"), F.max("high").alias("high"), F.count(F.lit(1)).alias("n"))
+    number = F.substring("symbol", 2, 9).cast("int") * 10_000 + F.year("m") * 12 % 10_000 + F.month("m")
+    condition = lambda f, op, t: F.struct(F.lit(f).alias("feature"), F.lit(op).alias("op"), t.alias("threshold"))
+    typed = monthly.select(
+        number.cast("int").alias("rule_id"),
+        F.array(condition("VWAP_20", ">", F.col("low")), condition("VWAP_20", "<=", F.col("high") + 0.12345)).alias("conditions"),
+        F.col("n").alias("n_samples"), F.lit(0.25).alias("p_label_1"),
+    )
+    path = _folder(spark, "rules")
+    export_rules(typed, path)
+    return read_rules(spark, path, one_list=False).select("rule_id", F.posexplode("conditions").alias("pos", "text"), "n_samples", "p_label_1")
+
+
+def q_model_inputs(spark, sf_dir):
+    """The columns found to be model inputs, and the rows that have them all, on labeled rows with holes."""
+    rows = labeled(spark, sf_dir)
+    holes = rows.withColumn("RSI_14", F.when(F.col("bar_no") % 7 > 0, F.col("RSI_14"))).withColumn("ROC_10", F.when(F.col("bar_no") % 5 > 0, F.col("ROC_10")))
+    inputs = feature_columns(holes)
+    complete = holes.na.drop(subset=[*inputs, "label"])
+    sums = complete.select(F.explode(F.array(*[F.struct(F.lit(i).alias("pos"), F.lit(c).alias("feature"), F.col(c).alias("v")) for i, c in enumerate(inputs)])).alias("x"))
+    return sums.groupBy("x.pos", "x.feature").agg(F.count(F.lit(1)).alias("n"), F.round(F.avg("x.v"), 4).alias("mean"))
+
+
+#: Other lengths than the usual ones.
+OTHER = Periods(rsi=9, atr=21, emas=(8, 34), vwap=18, macd=(8, 21, 5), rvol=30, er=14, adx=10, momentum=5, volatility=12, sma=40, bollinger=25, width=1.5)
+
+
+def q_features_periods(spark, sf_dir):
+    rows = feature_frame(panel(spark, sf_dir), dense=True, p=OTHER)
+    # A price that ends exactly on half a unit of the ninth digit is moved off it.
+    rounded = [(F.round(F.col(c) + 1e-11, 9) if c.startswith("VWAP") else F.round(c, 6)).alias(c) for c in feature_names(OTHER)]
+    return rows.select("symbol", "ts", "bar_no", "n_bars", *rounded)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "rule_hits_many": q_rule_hits_many,
     "signal_counts_many": q_signal_counts_many,
     "durations_long": q_durations_long,
     "labels_long": q_labels_long,
     "exits_long": q_exits_long,
+    "symbol_files_notes": q_symbol_files_notes,
+    "symbol_folders": q_symbol_folders,
+    "feature_files": q_feature_files,
+    "labeled_files": q_labeled_files,
+    "exported_rules": q_exported_rules,
+    "model_inputs": q_model_inputs,
+    "features_periods": q_features_periods,
     "macd_gaps": q_macd_gaps,
     "medians_approx": q_medians_approx,
     "walk_forward": q_walk_forward,

@@ -55,6 +55,37 @@ def test_files_are_read_by_their_own_header(spark, tmp_path):
     assert [(r.symbol, r.reason, "2025" in r.file) for r in rejects.collect()] == [("A", "bad time", True)]
 
 
+@pytest.mark.parametrize("split", [64, 200, 1 << 27])
+def test_line_breaks_inside_quotes(spark, tmp_path, split):
+    """Records over several lines and file blocks, against pandas; stray quotes in plain cells; an unclosed quote."""
+    rng = np.random.RandomState(split % 97)
+    notes = ["plain", 'say "hi"', "two\nlines", "a\n\nb,c\n", '"\n"', "long " * 30 + "\n" + "text " * 40, "", "x,y"]
+    for name in ("A", "B", "C"):
+        rows = [["Date", "Note", "Time", "Open", "High", "Low", "Close", "Volume"]]
+        for i in range(60):
+            # The last file is plain.
+            note = rng.choice(notes[:2] if name == "C" else notes)
+            rows.append([f"2024-01-{i % 28 + 1:02d}", note, f"{i // 28:02d}:00:00", str(i), str(i + 1), "0.5", "", "7"])
+        pd.DataFrame(rows[1:], columns=rows[0]).to_csv(tmp_path / f"{name}.csv", index=False)
+    (tmp_path / "D.csv").write_text('Note,' + HEADER + '\n5" pipe,2024-01-01,00:00:00,1,2,3,4,5\n"x\ny",2024-01-02,00:00:00,1,2,3,4,5\n6" pipe,2024-01-03,00:00:00,1,2,3,4,5\n')
+    (tmp_path / "E.csv").write_text('Note,' + HEADER + '\na,2024-01-01,00:00:00,1,2,3,4,5\n"open,2024-01-02,00:00:00,1,2,3,4,5\nb,2024-01-03,00:00:00,1,2,3,4,5\n')
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(split))
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        bars, rejects = read_symbol_files(spark, str(tmp_path))
+        got = sorted((r.symbol, str(r.ts), r.open, r.high, r.low, r.close, r.volume) for r in bars.collect())
+        bad = [(r.symbol, r.reason) for r in rejects.collect()]
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    want = []
+    for name in "ABCD":
+        for r in pd.read_csv(tmp_path / f"{name}.csv").itertuples():
+            close = None if pd.isna(r.Close) else r.Close
+            want.append((name, f"{r.Date} {r.Time}", r.Open, r.High, r.Low, close, r.Volume))
+    assert got == sorted(want) and bad == [("E", "unclosed quote")]
+
+
 @pytest.mark.parametrize("fmt", ["parquet", "csv"])
 def test_bars_there_and_back(spark, tmp_path, fmt):
     df = to_spark(spark, walk("A", 50, 1)).drop("bar_no", "n_bars")
