@@ -76,6 +76,24 @@ def importance_table(spark: SparkSession, model: RandomForestRegressionModel, co
     return spark.createDataFrame(rows, "pos int, feature string, importance double")
 
 
+def forest_nodes(spark: SparkSession, model: RandomForestRegressionModel) -> DataFrame:
+    """``tree, id, n, gain, pos`` of every inner node of a forest, from the saved model."""
+    path = f"{shared_folder(spark)}/barlab/forest-{uuid.uuid4().hex}"
+    model.write().save(path)
+    nodes = spark.read.parquet(f"{path}/data").select(F.col("treeID").alias("tree"), "nodeData.*")
+    return nodes.filter("leftChild >= 0").select("tree", "id", F.element_at("impurityStats", 1).alias("n"), "gain", F.col("split.featureIndex").alias("pos"))
+
+
+def importance_of_nodes(nodes: DataFrame) -> DataFrame:
+    """``pos, importance`` from :func:`forest_nodes`: gains weighted by rows, as shares of each tree, averaged over trees."""
+    per_tree = nodes.groupBy("tree", "pos").agg(F.sum(F.col("gain") * F.col("n")).alias("gained"))
+    total = per_tree.groupBy("tree").agg(F.sum("gained").alias("all"))
+    shares = per_tree.join(total, "tree").groupBy("pos").agg(F.sum(F.try_divide("gained", "all")).alias("share"))
+    return shares.withColumn("one", F.lit(1)).join(shares.agg(F.sum("share").alias("sum")).withColumn("one", F.lit(1)), "one").select(
+        "pos", F.try_divide("share", "sum").alias("importance")
+    )
+
+
 def top_features(importances: DataFrame, n: int) -> DataFrame:
     """The ``n`` most important inputs; of equals, the later one goes first."""
     return importances.orderBy(F.desc("importance"), F.desc("pos")).limit(n)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barlab.functions.scalars import CONDITION_PATTERN
@@ -97,6 +97,12 @@ def rules_from_table(parsed: DataFrame) -> list[Rule]:
     return [Rule(i, tuple(c)) for i, c in found.items() if i not in bad]
 
 
+def rule_texts(spark: SparkSession, rules: Sequence[Rule]) -> DataFrame:
+    """``rule_id, rule``: the conditions of each rule as one text, joined by AND, thresholds with all their digits."""
+    rows = [(r.rule_id, " AND ".join(f"{f} {op} {float(t)!r}" for f, op, t in r.conditions)) for r in rules]
+    return spark.createDataFrame(rows, "rule_id int, rule string")
+
+
 def matched_rules(rules: Sequence[Rule]) -> Column:
     """Ids of the rules a row matches; rules without conditions are left out."""
     ids = [F.when(r.predicate(), F.lit(r.rule_id)) for r in rules if r.conditions]

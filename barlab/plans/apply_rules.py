@@ -66,6 +66,19 @@ def out_of_sample(train: DataFrame, test: DataFrame, keep: float = 0.70) -> Data
     )
 
 
+def rules_library(train: DataFrame, test: DataFrame, texts: DataFrame, keep: float = 0.70) -> DataFrame:
+    """The pairs that hold up out of sample, with the rule's text and its measures on both sides, ready to be published.
+
+    ``texts(rule_id, rule)`` comes from :func:`rule_texts`; a rule without a text keeps its numbers.
+    """
+    sides = [
+        side.select(*KEYS, *[F.col(c).alias(f"{c}_{name}") for c in ("win_rate", "return_pct", "max_drawdown_pct")])
+        for name, side in (("train", train), ("test", test))
+    ]
+    held = out_of_sample(train, test, keep).join(sides[0], KEYS).join(sides[1], KEYS)
+    return held.join(texts, "rule_id", "left").select(*KEYS, "rule", *[c for c in held.columns if c not in KEYS])
+
+
 def split_performance(
     trades: DataFrame, first_test_bar: DataFrame, capital: float = CAPITAL, block: int = BLOCK
 ) -> tuple[DataFrame, DataFrame]:

@@ -4,8 +4,12 @@ from __future__ import annotations
 
 from barlab.operators.features import Periods, feature_names
 from barlab.params import FEATURE_COLUMNS
-from checks.more_queries import LONG_BARS, LONG_LABEL_BARS, OTHER
-from checks.oracles import BARS, FEATURES, HITS, LABELS, MONEY, PANEL, RSI, STEPS, W, dbl, dist, ema_step, exit_ctes, lag, q, r6, r6s, roll, touches
+from checks.more_queries import LONG_BARS, LONG_LABEL_BARS, OTHER, TREE, TREE_INPUTS
+from checks.oracles import (
+    BARS, FEATURES, HITS, LABELS, MONEY, PANEL, RSI, SPLIT, STEPS, TRADES, W, dbl, dist, ema_step, exit_ctes, lag, metric_ctes, q, r6, r6s, roll,
+    touches,
+)
+from checks.queries import RULES
 
 # Rule texts are read by pattern, as in the query; here each condition becomes a bound of its own column.
 MANY_RULES = FEATURES + """,
@@ -88,7 +92,74 @@ def rounded(column: str) -> str:
 
 
 _inputs = " UNION ALL ".join(f"SELECT {i} AS pos, '{c}' AS feature, {c} AS v FROM complete" for i, c in enumerate(FEATURE_COLUMNS))
+# Per batch, the watermark is a day behind the newest tick of the batches before it.
+STREAM = """WITH ticks AS (
+  SELECT event_type AS symbol, ts, value AS price, date_trunc('hour', ts) + INTERVAL 1 HOUR AS bar_end,
+    CAST((CAST(ts AS DATE) - DATE '2024-01-01') // 6 AS INTEGER) + CASE WHEN event_id % 97 = 0 THEN 2 WHEN event_id % 13 = 0 THEN 1 ELSE 0 END AS batch
+  FROM events),
+marks AS (
+  SELECT batch, coalesce(max(date_trunc('millisecond', newest)) OVER (ORDER BY batch ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - INTERVAL 1 DAY,
+                         TIMESTAMP '1970-01-01') AS mark
+  FROM (SELECT batch, max(ts) AS newest FROM ticks GROUP BY batch)),
+dealt AS (SELECT ticks.*, bar_end <= mark AS late FROM ticks JOIN marks USING (batch))"""
+
+
+def tree_sql(levels: int, leaf: int, rate: float) -> str:
+    """A regression tree level by level: every cut between values of a node, by sums over them; thresholds lie between values of all rows."""
+    inputs = ", ".join(TREE_INPUTS)
+    long = " UNION ALL ".join(f"SELECT path, {i} AS pos, {c} AS x, y FROM r{{k}}" for i, c in enumerate(TREE_INPUTS))
+    out = SPLIT + f""",
+r0 AS (
+  SELECT '' AS path, CASE WHEN r.label = 1 THEN 1 ELSE 0 END AS y, floor(round(f.RSI_14, 6) * 0.5) AS rsi_step, floor(round(f.close * 100) / 10) AS price_step,
+    floor(round(f.ER_Kaufman_10, 6) * 10) AS er_step, least(floor(round(f.RVOL_20, 6) * 4), 40) AS rvol_step
+  FROM ranked r JOIN feat f USING (symbol, bar_no) WHERE n_rows >= 20 AND row_no < floor(n_rows * {dbl(0.7)})),
+every AS (SELECT pos, x, lead(x) OVER (PARTITION BY pos ORDER BY x) AS nx FROM (SELECT DISTINCT pos, x FROM ({long.format(k=0)})))"""
+    column = "CASE b.pos " + " ".join(f"WHEN {i} THEN {c}" for i, c in enumerate(TREE_INPUTS)) + " END"
+    name = "CASE pos " + " ".join(f"WHEN {i} THEN '{c}'" for i, c in enumerate(TREE_INPUTS)) + " END"
+    for k in range(levels):
+        out += f""",
+g{k} AS (SELECT path, pos, x, count(*) AS n, sum(y) AS s FROM ({long.format(k=k)}) GROUP BY ALL),
+c{k} AS (
+  SELECT path, pos, x, CAST(sum(n) OVER w AS DOUBLE) AS nl, CAST(sum(s) OVER w AS DOUBLE) AS sl,
+    CAST(sum(n) OVER (PARTITION BY path, pos) AS DOUBLE) AS nt, CAST(sum(s) OVER (PARTITION BY path, pos) AS DOUBLE) AS st
+  FROM g{k} WINDOW w AS (PARTITION BY path, pos ORDER BY x)),
+b{k} AS (
+  SELECT path, pos, (x + nx) / 2 AS threshold
+  FROM (SELECT *, round(sl * sl / nl + (st - sl) * (st - sl) / (nt - nl) - st * st / nt, 9) AS gain
+        FROM c{k} JOIN every USING (pos, x) WHERE nl >= {leaf} AND nt - nl >= {leaf})
+  WHERE gain > 0 QUALIFY row_number() OVER (PARTITION BY path ORDER BY gain DESC, pos, x) = 1),
+t{k} AS (
+  SELECT path || 'L' AS path, {name} || ' <= ' || printf('%.3f', threshold) AS text FROM b{k}
+  UNION ALL SELECT path || 'R', {name} || ' > ' || printf('%.3f', threshold) FROM b{k}),
+r{k + 1} AS (SELECT r.path || CASE WHEN {column} <= b.threshold THEN 'L' ELSE 'R' END AS path, y, {inputs} FROM r{k} r JOIN b{k} b ON b.path = r.path)"""
+    texts = " UNION ALL ".join(f"SELECT * FROM t{k}" for k in range(levels))
+    ends = " UNION ALL ".join(f"SELECT path, y FROM r{k} WHERE path NOT IN (SELECT path FROM b{k})" for k in range(levels))
+    return q(out + f""",
+texts AS ({texts}),
+leaves AS (SELECT path, count(*) AS n, avg(y) AS p FROM ({ends} UNION ALL SELECT path, y FROM r{levels}) GROUP BY path)""", f"""
+SELECT CAST(row_number() OVER (ORDER BY path) - 1 AS INTEGER) AS rule_id, n AS n_samples, round(p, 9) AS p,
+  (SELECT coalesce(string_agg(text, ' AND ' ORDER BY length(t.path)), '') FROM texts t WHERE starts_with(leaves.path, t.path)) AS rule
+FROM leaves WHERE n >= {leaf} AND p >= {rate}""")
+
+
+_rule_texts = " ".join(f"WHEN {r.rule_id} THEN '" + " AND ".join(f"{f} {op} {float(t)!r}" for f, op, t in r.conditions) + "'" for r in RULES)
+_two = ["profit_factor", "total_pnl", "win_rate", "max_drawdown_pct"]
 ORACLES: dict[str, str] = {
+    "stream_bars": STREAM + """
+SELECT symbol, date_trunc('hour', ts) AS ts, arg_min(price, (ts, price)) AS open, max(price) AS high, min(price) AS low, arg_max(price, (ts, price)) AS close,
+  CAST(count(*) AS DOUBLE) AS volume
+FROM dealt WHERE NOT late AND bar_end <= (SELECT date_trunc('millisecond', max(ts)) - INTERVAL 1 DAY FROM ticks) GROUP BY symbol, date_trunc('hour', ts)""",
+    "late_ticks": STREAM + "SELECT symbol, count(*) AS n_late, max(ts) AS newest FROM dealt WHERE late GROUP BY symbol",
+    "rules_library": q(TRADES + f""",
+cut AS (SELECT symbol, CAST(floor(max(n_bars) * {dbl(0.7)}) AS BIGINT) AS s FROM feat GROUP BY symbol),
+early AS (SELECT t.* FROM trades t JOIN cut USING (symbol) WHERE exit_bar < s),
+late AS (SELECT t.* FROM trades t JOIN cut USING (symbol) WHERE entry_bar >= s),""" + metric_ctes("early", "ptrain") + "," + metric_ctes("late", "ptest"), f"""
+SELECT symbol, rule_id, CASE rule_id {_rule_texts} END AS rule, n_trades_train, n_trades_test, {r6s(*[f'{c}_{s}' for c in _two for s in ('train', 'test')])}
+FROM (SELECT a.symbol, a.rule_id, a.n_trades AS n_trades_train, b.n_trades AS n_trades_test,
+        {', '.join(f'a.{c} AS {c}_train, b.{c} AS {c}_test' for c in _two)}
+      FROM ptrain a JOIN ptest b ON a.symbol = b.symbol AND a.rule_id = b.rule_id WHERE b.profit_factor >= a.profit_factor * {dbl(0.7)})"""),
+    "tree_rules": tree_sql(TREE.levels, TREE.leaf, TREE.rate),
+    "forest_importance": "SELECT unnest([" + ", ".join(f"'{c}'" for c in FEATURE_COLUMNS) + "]) AS feature, true AS agrees",
     "symbol_files_notes": q(BARS, "SELECT symbol, ts, open, high, low, close, volume FROM bars"),
     "symbol_folders": q(BARS, "SELECT symbol, ts, open, high, low, close, volume FROM bars"),
     "feature_files": q(FEATURES, f"SELECT symbol, ts, close, volume, {r6s(*FEATURE_COLUMNS)} FROM feat"),

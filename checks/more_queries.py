@@ -10,17 +10,21 @@ from pyspark.sql import functions as F
 
 from barlab.functions import scalars
 from barlab.operators import indicators as ind
-from barlab.operators import describe, long_touch, rule_index, rules, splits
+from barlab.operators import calibration, describe, long_touch, model, rule_index, rules, splits
 from barlab.operators.features import Periods, feature_columns, feature_frame, feature_names
 from barlab.operators.panel import SUB
 from barlab.operators.recipes import with_indicators
 from barlab.params import FEATURE_COLUMNS
-from barlab.session import shared_folder
+from barlab.plans.apply_rules import rules_library, split_performance
+from barlab.session import shared_folder, stage
 from barlab.sources.bars import read_frames, read_symbol_files
 from barlab.sources.derived import lineitem_bars
+from barlab.sources.library import publish, read_library
 from barlab.sources.rule_files import export_rules, read_rules
 from barlab.sources.sinks import write_symbol_files, write_symbol_folders
-from checks.queries import CSL, MONEY, RULES, _barriers, features, labeled, panel, r6
+from barlab.streaming.bars import late_ticks, stream_bars
+from barlab.streaming.replay import replay
+from checks.queries import MONEY, RULES, features, fitted_rules, fixed_trades, labeled, panel, r6
 
 #: A horizon of about eight years of days.
 LONG_BARS = 2_000
@@ -191,6 +195,81 @@ def q_features_periods(spark, sf_dir):
     return rows.select("symbol", "ts", "bar_no", "n_bars", *rounded)
 
 
+def arrivals(spark, sf_dir) -> DataFrame:
+    """The events as ticks that come in batches of six days, some a batch or two late."""
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    at = F.expr("cast(datediff(ts, date'2024-01-01') div 6 as int)")
+    delay = F.when(F.col("event_id") % 97 == 0, 2).when(F.col("event_id") % 13 == 0, 1).otherwise(0)
+    return events.select(
+        F.col("event_type").alias("symbol"), F.col("ts").cast("timestamp").alias("ts"), F.col("value").alias("price"), F.lit(1.0).alias("volume"),
+        (at + delay).alias("batch"),
+    )
+
+
+_replayed: dict[tuple[str, str], dict[str, DataFrame]] = {}
+
+
+def replayed(spark, sf_dir) -> dict[str, DataFrame]:
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _replayed:
+        outputs = {"bars": lambda t: stream_bars(t, "1 hour", "1 day"), "late": lambda t: late_ticks(t, "1 hour", "1 day")}
+        _replayed[key] = replay(arrivals(spark, sf_dir), "batch", outputs)
+    return _replayed[key]
+
+
+def q_stream_bars(spark, sf_dir):
+    bars = replayed(spark, sf_dir)["bars"]
+    return bars.select("symbol", F.col("ts").cast("timestamp_ntz").alias("ts"), "open", "high", "low", "close", "volume")
+
+
+def q_late_ticks(spark, sf_dir):
+    return replayed(spark, sf_dir)["late"].groupBy("symbol").agg(
+        F.sum("n_late").alias("n_late"), F.max("newest").cast("timestamp_ntz").alias("newest")
+    )
+
+
+def q_rules_library(spark, sf_dir):
+    """Two versions published, the second one read."""
+    sizes = calibration.symbols_of(features(spark, sf_dir))
+    cut = sizes.select("symbol", F.floor(F.col("n_bars") * 0.7).alias("split_bar"))
+    train, test = split_performance(fixed_trades(spark, sf_dir), cut)
+    texts, folder = rules.rule_texts(spark, RULES), _folder(spark, "library")
+    publish(rules_library(train, test, texts, 5.0), folder)
+    publish(rules_library(train, test, texts), folder)
+    numbers = [f"{c}_{s}" for c in ("profit_factor", "total_pnl", "win_rate", "max_drawdown_pct") for s in ("train", "test")]
+    return read_library(spark, folder).select("symbol", "rule_id", "rule", "n_trades_train", "n_trades_test", *r6(*numbers))
+
+
+TREE_INPUTS = ["rsi_step", "price_step", "er_step", "rvol_step"]
+TREE = model.Learner(levels=4, leaf=30, rate=0.2)
+
+
+def tree_rows(spark, sf_dir) -> DataFrame:
+    """Train rows with inputs of few values, where every midpoint between values is tried."""
+    split = splits.split_by_time(labeled(spark, sf_dir)).filter(F.col("part") == "train")
+    step = lambda c, k: F.floor(F.round(c, 6) * k).cast("double")
+    return split.select(
+        scalars.binary_target(F.col("label")).cast("double").alias("tp"), step("RSI_14", 0.5).alias("rsi_step"),
+        F.floor(F.round(F.col("close") * 100) / 10).cast("double").alias("price_step"), step("ER_Kaufman_10", 10).alias("er_step"),
+        F.least(step("RVOL_20", 4), F.lit(40.0)).alias("rvol_step"),
+    )
+
+
+def q_tree_rules(spark, sf_dir):
+    """All rules of a tree of four levels, as text."""
+    tree = model.train_tree(stage(tree_rows(spark, sf_dir), "inputs"), TREE_INPUTS, "tp", TREE)
+    found = model.rules_as_text(model.leaf_rules(spark, model.node_table(spark, tree), TREE_INPUTS, TREE.leaf, TREE.rate))
+    return found.select("rule_id", F.array_join("conditions", " AND ").alias("rule"), "n_samples", F.round("p_label_1", 9).alias("p"))
+
+
+def q_forest_importance(spark, sf_dir):
+    """Whether the forest's importances are what the gains of its nodes add up to."""
+    fitted = fitted_rules(spark, sf_dir)
+    again = model.importance_of_nodes(model.forest_nodes(spark, fitted.forest)).withColumnRenamed("importance", "summed")
+    both = fitted.importances.join(again, "pos", "left")
+    return both.select("feature", (F.abs(F.col("importance") - F.coalesce("summed", F.lit(0.0))) < 1e-9).alias("agrees"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "rule_hits_many": q_rule_hits_many,
     "signal_counts_many": q_signal_counts_many,
@@ -204,6 +283,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "exported_rules": q_exported_rules,
     "model_inputs": q_model_inputs,
     "features_periods": q_features_periods,
+    "stream_bars": q_stream_bars,
+    "late_ticks": q_late_ticks,
+    "rules_library": q_rules_library,
+    "tree_rules": q_tree_rules,
+    "forest_importance": q_forest_importance,
     "macd_gaps": q_macd_gaps,
     "medians_approx": q_medians_approx,
     "walk_forward": q_walk_forward,

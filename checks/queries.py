@@ -436,7 +436,7 @@ def q_out_of_sample(spark, sf_dir):
     )
 
 
-def _fitted(spark, sf_dir):
+def fitted_rules(spark, sf_dir):
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _models:
         split = labeled_table(features(spark, sf_dir), CSL)
@@ -461,11 +461,11 @@ def q_tree_split(spark, sf_dir):
 
 
 def q_learned_rules(spark, sf_dir):
-    return model.rules_as_text(_fitted(spark, sf_dir).rules)
+    return model.rules_as_text(fitted_rules(spark, sf_dir).rules)
 
 
 def q_feature_importance(spark, sf_dir):
-    return _fitted(spark, sf_dir).importances
+    return fitted_rules(spark, sf_dir).importances
 
 
 def q_top_features(spark, sf_dir):
