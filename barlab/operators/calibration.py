@@ -50,28 +50,43 @@ def tradable(panel: DataFrame, p: Calibration) -> Column:
     )
 
 
-def drop_candidates(panel: DataFrame, p: Calibration = Calibration(), block: int = BLOCK) -> DataFrame:
-    """Momentum entries with ``coef`` = drop over the next bars in ATR units."""
+def tradable_rows(panel: DataFrame, p: Calibration = Calibration(), block: int = BLOCK) -> DataFrame:
+    """``symbol, bar_no, close, atr, coef, momentum`` of the tradable bars, from one pass of windows.
+
+    ``coef`` is the drop over the next bars in ATR units, null without a valid ATR; ``momentum`` marks momentum entries.
+    """
     rich = with_indicators(
         panel.select("symbol", "bar_no", "n_bars", "high", "low", "close"),
-        ind.atr(p.atr_bars, "_atr", TIE_DIGITS),
+        ind.atr(p.atr_bars, "atr", TIE_DIGITS),
         ind.efficiency_ratio(p.momentum_bars, out="_er"),
         ind.forward_low(p.horizon, "_low_ahead"),
         block=block,
     )
-    drop = F.col("close") - F.col("_low_ahead")
-    return rich.filter(tradable(panel, p) & (F.round("_er", TIE_DIGITS) > p.momentum_above)).select(
-        "symbol", "bar_no", F.when(valid_atr(F.col("_atr")), F.try_divide(drop, F.col("_atr"))).alias("coef")
+    drop = F.try_divide(F.col("close") - F.col("_low_ahead"), F.col("atr"))
+    return rich.filter(tradable(panel, p)).select(
+        "symbol", "bar_no", "close", "atr", F.when(valid_atr(F.col("atr")), drop).alias("coef"),
+        F.coalesce(F.round("_er", TIE_DIGITS) > p.momentum_above, F.lit(False)).alias("momentum"),
     )
 
 
-def stop_coefficients(panel: DataFrame, p: Calibration = Calibration(), block: int = BLOCK) -> DataFrame:
+def drop_candidates(panel: DataFrame, p: Calibration = Calibration(), block: int = BLOCK) -> DataFrame:
+    """Momentum entries with ``coef`` = drop over the next bars in ATR units."""
+    return tradable_rows(panel, p, block).filter("momentum").select("symbol", "bar_no", "coef")
+
+
+def stop_coefficients(
+    panel: DataFrame, p: Calibration = Calibration(), block: int = BLOCK, rows: DataFrame | None = None
+) -> DataFrame:
     """``symbol, n_candidates, n_kept, csl_median, csl``; ``csl`` null if not admitted.
 
-    The median is taken over at most ``drops`` rows per symbol.
+    The median is taken over at most ``drops`` rows per symbol. ``rows`` are the panel's staged :func:`tradable_rows`, if
+    there are any.
     """
-    # Few and narrow rows, read three times: the windows run once.
-    candidates = stage(drop_candidates(panel, p, block), "candidates")
+    if rows is None:
+        # Few and narrow rows, read three times: the windows run once.
+        candidates = stage(drop_candidates(panel, p, block), "candidates")
+    else:
+        candidates = rows.filter("momentum").select("symbol", "bar_no", "coef")
     counts = candidates.groupBy("symbol").agg(F.count(F.lit(1)).alias("n_candidates"))
     sample = hash_sample(candidates, p.drops, p.drop_seed).filter(F.col("coef") > 0)
     medians = sample.groupBy("symbol").agg(
@@ -89,17 +104,19 @@ def stop_coefficients(panel: DataFrame, p: Calibration = Calibration(), block: i
     )
 
 
-def buying_power_check(panel: DataFrame, csl: DataFrame, p: Calibration = Calibration(), block: int = BLOCK) -> DataFrame:
+def buying_power_check(
+    panel: DataFrame, csl: DataFrame, p: Calibration = Calibration(), block: int = BLOCK, rows: DataFrame | None = None
+) -> DataFrame:
     """``symbol, bp_median, bp_max, n_samples, admitted`` for symbols with a ``csl``.
 
-    An independent sample without the momentum filter; sizes are fractional here.
+    An independent sample without the momentum filter; sizes are fractional here. ``rows`` as in :func:`stop_coefficients`.
     """
-    rich = with_indicators(
-        panel.select("symbol", "bar_no", "n_bars", "high", "low", "close"),
-        ind.atr(p.atr_bars, "_atr", TIE_DIGITS),
-        block=block,
-    )
-    entries = rich.filter(tradable(panel, p)).select("symbol", "bar_no", "close", "_atr")
+    if rows is None:
+        rich = with_indicators(
+            panel.select("symbol", "bar_no", "n_bars", "high", "low", "close"), ind.atr(p.atr_bars, "atr", TIE_DIGITS), block=block
+        )
+        rows = rich.filter(tradable(panel, p))
+    entries = rows.select("symbol", "bar_no", "close", F.col("atr").alias("_atr"))
     sample = hash_sample(entries, p.entries, p.entry_seed).filter(valid_atr(F.col("_atr")))
     known = csl.filter(F.col("csl").isNotNull()).select("symbol", "csl")
     size = F.try_divide(F.lit(p.risk), F.col("csl") * F.col("_atr"))

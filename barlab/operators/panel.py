@@ -8,12 +8,13 @@ into the neighbouring blocks that look at it (the halo).
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from barlab.session import stage
+from barlab.session import shared_folder, stage
 
 BLOCK = 32768
 SUB = 1024  # common length of a scan segment; divides every block size in use
@@ -95,10 +96,16 @@ def blocked(panel: DataFrame, lookback: int = 0, lookahead: int = 0, block: int
 
     ``lookback`` rows before and ``lookahead`` rows after each own row are then
     present in its block, so a bounded frame gives the same value as without
-    blocks. Take the copies out again with :func:`own_rows`.
+    blocks. Take the copies out again with :func:`own_rows`. A table of
+    :func:`bucketed` with copies enough is taken as it is.
     """
     if block % SUB:
         raise ValueError(f"block must be a multiple of {SUB}")
+    if block_columns(panel):
+        held = panel.schema["blk"].metadata
+        if held["block"] != block or held["back"] < lookback or held["ahead"] < lookahead:
+            raise ValueError(f"the table has {held}, asked are blocks of {block} with {lookback} bars back and {lookahead} ahead")
+        return panel.withColumn("sub", F.expr(f"bar_no div {SUB}L"))
     if lookback == 0 and lookahead == 0:
         out = panel.withColumn("blk", F.expr(f"bar_no div {block}L"))
     else:
@@ -108,6 +115,31 @@ def blocked(panel: DataFrame, lookback: int = 0, lookahead: int = 0, block: int
     return out.withColumn("sub", F.expr(f"bar_no div {SUB}L"))
 
 
+def block_columns(panel: DataFrame) -> list[str]:
+    """``blk`` if the frame comes from :func:`bucketed`, to be kept where columns are chosen."""
+    return ["blk"] if "blk" in panel.columns and "block" in panel.schema["blk"].metadata else []
+
+
+def bucketed(
+    panel: DataFrame, lookback: int, lookahead: int, name: str = "panel", buckets: int | None = None, block: int = BLOCK
+) -> DataFrame:
+    """The panel as a table of blocks with their copies, bucketed by ``(symbol, blk)`` and sorted by ``bar_no``.
+
+    Operators that look back or ahead no further than the copies reach take it without a shuffle: their windows, and their joins
+    with per-block values, find the rows of a block together. Worth it where several of them read one panel. The table
+    lies in the shared folder; ``blk`` carries the sizes with it.
+    """
+    spark = panel.sparkSession
+    count = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    marked = F.col("blk").alias("blk", metadata={"block": block, "back": lookback, "ahead": lookahead})
+    cut = blocked(panel, lookback, lookahead, block)
+    table = f"barlab_{name}_{uuid.uuid4().hex}"
+    rows = cut.select(*panel.columns, marked).repartition(count, "symbol", "blk")
+    path = f"{shared_folder(spark)}/barlab/{table}"
+    rows.write.bucketBy(count, "symbol", "blk").sortBy("bar_no").option("path", path).saveAsTable(table)
+    return spark.table(table)
+
+
 def own_rows(df: DataFrame, block: int = BLOCK, keep_blk: bool = False) -> DataFrame:
     """Drop the halo copies."""
     out = df.filter(F.expr(f"bar_no div {block}L = blk")).drop("sub")

@@ -14,7 +14,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 
-from barlab.operators.panel import BLOCK, blocked, own_rows
+from barlab.operators.panel import BLOCK, block_columns, blocked, own_rows
 
 Stages = dict[int, dict[str, Column]]
 
@@ -95,7 +95,7 @@ def with_indicators(panel: DataFrame, *recipes: Recipe, block: int = BLOCK) -> D
     back = max(r.reach() for r in recipes)
     forward = max(r.reach_ahead() for r in recipes)
     outputs = list(dict.fromkeys(name for r in recipes for name in r.outputs))
-    kept = [c for c in panel.columns if c not in outputs]
+    kept = [c for c in panel.columns if c not in outputs and c not in block_columns(panel)]
     cut = blocked(panel, back, forward, block)
     done = own_rows(add_columns(cut, recipes, block), block)
     return done.select(*kept, *outputs)

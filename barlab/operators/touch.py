@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from barlab.functions.scalars import stop_price, target_price, valid_atr
-from barlab.operators.panel import BLOCK, ahead, blocked, own_rows, spread
+from barlab.operators.panel import BLOCK, ahead, block_columns, blocked, own_rows, spread
 from barlab.params import ENTRY_PRICES, TIE_DIGITS
 
 INF = float("inf")
@@ -85,7 +85,7 @@ def label_bars(
             "_to_stop": first_low_at(F.col("_stop")), "_to_target": first_high_at(F.col("_target"))
         })
         .withColumns({"label": (label == 1).cast("int") if binary else label, "entry_bar": F.col("bar_no")})
-        .select(*features.columns, "label", "entry_bar")
+        .select(*[c for c in features.columns if c not in block_columns(features)], "label", "entry_bar")
     )
 
 

@@ -9,10 +9,11 @@ from pyspark.sql import functions as F
 
 from barlab.functions.scalars import position_size, stop_price, target_price, valid_atr
 from barlab.operators import intervals
-from barlab.operators.panel import BLOCK, ahead, bar_window, blocked, lag, own_rows
+from barlab.operators.panel import BLOCK, ahead, bar_window, block_columns, blocked, lag, own_rows
 from barlab.operators.rules import Rule, matched_rules
 from barlab.operators.touch import attach_csl, first_high_at, first_low_at, future_lists
 from barlab.params import TIE_DIGITS, TRADE_RISK
+from barlab.session import stage
 
 TRADE_COLUMNS = [
     "symbol", "rule_id", "entry_bar", "exit_bar", "entry_ts", "exit_ts", "price_in", "price_out", "pnl",
@@ -39,7 +40,7 @@ def entry_exits(
     """
     slim = features.select(
         "symbol", "ts", "bar_no", "n_bars", "open", "high", "low", "close",
-        F.round(atr, TIE_DIGITS).alias("_atr"), signals.alias("_signals"),
+        F.round(atr, TIE_DIGITS).alias("_atr"), signals.alias("_signals"), *block_columns(features),
     )
     cut = attach_csl(blocked(slim, 1, max_bars, block), csl, features, block)
     cut = cut.withColumns({"_rules": lag("_signals"), "_entry_atr": lag("_atr")})
@@ -95,12 +96,16 @@ def entry_exits(
 
 
 def non_overlapping(exits: DataFrame, max_bars: int, block: int = intervals.BLOCK, group: int = intervals.GROUP) -> DataFrame:
-    """Trades per (symbol, rule): entries taken while no trade is open."""
-    candidates = exits.withColumn("rule_id", F.explode("rules")).drop("rules")
+    """Trades per (symbol, rule): entries taken while no trade is open.
+
+    The choice sees four columns per candidate; what else an exit holds is joined to the trades taken. Stage ``exits``: it is read
+    twice.
+    """
+    candidates = exits.select("symbol", F.explode("rules").alias("rule_id"), "entry_bar", "exit_bar")
     taken = intervals.select_intervals(
         candidates, ["symbol", "rule_id"], "entry_bar", "exit_bar", max_bars, block, group
     )
-    return taken.select(*TRADE_COLUMNS)
+    return taken.select("symbol", "rule_id", "entry_bar").join(exits.drop("rules"), ["symbol", "entry_bar"]).select(*TRADE_COLUMNS)
 
 
 def run_trades(
@@ -114,7 +119,7 @@ def run_trades(
 ) -> DataFrame:
     """All trades of all rules on all symbols."""
     exits = entry_exits(features, matched_rules(rules), csl, c_tp, max_bars, risk=risk, block=block)
-    return non_overlapping(exits, max_bars)
+    return non_overlapping(stage(exits, "exits"), max_bars)
 
 
 def run_signal(
@@ -124,4 +129,4 @@ def run_signal(
     """Trades of a single entry signal (rule 0)."""
     one = F.when(F.coalesce(signal, F.lit(False)), F.array(F.lit(0))).otherwise(F.expr("cast(array() as array<int>)"))
     exits = entry_exits(features, one, csl, c_tp, max_bars, risk=risk, block=block)
-    return non_overlapping(exits, max_bars)
+    return non_overlapping(stage(exits, "exits"), max_bars)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barlab.operators.calibration import Calibration, buying_power_check, stop_coefficients, symbols_of
+from barlab.operators.calibration import Calibration, buying_power_check, stop_coefficients, symbols_of, tradable_rows
 from barlab.operators.panel import BLOCK, spread
 from barlab.operators.quality import keep_good
 from barlab.session import stage
@@ -27,8 +27,9 @@ def calibrate(
         sizes = wanted.join(symbols_of(panel), "symbol")
         blocks = stage(spread(sizes, block), "wanted")
         good = good.withColumn("blk", F.expr(f"bar_no div {block}L")).join(blocks, ["symbol", "blk"], "left_semi").drop("blk")
-    csl = stop_coefficients(good, p, block).select("symbol", "csl")
-    power = buying_power_check(good, csl, p, block)
+    rows = stage(tradable_rows(good, p, block), "tradable")
+    csl = stop_coefficients(good, p, block, rows).select("symbol", "csl")
+    power = buying_power_check(good, csl, p, block, rows)
     error = (
         F.when(~F.coalesce(F.col("_enough"), F.lit(False)), "insufficient_data")
         .when(F.col("csl").isNull(), "csl_rejected")

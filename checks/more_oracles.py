@@ -6,10 +6,10 @@ from barlab.operators.features import Periods, feature_names
 from barlab.params import FEATURE_COLUMNS
 from checks.more_queries import LONG_BARS, LONG_LABEL_BARS, OTHER, TREE, TREE_INPUTS
 from checks.oracles import (
-    BARS, FEATURES, HITS, LABELS, MONEY, PANEL, RSI, SPLIT, STEPS, TRADES, W, dbl, dist, ema_step, exit_ctes, lag, metric_ctes, q, r6, r6s, roll,
+    BARS, FEATURES, HITS, LABELS, MONEY, PANEL, RSI, SPLIT, STEPS, TRADES, W, chain_ctes, dbl, dist, ema_step, exit_ctes, lag, metric_ctes, q, r6, r6s, roll,
     touches,
 )
-from checks.queries import RULES
+from checks.queries import CSL, RULES
 
 # Rule texts are read by pattern, as in the query; here each condition becomes a bound of its own column.
 MANY_RULES = FEATURES + """,
@@ -158,6 +158,14 @@ SELECT symbol, rule_id, CASE rule_id {_rule_texts} END AS rule, n_trades_train,
 FROM (SELECT a.symbol, a.rule_id, a.n_trades AS n_trades_train, b.n_trades AS n_trades_test,
         {', '.join(f'a.{c} AS {c}_train, b.{c} AS {c}_test' for c in _two)}
       FROM ptrain a JOIN ptest b ON a.symbol = b.symbol AND a.rule_id = b.rule_id WHERE b.profit_factor >= a.profit_factor * {dbl(0.7)})"""),
+    "bucketed_chain": q(
+        FEATURES + f""",
+lent AS (
+  SELECT symbol, bar_no, close - round(ATR_50, 8) * {dbl(CSL)} AS sl, close + round(ATR_50, 8) * ({dbl(CSL)} * 1.5) AS tp
+  FROM feat WHERE bar_no <= n_bars - 42 AND ATR_50 > 0 AND close BETWEEN 1 AND 20),""" + touches("lent", 40).replace("touch AS", "ltouch AS") + "," + HITS + ","
+        + exit_ctes("hits", dbl(CSL), dbl(CSL * 1.5)) + "," + chain_ctes("hits"), """
+SELECT rule_id, CASE WHEN l.sb <= coalesce(l.tb, l.sb) THEN 0 WHEN l.tb IS NOT NULL THEN 1 ELSE 2 END AS label, count(*) AS n, round(sum(pnl), 4) AS pnl
+FROM trades t JOIN ltouch l ON l.symbol = t.symbol AND l.bar_no = t.entry_bar - 1 GROUP BY ALL"""),
     "tree_rules": tree_sql(TREE.levels, TREE.leaf, TREE.rate),
     "forest_importance": "SELECT unnest([" + ", ".join(f"'{c}'" for c in FEATURE_COLUMNS) + "]) AS feature, true AS agrees",
     "symbol_files_notes": q(BARS, "SELECT symbol, ts, open, high, low, close, volume FROM bars"),

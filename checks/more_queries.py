@@ -10,9 +10,9 @@ from pyspark.sql import functions as F
 
 from barlab.functions import scalars
 from barlab.operators import indicators as ind
-from barlab.operators import calibration, describe, long_touch, model, rule_index, rules, splits
+from barlab.operators import calibration, describe, long_touch, model, rule_index, rules, splits, touch, trades
 from barlab.operators.features import Periods, feature_columns, feature_frame, feature_names
-from barlab.operators.panel import SUB
+from barlab.operators.panel import SUB, bucketed
 from barlab.operators.recipes import with_indicators
 from barlab.params import FEATURE_COLUMNS
 from barlab.plans.apply_rules import rules_library, split_performance
@@ -24,7 +24,7 @@ from barlab.sources.rule_files import export_rules, read_rules
 from barlab.sources.sinks import write_symbol_files, write_symbol_folders
 from barlab.streaming.bars import late_ticks, stream_bars
 from barlab.streaming.replay import replay
-from checks.queries import MONEY, RULES, features, fitted_rules, fixed_trades, labeled, panel, r6
+from checks.queries import CSL, MONEY, RULES, features, fitted_rules, fixed_trades, labeled, panel, r6
 
 #: A horizon of about eight years of days.
 LONG_BARS = 2_000
@@ -270,6 +270,15 @@ def q_forest_importance(spark, sf_dir):
     return both.select("feature", (F.abs(F.col("importance") - F.coalesce("summed", F.lit(0.0))) < 1e-9).alias("agrees"))
 
 
+def q_bucketed_chain(spark, sf_dir):
+    """Features, labels and trades from bucketed tables, counted per rule and label of the entry's signal bar."""
+    bars = bucketed(panel(spark, sf_dir), 5_000, 0, "bars")
+    rows = bucketed(feature_frame(bars, dense=True), 1, 40, "features")
+    marks = touch.label_bars(rows, CSL, binary=False).select("symbol", (F.col("bar_no") + 1).alias("entry_bar"), "label")
+    taken = trades.run_trades(rows, RULES, CSL)
+    return taken.join(marks, ["symbol", "entry_bar"]).groupBy("rule_id", "label").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("pnl"), 4).alias("pnl"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "rule_hits_many": q_rule_hits_many,
     "signal_counts_many": q_signal_counts_many,
@@ -288,6 +297,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "rules_library": q_rules_library,
     "tree_rules": q_tree_rules,
     "forest_importance": q_forest_importance,
+    "bucketed_chain": q_bucketed_chain,
     "macd_gaps": q_macd_gaps,
     "medians_approx": q_medians_approx,
     "walk_forward": q_walk_forward,

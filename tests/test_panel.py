@@ -4,7 +4,7 @@ import numpy as np
 import pandas as pd
 import pytest
 
-from barlab.operators.panel import blocked, fill_forward, number_bars, number_rows, own_rows, rank_kept
+from barlab.operators.panel import blocked, bucketed, fill_forward, number_bars, number_rows, own_rows, rank_kept
 from barlab.operators.splits import fold_performance, fold_summary, head_by_row_order, split_by_time, split_summary, walk_forward
 from tests.conftest import to_spark, walk
 
@@ -119,3 +119,33 @@ def test_fold_performance(spark, train, test, step):
         assert r.rate == pytest.approx((d.label.dropna() == 1).mean())
         assert r.mean_return == pytest.approx(d.ret.mean()) and r.std_return == pytest.approx(d.ret.std())
         assert r.total_return == pytest.approx(d.close.iloc[-1] / d.close.iloc[0] - 1)
+
+
+def test_bucketed_tables_need_no_shuffle(spark):
+    """Labels, exits and indicators of a bucketed panel: nothing of the bars is shuffled, and the results are the same."""
+    from pyspark.sql import functions as F
+
+    from barlab.operators import indicators as ind
+    from barlab.operators.recipes import with_indicators
+    from barlab.operators.touch import label_bars
+    from barlab.operators.trades import entry_exits
+    from tests.test_touch import with_atr
+
+    frame = with_atr(pd.concat([walk("A", 5000, 1), walk("B", 900, 2)]))
+    bars = to_spark(spark, frame)
+    table = bucketed(bars, 200, 40, "test", 5, 1024)
+    signals = F.when(F.col("volume") > 500, F.array(F.lit(1))).otherwise(F.expr("cast(array() as array<int>)"))
+    csl = spark.createDataFrame([("A", 2.0), ("B", 2.5)], "symbol string, csl double")
+    makers = [
+        lambda df: label_bars(df, 2.0, block=1024), lambda df: label_bars(df, csl, block=1024), lambda df: entry_exits(df, signals, 2.0, block=1024),
+        lambda df: with_indicators(df, ind.atr(14), ind.sma("close", 20, "S"), block=1024),
+    ]
+    for make in makers:
+        found = make(table)
+        assert sorted(map(str, found.collect())) == sorted(map(str, make(bars).select(*found.columns).collect()))
+        plan = found._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+        moved = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+        assert "Bucketed: true" in plan and not any("low#" in line or "close#" in line for line in moved) and len(moved) <= 3
+    for bad in ({"block": 2048}, {"block": 1024, "max_bars": 41}):
+        with pytest.raises(ValueError):
+            label_bars(table, 2.0, **bad)
