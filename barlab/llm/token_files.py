@@ -25,9 +25,10 @@ from __future__ import annotations
 import os
 import re
 import zlib
+from collections import defaultdict
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import accumulate
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -39,9 +40,9 @@ from tokenizers.pre_tokenizers import ByteLevel, WhitespaceSplit
 
 from barlab.llm.common import ship_package, slices, whole_text
 
-#: Words and pieces in a worker's table before a new one is begun: some 150 MB. It outlives a task, since most of
+#: Words and pieces in a worker's table before a new one is begun: some 170 MB. It outlives a task, since much of
 #: the time goes into words that a worker sees for the first time.
-TABLE_WORDS = 700_000
+TABLE_WORDS = 900_000
 ROW_GROUP_BYTES = 16 << 20
 PAGE_BYTES = 128 << 10
 PAGE_ROWS = 2_000
@@ -57,10 +58,16 @@ NOT_PLAIN = re.compile("[^\t\n\x0b\x0c\r -~À-ÖØ-öø-įıĲ-ňŊ-ž]")
 STUCK = re.compile("[!-/:-@\\[-`{-~][.,][ \n]")
 #: How the vocabulary's special tokens begin.
 SPECIAL = "<|"
+#: Stands for the end of a text among its words; no word is white space.
+END = "\n"
 
 
 class WordIds:
-    """Ids of lower-cased words between white space, as bytes of 32-bit integers."""
+    """Ids of lower-cased words between white space.
+
+    Words are numbered as they come; a number's ids are a run in one array, so that the ids of a slice of texts are gathered
+    from it without an object per word.
+    """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core; idle threads would wait busily
@@ -76,7 +83,16 @@ class WordIds:
         self.ends[[i for t, i in vocabulary.items() if suffix and t.endswith(suffix)]] = True
         self.shapes = str.maketrans({chr(b): _shape(b) for b in range(256) if b != 32})  # a space stands between pieces
         self.plain = self._splits_alike()
-        self.known: dict[str, bytes] = {}  # words and their pieces; a piece is a word as well
+        self.forget()
+
+    def forget(self) -> None:
+        """An empty table: words and their pieces by number, and where the ids of each number lie."""
+        self.numbers: defaultdict[str, int] = defaultdict()
+        self.numbers.default_factory = self.numbers.__len__
+        self.numbers[END]
+        self.size, self.used = 1, 0  # numbers that have ids, and ids in use
+        self.flat = np.empty(1 << 16, np.int32)
+        self.start, self.count = np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int64)
 
     def _splits_alike(self) -> bool:
         """Whether this vocabulary is of the kind that ``PIECE`` describes."""
@@ -86,39 +102,88 @@ class WordIds:
             i for p in pieces for i in self.merges.encode(p.encode().decode("latin-1").translate(self.shapes)).ids
         ]
 
-    def learn_pieces(self, pieces: list[str]) -> None:
-        """Merge new pieces, many in one text; a piece ends with a token that ends a word."""
+    def merged(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of pieces, many in one text, and how many each has; a piece ends with a token that ends a word."""
         joined = [
             " ".join(pieces[i : i + JOINED_WORDS]).encode().decode("latin-1").translate(self.shapes)
             for i in range(0, len(pieces), JOINED_WORDS)
         ]
         found = self.merges.encode_batch_fast(joined, add_special_tokens=False)
-        ids = np.concatenate([np.asarray(x.ids, dtype="<u4") for x in found])
-        cuts = [0, *(np.flatnonzero(self.ends[ids]) + 1).tolist()]
-        if len(cuts) != len(pieces) + 1:
+        ids = np.concatenate([np.asarray(x.ids, np.int32) for x in found])
+        counts = np.diff(np.flatnonzero(self.ends[ids]), prepend=-1)
+        if len(counts) != len(pieces) or counts.sum() != len(ids):
             raise ValueError("a word of this vocabulary does not end with the end-of-word suffix")
-        raw = ids.tobytes()
-        self.known.update((p, raw[4 * a : 4 * b]) for p, a, b in zip(pieces, cuts, cuts[1:]))
-
-    def learn(self, words: set[str]) -> None:
-        if len(self.known) > TABLE_WORDS:
-            self.known = {}
-        known = self.known
-        unknown = words - known.keys()
-        single = {w for w in unknown if w.isalpha()}
-        cut = {w: PIECE.findall(w) for w in unknown - single}
-        if new := single.union(*cut.values()) - known.keys():
-            self.learn_pieces(list(new))
-        known.update([(w, b"".join([known[p] for p in pieces])) for w, pieces in cut.items() if len(pieces) != 1])
+        return ids, counts
+
+    def store(self, numbers: np.ndarray, ids: np.ndarray, counts: np.ndarray) -> None:
+        """Keep the ids of some numbers, which lie one after the other in ``ids``."""
+        while self.used + len(ids) > len(self.flat):
+            self.flat = np.concatenate([self.flat, np.empty_like(self.flat)])
+        while len(numbers) and numbers.max() >= len(self.start):
+            self.start, self.count = (np.concatenate([x, np.zeros_like(x)]) for x in (self.start, self.count))
+        self.flat[self.used : self.used + len(ids)] = ids
+        self.start[numbers] = self.used + np.cumsum(counts) - counts
+        self.count[numbers] = counts
+        self.used += len(ids)
+
+    def gather(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of ``numbers``, one after the other, and how many each has."""
+        counts = self.count[numbers]
+        at = np.repeat(self.start[numbers] - (np.cumsum(counts) - counts), counts)
+        at += np.arange(len(at))
+        return self.flat[at], counts
+
+    def learn(self) -> None:
+        """Give ids to the words that have a number since the last call, and to pieces that are new with them."""
+        words = list(islice(reversed(self.numbers), len(self.numbers) - self.size))[::-1]
+        first, whole, cut = self.size, [], []
+        for i, w in enumerate(words, first):
+            pieces = None if w.isalpha() else PIECE.findall(w)
+            if pieces is None or len(pieces) == 1:
+                whole.append(i)
+            else:
+                cut.append((i, list(map(self.numbers.__getitem__, pieces))))
+        more = list(islice(reversed(self.numbers), len(self.numbers) - first - len(words)))[::-1]
+        if whole or more:
+            new = np.array([*whole, *range(first + len(words), len(self.numbers))])
+            self.store(new, *self.merged([*(words[i - first] for i in whole), *more]))
+        if cut:
+            ids, counts = self.gather(np.concatenate([np.array(c) for _, c in cut]))
+            ends = np.cumsum([len(c) for _, c in cut])
+            self.store(np.array([i for i, _ in cut]), ids, np.diff(np.cumsum(counts)[ends - 1], prepend=0))
+        self.size = len(self.numbers)
+
+    def encode_flat(self, texts: list[str], end: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, one after the other and each with ``end`` behind it, and how many every text has."""
+        if len(self.numbers) > TABLE_WORDS:
+            self.forget()
+        self.store(np.zeros(1, np.int64), np.array([] if end is None else [end], np.int32), np.array([0 if end is None else 1]))
+        number, numbered, odd = self.numbers.__getitem__, [], []
+        for i, t in enumerate(texts):
+            if self.plain and SPECIAL not in t and not NOT_PLAIN.search(t):
+                words = _cut(t)
+                words.append(END)
+                numbered.append(np.fromiter(map(number, words), np.int64, len(words)))
+            else:
+                numbered.append(None)
+                odd.append(i)
+        self.learn()
+        used = self.used
+        # Texts that are encoded as a whole have numbers behind those of the table, for this call only.
+        for k, i in enumerate(odd):
+            ids = np.asarray(self.whole.encode(texts[i], add_special_tokens=False).ids, np.int32)
+            self.store(np.array([self.size + k]), ids, np.array([len(ids)]))
+            numbered[i] = np.array([self.size + k, 0])
+        ids, counts = self.gather(np.concatenate(numbered)) if numbered else (self.flat[:0], np.zeros(0, np.int64))
+        ends = np.cumsum([len(x) for x in numbered], dtype=np.int64)
+        self.used = used
+        return ids, np.diff(np.cumsum(counts)[ends - 1], prepend=0)
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        cut = [_cut(t) if self.plain and SPECIAL not in t and not NOT_PLAIN.search(t) else None for t in texts]
-        self.learn(set().union(*(w for w in cut if w)))
-        ids = self.known.__getitem__
-        return [self._whole(t) if w is None else b"".join(map(ids, w)) for t, w in zip(texts, cut)]
-
-    def _whole(self, text: str) -> bytes:
-        return np.asarray(self.whole.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+        """The ids of every text as bytes of 32-bit integers."""
+        ids, counts = self.encode_flat(texts)
+        ends = np.cumsum(counts)
+        return [ids[b - n : b].astype("<u4").tobytes() for n, b in zip(counts, ends)]
 
 
 def _cut(text: str) -> list[str]:
@@ -164,23 +229,20 @@ def write_tokens(
     keys = [F.col("doc_id").asc_nulls_first(), F.col("tie"), F.col("spread")]
     dealt = source.repartitionByRange(*([partitions] if partitions else []), *keys).sortWithinPartitions(*keys)
     ordered = dealt.select(F.spark_partition_id().alias("part"), "doc_id", "text")
-    end = np.asarray([end_id], dtype="<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, start = word_ids(vocabulary), 0
         for batch in slices(batches):
-            lists = [x + end for x in ids.encode(batch.column(2).to_pylist())]
-            ends = [0, *accumulate(len(x) // 4 for x in lists)]
-            flat = pa.array(np.frombuffer(b"".join(lists), dtype=np.int32), pa.int32())
-            counts = np.diff(ends)
+            flat, counts = ids.encode_flat(batch.column(2).to_pylist(), end_id)
+            ends = np.cumsum(counts)
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column(0), batch.column(1), pa.array(start + np.asarray(ends[:-1], dtype=np.int64)),
-                    pa.array(counts.astype(np.int32)), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), flat),
+                    batch.column(0), batch.column(1), pa.array(start + ends - counts), pa.array(counts.astype(np.int32)),
+                    pa.ListArray.from_arrays(pa.array(np.append(0, ends).astype(np.int32)), pa.array(flat)),
                 ],
                 names=["part", "doc_id", "local_start", "n_tokens", "tokens"],
             )
-            start += ends[-1]
+            start += int(counts.sum())
 
     rows = ordered.mapInArrow(run, "part int, doc_id bigint, local_start bigint, n_tokens int, tokens array<int>")
     writer = rows.write.option("compression", "snappy").option("parquet.writer.version", "PARQUET_2_0")
