@@ -13,10 +13,11 @@ its first occurrence and is removed everywhere else:
    occurrence with those of the first.
 3. Rebuild the texts that lose a chunk.
 
-Such chunks (``dedup_lines``) leave the edges of a shared passage, and passages that hold no whole chunk, in place.
-``dedup_passages`` goes by the same steps but takes every window of two lines that are not blank, and every single line
-of over ``LONG_WORDS`` words, instead of one boundary in ``DIVISOR``: a removed passage then begins and ends where
-the equal lines do.
+Chunks that divide a text (``dedup_lines``) leave the edges of a shared passage, and passages that hold no whole chunk, in
+place. ``dedup_passages`` goes by the same steps with boundaries that lie closer, and chunks that run from one boundary line
+through the next one: a passage needs two boundary lines to be found, and goes from the first of them to the last. Lines of
+some length always are boundaries, of short ones three in four by the rolling hash. What goes has a least number of words, so pairs
+of short lines stay.
 """
 
 from __future__ import annotations
@@ -26,11 +27,14 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from barlab.llm.common import broadcast_if_small, row_keys, ship_package, slices, whole_text
+from barlab.llm.collocations import make_filter
+from barlab.llm.common import row_keys, ship_package, slices, whole_text
+from barlab.llm.key_filter import split_by_keys
 from barlab.session import stage
 
 #: Lines in the rolling window; a boundary stands after one line in ``DIVISOR`` on average.
@@ -39,6 +43,11 @@ DIVISOR = 2
 MIN_LINES = 2
 #: A single line of more words than this is a passage by itself.
 LONG_WORDS = 50
+#: For passages: a line with so many spaces is a boundary, of shorter ones all but one in ``SHORT_DIVISOR``.
+LINE_SPACES = 7
+SHORT_DIVISOR = 4
+#: A run of lines that goes has so many words at least.
+LEAST_WORDS = 20
 #: Multiplier of the rolling hash (odd, so that every line's hash keeps all its bits).
 STEP = np.uint64(0x9E3779B97F4A7C15)
 
@@ -100,33 +109,57 @@ def _filled(lines: list[bytes]) -> list[int]:
     return [i for i, x in enumerate(lines) if x and not x.isspace()]
 
 
-def window_units(long_words: int = LONG_WORDS) -> tuple[Units, Lost]:
-    """Windows of two lines that are not blank, with the blank ones between them, under even numbers by
-    their first line; long single lines under odd ones."""
+def cut_lines(lines: list[bytes], filled: list[int], window: int = WINDOW) -> list[int]:
+    """The boundary lines among those that are not blank, by their own content and, if short, that of the line before."""
+    cuts = []
+    for k, i in enumerate(filled):
+        if lines[i].count(b" ") < LINE_SPACES:
+            rolling = 0
+            for j in filled[max(k - window + 1, 0) : k + 1]:
+                rolling = (rolling * int(STEP) + xxhash.xxh64_intdigest(lines[j])) & 0xFFFFFFFFFFFFFFFF
+            if (rolling >> 17) % SHORT_DIVISOR == 0:
+                continue
+        cuts.append(i)
+    return cuts
+
+
+def passage_units(long_words: int = LONG_WORDS, least_words: int = LEAST_WORDS) -> tuple[Units, Lost]:
+    """Chunks from a boundary line through the next one under even numbers, by the first's place among boundary
+    lines; long single lines under odd ones."""
 
     def units(text: bytes) -> Iterator[tuple[int, bytes]]:
         lines = text.split(b"\n")
-        filled = _filled(lines)
-        for k, i in enumerate(filled):
-            if k + 1 < len(filled):
-                yield 2 * k, b"\n".join(lines[i : filled[k + 1] + 1])
+        cuts = cut_lines(lines, _filled(lines))
+        for k, i in enumerate(cuts):
+            if k + 1 < len(cuts):
+                yield 2 * k, b"\n".join(lines[i : cuts[k + 1] + 1])
             if len(lines[i]) > 2 * long_words and len(lines[i].split()) > long_words:
                 yield 2 * k + 1, lines[i]
 
     def lost(lines: list[bytes], numbers: set[int]) -> tuple[set[int], int]:
-        filled, gone = _filled(lines), set()
+        filled = _filled(lines)
+        cuts, marked = cut_lines(lines, filled), set()
         for number in numbers:
             k = number // 2
-            gone.update(range(filled[k], filled[k + 1 - number % 2] + 1))
-        runs = sum(1 for i in gone if i - 1 not in gone)
-        return (set(range(len(lines))) if gone.issuperset(filled) else gone), runs
+            marked.update(range(cuts[k], cuts[k + 1 - number % 2] + 1))
+        gone, run, runs = set(), [], 0
+        for i in [*filled, -1]:
+            if i in marked:
+                run.append(i)
+                continue
+            if run and sum(len(lines[j].split()) for j in run) >= least_words:
+                gone.update(j for j in range(run[0], run[-1] + 1) if j in marked)
+                runs += 1
+            run = []
+        return (set(range(len(lines))) if filled and gone.issuperset(filled) else gone), runs
 
     return units, lost
 
 
-def chunk_table(docs: DataFrame, keys: list[str], text: str, with_text: bool, units: Units) -> DataFrame:
-    """``keys, chunk_no, h1, h2`` and, if asked for, ``chunk``: what may repeat in every text."""
+def chunk_table(docs: DataFrame, keys: list[str], text: str, units: Units, wanted: Broadcast | None = None) -> DataFrame:
+    """``keys, chunk_no, h1, h2``: what may repeat in every text; with a filter ``wanted``, what passes it, and its bytes as ``chunk``."""
     ship_package(docs.sparkSession)
+    with_text = wanted is not None
     source = docs.select(*keys, F.col(text).cast("binary").alias("__text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -141,11 +174,13 @@ def chunk_table(docs: DataFrame, keys: list[str], text: str, with_text: bool, un
                     h2.append(int.from_bytes(digest[8:], "big", signed=True))
                     if with_text:
                         joined.append(body)
-            rows = pa.array(row, pa.int32())
-            columns = [*(c.take(rows) for c in batch.columns[:-1]), pa.array(number, pa.int32()), pa.array(h1, pa.int64()), pa.array(h2, pa.int64())]
+            rows, hashes = np.array(row, np.int32), [np.array(h, np.int64) for h in (h1, h2)]
+            kept = np.flatnonzero(wanted.value.holds(hashes)) if with_text else np.arange(len(rows))
+            taken = pa.array(rows[kept])
+            columns = [*(c.take(taken) for c in batch.columns[:-1]), pa.array(np.array(number, np.int32)[kept]), *(pa.array(h[kept]) for h in hashes)]
             names = [*keys, "chunk_no", "h1", "h2"]
             if with_text:
-                columns.append(pa.array(joined, pa.binary()))
+                columns.append(pa.array([joined[i] for i in kept], pa.binary()))
                 names.append("chunk")
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
@@ -157,21 +192,23 @@ def chunk_table(docs: DataFrame, keys: list[str], text: str, with_text: bool, un
 def _repeated(docs: DataFrame, units: Units) -> DataFrame:
     """``doc_id, k1, k2, chunk_no, ahead``: the occurrences behind the first, from ``docs(doc_id, text)``.
 
-    ``ahead`` is how far behind the first it stands if both are in one text, else null.
+    ``ahead`` is how far behind the first it stands if both are in one text, else null. Hashes are counted alone. A filter of fixed size
+    holds those that repeat, and only chunks that pass it are moved, with their bytes; one that passes by mistake
+    meets no other.
     """
+    spark = docs.sparkSession
     keys = ["doc_id", "k1", "k2"]
+    hashed = chunk_table(docs, [], "text", units)
+    repeated = stage(hashed.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "repeated")
+    wanted = spark.sparkContext.broadcast(make_filter(repeated.select(F.col("h1").alias("w1"), F.col("h2").alias("w2")), 2))
     named = docs.select("doc_id", *row_keys(F.col("text")), "text")
     place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "k1", "k2", "chunk_no")
-    hashed = chunk_table(named, keys, "text", False, units)
-    counted = hashed.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("first"))
-    repeated = stage(counted.where("n > 1").select("h1", "h2", "first"), "repeated")
-    found = chunk_table(named, keys, "text", True, units).join(broadcast_if_small(repeated), ["h1", "h2"])
+    found = stage(chunk_table(named, keys, "text", units, wanted), "chunks")
+    first = found.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.min_by("chunk", place).alias("kept"), F.count(F.lit(1)).alias("n"))
+    later = found.join(first.where("n > 1").drop("n"), ["h1", "h2"]).where((place != F.col("first")) & (F.col("chunk") == F.col("kept")))
     here = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("k1") == F.col("first.k1")) & (F.col("k2") == F.col("first.k2"))
     ahead = F.when(here, F.col("chunk_no") - F.col("first.chunk_no"))
-    occurrences = stage(found.select(*keys, "chunk_no", "h1", "h2", "chunk", (place == F.col("first")).alias("is_first"), ahead.alias("ahead")), "chunks")
-    first = occurrences.where("is_first").dropDuplicates(["h1", "h2"]).select("h1", "h2", F.col("chunk").alias("kept"))
-    later = occurrences.where("not is_first").join(first, ["h1", "h2"])
-    return later.where("chunk = kept").select(*keys, "chunk_no", "ahead").distinct()
+    return later.select(*keys, "chunk_no", ahead.alias("ahead")).distinct()
 
 
 def repeated_chunks(
@@ -184,9 +221,9 @@ def repeated_chunks(
     return _repeated(docs, chunk_units((window, divisor, min_lines))[0]).drop("ahead")
 
 
-def repeated_windows(docs: DataFrame, long_words: int = LONG_WORDS) -> DataFrame:
-    """As ``repeated_chunks``, of windows of two lines and long lines; a window that overlaps the first is none."""
-    found = _repeated(docs, window_units(long_words)[0])
+def repeated_passages(docs: DataFrame, long_words: int = LONG_WORDS) -> DataFrame:
+    """As ``repeated_chunks``, of the chunks of passages; a chunk that shares a line with the first is none."""
+    found = _repeated(docs, passage_units(long_words)[0])
     return found.where("ahead is null or ahead > 2 or chunk_no % 2 = 1").drop("ahead")
 
 
@@ -206,14 +243,16 @@ def dedup_lines(
     return _without(docs, text, n_chars, lambda texts: repeated_chunks(texts, *options), chunk_units(options)[1])
 
 
-def dedup_passages(docs: DataFrame, text: str = "text", n_chars: str | None = "n_chars", long_words: int = LONG_WORDS) -> DataFrame:
-    """As ``dedup_lines``, but every passage that stands at an earlier place too goes whole, wherever it begins and ends.
+def dedup_passages(
+    docs: DataFrame, text: str = "text", n_chars: str | None = "n_chars", long_words: int = LONG_WORDS, least_words: int = LEAST_WORDS
+) -> DataFrame:
+    """As ``dedup_lines``, but a passage that stands at an earlier place too goes from its first boundary line to its last.
 
-    A passage has two lines or more that are not blank, or is one line of over ``long_words`` words; all places are those
-    of the texts as given. Blank lines go if they stand inside a passage, or if no other line is left. What goes from a line's
-    place stays at the first one of that line. ``n_chunks_removed`` counts runs of removed lines.
+    A passage has two boundary lines or more, or is one line of over ``long_words`` words; all places are those of the texts as
+    given. Runs of lines with fewer than ``least_words`` words stay. Blank lines go if they stand inside a chunk, or if no
+    other line is left. ``n_chunks_removed`` counts runs of removed lines.
     """
-    return _without(docs, text, n_chars, lambda texts: repeated_windows(texts, long_words), window_units(long_words)[1])
+    return _without(docs, text, n_chars, lambda texts: repeated_passages(texts, long_words), passage_units(long_words, least_words)[1])
 
 
 def _without(docs: DataFrame, text: str, n_chars: str | None, repeated: Callable[[DataFrame], DataFrame], lines_lost: Lost) -> DataFrame:
@@ -228,9 +267,9 @@ def _without(docs: DataFrame, text: str, n_chars: str | None, repeated: Callable
     )
     named = docs.select(*[F.col(f"`{c}`") for c in columns], k1.alias("__r1"), k2.alias("__r2"))
     same = F.col("__r1") == F.col("__k1"), F.col("__r2") == F.col("__k2"), F.col("`doc_id`").eqNullSafe(F.col("__id"))
-    side = broadcast_if_small(lost, 50_000)
-    joined = named.join(side if side is not lost else lost.hint("shuffle_hash"), list(same), "left")
-    ship_package(docs.sparkSession)
+    # Texts that lose nothing pass by; only the others, and a few that the filter takes for them, are shuffled.
+    some, rest = split_by_keys(named, "__r1", "__r2", lost.select("__k1", "__k2"))
+    joined = some.join(lost, list(same), "left")
     source = joined.select(*[F.col(f"`{c}`") for c in columns], F.col(f"`{text}`").cast("binary").alias("__text"), "__lost")
     at = columns.index(text)
 
@@ -257,7 +296,8 @@ def _without(docs: DataFrame, text: str, n_chars: str | None, repeated: Callable
     schema = docs.select(*[F.col(f"`{c}`") for c in columns]).schema
     for name in added:
         schema = schema.add(name, T.LongType())
-    found = source.mapInArrow(run, schema)
+    found = source.mapInArrow(run, schema).unionByName(
+        rest.select(*[F.col(f"`{c}`") for c in columns], *[F.lit(0).cast("bigint").alias(c) for c in added]))
     if n_chars in columns:
         length = F.length(f"`{text}`").cast(schema[n_chars].dataType)
         found = found.withColumn(n_chars, F.when(F.col("n_chunks_removed") > 0, F.when(F.col(f"`{n_chars}`").isNotNull(), length)).otherwise(F.col(f"`{n_chars}`")))

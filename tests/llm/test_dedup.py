@@ -182,19 +182,46 @@ def test_odd_line_dedup(spark, odd, nothing):
     assert got[:2] == [(7, "a b\nc d\ne f")] * 2 and got[2][0] == 8
 
 
-def plain_passages(rows):
-    """Lines in a pair of lines, or a long line, that stand earlier too, text by text."""
+def plain_cuts(lines):
+    """Lines that bound passages: long ones, and three in four of the short ones by a hash over two lines."""
+    out, before = [], None
+    for k, x in enumerate(lines):
+        line = x.encode()
+        if not line.strip():
+            continue
+        h = xxhash.xxh64_intdigest(line)
+        rolling = (h if before is None else before * int(line_dedup.STEP) + h) % 2**64
+        if line.count(b" ") >= 7 or (rolling >> 17) % 4:
+            out.append(k)
+        before = h
+    return out
+
+
+def plain_passages(rows, least=20):
+    """Lines between two boundary lines, or a long line, that stand earlier too, text by text."""
     seen, out = {}, {}
     for i, text in sorted(rows):
         lines = text.split("\n")
         filled = [k for k, x in enumerate(lines) if x.encode().strip()]
-        units = [(a, b) for a, b in zip(filled, filled[1:])]
-        units += [(a, a) for a in filled if len(lines[a].encode().split()) > line_dedup.LONG_WORDS]
-        gone = set()
+        cuts = plain_cuts(lines)
+        units = [(a, b) for a, b in zip(cuts, cuts[1:])]
+        units += [(a, a) for a in cuts if len(lines[a].encode().split()) > line_dedup.LONG_WORDS]
+        marked = set()
         for a, b in units:
             place = seen.setdefault("\n".join(lines[a : b + 1]), (i, a, b))
             if place[0] != i or place[2] < a:
-                gone |= set(range(a, b + 1))
+                marked |= set(range(a, b + 1))
+        runs, run = [], []
+        for k in filled + [None]:
+            if k in marked:
+                run.append(k)
+            elif run:
+                runs.append(run)
+                run = []
+        gone = set()
+        for run in runs:
+            if sum(len(lines[k].encode().split()) for k in run) >= least:
+                gone |= set(range(run[0], run[-1] + 1)) & marked
         out[i] = "" if filled and gone >= set(filled) else "\n".join(x for k, x in enumerate(lines) if k not in gone)
     return out
 
@@ -221,14 +248,42 @@ def test_short_passages_go_whole_in_other_surroundings(spark):
         assert (got[i].n_chunks_removed, got[i].n_lines_removed) == ((1, n) if k else (0, 0))
 
 
+def test_pairs_of_short_lines_stay(spark):
+    texts = ["alpha one\n}\n}\nbeta", "gamma\n}\n}\ndelta", "Yes\nNo\nepsilon", "Yes\nNo\nzeta"]
+    got = line_dedup.dedup_passages(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")).collect()
+    assert sorted((r.doc_id, r.text, r.n_lines_removed) for r in got) == [(i, t, 0) for i, t in enumerate(texts)]
+
+
+def test_runs_of_many_short_lines_go(spark):
+    """A list of 60 short lines in other surroundings: nearly all of it goes."""
+    shared = "\n".join(f"item {i}" for i in range(60))
+    texts = [f"head {i} of the list\n{shared}\ntail {i}" for i in range(30)]
+    got = {r.doc_id: r for r in line_dedup.dedup_passages(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")).collect()}
+    assert got[0].text == texts[0]
+    assert all(55 <= got[i].n_lines_removed <= 60 and f"head {i} " in got[i].text and f"tail {i}" in got[i].text for i in range(1, 30))
+
+
+def test_a_full_filter_changes_no_text(spark, monkeypatch):
+    from barlab.llm import collocations
+
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    want = plain_passages([(r.doc_id, r.text) for r in docs.collect()])
+    monkeypatch.setattr(collocations.make_filter, "__defaults__", (64,))
+    assert {r.doc_id: r.text for r in line_dedup.dedup_passages(docs).collect()} == want
+
+
 def test_odd_passages(spark, odd, nothing):
     rows = line_dedup.dedup_passages(odd).collect()
     assert len(rows) == odd.count()
     assert [r.text for r in rows if r.doc_id == 1] == [None]
     assert line_dedup.dedup_passages(nothing).count() == 0
-    same = spark.createDataFrame([(1, "a\na\na\na\na"), (2, "b\nb\nb"), (3, "\nx\n\na\na\n"), (4, "a\n\na"), (5, "\na\na\n"), (5, "\na\na\n")], "doc_id bigint, text string")
+    one, two = " ".join(["one"] * 10), " ".join(["two"] * 10)
+    same = spark.createDataFrame([
+        (1, f"{one}\n{one}\n{one}\n{one}\n{one}"), (2, f"{two}\n{two}\n{two}"), (3, f"\nx\n\n{one}\n{one}\n"), (4, f"{one}\n\n{one}"),
+        (5, f"\n{one}\n{one}\n"), (5, f"\n{one}\n{one}\n"),
+    ], "doc_id bigint, text string")
     got = sorted((r.doc_id, r.text) for r in line_dedup.dedup_passages(same).collect())
-    assert got == [(1, "a\na"), (2, "b\nb\nb"), (3, "\nx\n\n"), (4, "a\n\na"), (5, ""), (5, "")]
+    assert got == [(1, f"{one}\n{one}"), (2, f"{two}\n{two}\n{two}"), (3, "\nx\n\n"), (4, f"{one}\n\n{one}"), (5, ""), (5, "")]
 
 
 WORDS = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
