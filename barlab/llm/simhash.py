@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from barlab.llm.common import broadcast_if_small, ship_package, slices, whole_text
 from barlab.llm.graph import components
+from barlab.llm.key_filter import split_by_keys
 from barlab.session import stage
 
 SEED = 42
@@ -178,18 +179,23 @@ def keep_one(docs: DataFrame, shingle: int = 3, max_bits: int = 3, text: str = "
     rows that are alike one stays. All columns are kept as they are.
     """
     columns = docs.columns
-    keyed = docs.withColumn("__row", F.xxhash64(*[F.col(f"`{c}`").cast("string") for c in columns]))
-    prints = stage(fingerprints(keyed, shingle, text, ("doc_id", "__row")), "fingerprints")
+    row = "__row"
+    while row in columns:
+        row += "_"
+    keyed = docs.withColumn(row, F.xxhash64(*[F.col(f"`{c}`").cast("string") for c in columns]))
+    prints = stage(fingerprints(keyed, shingle, text, ("doc_id", row)), "fingerprints").withColumnRenamed(row, "row")
     roots = broadcast_if_small(stage(groups(prints, max_bits), "roots"))
-    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "__row")
-    grouped = prints.join(roots, prints.fp == roots.node, "left").groupBy(F.coalesce("root", "fp").alias("of"))
-    kept = grouped.agg(F.min(order).alias("k")).select(F.col("k.doc_id").alias("__id"), F.col("k.__row").alias("__kept"))
-    alike = prints.groupBy(F.col("doc_id").alias("__id"), F.col("__row").alias("__kept")).agg(F.count(F.lit(1)).alias("__n"))
-    same = [F.col("l.__id").eqNullSafe(F.col("r.__id")), F.col("l.__kept") == F.col("r.__kept")]
-    kept = stage(kept.alias("l").join(alike.alias("r"), same).select("l.__id", "l.__kept", "__n"), "kept")
-    stays = keyed.join(
-        kept.hint("shuffle_hash"), keyed["doc_id"].eqNullSafe(kept["__id"]) & (keyed["__row"] == kept["__kept"])
-    )
-    if not kept.where("__n > 1").isEmpty():
-        stays = stays.where("__n = 1").unionByName(stays.where("__n > 1").dropDuplicates(["__id", "__row"]))
-    return stays.select(*[F.col(f"`{c}`") for c in columns])
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")
+    of_group = prints.join(roots, prints.fp == roots.node, "left").select("doc_id", "row", F.coalesce("root", "fp").alias("of"))
+    several = of_group.groupBy("of").agg(F.min(order).alias("kept"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    # Only rows that go, and rows alike of which one stays, are looked up; all others pass by.
+    members = of_group.join(stage(several.select("of", "kept"), "several"), "of")
+    stays = F.col("doc_id").eqNullSafe(F.col("kept.doc_id")) & (F.col("row") == F.col("kept.row"))
+    named = members.groupBy(F.col("doc_id").alias("__id"), F.col("row").alias("__key")).agg(
+        F.max(stays).alias("__stays"), F.count(F.lit(1)).alias("__n"))
+    named = stage(named.where("not __stays or __n > 1"), "going")
+    some, rest = split_by_keys(keyed, row, row, named.select(F.col("__key").alias("a"), F.col("__key").alias("b")))
+    met = some.join(named, some["doc_id"].eqNullSafe(named["__id"]) & (some[row] == named["__key"]), "left")
+    kept = met.where("__stays is null").select(*[F.col(f"`{c}`") for c in columns])
+    one = met.where("__stays").dropDuplicates(["__id", "__key"]).select(*[F.col(f"`{c}`") for c in columns])
+    return rest.select(*[F.col(f"`{c}`") for c in columns]).unionByName(kept).unionByName(one)
