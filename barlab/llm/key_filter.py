@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -21,9 +21,9 @@ def split_by_keys(rows: DataFrame, k1: str, k2: str, keys: DataFrame) -> tuple[D
     a, b = keys.columns
     held = spark.sparkContext.broadcast(make_filter(keys.select(F.col(a).alias("w1"), F.col(b).alias("w2")), 2))
 
-    @F.pandas_udf("boolean")
-    def may_be(x: pd.Series, y: pd.Series) -> pd.Series:
-        return pd.Series(held.value.holds([x.to_numpy(), y.to_numpy()]))
+    @F.arrow_udf("boolean")
+    def may_be(x: pa.Array, y: pa.Array) -> pa.Array:
+        return pa.array(held.value.holds([x.to_numpy(), y.to_numpy()]))
 
     marked = rows.withColumn("__may_be", may_be(F.col(k1), F.col(k2)))
     return marked.where("__may_be").drop("__may_be"), marked.where("not __may_be").drop("__may_be")
