@@ -122,46 +122,70 @@ def _described(matches: Column, kind: int) -> Column:
 
 MATCH = "struct<start:bigint,end:bigint,match:string,before:string>"
 _PART = "struct<group:int,start:bigint,end:bigint,match:string>"
+_GROUP = "struct<start:bigint,end:bigint,text:string,lead:int,size:int>"
+#: Groups of digits that are looked at before their parts are put aside, so that a long run costs in proportion to its length.
+GROUPS = 256
+
+
+def _best_part(every: Column, k: Column) -> Column:
+    """The part that begins with group ``k``: null if none does."""
+    first = F.get(every, k)
+
+    def wider(wide: Column, j: Column) -> Column:
+        last = F.get(every, j)
+        size = wide["size"] + last["size"]
+
+        def judged(text: Column) -> Column:
+            made = F.struct(j.alias("group"), (first["start"] + first["lead"]).alias("start"), last["end"].alias("end"), text.alias("match"))
+            card = _in(size, *CARD_DIGITS) & luhn(digits_of(text))
+            phone = _in(size, *PHONE_DIGITS)
+            rank = F.when((card | phone) & text.rlike(FORMATS) & (card | (size < 16)), 1).when(card, 2).when(phone, 3).otherwise(4)
+            return bind(rank, lambda r: F.struct(
+                size.alias("size"), F.least(r, wide["rank"]).alias("rank"), F.when(r < wide["rank"], made).otherwise(wide["part"]).alias("part")
+            ))
+
+        # Groups are joined as they stand, a few at a time; the run itself is never cut.
+        text = F.array_join(F.transform(F.slice(every, k + 1, j - k + 1), lambda g: g["text"]), "")
+        unjudged = F.struct(size.alias("size"), wide["rank"].alias("rank"), wide["part"].alias("part"))
+        return F.when(_in(size, PHONE_DIGITS[0], CARD_DIGITS[1]), bind(F.substr(text, first["lead"] + 1), judged)).otherwise(unjudged)
+
+    none = F.struct(F.lit(0).alias("size"), F.lit(4).alias("rank"), F.lit(None).cast(_PART).alias("part"))
+    last = F.least(k + CARD_DIGITS[1] - 1, F.size(every) - 1)
+    return F.aggregate(F.sequence(k, last), none, wider, lambda wide: wide["part"])
 
 
 def parts_of(m: Column) -> Column:
     """The parts of a run of digits that may be numbers by themselves, from the left, as matches with the run's context.
 
     A part is one or more whole groups of digits. Of those that begin with a group, one written like a known format is
-    taken, else the shortest card number, else the shortest telephone number; the next begins behind it.
+    taken, else the shortest card number, else the shortest telephone number; the next begins behind it. Groups are taken in
+    blocks, and only a block's own parts are carried from group to group.
     """
-    groups = find(m["match"], r"\+?[0-9]++", lambda start, end, text, _: F.struct(
-        start.alias("start"), end.alias("end"), F.length(digits_of(text)).alias("size")
-    ), "struct<start:bigint,end:bigint,size:int>")
-
-    def at(held: Column, every: Column, k: Column) -> Column:
-        first = F.get(every, k)
-        def wider(wide: Column, j: Column) -> Column:
-            last = F.get(every, j)
-            size = wide["size"] + last["size"]
-            text = F.substring(m["match"], (first["start"] + 1).cast("int"), (last["end"] - first["start"]).cast("int"))
-            made = F.struct(j.alias("group"), first["start"].alias("start"), last["end"].alias("end"), text.alias("match"))
-            card = _in(size, *CARD_DIGITS) & luhn(digits_of(text))
-            phone = _in(size, *PHONE_DIGITS)
-            rank = F.when((card | phone) & text.rlike(FORMATS) & (card | (size < 16)), 1).when(card, 2).when(phone, 3).otherwise(4)
-            better = rank < wide["rank"]
-            return F.struct(
-                size.alias("size"), F.when(better, rank).otherwise(wide["rank"]).alias("rank"),
-                F.when(better, made).otherwise(wide["part"]).alias("part"),
-            )
-
-        none = F.struct(F.lit(0).alias("size"), F.lit(4).alias("rank"), F.lit(None).cast(_PART).alias("part"))
-        last = F.least(k + CARD_DIGITS[1] - 1, F.size(every) - 1)
-        best = F.aggregate(F.sequence(k, last), none, wider, lambda wide: wide["part"])
-        return F.when(F.coalesce(F.get(held, F.size(held) - 1)["group"], F.lit(-1)) >= k, held).otherwise(
-            bind(best, lambda part: F.when(part.isNull(), held).otherwise(F.concat(held, F.array(part))))
-        )
-
-    none = F.array().cast(f"array<{_PART}>")
-    chosen = bind(groups, lambda every: F.aggregate(
-        F.sequence(F.lit(0), F.size(every) - 1), none, lambda held, k: at(held, every, k)
-    ))
-    return F.transform(chosen, lambda p: F.struct(
+    groups = find(m["match"], r"[^0-9+]*+\+?[0-9]++", lambda start, end, text, _: F.struct(
+        start.alias("start"), end.alias("end"), text.alias("text"),
+        F.length(F.regexp_extract(text, "^[^0-9+]*", 0)).alias("lead"), F.length(digits_of(text)).alias("size"),
+    ), _GROUP)
+    empty = F.array().cast(f"array<{_PART}>")
+
+    def in_block(every: Column, free: Column, b: Column) -> Column:
+        last = F.least((b + 1) * GROUPS, F.size(every)) - 1
+
+        def step(held: Column, k: Column) -> Column:
+            return F.when(k < held["free"], held).otherwise(bind(_best_part(every, k), lambda part: F.when(part.isNull(), held).otherwise(
+                F.struct((part["group"] + 1).alias("free"), F.concat(held["parts"], F.array(part)).alias("parts"))
+            )))
+
+        return F.aggregate(F.sequence(b * GROUPS, last), F.struct(free.alias("free"), empty.alias("parts")), step)
+
+    def over_blocks(every: Column) -> Column:
+        none = F.struct(F.lit(0).alias("free"), F.array().cast(f"array<array<{_PART}>>").alias("blocks"))
+        blocks = F.sequence(F.lit(0), F.floor((F.size(every) - 1) / GROUPS).cast("int"))
+        found = F.aggregate(blocks, none, lambda held, b: bind(in_block(every, held["free"], b), lambda done: F.struct(
+            done["free"].alias("free"), F.concat(held["blocks"], F.array(done["parts"])).alias("blocks")
+        )))
+        return F.flatten(found["blocks"])
+
+    return F.transform(bind(groups, over_blocks), lambda p: F.struct(
         (m["start"] + p["start"]).alias("start"), (m["start"] + p["end"]).alias("end"), p["match"].alias("match"), m["before"].alias("before")
     ))
 
