@@ -40,9 +40,9 @@ from tokenizers.pre_tokenizers import ByteLevel, WhitespaceSplit
 
 from barlab.llm.common import ship_package, slices, whole_text
 
-#: Words and pieces in a worker's table before a new one is begun: some 170 MB. It outlives a task, since much of
+#: Words and pieces in a worker's table before a new one is begun: some 120 MB. It outlives a task, since much of
 #: the time goes into words that a worker sees for the first time.
-TABLE_WORDS = 900_000
+TABLE_WORDS = 600_000
 ROW_GROUP_BYTES = 16 << 20
 PAGE_BYTES = 128 << 10
 PAGE_ROWS = 2_000
