@@ -3,14 +3,14 @@
 First-order Markov models over characters, of random strings in three forms (hexadecimal, capitals, any characters), of
 ordinary words and of identifiers, give every candidate string a log-likelihood ratio per character: its likeliest random
 form against the likelier of the other two. Where a model has seen little of what follows a character, it falls back to how frequent characters
-are. A candidate is a run of 20 or more
-characters of base64 or identifiers with letters and digits, outside of the spans of the fixed patterns; one whose
-ratio is above ``THRESHOLD`` is a span of kind ``random``.
+are. A candidate is a run of 12 or more characters of base64 or identifiers outside of the spans of the fixed patterns, with
+letters and digits if it is shorter than 20; one whose ratio is above ``THRESHOLD`` a pair of characters, and above ``EVIDENCE`` in
+all, is a span of kind ``random``. A short run thus needs a higher ratio per character.
 
 Training data are labelled by where they come from. Random strings: digests written as hexadecimal, base64
 and capital letters, and the values that the fixed patterns found in the sampled texts. Ordinary
-ones: all other words of these texts; identifiers: the names of the session's SQL functions, in the cases that
-names are written in. The sample are the ``TRAINING_TEXTS`` different texts with the smallest hash, a bound on the work and not
+ones: all other words of these texts that are no candidates; identifiers: verbs and nouns put together, in the cases that
+names are written in, and dates and times. The sample are the ``TRAINING_TEXTS`` different texts with the smallest hash, a bound on the work and not
 on what is scanned. Its counts are a table of pairs of characters, 5 x 68 x 68 at most, and that is all the driver sees.
 """
 
@@ -34,7 +34,10 @@ ACCESS = "AKIA[A-Z0-9]{16,}"
 HEX = "[0-9a-f]{24,}"
 
 CHARACTERS = string.ascii_lowercase + string.ascii_uppercase + string.digits + "+/_=-."
-CANDIDATE = "[A-Za-z0-9+/_=-]{20,}"
+LEAST = 12
+CANDIDATE = f"[A-Za-z0-9+/_=-]{{{LEAST},}}"
+#: From so many characters on, a run may be of letters alone.
+LONG = 20
 WORD = "[A-Za-z0-9+/_=-]{4,}"
 TRAINING_TEXTS = 400
 TRAINING_STRINGS = 1_500
@@ -43,7 +46,19 @@ BACK_OFF = 5.0
 #: Added to every count of a character.
 SMOOTHING = 0.5
 #: The least log-likelihood ratio per pair of characters; see the held-out test.
-THRESHOLD = 0.6
+THRESHOLD = 1.0
+#: The least log-likelihood ratio of a whole string.
+EVIDENCE = 19.0
+# Parts of which identifiers are made for the training.
+VERBS = [
+    "get", "set", "make", "read", "write", "load", "save", "parse", "build", "find", "count", "update", "create", "delete", "check", "open",
+    "close", "send", "fetch", "index", "max", "min", "is", "to", "from", "new", "current", "default", "array", "string", "regexp", "date",
+]
+NOUNS = [
+    "user", "file", "name", "value", "table", "column", "record", "session", "config", "request", "response", "buffer", "thread", "client",
+    "server", "database", "connection", "timeout", "version", "counter", "handler", "size", "seconds", "factory", "parser", "element",
+    "timestamp", "schema", "position", "distinct", "percentile", "format",
+]
 ORDINARY = ("words", "identifiers")
 FORMS = {"hex": "^[0-9a-f]+$", "capitals": "^[A-Z0-9]+$", "any": "."}
 
@@ -55,6 +70,12 @@ def known_spans(text: Column) -> Column:
     return F.sort_array(F.concat(*found))
 
 
+def _judged(run: Column) -> Column:
+    """Whether a run is a candidate: long enough, and with digits among its letters if it is not very long."""
+    letters, size = run.rlike("[A-Za-z]"), F.length(run)
+    return letters & ((size >= LONG) | ((size >= LEAST) & run.rlike("[0-9]")))
+
+
 def _pairs(strings: DataFrame) -> DataFrame:
     """``form, a, b, count`` of the characters that follow each other in ``strings(form, s)``."""
     cut = strings.select("form", F.split("s", "").alias("c"))
@@ -79,14 +100,22 @@ def training_strings(texts: DataFrame) -> tuple[DataFrame, DataFrame]:
     made = texts.sparkSession.range(TRAINING_STRINGS).select(F.explode(forms).alias("s"))
     rest = F.regexp_replace(F.regexp_replace(F.regexp_replace("text", ASSIGN, " "), ACCESS, " "), HEX, " ")
     words = sample.select(F.explode_outer(F.regexp_extract_all(rest, F.lit(WORD), F.lit(0))).alias("s")).where("s is not null")
+    words = words.where(~_judged(F.col("s")))
     form = F.coalesce(*[F.when(F.col("s").rlike(pattern), F.lit(name)) for name, pattern in FORMS.items()])
-    names = texts.sparkSession.sql("SHOW FUNCTIONS").where("function rlike '^[a-z][a-z0-9_]{3,}$'")
+    verb, noun, second = (F.explode(F.array(*[F.lit(x) for x in parts])) for parts in (VERBS, NOUNS, ["", *NOUNS[::5]]))
+    made_up = texts.sparkSession.range(1).select(verb.alias("verb")).select("verb", noun.alias("noun")).select("verb", "noun", second.alias("second"))
+    names = made_up.select(F.concat_ws("_", "verb", "noun", F.nullif("second", F.lit(""))).alias("function"))
     spaced = F.initcap(F.replace(F.col("function"), F.lit("_"), F.lit(" ")))
     joined = F.replace(spaced, F.lit(" "), F.lit(""))
     number = F.length("function") % 10
     cases = F.array("function", F.upper("function"), joined, F.concat("function", F.lit("_"), F.reverse(F.split("function", "_"))[0]),
                     F.concat("function", number.cast("string")), F.concat(joined, number.cast("string")))
     known = names.select(F.lit("identifiers").alias("form"), F.explode(cases).alias("s"))
+    day = F.expr("timestamp_seconds(600000000 + id * 7654321)")
+    stamps = texts.sparkSession.range(200).select(F.explode(F.array(
+        *[F.date_format(day, f) for f in ("yyyy-MM-dd'T'HH-mm-ss", "yyyyMMddHHmmss", "'build'-yyyy-MM-dd-'rc'd", "'v'y-M-d_HHmm")]
+    )).alias("s"))
+    known = known.unionByName(stamps.select(F.lit("identifiers").alias("form"), "s"))
     return made.unionByName(values).select(form.alias("form"), "s"), words.select(F.lit("words").alias("form"), "s").unionByName(known)
 
 
@@ -129,9 +158,9 @@ def random_spans(text: Column, known: Column, models: dict[str, list[float]]) ->
             start.alias("start"), F.lit(len(KINDS)).alias("kind"), end.alias("end"), match.alias("match")
         ), "struct<start:bigint,kind:int,end:bigint,match:string>",
     )
-    mixed = lambda m: m.rlike("[0-9]") & m.rlike("[A-Za-z]")
-    free = F.filter(made, lambda s: mixed(s["match"]) & ~overlaps(known, s["start"], s["end"]))
-    found = F.filter(free, lambda s: randomness(s["match"], models) > THRESHOLD)
+    free = F.filter(made, lambda s: _judged(s["match"]) & ~overlaps(known, s["start"], s["end"]))
+    least = lambda m: F.greatest(F.lit(THRESHOLD), EVIDENCE / (F.length(m) - 1))
+    found = F.filter(free, lambda s: randomness(s["match"], models) > least(s["match"]))
     return F.transform(found, lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end")))
 
 

@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import time
 
 import pytest
 from hypothesis import given, settings
@@ -103,6 +104,35 @@ def test_random_strings_without_a_keyword_are_found(spark):
     assert not any("random" in r.spans for r in rows if r.doc_id != -1)
 
 
+def test_short_and_letter_only_runs_need_more_evidence(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
+    found = {"key Xk29fLq8ZpW3vT7 here": "random:4:19", "run qzxvkjwpfhgbtrmndlcsyq here": "random:4:26", "JQ7ZK2XW9PLM4": "random:0:13"}
+    calm = ["max_retry_count_for_server1 default_configuration_value3", "request_handler1 http2_client_pool2 2024-01-02T10-30 build-2024-11-03-rc1",
+            "Donaudampfschifffahrtsgesellschaftskapitaen internationalization", "Xk29fLq8ZpW"]
+    texts = [*found, *calm]
+    more = spark.createDataFrame([(-1 - i, t) for i, t in enumerate(texts)], docs.schema)
+    rows = {r.doc_id: r.spans for r in secret_scan.secret_report(docs.union(more)).where("doc_id < 0").collect()}
+    assert [rows[-1 - i] for i in range(len(texts))] == [*found.values(), *[""] * len(calm)]
+
+
+def test_models_do_not_depend_on_the_session(spark):
+    texts = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("text")
+    before = secret_scan.train(*secret_scan.training_strings(texts))
+    spark.udf.register("zzqx_own_function", lambda x: x)
+    assert secret_scan.train(*secret_scan.training_strings(texts)) == before
+
+
+def test_a_long_table_of_numbers_costs_in_proportion(spark):
+    """300,000 characters of one run of digits, of which every part that may be a number is looked at."""
+    text = " ".join(str(100 + i * 7919 % 900) for i in range(75_000))
+    df = spark.createDataFrame([(1, text)], "doc_id bigint, text string")
+    start = time.monotonic()
+    row = pii.candidates(df).collect()[0]
+    assert time.monotonic() - start < 60
+    assert len(row.loose) > 10_000
+    assert all(7 <= sum(c.isdigit() for c in text[s.start : s.end]) <= 19 for s in row.loose[::500])
+
+
 def test_loose_spans_need_evidence(spark):
     lines = [f"call my mobile (415) 555-{i:04d} today" for i in range(60)] + [f"order no 00{i:05d}99 shipped" for i in range(60)]
     df = spark.createDataFrame(list(enumerate(lines)), "doc_id bigint, text string")
