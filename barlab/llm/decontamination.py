@@ -40,6 +40,10 @@ def lower_ascii(text: Column) -> Column:
     return F.when(single, F.lower(text)).otherwise(F.translate(text, string.ascii_uppercase, string.ascii_lowercase))
 
 
+#: Windows, in rows, that are sent to every task at most: some 30 MB with their words.
+WINDOW_ROWS = 100_000
+
+
 def word_list(text: Column) -> Column:
     return F.regexp_extract_all(lower_ascii(text), F.lit(WORD), F.lit(0))
 
@@ -113,7 +117,8 @@ def window_matches(docs: DataFrame, windows: DataFrame, shingle: int = SHINGLE)
         F.slice(F.col("words"), c["start"] + 1, c["n"]).alias("seen"),
     ))
     seen = listed.join(of_text, ["k1", "k2"]).select("k1", "k2", F.inline_outer(cut))
-    different = broadcast_if_small(stage(windows.dropDuplicates(["win"]).select("win", "words"), "windows"))
+    # A window's key and its words take some 300 bytes, ten times as much as other tables' rows.
+    different = broadcast_if_small(stage(windows.dropDuplicates(["win"]).select("win", "words"), "windows"), WINDOW_ROWS)
     return seen.join(different, "win").where(F.col("seen") == F.col("words")).select("k1", "k2", "start", "n", "win")
 
 
