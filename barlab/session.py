@@ -64,17 +64,17 @@ def staged_tables(spark: SparkSession) -> Iterator[None]:
         del _staged[before:]
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
+def stage(df: DataFrame, name: str, **options: str | int) -> DataFrame:
     """Write ``df`` to the shared folder once and read it back.
 
     Used where a result feeds several consumers, or where a row's physical
     position becomes data: the table survives lost executors and is not
     recomputed. Also used for the small side of a join with a large table: its
     size is then known before the plan is made, and if it can be broadcast the
-    large table is not shuffled first.
+    large table is not shuffled first. ``options`` go to the writer.
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/barlab/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     _staged.append(path)
     return spark.read.schema(df.schema).parquet(path)
