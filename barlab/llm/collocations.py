@@ -29,6 +29,7 @@ from barlab.session import stage
 
 #: Words and breaks of a shard, at least while a task has that many of a language; more go to a further shard.
 SHARD_WORDS = 500_000
+SHARDS_PER_FILE = 2
 #: Bits of the filter that shards ask. It is sent to every task (4 MB), whatever the corpus.
 FILTER_BITS = 1 << 25
 #: What an end of a piece becomes before the text is cut at white space.
@@ -322,7 +323,8 @@ def frequent_phrases(
 
     The first has ``lang, word, w1, a`` of every word; the others ``w1, ..., wn, a``.
     """
-    shards = stage(build_shards(docs, longest, shard_words), "shards")
+    # Small files, so that a task that counts phrases takes few shards and holds few counts before they are shuffled.
+    shards = stage(build_shards(docs, longest, shard_words), "shards", maxRecordsPerFile=SHARDS_PER_FILE)
     words, seed = count_words(shards)
     tables = [words.select("lang", "word", F.col("id").alias("w1"), F.col("n").alias("a"))]
     filters: list[Filter] = []
