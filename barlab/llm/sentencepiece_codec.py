@@ -34,8 +34,10 @@ from pyspark.sql import types as T
 from barlab.llm.common import ship_package, slices, whole_text
 
 MARK = "▁"
-#: Words in a task's table before a new one is begun: some 100 MB.
-TABLE_WORDS = 400_000
+#: Words in a task's table before a new one is begun: some 25 MB.
+TABLE_WORDS = 100_000
+#: Bytes of text that are cut into words at a time: a list of words takes some ten times its text.
+SLICE_CHARS = 250_000
 MARKED = re.compile(f"{MARK}+[^{MARK}]*")
 ACROSS = re.compile(f"[^{MARK}]{MARK}")
 
@@ -99,6 +101,19 @@ def marked_words(model: str) -> MarkedWords:
     return MarkedWords(model)
 
 
+def encoded(batches: Iterator[pa.RecordBatch], model: str, names: list[str]) -> Iterator[pa.RecordBatch]:
+    """Batches with the text as their last column ``__text``; in its place come the ids and the decoded text."""
+    words = marked_words(model)
+    try:
+        for batch in slices(batches, "__text", SLICE_CHARS):
+            found = words.encode(batch.column(batch.num_columns - 1).to_pylist())
+            texts = pa.array([f[1] for f in found], pa.string())
+            columns = [*batch.columns[:-1], id_lists([f[0] for f in found]), texts]
+            yield pa.RecordBatch.from_arrays(columns, names=names)
+    finally:
+        words.forget()
+
+
 def id_lists(ids: list[bytes]) -> pa.ListArray:
     ends = [0, *accumulate(len(i) // 4 for i in ids)]
     flat = np.frombuffer(b"".join(ids), dtype=np.int32)
@@ -123,15 +138,7 @@ def encode_decode(
     schema = docs.select(*[F.col(f"`{c}`") for c in kept]).schema.add(ids, T.ArrayType(T.IntegerType())).add(decoded, T.StringType())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = marked_words(model)
-        try:
-            for batch in slices(batches, "__text"):
-                found = words.encode(batch.column(batch.num_columns - 1).to_pylist())
-                texts = pa.array([f[1] for f in found], pa.string())
-                columns = [*batch.columns[:-1], id_lists([f[0] for f in found]), texts]
-                yield pa.RecordBatch.from_arrays(columns, names=[*kept, ids, decoded])
-        finally:
-            words.forget()
+        return encoded(batches, model, [*kept, ids, decoded])
 
     return source.mapInArrow(run, schema)
 

@@ -83,7 +83,9 @@ def buckets(prints: DataFrame, max_bits: int, size: int = BUCKET) -> DataFrame:
     masks, leaves = [0], []
     while True:
         finer = [(_signed(m), _signed(c)) for m in masks for c in blocks(m, max_bits + 1)]
-        table = F.broadcast(spark.createDataFrame(finer, "mask bigint, child bigint"))  # at most 4^level rows
+        # At most 4^level rows. From a list they would come by an RDD, for which every executor starts more Python workers.
+        table = pa.table([pa.array(c, pa.int64()) for c in zip(*finer)], names=["mask", "child"])
+        table = F.broadcast(spark.createDataFrame(table))
         dealt = rows.join(table, "mask").select(
             F.col("child").alias("mask"), F.col("fp").bitwiseAND(F.col("child")).alias("key"), "fp"
         )

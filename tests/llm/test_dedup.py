@@ -89,6 +89,12 @@ def test_buckets_keep_their_size(spark):
     assert sizes <= 64
 
 
+def test_buckets_start_no_other_python_workers(spark):
+    prints = spark.range(10).withColumnRenamed("id", "fp")
+    plan = simhash.buckets(prints, 3)._jdf.queryExecution().executedPlan().toString()
+    assert "ExistingRDD" not in plan
+
+
 def test_odd_near_duplicates(odd, nothing):
     rows = simhash.near_duplicates(odd).collect()
     assert len(rows) == odd.count()

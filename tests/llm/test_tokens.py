@@ -1,9 +1,11 @@
 """SentencePiece and token files against their libraries."""
 
 import random
+import tracemalloc
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
 import sentencepiece
@@ -54,6 +56,20 @@ def test_a_word_table_may_be_dropped_at_any_time(texts, monkeypatch):
         assert np.frombuffer(ids, dtype=np.int32).tolist() == words.pieces.encode(text)
 
 
+def test_a_task_of_many_words_takes_bounded_memory():
+    words = sentencepiece_codec.marked_words(registry.PIECE_MODEL)
+    texts = [" ".join(f"w{i}" for i in range(k, k + 2_000)) for k in range(0, 300_000, 2_000)]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts)], names=["__text"])
+    tracemalloc.start()
+    try:
+        n = sum(b.num_rows for b in sentencepiece_codec.encoded(iter([batch]), registry.PIECE_MODEL, ["ids", "decoded"]))
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert n == len(texts) and not words.known
+    assert peak < 40e6, peak
+
+
 def test_encode_then_decode(docs, odd, nothing):
     ids = sentencepiece_codec.encode(docs, registry.PIECE_MODEL)
     back = sentencepiece_codec.decode(ids.drop("text"), registry.PIECE_MODEL)
